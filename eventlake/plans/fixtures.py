@@ -6,7 +6,7 @@
   previous turn's author and the first turn's author.
 * ``edge`` — ``env`` with every 50th-residue class of ``event_id`` corrupted in
   one way (trailing text, cut JSON, array, null / string ``time_us``, an invalid
-  UTF-8 byte, a blank line, an oversized record).
+  UTF-8 byte, an extra blank line, an oversized record).
 
 ``to_json`` leaves NULL fields out, so rows differ in their keys, as real
 events do. Every envelope is derived from every row of its table.
@@ -114,8 +114,9 @@ def edge(events: DataFrame) -> DataFrame:
     """``event_id``, ``value`` BINARY: ``env`` with corrupted residue classes of ``event_id % 50``.
 
     1 trailing text, 2 cut JSON, 3 wrapped as an array, 4 ``time_us`` null,
-    5 ``time_us`` as a string, 6 an invalid UTF-8 byte, 7 a blank line,
-    8 padded beyond ``EDGE_MAX_BYTES``; every other row is a good event.
+    5 ``time_us`` as a string, 6 an invalid UTF-8 byte, 7 a good event followed
+    by a whitespace-only line (skipped by the JSON-lines source), 8 padded beyond
+    ``EDGE_MAX_BYTES``; every other row is a good event. No row is dropped.
     """
     e = env(events)
     j = F.col("value")
@@ -125,7 +126,7 @@ def edge(events: DataFrame) -> DataFrame:
             .when(r == 3, F.concat(F.lit("["), j, F.lit("]")))
             .when(r == 4, F.regexp_replace(j, r'"time_us":-?[0-9]+', '"time_us":null'))
             .when(r == 5, F.regexp_replace(j, r'"time_us":(-?[0-9]+)', '"time_us":"$1"'))
-            .when(r == 7, F.lit("   "))
+            .when(r == 7, F.concat(j, F.lit("\n \t ")))
             .when(r == 8, F.concat(F.expr("substring(value, 1, length(value) - 1)"),
                                    F.lit(',"pad":"'), F.repeat(F.lit("x"), EDGE_PAD_BYTES), F.lit('"}')))
             .otherwise(j))

@@ -92,8 +92,15 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
                  template: str = DEFAULT_TEMPLATE, ts: str = "ingest",
                  max_rows: int | None = DEFAULT_MAX_ROWS, value: str = "value",
                  max_bytes: int = MAX_MESSAGE_BYTES, quarantine_path: str | None = None,
-                 cluster: bool = False, evolve: bool = True) -> IngestResult:
-    """E4 as one Spark job graph: raw ``value`` records in, partitioned lake out."""
+                 cluster: bool | None = None, evolve: bool = True) -> IngestResult:
+    """E4 as one Spark job graph: raw ``value`` records in, partitioned lake out.
+
+    ``cluster`` None picks by partition clock: ingest time needs no shuffle (a
+    run lands in one hour); event time rebalances on the partition columns so
+    each hour gets few files.
+    """
+    if cluster is None:
+        cluster = ts != "ingest"
     c, schema, counts = prepare(raw, schema, value, max_bytes)
     good = c.filter(F.col("reason").isNull())
     flat = flatten_events(good, schema)
@@ -110,8 +117,7 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
         from eventlake.operators.schema import merge_schemas
         data_schema = StructType([f for f in out.schema.fields if f.name not in pcols])
         merged = data_schema if stored is None else merge_schemas(stored, data_schema)
-    write_lake(out, lake_path, template, max_rows, cluster=cluster,
-               order_col=EVENT_MS if cluster else None)
+    write_lake(out, lake_path, template, max_rows, cluster=cluster)
     if evolve:
         write_schema_sidecar(merged, lake_path)
     if counts is None or any(k != "ok" for k in counts):
@@ -131,12 +137,12 @@ def write_quarantine(classified: DataFrame, path: str, value: str = "value") ->
 def ingest_declared(raw: DataFrame, lake_path: str, template: str = DEFAULT_TEMPLATE,
                     ts: str = "event", paths: dict | None = None, collected_ms=None,
                     max_rows: int | None = DEFAULT_MAX_ROWS, value: str = "value",
-                    max_bytes: int = MAX_MESSAGE_BYTES) -> DataFrame:
+                    max_bytes: int = MAX_MESSAGE_BYTES, cluster: bool | None = None) -> DataFrame:
     """Declared 12-column model (P8) into a partitioned lake; returns the written frame."""
     from eventlake.operators.derive import project_event
     c = classify(raw, value, max_bytes)
     ev = project_event(c.filter(F.col("reason").isNull()), paths, collected_ms, value=value)
     tcol = F.col("event_timestamp") if ts == "event" else None
     out = with_partitions(ev, tcol, template)
-    write_lake(out, lake_path, template, max_rows)
+    write_lake(out, lake_path, template, max_rows, cluster=(ts != "ingest") if cluster is None else cluster)
     return out
