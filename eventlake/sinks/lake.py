@@ -15,8 +15,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,19 +41,16 @@ def write_lake(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
 
 def write_schema_sidecar(df_or_schema, path: str) -> None:
     """Store the lake schema as one small JSON file beside the data."""
+    from pyspark.sql import SparkSession
     from pyspark.sql.types import StructType
-    st = df_or_schema if isinstance(df_or_schema, StructType) else df_or_schema.schema
-    spark = None if isinstance(df_or_schema, StructType) else df_or_schema.sparkSession
-    if spark is None:
-        from pyspark.sql import SparkSession
-        spark = SparkSession.getActiveSession()
-    target = f"{path.rstrip('/')}/{SCHEMA_FILE}"
-    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS keeps this storage-agnostic
-    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-    p = jvm.org.apache.hadoop.fs.Path(target)
-    fs = p.getFileSystem(conf)
+    from eventlake.sources.lake import _fs_path
+    if isinstance(df_or_schema, StructType):
+        st, spark = df_or_schema, SparkSession.getActiveSession()
+    else:
+        st, spark = df_or_schema.schema, df_or_schema.sparkSession
+    fs, p = _fs_path(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
     out = fs.create(p, True)
     try:
-        out.write(bytearray(json.dumps(json.loads(st.json())).encode("utf-8")))
+        out.write(bytearray(st.json().encode("utf-8")))
     finally:
         out.close()

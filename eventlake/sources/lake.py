@@ -20,15 +20,30 @@ from eventlake.session import conf_scope
 SCHEMA_FILE = "_eventlake_schema.json"
 
 
+def _fs_path(spark: SparkSession, target: str):
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS keeps this storage-agnostic
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(target)
+    return p.getFileSystem(conf), p
+
+
 def read_schema_sidecar(spark: SparkSession, path: str) -> StructType | None:
-    """The widened lake schema written beside the data (``_``-files are not scanned)."""
-    try:
-        rows = spark.read.text(f"{path.rstrip('/')}/{SCHEMA_FILE}", wholetext=True).collect()
-    except Exception:  # noqa: BLE001 - a missing sidecar just means "no stored schema"
+    """The widened lake schema stored beside the data, or None.
+
+    It is one small driver-side metadata file (Spark's file listing skips
+    ``_``-names, so the data scans never see it), read through the Hadoop
+    FileSystem API so any storage scheme works.
+    """
+    fs, p = _fs_path(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if not fs.exists(p):
         return None
-    if not rows:
-        return None
-    return StructType.fromJson(json.loads(rows[0][0]))
+    stream = fs.open(p)
+    try:
+        jvm = spark.sparkContext._jvm  # noqa: SLF001
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return StructType.fromJson(json.loads(text))
 
 
 def open_lake(spark: SparkSession, path: str, schema: StructType | None = None,
