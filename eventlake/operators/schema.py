@@ -39,7 +39,7 @@ from pyspark.sql.types import (
     VariantType, _parse_datatype_string,
 )
 
-from eventlake.functions.jsonvalue import get_path, is_object
+from eventlake.functions.jsonvalue import get_path, is_null_value, is_object
 
 SCALAR_KEY = "eventlake.scalar"
 MAX_ROUNDS = 32
@@ -142,20 +142,35 @@ def normalize(dt: DataType, in_array: bool = False) -> DataType | None:
 # C1
 
 
-def _variant_paths(st: StructType, prefix=()) -> list[tuple[str, ...]]:
-    """Key paths (through structs only) whose type is still VARIANT."""
+class _Each:
+    """Path step meaning "every element of this list"."""
+
+    def __repr__(self):
+        return "[*]"
+
+
+EACH = _Each()
+
+
+def _variant_paths(dt: DataType, prefix=()) -> list[tuple]:
+    """Paths (through objects and lists) of object fields whose type is still VARIANT."""
     out = []
-    for f in st.fields:
-        if isinstance(f.dataType, VariantType) and SCALAR_KEY not in (f.metadata or {}):
-            out.append(prefix + (f.name,))
-        elif isinstance(f.dataType, StructType):
-            out.extend(_variant_paths(f.dataType, prefix + (f.name,)))
+    if isinstance(dt, StructType):
+        for f in dt.fields:
+            if isinstance(f.dataType, VariantType) and SCALAR_KEY not in (f.metadata or {}):
+                out.append(prefix + (f.name,))
+            elif isinstance(f.dataType, (StructType, ArrayType)):
+                out.extend(_variant_paths(f.dataType, prefix + (f.name,)))
+    elif isinstance(dt, ArrayType) and isinstance(dt.elementType, (StructType, ArrayType)):
+        out.extend(_variant_paths(dt.elementType, prefix + (EACH,)))
     return out
 
 
-def _replace(st: StructType, path: tuple[str, ...], field: StructField) -> StructType:
+def _replace(dt: DataType, path: tuple, field: StructField) -> DataType:
+    if path[0] is EACH:
+        return ArrayType(_replace(dt.elementType, path[1:], field), True)
     fields = []
-    for f in st.fields:
+    for f in dt.fields:
         if f.name == path[0]:
             if len(path) == 1:
                 fields.append(field)
@@ -167,15 +182,40 @@ def _replace(st: StructType, path: tuple[str, ...], field: StructField) -> Struc
     return StructType(fields)
 
 
-def infer_raw(df: DataFrame, v: str = "v") -> StructType:
+def _values(v: Column, path: tuple) -> tuple[Column, bool]:
+    """Variant at ``path``; with list steps, an ARRAY<VARIANT> of every value reached."""
+    if EACH not in path:
+        return get_path(v, path), False
+    i = path.index(EACH)
+    arr = get_path(v, path[:i], "array<variant>")
+    rest = path[i + 1:]
+    if not rest:
+        return arr, True
+    _, nested = _values(F.lit(None), rest)
+    if nested:
+        return F.flatten(F.transform(arr, lambda x: _values(x, rest)[0])), True
+    return F.transform(arr, lambda x: _values(x, rest)[0]), True
+
+
+def _unwrap(dt: DataType | None, is_array: bool) -> DataType | None:
+    if is_array:
+        return dt.elementType if isinstance(dt, ArrayType) else None
+    return dt
+
+
+def infer_raw(df: DataFrame, v: str = "v", initial: StructType | None = None) -> StructType:
     """C1 without widening: the resolved variant schema of column ``v``.
 
     One aggregate pass, plus one pass per nesting level of object/non-object
-    conflicts (none for clean data).
+    conflicts (none for clean data). Conflicts inside lists of objects are
+    resolved the same way, over every element of every row.
     """
     vcol = F.col(v)
-    ddl = df.agg(F.call_function("schema_of_variant_agg", vcol)).first()[0]
-    st = variant_ddl_to_type(ddl)
+    if initial is None:
+        ddl = df.agg(F.call_function("schema_of_variant_agg", vcol)).first()[0]
+        st = variant_ddl_to_type(ddl)
+    else:
+        st = initial
     if not isinstance(st, StructType):
         return StructType([])
     for _ in range(MAX_ROUNDS):
@@ -184,15 +224,23 @@ def infer_raw(df: DataFrame, v: str = "v") -> StructType:
             break
         aggs = []
         for i, p in enumerate(paths):
-            x = get_path(vcol, p)
-            obj = is_object(x)
-            notnull = x.isNotNull() & ~F.call_function("is_variant_null", x)
-            aggs.append(F.call_function("schema_of_variant_agg", F.when(obj, x)).alias(f"o{i}"))
-            aggs.append(F.call_function("schema_of_variant_agg", F.when(notnull & ~obj, x)).alias(f"s{i}"))
+            x, many = _values(vcol, p)
+            if many:
+                objs = F.filter(x, lambda e: is_object(e))
+                others = F.filter(x, lambda e: ~is_null_value(e) & ~is_object(e))
+                o_in = F.call_function("to_variant_object", objs)
+                s_in = F.call_function("to_variant_object", others)
+            else:
+                obj = is_object(x)
+                o_in = F.when(obj, x)
+                s_in = F.when(~is_null_value(x) & ~obj, x)
+            aggs.append(F.call_function("schema_of_variant_agg", o_in).alias(f"o{i}"))
+            aggs.append(F.call_function("schema_of_variant_agg", s_in).alias(f"s{i}"))
         row = df.agg(*aggs).first()
         for i, p in enumerate(paths):
-            o = variant_ddl_to_type(row[f"o{i}"])
-            s = variant_ddl_to_type(row[f"s{i}"])
+            many = EACH in p
+            o = _unwrap(variant_ddl_to_type(row[f"o{i}"]), many)
+            s = _unwrap(variant_ddl_to_type(row[f"s{i}"]), many)
             if not isinstance(o, StructType):
                 o = StructType([])
             meta = {SCALAR_KEY: type_ddl(s if s is not None else NullType())}

@@ -25,8 +25,7 @@ from eventlake.operators.derive import EVENT_MS, with_event_ms, with_partitions
 from eventlake.operators.flatten import flatten
 from eventlake.operators.guards import MAX_MESSAGE_BYTES, classify
 from eventlake.operators.schema import (
-    SCALAR_KEY, infer_raw, normalize, evolve_for_append, variant_ddl_to_type,
-    _replace, _variant_paths,
+    infer_raw, normalize, evolve_for_append, variant_ddl_to_type, _variant_paths,
 )
 from eventlake.sinks.lake import DEFAULT_MAX_ROWS, write_lake, write_schema_sidecar
 from eventlake.sources.lake import read_schema_sidecar
@@ -81,7 +80,7 @@ def infer_with_counts(classified: DataFrame):
     st = variant_ddl_to_type(ddl)
     good = classified.filter(F.col("reason").isNull())
     if isinstance(st, StructType) and _variant_paths(st):
-        st = infer_raw(good, "v")  # conflicts need the extra split passes
+        st = infer_raw(good, "v", initial=st)  # conflicts need the extra split passes
     if not isinstance(st, StructType):
         st = StructType([])
     st = normalize(st) or StructType([])

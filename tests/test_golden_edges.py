@@ -145,3 +145,20 @@ def test_oversize(spark):
     raw = spark.createDataFrame([(b'{"a":"' + b"x" * 100 + b'"}',), (b'{"a":1}',)], "value binary")
     got = [r["reason"] for r in classify(raw, max_bytes=50).collect()]
     assert got == ["oversize", None]
+
+
+def test_conflict_inside_list_of_objects(run_lines):
+    rows, schema, _ = run_lines(['{"m":[{"a":{"b":1}},{"a":2}]}', '{"m":[{"a":"x"}]}'])
+    got = sorted((json_dumps(r["m"]) for r in rows))
+    assert got == sorted([json_dumps([{"a": None, "a_b": 1}, {"a": "2", "a_b": None}]),
+                          json_dumps([{"a": "x", "a_b": None}])])
+
+
+def test_conflict_inside_list_of_lists(run_lines):
+    rows, _, _ = run_lines(['{"n":[[{"a":{"b":1}},{"a":2}]]}'])
+    assert rows[0]["n"] == [[{"a": None, "a__b": 1}, {"a": 2, "a__b": None}]]
+
+
+def json_dumps(x):
+    import json
+    return json.dumps(x, sort_keys=True)
