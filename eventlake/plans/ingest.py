@@ -25,10 +25,9 @@ from eventlake.operators.derive import EVENT_MS, with_event_ms, with_partitions
 from eventlake.operators.flatten import flatten
 from eventlake.operators.guards import MAX_MESSAGE_BYTES, classify
 from eventlake.operators.schema import (
-    infer_raw, normalize, evolve_for_append, variant_ddl_to_type, _variant_paths,
+    infer_raw, normalize, variant_ddl_to_type, _variant_paths,
 )
-from eventlake.sinks.lake import DEFAULT_MAX_ROWS, write_lake, write_schema_sidecar
-from eventlake.sources.lake import read_schema_sidecar
+from eventlake.sinks.lake import DEFAULT_MAX_ROWS, append_evolving, write_lake
 
 
 @dataclass
@@ -105,20 +104,10 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
     flat = flatten_events(good, schema)
     parts_ts = partition_time(flat, ts)
     out = with_partitions(flat, parts_ts, template)
-    spark = raw.sparkSession
     if evolve:
-        stored = read_schema_sidecar(spark, lake_path)
-        from eventlake.functions.timecols import template_columns
-        pcols = template_columns(template)
-        target = evolve_for_append(stored, out.schema, pcols)
-        if target != out.schema:
-            out = out.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.fields])
-        from eventlake.operators.schema import merge_schemas
-        data_schema = StructType([f for f in out.schema.fields if f.name not in pcols])
-        merged = data_schema if stored is None else merge_schemas(stored, data_schema)
-    write_lake(out, lake_path, template, max_rows, cluster=cluster)
-    if evolve:
-        write_schema_sidecar(merged, lake_path)
+        append_evolving(out, lake_path, template, max_rows, cluster=cluster)
+    else:
+        write_lake(out, lake_path, template, max_rows, cluster=cluster)
     if counts is None or any(k != "ok" for k in counts):
         if quarantine_path:
             write_quarantine(c, quarantine_path)

@@ -54,3 +54,29 @@ def write_schema_sidecar(df_or_schema, path: str) -> None:
         out.write(bytearray(st.json().encode("utf-8")))
     finally:
         out.close()
+
+
+def append_evolving(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
+                    max_rows: int | None = DEFAULT_MAX_ROWS, cluster: bool = False) -> DataFrame:
+    """Append a flattened batch whose columns may differ from the lake's.
+
+    The stored (widened) schema beside the lake decides each column's type:
+    new columns are added, lossless widenings are cast on write, a narrowing
+    raises ``SchemaConflict``. Returns the frame as written. The schema file is
+    updated after the data commit; concurrent appenders to one lake must be
+    serialised by the caller (as with any single-writer table layout).
+    """
+    from pyspark.sql.types import StructType
+    from eventlake.operators.schema import evolve_for_append, merge_schemas
+    from eventlake.sources.lake import read_schema_sidecar
+    spark = df.sparkSession
+    parts = template_columns(template)
+    stored = read_schema_sidecar(spark, path)
+    target = evolve_for_append(stored, df.schema, parts)
+    if target != df.schema:
+        df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.fields])
+    data_schema = StructType([f for f in df.schema.fields if f.name not in parts])
+    merged = data_schema if stored is None else merge_schemas(stored, data_schema)
+    write_lake(df, path, template, max_rows, cluster=cluster)
+    write_schema_sidecar(merged, path)
+    return df

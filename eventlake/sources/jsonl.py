@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 _STRIP = r"(?U)^\s+|\s+$"
 
 
+def strip_blank(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Strip Unicode whitespace from each line and drop blank lines -> ``value BINARY``."""
+    return _shape(lines.select(F.col(value).cast("string").alias("value")))
+
+
 def _shape(lines: DataFrame) -> DataFrame:
     """Drop blank lines (tested on the raw line), then strip the rest.
 

@@ -100,3 +100,45 @@ def run_metrics(query: StreamingQuery, name: str = METRICS_NAME) -> dict:
                 tot[k] += int(obs[k] or 0)
         tot["write_ms"] += int((prog.get("durationMs") or {}).get("addBatch", 0))
     return tot
+
+
+class MetricsListener:
+    """T5: totals across every streaming query of the session (consumed, written, errors,
+    batches, input rows, write milliseconds), fed by ``StreamingQueryListener`` events.
+
+    Register with ``spark.streams.addListener(MetricsListener().listener)``; read
+    ``totals`` at any time. Only per-batch progress (a few numbers) reaches the
+    driver, never rows.
+    """
+
+    def __init__(self, name: str = METRICS_NAME):
+        from pyspark.sql.streaming import StreamingQueryListener
+
+        self.name = name
+        self.totals = {"batches": 0, "input_rows": 0, "consumed": 0, "written": 0, "errors": 0,
+                       "write_ms": 0}
+        outer = self
+
+        class _L(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                outer._add(json.loads(event.progress.json))
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        self.listener = _L()
+
+    def _add(self, prog: dict) -> None:
+        t = self.totals
+        t["batches"] += 1
+        t["input_rows"] += int(prog.get("numInputRows", 0) or 0)
+        obs = (prog.get("observedMetrics") or {}).get(self.name) or {}
+        for k in ("consumed", "written", "errors"):
+            t[k] += int(obs.get(k, 0) or 0) if isinstance(obs, dict) else int(obs[k] or 0)
+        t["write_ms"] += int((prog.get("durationMs") or {}).get("addBatch", 0))

@@ -70,3 +70,30 @@ def test_failure_limit_stops_after_five(spark):
 def test_failure_limit_recovers_below_limit(spark):
     f = _Failing(spark, fail_times=2)
     assert run_with_failure_limit(f.start, limit=5) == 2
+
+
+def test_metrics_listener(spark):
+    import time
+    from eventlake.streaming import MetricsListener
+    ml = MetricsListener()
+    spark.streams.addListener(ml.listener)
+    try:
+        src, lake, ckpt = (scratch_path(spark, n) for n in ("src", "lake", "ckpt"))
+        _lines(spark, ['{"did":"a"}', "[1]"], src)
+        _, schema, _ = prepare(read_jsonl(spark, src))
+        (q,) = ingest_stream(read_jsonl(spark, src, streaming=True), lake, ckpt, schema,
+                             trigger={"availableNow": True})
+        q.awaitTermination()
+        for _ in range(50):  # listener events arrive asynchronously
+            if ml.totals["consumed"] >= 2:
+                break
+            time.sleep(0.2)
+        assert ml.totals["consumed"] == 2 and ml.totals["written"] == 1 and ml.totals["errors"] == 1
+    finally:
+        spark.streams.removeListener(ml.listener)
+
+
+def test_strip_blank(spark):
+    from eventlake.sources.jsonl import strip_blank
+    df = spark.createDataFrame([("  {} ",), (" \t ",), ("x",)], "value string")
+    assert [bytes(r.value) for r in strip_blank(df).collect()] == [b"{}", b"x"]
