@@ -53,9 +53,29 @@ def partition_time(df: DataFrame, ts: str):
     return F.col(ts)
 
 
-def flatten_events(good: DataFrame, schema: StructType, keep=()) -> DataFrame:
-    """P1-P4 on guarded records: flattened columns plus ``event_timestamp_ms``."""
-    return with_event_ms(flatten(good, schema, keep=keep))
+# Alarm threshold for the flattened width: data used as keys (ids, URLs) would
+# widen the table without limit. Exceeding it fails the ingest with a clear message.
+MAX_COLUMNS = 5000
+
+
+def flatten_events(good: DataFrame, schema: StructType, keep=(), keep_raw: bool = False,
+                   value: str = "value", max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """P1-P4 on guarded records: flattened columns plus ``event_timestamp_ms``.
+
+    ``keep_raw`` adds ``raw_event`` (the record's bytes) so nothing is lost even
+    when a pinned schema lacks a new key.
+    """
+    if keep_raw:
+        good = good.withColumn("__raw_event", F.col(value).cast("binary"))
+        keep = tuple(keep) + ("__raw_event",)
+    flat = with_event_ms(flatten(good, schema, keep=keep))
+    if len(flat.columns) > max_columns:
+        raise ValueError(f"flattened events have {len(flat.columns)} columns (> {max_columns}); "
+                         "keys look like data — pin a schema or raise max_columns")
+    if keep_raw:
+        name = "raw_event" if "raw_event" not in flat.columns else "_raw_event"
+        flat = flat.withColumnRenamed("__raw_event", name)
+    return flat
 
 
 def prepare(raw: DataFrame, schema: StructType | None = None, value: str = "value",
@@ -90,7 +110,8 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
                  template: str = DEFAULT_TEMPLATE, ts: str = "ingest",
                  max_rows: int | None = DEFAULT_MAX_ROWS, value: str = "value",
                  max_bytes: int = MAX_MESSAGE_BYTES, quarantine_path: str | None = None,
-                 cluster: bool | None = None, evolve: bool = True) -> IngestResult:
+                 cluster: bool | None = None, evolve: bool = True,
+                 keep_raw: bool = False) -> IngestResult:
     """E4 as one Spark job graph: raw ``value`` records in, partitioned lake out.
 
     ``cluster`` None picks by partition clock: ingest time needs no shuffle (a
@@ -101,7 +122,7 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
         cluster = ts != "ingest"
     c, schema, counts = prepare(raw, schema, value, max_bytes)
     good = c.filter(F.col("reason").isNull())
-    flat = flatten_events(good, schema)
+    flat = flatten_events(good, schema, keep_raw=keep_raw, value=value)
     parts_ts = partition_time(flat, ts)
     out = with_partitions(flat, parts_ts, template)
     if evolve:

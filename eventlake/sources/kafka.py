@@ -18,12 +18,15 @@ MAX_POLL_INTERVAL_MS = 300000
 
 def kafka_source_options(servers: str, topic: str = DEFAULT_TOPIC, starting: str = "earliest",
                          min_rows: int | None = None, max_delay: str | None = None,
-                         fail_on_data_loss: bool = True, **extra) -> dict:
+                         fail_on_data_loss: bool = True, min_partitions: int | None = None,
+                         **extra) -> dict:
     """Options for ``format('kafka')``.
 
     ``min_rows`` / ``max_delay`` give the count-or-time trigger (T1) with
     ``minOffsetsPerTrigger`` + ``maxTriggerDelay``. ``maxOffsetsPerTrigger`` is
     deliberately not set from ``min_rows``: that would throttle throughput.
+    ``min_partitions`` splits large topic partitions over more Spark tasks, so
+    parallelism is not capped at the topic's partition count (12 by default).
     """
     opts = {
         "kafka.bootstrap.servers": servers,
@@ -37,6 +40,8 @@ def kafka_source_options(servers: str, topic: str = DEFAULT_TOPIC, starting: str
         opts["minOffsetsPerTrigger"] = str(int(min_rows))
     if max_delay:
         opts["maxTriggerDelay"] = max_delay
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     for k, v in extra.items():
         opts[k] = str(v)
     return opts

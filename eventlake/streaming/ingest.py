@@ -50,13 +50,17 @@ def ingest_stream(stream: DataFrame, lake_path: str, checkpoint: str, schema: St
                   template: str = DEFAULT_TEMPLATE, ts: str = "ingest",
                   max_rows: int | None = DEFAULT_MAX_ROWS, trigger: dict | None = None,
                   value: str = "value", max_bytes: int = MAX_MESSAGE_BYTES,
-                  quarantine_path: str | None = None, query_name: str | None = None
-                  ) -> list[StreamingQuery]:
-    """Start the ingest query (and the quarantine query); returns the started queries."""
+                  quarantine_path: str | None = None, query_name: str | None = None,
+                  keep_raw: bool = True) -> list[StreamingQuery]:
+    """Start the ingest query (and the quarantine query); returns the started queries.
+
+    ``keep_raw`` (default on, since the schema is pinned) stores each event's
+    bytes as ``raw_event`` so keys the pinned schema lacks are not lost.
+    """
     trigger = trigger or {"processingTime": "60 seconds"}
     c = observe_batch(classify(stream, value, max_bytes))
     good = c.filter(F.col("reason").isNull())
-    flat = flatten_events(good, schema)
+    flat = flatten_events(good, schema, keep_raw=keep_raw, value=value)
     out = with_partitions(flat, partition_time(flat, ts), template)
     w = (out.writeStream.format("parquet")
          .option("checkpointLocation", f"{checkpoint.rstrip('/')}/lake")

@@ -129,3 +129,14 @@ def test_histogram_cumulative(spark):
     df = spark.createDataFrame([(0.001,), (0.3,), (7.0,), (50.0,)], "d double")
     h = {r.le: r["count"] for r in reports.histogram(df, "d").collect()}
     assert h["0.005"] == 1 and h["0.5"] == 2 and h["10.0"] == 3 and h["+Inf"] == 4
+
+
+def test_keep_raw_event(spark):
+    path = scratch_path(spark, "t-raw")
+    ingest_batch(_raw(spark, ['{"a":1,"value":"v"}']), path, keep_raw=True)
+    r = open_lake(spark, path).first()
+    assert bytes(r.raw_event) == b'{"a":1,"value":"v"}' and r.value == "v"
+
+
+def test_kafka_min_partitions():
+    assert kafka_source_options("b:9092", min_partitions=96)["minPartitions"] == "96"
