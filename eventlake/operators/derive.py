@@ -66,7 +66,8 @@ def with_partitions(df: DataFrame, ts: Column | str | None = None,
     """Partition value columns from ``template``.
 
     ``ts`` None (default) uses ingest wall-clock time, as the reference does;
-    a column (e.g. the event time) partitions by event time instead.
+    a column (e.g. the event time) partitions by event time instead. Existing
+    columns named like a partition column are renamed with a trailing ``_``.
     """
     if ts is None:
         tcol = ingest_time()
@@ -74,10 +75,16 @@ def with_partitions(df: DataFrame, ts: Column | str | None = None,
         tcol = F.col(ts)
     else:
         tcol = ts
-    names = template_columns(template)
-    clash = [n for n in names if n in df.columns]
-    if clash:
-        df = df.drop(*clash)
+    for n in template_columns(template):
+        if n in df.columns:
+            # An event key with a partition column's name keeps its value under
+            # ``name_`` (more underscores if that is taken too); nothing is dropped.
+            new = n + "_"
+            while new in df.columns:
+                new += "_"
+            df = df.withColumnRenamed(n, new)
+            if isinstance(ts, str) and ts == n:
+                tcol = F.col(new)
     return df.select("*", *partition_columns(tcol, template))
 
 

@@ -140,3 +140,10 @@ def test_keep_raw_event(spark):
 
 def test_kafka_min_partitions():
     assert kafka_source_options("b:9092", min_partitions=96)["minPartitions"] == "96"
+
+
+def test_event_key_named_like_partition_is_kept(spark):
+    path = scratch_path(spark, "t-clash")
+    ingest_batch(_raw(spark, ['{"hour":"x","time_us":5}']), path, ts="event")
+    r = open_lake(spark, path).first()
+    assert r.hour_ == "x" and r.hour == "00" and r.year == "1970"
