@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The reference consumer's defaults.
-DEFAULT_TOPIC = "bluesky-events"
-DEFAULT_GROUP = "bluesky-storage-workers"
+# Defaults (both are arguments; set them to the deployment's topic and group).
+DEFAULT_TOPIC = "social-events"
+DEFAULT_GROUP = "lake-storage-workers"
+# Fixed value: the consumer's max poll interval.
 MAX_POLL_INTERVAL_MS = 300000
 
 

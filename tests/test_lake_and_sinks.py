@@ -97,7 +97,7 @@ def test_kafka_frame_and_options(spark):
     assert row.key is None and bytes(row.value) == b'{"a":1}'
     o = kafka_sink_options("b:9092")
     assert o["kafka.acks"] == "all" and o["kafka.compression.type"] == "snappy"
-    assert o["kafka.linger.ms"] == "100" and o["topic"] == "bluesky-events"
+    assert o["kafka.linger.ms"] == "100" and o["topic"] == "social-events"
     assert PRODUCER["kafka.retries"] == "3"
     s = kafka_source_options("b:9092", min_rows=10000, max_delay="60s")
     assert s["startingOffsets"] == "earliest" and s["minOffsetsPerTrigger"] == "10000"
