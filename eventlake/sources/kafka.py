@@ -20,7 +20,7 @@ MAX_POLL_INTERVAL_MS = 300000
 def kafka_source_options(servers: str, topic: str = DEFAULT_TOPIC, starting: str = "earliest",
                          min_rows: int | None = None, max_delay: str | None = None,
                          fail_on_data_loss: bool = True, min_partitions: int | None = None,
-                         **extra) -> dict:
+                         group: str | None = DEFAULT_GROUP, **extra) -> dict:
     """Options for ``format('kafka')``.
 
     ``min_rows`` / ``max_delay`` give the count-or-time trigger (T1) with
@@ -34,9 +34,10 @@ def kafka_source_options(servers: str, topic: str = DEFAULT_TOPIC, starting: str
         "subscribe": topic,
         "startingOffsets": starting,
         "failOnDataLoss": str(bool(fail_on_data_loss)).lower(),
-        "kafka.group.id": DEFAULT_GROUP,
         "kafka.max.poll.interval.ms": str(MAX_POLL_INTERVAL_MS),
     }
+    if group:
+        opts["kafka.group.id"] = group
     if min_rows:
         opts["minOffsetsPerTrigger"] = str(int(min_rows))
     if max_delay:
