@@ -25,7 +25,7 @@ from eventlake.sinks.jsonl import write_jsonl
 from eventlake.sinks.kafka import kafka_frame
 from eventlake.sinks.lake import write_lake
 from eventlake.sources.jsonl import read_jsonl
-from eventlake.sources.lake import open_lake
+from eventlake.sources.lake import open_lake, register_lake
 
 # Fixed values used by the queries and their oracles.
 NOW_US = 1735689600000000          # 2025-01-01 00:00:00 UTC, the "now" of lag queries
@@ -342,6 +342,24 @@ def a1_top_accounts_hour(spark, sf):
     return reports.top_accounts(filters.lake_slice(lake, **SLICE), 10)
 
 
+LAKE_SQL = """
+SELECT did, event_type, COUNT(*) AS count
+FROM {view}
+WHERE year = '2024' AND month = '01' AND day = '15' AND hour = '14'
+GROUP BY did, event_type
+ORDER BY count DESC, did, event_type
+LIMIT 10
+"""
+
+
+def e3_lake_sql(spark, sf):
+    """The documented lake query as Spark SQL over a registered view."""
+    path = _declared_lake(spark, sf)
+    view = "eventlake_lake_" + path.rsplit("-", 1)[-1]
+    register_lake(spark, path, view)
+    return spark.sql(LAKE_SQL.format(view=view))
+
+
 def a3_histogram(spark, sf):
     h = reports.histogram(_env_flat(spark, sf), "commit_record_value", HIST_BUCKETS)
     return h.select("le", "ord", "count", "total",
@@ -387,6 +405,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "t5_run_metrics": t5_run_metrics,
     "a1_top_accounts": a1_top_accounts,
     "a1_top_accounts_hour": a1_top_accounts_hour,
+    "e3_lake_sql": e3_lake_sql,
     "a2_counters": a2_counters,
     "a3_histogram": a3_histogram,
     "a4_lag": a4_lag,
@@ -516,6 +535,8 @@ ORACLES: dict[str, str] = {
                         f"GROUP BY 1, 2 ORDER BY count DESC, did, event_type LIMIT 10"),
     "a1_top_accounts_hour": (f"SELECT {_DID} AS did, {_KIND} AS event_type, count(*) AS count FROM events "
                              f"WHERE {_SLICE} GROUP BY 1, 2 ORDER BY count DESC, did, event_type LIMIT 10"),
+    "e3_lake_sql": (f"SELECT {_DID} AS did, {_KIND} AS event_type, count(*) AS count FROM events "
+                    f"WHERE {_SLICE} GROUP BY 1, 2 ORDER BY count DESC, did, event_type LIMIT 10"),
     "a3_histogram": (
         "WITH c AS (SELECT value FROM events WHERE " + _IS_COMMIT + "), "
         "b(le, ord, ub) AS (VALUES " + ", ".join(

@@ -59,3 +59,16 @@ def open_lake(spark: SparkSession, path: str, schema: StructType | None = None,
         return reader.schema(StructType(fields)).parquet(path)
     with conf_scope(spark, **{"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
         return reader.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+
+
+def register_lake(spark: SparkSession, path: str, name: str = "lake",
+                  template: str = DEFAULT_TEMPLATE) -> DataFrame:
+    """Expose the lake to ``spark.sql`` as a temporary view (partition columns STRING).
+
+    SQL over the view takes the same Catalyst path as the DataFrame API:
+    partition predicates become ``PartitionFilters``, selected columns the
+    ``ReadSchema``.
+    """
+    df = open_lake(spark, path, template=template)
+    df.createOrReplaceTempView(name)
+    return df
