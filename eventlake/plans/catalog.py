@@ -317,7 +317,7 @@ def _stream_lake(spark, sf, lines_df: DataFrame, runs: int, max_bytes=guards.MAX
 def t2_stream_ingest(spark, sf):
     e = fx.env(_events(spark, sf)).select("value", F.pmod(F.col("event_id"), F.lit(2)).alias("part"))
     lake, _ = _stream_lake(spark, sf, e, 2)
-    return spark.read.parquet(lake).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    return open_lake(spark, lake).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 def t5_run_metrics(spark, sf):

@@ -62,6 +62,7 @@ def ingest_stream(stream: DataFrame, lake_path: str, checkpoint: str, schema: St
     good = c.filter(F.col("reason").isNull())
     flat = flatten_events(good, schema, keep_raw=keep_raw, value=value)
     out = with_partitions(flat, partition_time(flat, ts), template)
+    _store_schema(out, lake_path, template)
     w = (out.writeStream.format("parquet")
          .option("checkpointLocation", f"{checkpoint.rstrip('/')}/lake")
          .option("compression", "snappy")
@@ -84,6 +85,24 @@ def ingest_stream(stream: DataFrame, lake_path: str, checkpoint: str, schema: St
     return queries
 
 
+def _store_schema(out: DataFrame, lake_path: str, template: str) -> None:
+    """Check the pinned schema against the lake's and store the union beside it.
+
+    Readers then take the schema from this small file instead of merging every
+    file footer; a pinned type that would narrow a stored column fails here,
+    before any data is written.
+    """
+    from eventlake.operators.schema import evolve_for_append, merge_schemas
+    from eventlake.sinks.lake import write_schema_sidecar
+    from eventlake.sources.lake import read_schema_sidecar
+    parts = template_columns(template)
+    spark = out.sparkSession
+    stored = read_schema_sidecar(spark, lake_path)
+    evolve_for_append(stored, out.schema, parts)
+    data = StructType([f for f in out.schema.fields if f.name not in parts])
+    write_schema_sidecar(data if stored is None else merge_schemas(stored, data), lake_path)
+
+
 def drain(queries: list[StreamingQuery], timeout: float | None = None) -> None:
     """Wait for ``availableNow`` queries to finish (final flush + commit)."""
     for q in queries:
