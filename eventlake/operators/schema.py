@@ -34,7 +34,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DataType, DecimalType, DoubleType, FloatType, LongType,
+    ArrayType, DataType, DecimalType, DoubleType, FloatType, LongType,
     IntegerType, ShortType, ByteType, NullType, StringType, StructField, StructType,
     VariantType, _parse_datatype_string,
 )

@@ -17,13 +17,12 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from eventlake.functions.jsonvalue import get_path, strict_parse
 from eventlake.functions.timecols import epoch_ms_to_ts
-from eventlake.operators import derive, filters, flatten as flat_ops, guards, reports, schema as sch
+from eventlake.operators import derive, filters, guards, reports, schema as sch
 from eventlake.plans import fixtures as fx
 from eventlake.plans.ingest import flatten_events, ingest_batch, ingest_declared, prepare
 from eventlake.session import configure_session, scratch_path
 from eventlake.sinks.jsonl import write_jsonl
 from eventlake.sinks.kafka import kafka_frame
-from eventlake.sinks.lake import write_lake
 from eventlake.sources.jsonl import read_jsonl
 from eventlake.sources.lake import open_lake, register_lake
 
