@@ -22,17 +22,25 @@ def _epoch() -> Column:
     return F.expr("timestamp_ntz'1970-01-01 00:00:00'")
 
 
+# The epoch-millisecond range of Spark timestamps (0001-01-01 .. 9999-12-31).
+MIN_MS = -62135596800000
+MAX_MS = 253402300799999
+_BIGINT_LIMIT = 9.2e18
+
+
 def floor_ms(time_us: Column, dtype: DataType | None = None) -> Column:
-    """floor(time_us / 1000) as BIGINT.
+    """floor(time_us / 1000) as BIGINT; NULL when the result does not fit.
 
-    Integer input uses exact decimal arithmetic: subtracting the positive
-    remainder first turns truncation into a floor (-1500 -> -2, not -1).
-    Fractional input (DOUBLE) is floored the same way and cast to BIGINT.
+    Integer input uses exact decimal arithmetic (no double rounding, and no
+    overflow: -1500 -> -2, Long.MIN -> -9223372036854776). Fractional input is
+    floored in DOUBLE. Under ANSI mode a plain cast would raise on one odd value
+    and fail the whole job, so every step here returns NULL instead.
     """
     if isinstance(dtype, (DoubleType, FloatType)):
-        return F.floor(time_us / F.lit(1000)).cast("bigint")
-    t = time_us.cast("bigint")
-    return ((t - F.pmod(t, F.lit(1000))).cast("decimal(20,0)") / F.lit(1000)).cast("bigint")
+        q = time_us.try_cast("double") / F.lit(1000.0)
+        return F.when(F.abs(q) < F.lit(_BIGINT_LIMIT), F.floor(q)).cast("bigint")
+    d = time_us.try_cast("decimal(38,0)")
+    return F.floor(d / F.lit(1000)).try_cast("bigint")
 
 
 def ts_to_epoch_us(ts: Column) -> Column:
@@ -41,12 +49,17 @@ def ts_to_epoch_us(ts: Column) -> Column:
 
 
 def epoch_us_to_ts(us: Column) -> Column:
-    return F.timestamp_add("MICROSECOND", us.cast("bigint"), _epoch())
+    """Epoch microseconds -> TIMESTAMP_NTZ; NULL outside the timestamp range."""
+    ms = floor_ms(us)
+    return F.when(ms.between(MIN_MS, MAX_MS),
+                  F.timestamp_add("MICROSECOND", us.try_cast("bigint"), _epoch()))
 
 
 def epoch_ms_to_ts(ms: Column) -> Column:
-    """P5: epoch milliseconds -> TIMESTAMP_NTZ (millisecond precision)."""
-    return F.timestamp_add("MILLISECOND", F.floor(ms).cast("bigint"), _epoch())
+    """P5: epoch milliseconds -> TIMESTAMP_NTZ (millisecond precision); NULL out of range."""
+    m = F.floor(ms.try_cast("double"))
+    return F.when(m.between(MIN_MS, MAX_MS),
+                  F.timestamp_add("MILLISECOND", m.cast("bigint"), _epoch()))
 
 
 def ingest_time() -> Column:
@@ -106,4 +119,6 @@ def lag_seconds(time_us: Column, now_us: Column | int | None = None) -> Column:
         now = now_us
     else:
         now = F.lit(int(now_us))
-    return ((now - time_us).cast("double") / F.lit(1_000_000.0)).alias("lag_seconds")
+    # DOUBLE subtraction: exact below 2**53 us (year 2255) and never overflows.
+    diff = now.try_cast("double") - time_us.try_cast("double")
+    return (diff / F.lit(1_000_000.0)).alias("lag_seconds")

@@ -36,9 +36,8 @@ def with_event_ms(df: DataFrame, time_col: str = "time_us", out: str = EVENT_MS)
         return df
     t = F.col(f"`{time_col}`")
     if isinstance(tdt, StringType):
-        # Mixed JSON types at this path (guards let only numbers through).
-        num = t.cast("double")
-        ms = F.when(t.rlike(r"^-?\d+$"), floor_ms(t.cast("bigint"))).otherwise(floor_ms(num, DoubleType()))
+        # Numbers beyond BIGINT arrive as text (guards let only numbers through).
+        ms = F.when(t.rlike(r"^-?\d+$"), floor_ms(t)).otherwise(floor_ms(t, DoubleType()))
     elif isinstance(tdt, (DoubleType, FloatType)):
         ms = floor_ms(t, tdt)
     else:
@@ -48,7 +47,7 @@ def with_event_ms(df: DataFrame, time_col: str = "time_us", out: str = EVENT_MS)
         return df.withColumn(out, ms)
     old = F.col(f"`{out}`")
     if not isinstance(odt, LongType):
-        ms = ms.cast(odt)
+        ms = ms.try_cast(odt)
     return df.withColumn(out, F.when(t.isNotNull(), ms).otherwise(old))
 
 
@@ -57,7 +56,7 @@ def with_epoch_timestamps(df: DataFrame, cols=("collection_timestamp", "event_ti
     for c in cols:
         dt = _dtype(df, c)
         if dt is not None:
-            df = df.withColumn(c, epoch_ms_to_ts(F.col(f"`{c}`").cast("double")))
+            df = df.withColumn(c, epoch_ms_to_ts(F.col(f"`{c}`")))
     return df
 
 
@@ -96,7 +95,7 @@ def with_lag(df: DataFrame, now_us=None, time_col: str = "time_us") -> DataFrame
     """``lag_seconds`` = (now - time_us) / 1e6 where ``time_us`` is present."""
     if _dtype(df, time_col) is None:
         return df.withColumn("lag_seconds", F.lit(None).cast("double"))
-    return df.withColumn("lag_seconds", lag_seconds(F.col(f"`{time_col}`").cast("double"), now_us))
+    return df.withColumn("lag_seconds", lag_seconds(F.col(f"`{time_col}`"), now_us))
 
 
 # Our JSON paths for the declared 12-column event (the reference

@@ -285,9 +285,13 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def _cast_into(c: Column, src: DataType, dst: DataType) -> Column:
+    """Cast that never fails a job: JSON text for nested -> STRING, else NULL when invalid."""
     if isinstance(dst, StringType) and isinstance(src, (StructType, ArrayType)):
         return F.to_json(c)
-    return c.cast(dst)
+    return c.try_cast(dst)
+
+
+safe_cast = _cast_into
 
 
 # ---------------------------------------------------------------------------

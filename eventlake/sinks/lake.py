@@ -74,7 +74,11 @@ def append_evolving(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
     stored = read_schema_sidecar(spark, path)
     target = evolve_for_append(stored, df.schema, parts)
     if target != df.schema:
-        df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.fields])
+        from eventlake.operators.schema import safe_cast
+        have = {f.name: f.dataType for f in df.schema.fields}
+        df = df.select(*[safe_cast(F.col(f"`{f.name}`"), have[f.name], f.dataType).alias(f.name)
+                         if have[f.name] != f.dataType else F.col(f"`{f.name}`")
+                         for f in target.fields])
     data_schema = StructType([f for f in df.schema.fields if f.name not in parts])
     merged = data_schema if stored is None else merge_schemas(stored, data_schema)
     write_lake(df, path, template, max_rows, cluster=cluster)

@@ -162,3 +162,25 @@ def test_conflict_inside_list_of_lists(run_lines):
 def json_dumps(x):
     import json
     return json.dumps(x, sort_keys=True)
+
+
+@pytest.mark.parametrize("tus,ms", [
+    ("9223372036854775807", 9223372036854775),
+    ("-9223372036854775808", -9223372036854776),
+    ("12345678901234567890", 12345678901234567),  # us beyond BIGINT, ms fits
+    ("1e300", None),                    # beyond BIGINT ms
+])
+def test_extreme_time_us_never_fails_the_batch(spark, run_lines, tus, ms):
+    from eventlake.plans.ingest import ingest_batch
+    from eventlake.session import scratch_path
+    from eventlake.sources.lake import open_lake
+    rows, _, reasons = run_lines([f'{{"time_us":{tus},"a":1}}', '{"time_us":1000,"a":2}'])
+    assert reasons == [None, None]
+    got = {r["a"]: r["event_timestamp_ms"] for r in rows}
+    assert got[1] == ms and got[2] == 1
+    path = scratch_path(spark, "t-extreme")
+    raw = spark.createDataFrame([(f'{{"time_us":{tus},"a":1}}'.encode(),), (b'{"time_us":1000,"a":2}',)],
+                                "value binary")
+    ingest_batch(raw, path, ts="event")
+    lake = open_lake(spark, path)
+    assert sorted(r.a for r in lake.collect()) == [1, 2]
