@@ -20,6 +20,7 @@ Python per row — so the projection is one narrow, shuffle-free stage.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,8 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructField, Stru
 from eventlake.functions.jsonvalue import get_path, is_null_value, is_object
 from eventlake.operators.schema import scalar_type
 
+log = logging.getLogger(__name__)
+
 SEP = "_"
 INNER_SEP = "__"
 
@@ -129,9 +132,31 @@ def flatten_columns(v: Column, schema: StructType, sep: str = SEP) -> list[tuple
     return _resolve(_walk(v, (), "", schema, sep, False, 0))
 
 
+def _case_collisions(dt: DataType) -> bool:
+    """True when some struct level has two names equal up to case."""
+    if isinstance(dt, StructType):
+        lower = [f.name.lower() for f in dt.fields]
+        if len(set(lower)) != len(lower):
+            return True
+        return any(_case_collisions(f.dataType) for f in dt.fields)
+    if isinstance(dt, ArrayType):
+        return _case_collisions(dt.elementType)
+    return False
+
+
+def ensure_case_sensitive(spark, schema: StructType) -> None:
+    """JSON keys may differ only by case; Spark resolves names case-insensitively by
+    default and would refuse to build or write such a frame. Switch the session to
+    case-sensitive resolution when (and only when) the data needs it."""
+    if _case_collisions(schema) and spark.conf.get("spark.sql.caseSensitive", "false") != "true":
+        log.warning("event keys differ only by case; setting spark.sql.caseSensitive=true")
+        spark.conf.set("spark.sql.caseSensitive", "true")
+
+
 def flatten(df: DataFrame, schema: StructType, v: str = "v", sep: str = SEP,
             keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Select the flattened columns of variant column ``v`` (plus ``keep``)."""
+    ensure_case_sensitive(df.sparkSession, flattened_schema(schema, sep))
     cols = flatten_columns(F.col(v), schema, sep)
     names = [n for n, _, _ in cols]
     keep = [k for k in keep if k not in names]

@@ -54,6 +54,8 @@ def open_lake(spark: SparkSession, path: str, schema: StructType | None = None,
         schema = read_schema_sidecar(spark, path)
     reader = spark.read.option("basePath", path)
     if schema is not None:
+        from eventlake.operators.flatten import ensure_case_sensitive
+        ensure_case_sensitive(spark, schema)
         fields = [f for f in schema.fields if f.name not in parts]
         fields += [StructField(p, StringType(), True) for p in parts]
         return reader.schema(StructType(fields)).parquet(path)

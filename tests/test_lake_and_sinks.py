@@ -147,3 +147,12 @@ def test_event_key_named_like_partition_is_kept(spark):
     ingest_batch(_raw(spark, ['{"hour":"x","time_us":5}']), path, ts="event")
     r = open_lake(spark, path).first()
     assert r.hour_ == "x" and r.hour == "00" and r.year == "1970"
+
+
+def test_keys_differing_by_case_are_written_whole(spark):
+    from eventlake.session import conf_scope
+    with conf_scope(spark, **{"spark.sql.caseSensitive": "false"}):
+        path = scratch_path(spark, "t-case")
+        ingest_batch(_raw(spark, ['{"aB":1,"ab":2,"m":[{"K":1,"k":2}]}']), path)
+        r = open_lake(spark, path).first()
+        assert (r.aB, r.ab) == (1, 2) and (r.m[0].K, r.m[0].k) == (1, 2)
