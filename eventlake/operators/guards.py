@@ -66,6 +66,8 @@ def classify(df: DataFrame, value: str = "value", max_bytes: int = MAX_MESSAGE_B
     it, so the optimizer never inlines the parse into a pushed-down predicate
     and each record is parsed exactly once.
     """
+    from eventlake.session import configure_session
+    configure_session(df.sparkSession)  # last duplicate key wins, UTC
     raw = F.col(value)
     text = raw.cast("string")
     size_ok = guard_size(raw, max_bytes)

@@ -184,3 +184,11 @@ def test_extreme_time_us_never_fails_the_batch(spark, run_lines, tus, ms):
     ingest_batch(raw, path, ts="event")
     lake = open_lake(spark, path)
     assert sorted(r.a for r in lake.collect()) == [1, 2]
+
+
+def test_duplicate_keys_on_a_plain_session(spark):
+    from eventlake.operators.guards import classify
+    from eventlake.session import conf_scope
+    with conf_scope(spark, **{"spark.sql.variant.allowDuplicateKeys": "false"}):
+        raw = spark.createDataFrame([(b'{"a":1,"a":2}',)], "value binary")
+        assert classify(raw).first().reason is None
