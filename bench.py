@@ -60,6 +60,9 @@ def main():
                                                      ts="ingest"))
     timed("ingest_event_time", lambda: ingest_batch(read_jsonl(spark, src), scratch_path(spark, "b-lake"),
                                                     ts="event"))
+    timed("ingest_with_quarantine", lambda: ingest_batch(
+        read_jsonl(spark, edge_src), scratch_path(spark, "b-lake"), ts="ingest",
+        max_bytes=fx.EDGE_MAX_BYTES, quarantine_path=scratch_path(spark, "b-quarantine")))
     timed("quarantine_counts", lambda: reports.reason_counts(
         classify(read_jsonl(spark, edge_src), max_bytes=fx.EDGE_MAX_BYTES)).collect())
 

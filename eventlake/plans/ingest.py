@@ -1,29 +1,31 @@
 """Batch ingest: raw records -> guards -> flatten (C1 schema) -> event ms -> partitions -> lake.
 
-Passes over the input at scale:
-
-1. one aggregate pass: the C1 schema of the good records and the count of every
-   quarantine reason together (``groupBy(reason).agg(schema_of_variant_agg)``);
-   plus one more per nesting level of object/scalar conflicts, if any;
-2. one map-only pass that parses, flattens and writes the good records;
-3. one map-only pass that writes the quarantine, only if pass 1 counted any.
-
-No shuffle unless ``cluster=True``; nothing is collected except the schema
-(bounded by the number of distinct JSON paths) and the per-reason counts.
+Passes over the input at scale (each parses every record once):
+
+1. the quarantine write, with the C1 schema of the good records and the count of
+   every reason attached as ``observe`` metrics — one job yields all three
+   (without a quarantine path it is a plain aggregate); plus one more aggregate
+   per nesting level of object/scalar conflicts, if any;
+2. one map-only pass that flattens and writes the good records.
+
+With a pinned ``schema`` pass 1 is skipped, and the quarantine (if asked for)
+is written after the good records. No shuffle unless the write clusters by
+event-time partition; nothing is collected except the schema (bounded by the
+number of distinct JSON paths) and the per-reason counts.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventlake.functions.timecols import DEFAULT_TEMPLATE, epoch_ms_to_ts
 from eventlake.operators.derive import EVENT_MS, with_event_ms, with_partitions
 from eventlake.operators.flatten import flatten
-from eventlake.operators.guards import MAX_MESSAGE_BYTES, classify
+from eventlake.operators.guards import MAX_MESSAGE_BYTES, REASONS, classify
 from eventlake.operators.schema import (
     infer_raw, normalize, variant_ddl_to_type, _variant_paths,
 )
@@ -79,26 +81,38 @@ def flatten_events(good: DataFrame, schema: StructType, keep=(), keep_raw: bool
 
 
 def prepare(raw: DataFrame, schema: StructType | None = None, value: str = "value",
-            max_bytes: int = MAX_MESSAGE_BYTES):
-    """Classify, and infer the schema (with reason counts) when none is given."""
+            max_bytes: int = MAX_MESSAGE_BYTES, quarantine_path: str | None = None):
+    """Classify, and infer the schema (with reason counts) when none is given.
+
+    With ``quarantine_path`` the inference pass also writes the quarantine.
+    """
     c = classify(raw, value, max_bytes)
     counts = None
     if schema is None:
-        schema, counts = infer_with_counts(c)
+        schema, counts = infer_with_counts(c, quarantine_path, value)
     return c, schema, counts
 
 
-def infer_with_counts(classified: DataFrame):
-    """Pass 1: reason counts and the C1 schema of good records in one aggregate."""
-    rows = (classified.groupBy(F.coalesce(F.col("reason"), F.lit("ok")).alias("reason"))
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.call_function("schema_of_variant_agg", F.col("v")).alias("s"))
-            .collect())
-    counts = {r["reason"]: r["n"] for r in rows}
-    ddl = next((r["s"] for r in rows if r["reason"] == "ok"), None)
-    st = variant_ddl_to_type(ddl)
-    good = classified.filter(F.col("reason").isNull())
+def _pass_one_aggs():
+    r = F.col("reason")
+    return [F.call_function("schema_of_variant_agg", F.when(r.isNull(), F.col("v"))).alias("__schema"),
+            F.count_if(r.isNull()).alias("ok"),
+            *[F.count_if(r == x).alias(x) for x in REASONS]]
+
+
+def infer_with_counts(classified: DataFrame, quarantine_path: str | None = None,
+                      value: str = "value"):
+    """Pass 1: schema of the good records and per-reason counts (and the quarantine)."""
+    if quarantine_path:
+        obs = Observation("eventlake_pass1")
+        write_quarantine(classified.observe(obs, *_pass_one_aggs()), quarantine_path, value)
+        row = obs.get
+    else:
+        row = classified.agg(*_pass_one_aggs()).first().asDict()
+    counts = {k: int(row[k]) for k in ("ok",) + REASONS if row.get(k)}
+    st = variant_ddl_to_type(row.get("__schema"))
     if isinstance(st, StructType) and _variant_paths(st):
+        good = classified.filter(F.col("reason").isNull())
         st = infer_raw(good, "v", initial=st)  # conflicts need the extra split passes
     if not isinstance(st, StructType):
         st = StructType([])
@@ -106,6 +120,13 @@ def infer_with_counts(classified: DataFrame):
     return st, counts
 
 
+def quarantine_with_counts(classified: DataFrame, path: str, value: str = "value") -> dict:
+    """Write the quarantine and return the per-reason counts from the same job."""
+    obs = Observation("eventlake_quarantine")
+    write_quarantine(classified.observe(obs, *_pass_one_aggs()[1:]), path, value)
+    return {k: int(v) for k, v in obs.get.items() if v}
+
+
 def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = None,
                  template: str = DEFAULT_TEMPLATE, ts: str = "ingest",
                  max_rows: int | None = DEFAULT_MAX_ROWS, value: str = "value",
@@ -120,7 +141,8 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
     """
     if cluster is None:
         cluster = ts != "ingest"
-    c, schema, counts = prepare(raw, schema, value, max_bytes)
+    pinned = schema is not None
+    c, schema, counts = prepare(raw, schema, value, max_bytes, quarantine_path)
     good = c.filter(F.col("reason").isNull())
     flat = flatten_events(good, schema, keep_raw=keep_raw, value=value)
     parts_ts = partition_time(flat, ts)
@@ -129,9 +151,8 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
         append_evolving(out, lake_path, template, max_rows, cluster=cluster)
     else:
         write_lake(out, lake_path, template, max_rows, cluster=cluster)
-    if counts is None or any(k != "ok" for k in counts):
-        if quarantine_path:
-            write_quarantine(c, quarantine_path)
+    if pinned and quarantine_path:
+        counts = quarantine_with_counts(c, quarantine_path, value)
     return IngestResult(schema=schema, counts=counts or {})
 
 

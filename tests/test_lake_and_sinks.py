@@ -156,3 +156,12 @@ def test_keys_differing_by_case_are_written_whole(spark):
         ingest_batch(_raw(spark, ['{"aB":1,"ab":2,"m":[{"K":1,"k":2}]}']), path)
         r = open_lake(spark, path).first()
         assert (r.aB, r.ab) == (1, 2) and (r.m[0].K, r.m[0].k) == (1, 2)
+
+
+def test_quarantine_with_pinned_schema(spark):
+    from pyspark.sql.types import LongType, StructField, StructType
+    path, qpath = scratch_path(spark, "t-lake"), scratch_path(spark, "t-quar")
+    raw = _raw(spark, ['{"a":1}', '{"a":1} xyz', '"s"'])
+    res = ingest_batch(raw, path, schema=StructType([StructField("a", LongType())]), quarantine_path=qpath)
+    assert res.counts == {"ok": 1, "bad_json": 1, "not_object": 1}
+    assert spark.read.parquet(qpath).count() == 2 and open_lake(spark, path).count() == 1
