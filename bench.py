@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -25,7 +24,7 @@ def main():
     from eventlake.operators.guards import classify
     from eventlake.plans import fixtures as fx
     from eventlake.plans.ingest import ingest_batch, ingest_declared, prepare
-    from eventlake.session import get_spark, scratch_path
+    from eventlake.session import checkpoint_root, get_spark, scratch_path
     from eventlake.sinks.jsonl import write_jsonl
     from eventlake.sources.jsonl import read_jsonl
     from eventlake.sources.lake import open_lake
@@ -34,8 +33,7 @@ def main():
     conf = {"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"}
     spark = get_spark(f"local[{cpus}]", app="eventlake-bench", **conf)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="eventlake-bench-"))
+    checkpoint_root(spark)  # the configured shared folder; a local one only when unset
 
     events = fx.load(spark, sf_dir, "events")
     n_events = events.count()

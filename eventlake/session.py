@@ -74,13 +74,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this is set by the operator and points at shared storage. Only
     when it is unset (local runs, tests) a fresh local folder is made and
     registered, so that ``DataFrame.checkpoint()`` and our written tables agree.
+    ``spark.checkpoint.dir`` is a core setting that a running session refuses
+    to change, so the fallback goes through ``SparkContext.setCheckpointDir``.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="eventlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventlake-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

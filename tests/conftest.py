@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,11 +10,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from eventlake.session import get_spark
+    from eventlake.session import checkpoint_root, get_spark
     s = get_spark("local[*]", app="eventlake-tests", **{"spark.sql.shuffle.partitions": "8"})
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="eventlake-tests-"))
+    checkpoint_root(s)  # the shared folder if configured, else a local one (tests only)
     yield s
 
 
