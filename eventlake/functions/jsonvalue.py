@@ -28,19 +28,33 @@ def bytes_of(text: Column) -> Column:
     return F.encode(text, "UTF-8")
 
 
-def strict_parse(text: Column) -> Column:
-    """VARIANT of ``text`` if it is exactly one JSON value, else NULL.
-
-    Cost: one parse, plus a second one only for texts containing ``]`` (the
-    only character that can close the first wrapper early).
-    """
+def strict_parts(text: Column) -> tuple[Column, Column]:
+    """The two expensive pieces of ``strict_parse``: the ``[`` wrapper's parse and
+    the ``{"v":`` wrapper's verdict (parsed only for texts containing ``]``, the
+    only character that can close the first wrapper early)."""
     arr = F.call_function("try_parse_json", F.concat(F.lit("["), text, F.lit("]")))
-    one = arr.isNotNull() & F.call_function("try_variant_get", arr, F.lit("$[1]"), F.lit("variant")).isNull()
     obj_ok = (F.instr(text, "]") == 0) | \
         F.call_function("try_parse_json", F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    return arr, obj_ok
+
+
+def strict_value(arr: Column, obj_ok: Column) -> Column:
+    """Combine the pieces of ``strict_parts`` (cheap: no parsing)."""
+    one = arr.isNotNull() & F.call_function("try_variant_get", arr, F.lit("$[1]"), F.lit("variant")).isNull()
     return F.when(one & obj_ok, F.call_function("try_variant_get", arr, F.lit("$[0]"), F.lit("variant")))
 
 
+def strict_parse(text: Column) -> Column:
+    """VARIANT of ``text`` if it is exactly one JSON value, else NULL.
+
+    As one expression the wrapper parse appears three times; projections share
+    it (common subexpressions), but generators and filters do not — where that
+    matters, compute ``strict_parts`` once and ``strict_value`` from its output
+    (as ``guards.classify`` does).
+    """
+    return strict_value(*strict_parts(text))
+
+
 def first_char(text: Column) -> Column:
     """First non-whitespace character of a JSON text (its kind once it parses)."""
     return F.regexp_extract(text, r"^[ \t\r\n]*(.)", 1)

@@ -15,7 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.functions.jsonvalue import first_char, get_path, strict_parse, variant_kind
+from eventlake.functions.jsonvalue import (
+    first_char, get_path, strict_parse, strict_parts, strict_value, variant_kind,
+)
 
 # Guard limits and reason labels.
 MAX_MESSAGE_BYTES = 10 * 1024 * 1024
@@ -61,10 +63,11 @@ def classify(df: DataFrame, value: str = "value", max_bytes: int = MAX_MESSAGE_B
     """Add ``v`` (VARIANT) and ``reason`` to raw records in column ``value``.
 
     ``v`` is the parsed value where the text is one JSON value; use it only
-    where ``reason IS NULL``. The parse is produced by a one-element
-    ``explode`` (a Generate node): filters on ``reason`` cannot be pushed below
-    it, so the optimizer never inlines the parse into a pushed-down predicate
-    and each record is parsed exactly once.
+    where ``reason IS NULL``. The parse pieces come out of a one-row ``inline``
+    and ``v`` out of a one-element ``explode`` (Generate nodes): filters on
+    ``reason`` cannot be pushed below them and generators share no common
+    subexpressions, so this layout is what makes each wrapper parse run once
+    per record (instead of three times when inlined).
     """
     from eventlake.session import configure_session
     configure_session(df.sparkSession)  # last duplicate key wins, UTC
@@ -72,7 +75,13 @@ def classify(df: DataFrame, value: str = "value", max_bytes: int = MAX_MESSAGE_B
     text = raw.cast("string")
     size_ok = guard_size(raw, max_bytes)
     utf8_ok = guard_utf8(raw)
-    parsed = df.select("*", F.explode(F.array(F.when(size_ok & utf8_ok, strict_parse(text)))).alias("v"))
+    arr, obj_ok = strict_parts(text)
+    pre = size_ok & utf8_ok
+    parts = df.select("*", F.inline(F.array(F.struct(
+        F.when(pre, arr).alias("__strict_arr"), F.when(pre, obj_ok).alias("__strict_ok")))))
+    parsed = parts.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.explode(F.array(strict_value(F.col("__strict_arr"), F.col("__strict_ok")))).alias("v"))
     pv = F.col("v")
     reason = (F.when(~size_ok, "oversize")
               .when(~utf8_ok, "bad_utf8")
