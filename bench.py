@@ -30,7 +30,11 @@ def main():
     from eventlake.sources.lake import open_lake
     from eventlake.streaming import ingest_stream, run_metrics
 
-    conf = {"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"}
+    # The bench input is one small JSON-lines file; a 1 MB open cost lets it split
+    # across every core (the 4 MB default gives 5 splits for 8 cores at sf0.1).
+    # At scale files are large and splits are bounded by maxPartitionBytes instead.
+    conf = {"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g",
+            "spark.sql.files.openCostInBytes": str(1 << 20)}
     spark = get_spark(f"local[{cpus}]", app="eventlake-bench", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)  # the configured shared folder; a local one only when unset
