@@ -40,10 +40,24 @@ def run_with_failure_limit(start: Callable[[], StreamingQuery], limit: int = MAX
                 q.stop()
             return restarts
         except StreamingQueryException as e:  # one failed flush
-            committed = bool(q.recentProgress)  # a progress entry = a committed batch
+            committed = _committed_a_batch(q)
             failures = 1 if committed else failures + 1
             log.error("flush failed (%d consecutive): %s", failures, e)
             if failures >= limit:
                 raise FailureLimitReached(
                     f"flush failed {limit} consecutive times; stopping") from e
             restarts += 1
+
+
+def _committed_a_batch(q: StreamingQuery) -> bool:
+    """True when this run committed a batch that took in data.
+
+    A progress entry is added only after its batch commits, but a
+    ``processingTime`` trigger also reports idle progress (no input rows);
+    those do not count as a successful flush.
+    """
+    for p in q.recentProgress:
+        rows = p.numInputRows if hasattr(p, "numInputRows") else dict(p).get("numInputRows")
+        if rows:
+            return True
+    return False

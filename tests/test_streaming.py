@@ -97,3 +97,23 @@ def test_strip_blank(spark):
     from eventlake.sources.jsonl import strip_blank
     df = spark.createDataFrame([("  {} ",), (" \t ",), ("x",)], "value string")
     assert [bytes(r.value) for r in strip_blank(df).collect()] == [b"{}", b"x"]
+
+
+def test_quarantine_query_exactly_once(spark):
+    """The second (quarantine) query keeps its own checkpoint: reasons are kept and a
+    restart over the same files adds nothing."""
+    src, lake, ckpt, quar = (scratch_path(spark, n) for n in ("src", "lake", "ckpt", "quar"))
+    _lines(spark, ['{"did":"a","time_us":1}', '{"did":"b"} x', "[1]", '{"time_us":"7"}'], f"{src}/b=0")
+    _, schema, _ = prepare(read_jsonl(spark, f"{src}/b=0"))
+    for i in range(2):
+        if i == 1:
+            _lines(spark, ["2"], f"{src}/b=1")
+        qs = ingest_stream(read_jsonl(spark, f"{src}/b=*", streaming=True), lake, ckpt, schema,
+                           trigger={"availableNow": True}, quarantine_path=quar)
+        assert len(qs) == 2
+        for q in qs:
+            q.awaitTermination()
+    bad = sorted((r.reason, bytes(r.raw)) for r in spark.read.parquet(quar).collect())
+    assert bad == [("bad_json", b'{"did":"b"} x'), ("bad_time_us", b'{"time_us":"7"}'),
+                   ("not_object", b"2"), ("not_object", b"[1]")]
+    assert [r.did for r in spark.read.parquet(lake).collect()] == ["a"]
