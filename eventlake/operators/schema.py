@@ -1,8 +1,9 @@
 """Schema operators: union-of-keys inference (C1), conform (C2), merge across batches.
 
 C1 runs ``schema_of_variant_agg`` — a distributed aggregate whose partial
-results are per-task schemas, so the final merge handles one small value per
-task, never rows. Paths whose values disagree come back as VARIANT; for those a
+results are per-task schemas — in two levels (``schema_aggregate``): reducers
+merge the per-task partials in parallel, the driver merges a bounded number of
+schemas; never rows. Paths whose values disagree come back as VARIANT; for those a
 second aggregate pass infers the object values and the non-object values
 separately, so that ``{"a":{"b":1}}`` and ``{"a":2}`` give both ``a_b`` and ``a``
 (the flattening semantics) instead of one lossy column.
@@ -138,6 +139,86 @@ def normalize(dt: DataType, in_array: bool = False) -> DataType | None:
     return _scalar(dt, in_array)
 
 
+# ---------------------------------------------------------------------------
+# Two-level schema aggregation
+
+# Reducers that merge the per-task partial schemas (level 1); the driver then
+# merges at most this many schemas (level 2), each bounded by distinct JSON paths.
+SCHEMA_BUCKETS = 256
+
+
+def _decimal_shape(dt: DataType) -> tuple[int, int] | None:
+    """(integer digits, scale) of a number type in the decimal lattice; BIGINT
+    counts as 20 integer digits, as variant schema merging treats it."""
+    if isinstance(dt, LongType):
+        return 20, 0
+    if isinstance(dt, DecimalType):
+        return dt.precision - dt.scale, dt.scale
+    return None
+
+
+def merge_variant_types(a: DataType | None, b: DataType | None) -> DataType | None:
+    """Union of two ``schema_of_variant`` types under the rules of ``schema_of_variant_agg``.
+
+    VOID yields to anything and VARIANT absorbs anything; objects take the union
+    of their keys (merged per key); arrays merge their element types; BIGINT and
+    decimals widen to a decimal holding both (DOUBLE beyond 38 digits); DOUBLE
+    with any number stays DOUBLE; every other mix is VARIANT.
+    """
+    if a is None:
+        return b
+    if b is None:
+        return a
+    if isinstance(a, NullType):
+        return b
+    if isinstance(b, NullType):
+        return a
+    if isinstance(a, VariantType) or isinstance(b, VariantType):
+        return VariantType()
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        fa = {f.name: f.dataType for f in a.fields}
+        fb = {f.name: f.dataType for f in b.fields}
+        return StructType([StructField(n, merge_variant_types(fa.get(n), fb.get(n)), True)
+                           for n in sorted(set(fa) | set(fb))])
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        return ArrayType(merge_variant_types(a.elementType, b.elementType), True)
+    if a == b:
+        return a
+    if isinstance(a, DoubleType) and _decimal_shape(b) or isinstance(b, DoubleType) and _decimal_shape(a):
+        return DoubleType()
+    da, db = _decimal_shape(a), _decimal_shape(b)
+    if da and db:
+        digits, scale = max(da[0], db[0]), max(da[1], db[1])
+        return DoubleType() if digits + scale > 38 else DecimalType(digits + scale, scale)
+    return VariantType()
+
+
+def schema_aggregate(df: DataFrame, schemas: dict[str, Column], counts: dict[str, Column] | None = None,
+                     buckets: int = SCHEMA_BUCKETS) -> dict:
+    """``schema_of_variant_agg`` of each column in ``schemas`` plus additive ``counts``.
+
+    A global aggregate would send one partial schema per map task into a single
+    reducer (or, inside ``observe``, to the driver) — at 100 TB that is about a
+    million partials. Instead level 1 groups by ``spark_partition_id() % buckets``:
+    each map task yields one partial row and ``buckets`` reducers merge them in
+    parallel; level 2 merges those few schemas on the driver
+    (``merge_variant_types``). Returns name -> DataType (None when no values)
+    and name -> total for the counts.
+    """
+    counts = counts or {}
+    bucket = F.pmod(F.spark_partition_id(), F.lit(int(buckets))).alias("__schema_bucket")
+    aggs = [F.call_function("schema_of_variant_agg", c).alias(n) for n, c in schemas.items()]
+    aggs += [c.alias(n) for n, c in counts.items()]
+    out = {n: None for n in schemas}
+    out.update({n: 0 for n in counts})
+    for row in df.groupBy(bucket).agg(*aggs).collect():  # at most ``buckets`` rows
+        for n in schemas:
+            out[n] = merge_variant_types(out[n], variant_ddl_to_type(row[n]))
+        for n in counts:
+            out[n] += int(row[n] or 0)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # C1
 
@@ -212,8 +293,7 @@ def infer_raw(df: DataFrame, v: str = "v", initial: StructType | None = None) ->
     """
     vcol = F.col(v)
     if initial is None:
-        ddl = df.agg(F.call_function("schema_of_variant_agg", vcol)).first()[0]
-        st = variant_ddl_to_type(ddl)
+        st = schema_aggregate(df, {"s": vcol})["s"]
     else:
         st = initial
     if not isinstance(st, StructType):
@@ -222,7 +302,7 @@ def infer_raw(df: DataFrame, v: str = "v", initial: StructType | None = None) ->
         paths = _variant_paths(st)
         if not paths:
             break
-        aggs = []
+        aggs = {}
         for i, p in enumerate(paths):
             x, many = _values(vcol, p)
             if many:
@@ -234,13 +314,13 @@ def infer_raw(df: DataFrame, v: str = "v", initial: StructType | None = None) ->
                 obj = is_object(x)
                 o_in = F.when(obj, x)
                 s_in = F.when(~is_null_value(x) & ~obj, x)
-            aggs.append(F.call_function("schema_of_variant_agg", o_in).alias(f"o{i}"))
-            aggs.append(F.call_function("schema_of_variant_agg", s_in).alias(f"s{i}"))
-        row = df.agg(*aggs).first()
+            aggs[f"o{i}"] = o_in
+            aggs[f"s{i}"] = s_in
+        res = schema_aggregate(df, aggs)
         for i, p in enumerate(paths):
             many = EACH in p
-            o = _unwrap(variant_ddl_to_type(row[f"o{i}"]), many)
-            s = _unwrap(variant_ddl_to_type(row[f"s{i}"]), many)
+            o = _unwrap(res[f"o{i}"], many)
+            s = _unwrap(res[f"s{i}"], many)
             if not isinstance(o, StructType):
                 o = StructType([])
             meta = {SCALAR_KEY: type_ddl(s if s is not None else NullType())}

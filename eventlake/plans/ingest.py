@@ -2,16 +2,16 @@
 
 Passes over the input at scale (each parses every record once):
 
-1. the quarantine write, with the C1 schema of the good records and the count of
-   every reason attached as ``observe`` metrics — one job yields all three
-   (without a quarantine path it is a plain aggregate); plus one more aggregate
-   per nesting level of object/scalar conflicts, if any;
-2. one map-only pass that flattens and writes the good records.
-
-With a pinned ``schema`` pass 1 is skipped, and the quarantine (if asked for)
-is written after the good records. No shuffle unless the write clusters by
-event-time partition; nothing is collected except the schema (bounded by the
-number of distinct JSON paths) and the per-reason counts.
+1. one two-level aggregate gives the C1 schema of the good records and the count
+   of every reason (plus one more per nesting level of object/scalar conflicts,
+   if any);
+2. one map-only pass flattens and writes the good records;
+3. only with a ``quarantine_path`` and only when pass 1 counted bad records (or
+   the schema was pinned, so there was no pass 1): the quarantine write.
+
+With a pinned ``schema`` pass 1 is skipped. No shuffle in the write unless it
+clusters by event-time partition; nothing is collected except the schemas of at
+most ``SCHEMA_BUCKETS`` reducers (bounded by distinct JSON paths) and counts.
 """
 
 from __future__ import annotations
@@ -26,9 +26,7 @@ from eventlake.functions.timecols import DEFAULT_TEMPLATE, epoch_ms_to_ts
 from eventlake.operators.derive import EVENT_MS, with_event_ms, with_partitions
 from eventlake.operators.flatten import flatten
 from eventlake.operators.guards import MAX_MESSAGE_BYTES, REASONS, classify
-from eventlake.operators.schema import (
-    infer_raw, normalize, variant_ddl_to_type, _variant_paths,
-)
+from eventlake.operators.schema import infer_raw, normalize, schema_aggregate, _variant_paths
 from eventlake.sinks.lake import DEFAULT_MAX_ROWS, append_evolving, write_lake
 
 
@@ -84,7 +82,8 @@ def prepare(raw: DataFrame, schema: StructType | None = None, value: str = "valu
             max_bytes: int = MAX_MESSAGE_BYTES, quarantine_path: str | None = None):
     """Classify, and infer the schema (with reason counts) when none is given.
 
-    With ``quarantine_path`` the inference pass also writes the quarantine.
+    With ``quarantine_path`` the bad records are written right after inference
+    (when there are any).
     """
     c = classify(raw, value, max_bytes)
     counts = None
@@ -93,24 +92,23 @@ def prepare(raw: DataFrame, schema: StructType | None = None, value: str = "valu
     return c, schema, counts
 
 
-def _pass_one_aggs():
+def _reason_counts() -> dict:
     r = F.col("reason")
-    return [F.call_function("schema_of_variant_agg", F.when(r.isNull(), F.col("v"))).alias("__schema"),
-            F.count_if(r.isNull()).alias("ok"),
-            *[F.count_if(r == x).alias(x) for x in REASONS]]
+    return {"ok": F.count_if(r.isNull()), **{x: F.count_if(r == x) for x in REASONS}}
 
 
 def infer_with_counts(classified: DataFrame, quarantine_path: str | None = None,
                       value: str = "value"):
-    """Pass 1: schema of the good records and per-reason counts (and the quarantine)."""
-    if quarantine_path:
-        obs = Observation("eventlake_pass1")
-        write_quarantine(classified.observe(obs, *_pass_one_aggs()), quarantine_path, value)
-        row = obs.get
-    else:
-        row = classified.agg(*_pass_one_aggs()).first().asDict()
-    counts = {k: int(row[k]) for k in ("ok",) + REASONS if row.get(k)}
-    st = variant_ddl_to_type(row.get("__schema"))
+    """Pass 1: schema of the good records and per-reason counts, from one two-level
+    aggregate (``schema_aggregate``: no single reducer or driver receives a partial per
+    task). With ``quarantine_path`` the bad records are written next — only when pass 1
+    counted any."""
+    good_v = F.when(F.col("reason").isNull(), F.col("v"))
+    res = schema_aggregate(classified, {"__schema": good_v}, _reason_counts())
+    counts = {k: res[k] for k in ("ok",) + REASONS if res[k]}
+    if quarantine_path and any(counts.get(x) for x in REASONS):
+        write_quarantine(classified, quarantine_path, value)
+    st = res["__schema"]
     if isinstance(st, StructType) and _variant_paths(st):
         good = classified.filter(F.col("reason").isNull())
         st = infer_raw(good, "v", initial=st)  # conflicts need the extra split passes
@@ -123,7 +121,8 @@ def infer_with_counts(classified: DataFrame, quarantine_path: str | None = None,
 def quarantine_with_counts(classified: DataFrame, path: str, value: str = "value") -> dict:
     """Write the quarantine and return the per-reason counts from the same job."""
     obs = Observation("eventlake_quarantine")
-    write_quarantine(classified.observe(obs, *_pass_one_aggs()[1:]), path, value)
+    write_quarantine(classified.observe(obs, *[c.alias(n) for n, c in _reason_counts().items()]),
+                     path, value)
     return {k: int(v) for k, v in obs.get.items() if v}
 
 
