@@ -1,7 +1,8 @@
 """K1/K2: append to the Parquet lake partitioned by the template columns.
 
 * Snappy, append mode; an empty input writes nothing and succeeds.
-* ``max_rows`` bounds rows per file (``maxRecordsPerFile``), the flush size.
+* ``max_rows`` bounds rows per file (``maxRecordsPerFile``); ``FLUSH_ROWS`` is the
+  reference's flush size. Unset, a file holds what one task writes.
 * Spark names every file uniquely, so two writes in one second never
   overwrite each other.
 * ``cluster=False``: no shuffle; each task sorts its rows by partition value
@@ -21,7 +22,12 @@ from pyspark.sql import functions as F
 from eventlake.functions.timecols import DEFAULT_TEMPLATE, template_columns
 from eventlake.sources.lake import SCHEMA_FILE
 
-DEFAULT_MAX_ROWS = 10000  # fixed value: the reference's flush size
+# Fixed value: the reference's flush size (events per file). Pass it as ``max_rows``
+# for its file layout. It bounds an in-process buffer there; here a file is already
+# bounded by its task (one input split, or one AQE-sized partition), and 10,000-row
+# files at ~100 TB would mean tens of millions of ~1 MB files — so the default is none.
+FLUSH_ROWS = 10000
+DEFAULT_MAX_ROWS = None
 
 
 def write_lake(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
