@@ -82,7 +82,13 @@ def _declared_lake(spark, sf) -> str:
 def _nonnull_report(df: DataFrame, with_types: bool) -> DataFrame:
     """(column_name[, data_type], non_null) for every column, from one aggregate."""
     fields = [f for f in df.schema.fields]
-    agg = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
+    # Two levels: a partial row per map task holds one count per column (up to
+    # thousands), so buckets of tasks are summed first, then the few bucket rows.
+    bucket = F.pmod(F.spark_partition_id(), F.lit(sch.SCHEMA_BUCKETS)).alias("__bucket")
+    per_bucket = df.groupBy(bucket).agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}")
+                                          for i, f in enumerate(fields)])
+    agg = per_bucket.agg(*[F.coalesce(F.sum(f"c{i}"), F.lit(0)).cast("bigint").alias(f"c{i}")
+                           for i in range(len(fields))])
     items = []
     for i, f in enumerate(fields):
         parts = [F.lit(f.name).alias("column_name")]
