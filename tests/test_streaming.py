@@ -117,3 +117,11 @@ def test_quarantine_query_exactly_once(spark):
     assert bad == [("bad_json", b'{"did":"b"} x'), ("bad_time_us", b'{"time_us":"7"}'),
                    ("not_object", b"2"), ("not_object", b"[1]")]
     assert [r.did for r in spark.read.parquet(lake).collect()] == ["a"]
+
+
+def test_strip_unicode_whitespace_either_side(spark):
+    from eventlake.sources.jsonl import strip_blank
+    lines = ['　{"a":1} ', '{"a":1}', ' {"a":1}', '{"a":1} ', " \t", '{"a":" x "}']
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = [bytes(r.value).decode() for r in strip_blank(df).collect()]
+    assert got == ['{"a":1}', '{"a":1}', '{"a":1}', '{"a":1}', '{"a":" x "}']
