@@ -81,6 +81,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is invisible to other executors: refuse.
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder "
+                               "(HDFS / object store) that every executor can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventlake-ckpt-"))
         root = spark.sparkContext.getCheckpointDir()
     if spark.sparkContext.getCheckpointDir() is None:
