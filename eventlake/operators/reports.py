@@ -73,7 +73,8 @@ def _fmt(b: float) -> str:
 
 
 def current_lag(df: DataFrame, now_us=None, time_col: str = "time_us") -> DataFrame:
-    """A4: lag in seconds of the newest event (``max_by`` over event time)."""
+    """A4: lag in seconds of the newest event: ``now - max(time_us)`` (a partial
+    ``max`` per task, one tiny global merge)."""
     t = F.col(f"`{time_col}`")
     newest = df.agg(F.max(t).alias("newest_us"))
     return newest.select("newest_us", lag_seconds(F.col("newest_us"), now_us))
