@@ -72,8 +72,12 @@ def variant_kind(v: Column) -> Column:
 
 
 def is_object(v: Column) -> Column:
-    return F.coalesce(F.substring(F.call_function("schema_of_variant", v), 1, 7) == "OBJECT<",
-                      F.lit(False))
+    """TRUE when ``v`` is a JSON object (FALSE for anything else, SQL NULL included).
+
+    A cast to an empty struct succeeds exactly for objects and reads none of
+    their fields, unlike ``schema_of_variant``, which walks the whole value.
+    """
+    return F.call_function("try_variant_get", v, F.lit("$"), F.lit("struct<>")).isNotNull()
 
 
 def is_null_value(v: Column) -> Column:
