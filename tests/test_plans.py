@@ -31,3 +31,22 @@ def test_ingest_projection_is_shuffle_free_and_python_free(spark):
     assert "Exchange" not in p and "Sort" not in p
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     assert p.count("parseJson(concat([") == 1
+
+
+def test_schema_inference_has_no_single_reducer(spark, monkeypatch):
+    """C1's aggregate exchanges by bucket of map tasks, never to a single partition."""
+    from eventlake.operators import schema as sch
+    DataFrame = type(spark.range(1))  # the concrete (classic) class that runs collect
+    plans = []
+    orig = DataFrame.collect
+
+    def spy(self):
+        plans.append(_plan(self))
+        return orig(self)
+
+    monkeypatch.setattr(DataFrame, "collect", spy)
+    sch.schema_aggregate(classify(_raw(spark)), {"s": F.col("v")}, {"n": F.count_if(F.col("reason").isNull())})
+    (p,) = plans
+    assert "SinglePartition" not in p
+    assert "Exchange hashpartitioning(" in p  # by bucket (pulled out as a grouping expression)
+    assert "partial_schema_of_variant_agg" in p  # merged map-side first
