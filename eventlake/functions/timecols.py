@@ -80,6 +80,12 @@ def template_columns(template: str = DEFAULT_TEMPLATE) -> list[str]:
     return names
 
 
+def format_field(field: str, value) -> str:
+    """A partition value as it appears in folder names: ``{year}`` as is, the others
+    zero-padded to two digits (the same text ``partition_columns`` writes)."""
+    return str(int(value)) if field == "year" else str(int(value)).zfill(2)
+
+
 def partition_columns(ts: Column, template: str = DEFAULT_TEMPLATE) -> list[Column]:
     """One STRING column per ``name=value`` segment of the template.
 

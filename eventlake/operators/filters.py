@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.functions.timecols import format_field
+
 # Fixed value: the reference's default wanted-collections list.
 DEFAULT_WANTED = ("app.bsky.feed.post,app.bsky.feed.like,app.bsky.feed.repost,"
                   "app.bsky.graph.follow,app.bsky.graph.block")
@@ -33,16 +35,16 @@ def wanted_collections(df: DataFrame, spec: str | None = DEFAULT_WANTED,
     return df.filter(c.isNull() | c.isin(wanted))
 
 
-def _pad(v, width: int) -> str:
-    return str(v) if width == 0 else str(int(v)).zfill(width)
-
-
 def lake_slice(df: DataFrame, year=None, month=None, day=None, hour=None) -> DataFrame:
-    """equality on the string partition columns -> pruned folder listing."""
+    """equality on the string partition columns -> ``PartitionFilters``.
+
+    On a lake opened at its root Spark still lists every folder before pruning;
+    ``sources.lake.open_lake_slice`` also narrows the listing to the folder prefix.
+    """
     cond = F.lit(True)
-    for name, val, width in (("year", year, 0), ("month", month, 2), ("day", day, 2), ("hour", hour, 2)):
+    for name, val in (("year", year), ("month", month), ("day", day), ("hour", hour)):
         if val is not None:
-            cond = cond & (F.col(name) == F.lit(_pad(val, width)))
+            cond = cond & (F.col(name) == F.lit(format_field(name, val)))
     return df.filter(cond)
 
 

@@ -24,7 +24,7 @@ from eventlake.session import configure_session, scratch_path
 from eventlake.sinks.jsonl import write_jsonl
 from eventlake.sinks.kafka import kafka_frame
 from eventlake.sources.jsonl import read_jsonl
-from eventlake.sources.lake import open_lake, register_lake
+from eventlake.sources.lake import open_lake, open_lake_slice, register_lake
 
 # Fixed values used by the queries and their oracles.
 NOW_US = 1735689600000000          # 2025-01-01 00:00:00 UTC, the "now" of lag queries
@@ -134,8 +134,7 @@ def k1_write_lake(spark, sf):
 
 
 def s3_lake_scan(spark, sf):
-    lake = open_lake(spark, _env_lake(spark, sf))
-    return (filters.lake_slice(lake, year=2024, month=1)
+    return (open_lake_slice(spark, _env_lake(spark, sf), year=2024, month=1)
             .groupBy("day", "kind").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -201,8 +200,7 @@ def f1_wanted_collections(spark, sf):
 
 
 def f2_lake_slice(spark, sf):
-    lake = open_lake(spark, _env_lake(spark, sf))
-    return filters.lake_slice(lake, **SLICE).select("did", "time_us", "kind")
+    return open_lake_slice(spark, _env_lake(spark, sf), **SLICE).select("did", "time_us", "kind")
 
 
 def f3_capture(spark, sf):
@@ -343,8 +341,7 @@ def a1_top_accounts(spark, sf):
 
 
 def a1_top_accounts_hour(spark, sf):
-    lake = open_lake(spark, _declared_lake(spark, sf))
-    return reports.top_accounts(filters.lake_slice(lake, **SLICE), 10)
+    return reports.top_accounts(open_lake_slice(spark, _declared_lake(spark, sf), **SLICE), 10)
 
 
 LAKE_SQL = """

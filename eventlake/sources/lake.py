@@ -10,11 +10,12 @@ and read; column selection reaches the scan as ``ReadSchema``.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from eventlake.functions.timecols import DEFAULT_TEMPLATE, template_columns
+from eventlake.functions.timecols import DEFAULT_TEMPLATE, format_field, template_columns
 from eventlake.session import conf_scope
 
 SCHEMA_FILE = "_eventlake_schema.json"
@@ -46,21 +47,74 @@ def read_schema_sidecar(spark: SparkSession, path: str) -> StructType | None:
     return StructType.fromJson(json.loads(text))
 
 
+def _table_schema(schema: StructType, parts: list[str]) -> StructType:
+    fields = [f for f in schema.fields if f.name not in parts]
+    fields += [StructField(p, StringType(), True) for p in parts]
+    return StructType(fields)
+
+
 def open_lake(spark: SparkSession, path: str, schema: StructType | None = None,
-              template: str = DEFAULT_TEMPLATE, merge_schema: bool = True) -> DataFrame:
-    """Read the lake as one table; partition columns are STRING."""
+              template: str = DEFAULT_TEMPLATE, merge_schema: bool = True,
+              read_path: str | None = None) -> DataFrame:
+    """Read the lake as one table; partition columns are STRING.
+
+    ``read_path`` (a folder below ``path``) limits the file listing to that
+    folder; ``basePath`` keeps the partition columns above it.
+    """
     parts = template_columns(template)
     if schema is None:
         schema = read_schema_sidecar(spark, path)
     reader = spark.read.option("basePath", path)
+    target = read_path or path
     if schema is not None:
         from eventlake.operators.flatten import ensure_case_sensitive
         ensure_case_sensitive(spark, schema)
-        fields = [f for f in schema.fields if f.name not in parts]
-        fields += [StructField(p, StringType(), True) for p in parts]
-        return reader.schema(StructType(fields)).parquet(path)
+        return reader.schema(_table_schema(schema, parts)).parquet(target)
     with conf_scope(spark, **{"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
-        return reader.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+        return reader.option("mergeSchema", str(merge_schema).lower()).parquet(target)
+
+
+_FIELD = re.compile(r"\{(\w+)\}")
+
+
+def slice_prefix(path: str, template: str = DEFAULT_TEMPLATE, **values) -> str:
+    """Folder holding the given leading partition values (``year``, then ``month`` ...).
+
+    Stops at the first segment without a value (or one that is not a plain
+    ``name={field}``); with no leading value it is the lake root.
+    """
+    segs = []
+    for seg in template.strip("/").split("/"):
+        name, fmt = seg.split("=", 1)
+        m = _FIELD.fullmatch(fmt)
+        if not m or values.get(name) is None:
+            break
+        segs.append(f"{name}={format_field(m.group(1), values[name])}")
+    return "/".join([path.rstrip("/")] + segs)
+
+
+def open_lake_slice(spark: SparkSession, path: str, template: str = DEFAULT_TEMPLATE,
+                    schema: StructType | None = None, year=None, month=None, day=None,
+                    hour=None) -> DataFrame:
+    """S3 + F2 with pruning at the listing: a one-hour read lists one folder.
+
+    Opening the lake root makes Spark list every file of every hour before
+    partition filters drop them — at a year of hourly folders that listing alone
+    dominates a one-hour query. Here only the folder prefix of the leading values
+    is listed, and the same equality filter is applied on top (so a partial
+    prefix, e.g. year and day without month, is still exact). A missing folder
+    gives an empty frame with the lake's schema.
+    """
+    from eventlake.operators.filters import lake_slice
+    prefix = slice_prefix(path, template, year=year, month=month, day=day, hour=hour)
+    if schema is None:
+        schema = read_schema_sidecar(spark, path)
+    if prefix != path.rstrip("/") and schema is not None:
+        fs, p = _fs_path(spark, prefix)
+        if not fs.exists(p):
+            return spark.createDataFrame([], _table_schema(schema, template_columns(template)))
+    df = open_lake(spark, path, schema, template, read_path=prefix)
+    return lake_slice(df, year=year, month=month, day=day, hour=hour)
 
 
 def register_lake(spark: SparkSession, path: str, name: str = "lake",

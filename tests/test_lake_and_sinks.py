@@ -39,6 +39,24 @@ def test_partitions_are_padded_strings_and_pruned(spark):
     assert os.path.isdir(path.replace("file:", "") + "/year=2024/month=01/day=01/hour=00")
 
 
+def test_slice_lists_only_its_folder(spark):
+    from eventlake.sources.lake import open_lake_slice, slice_prefix
+    path = scratch_path(spark, "t-slice")
+    raw = _raw(spark, ['{"did":"a","time_us":1704067207179575}',    # 2024-01-01 00h
+                       '{"did":"b","time_us":1717200000000000}',    # 2024-06-01 00h
+                       '{"did":"c","time_us":1717203600000000}'])   # 2024-06-01 01h
+    ingest_batch(raw, path, ts="event")
+    assert slice_prefix(path, year=2024, month=6, hour=1) == path + "/year=2024/month=06"
+    sl = open_lake_slice(spark, path, year=2024, month=6, day=1, hour=1)
+    assert all("/year=2024/month=06/day=01/hour=01/" in f for f in sl.inputFiles())
+    assert sl.columns == open_lake(spark, path).columns
+    assert [r.did for r in sl.collect()] == ["c"]
+    # a partial prefix (no day) still filters exactly on the later values
+    assert sorted(r.did for r in open_lake_slice(spark, path, year=2024, month=6, hour=0).collect()) == ["b"]
+    empty = open_lake_slice(spark, path, year=2023, month=1)
+    assert empty.count() == 0 and empty.schema == open_lake(spark, path).schema
+
+
 def test_column_pruning_reaches_scan(spark):
     path = scratch_path(spark, "t-prune")
     ingest_batch(fx.env(fx.load(spark, SF_SMALL, "events")).select(F.col("value").cast("binary").alias("value")),
