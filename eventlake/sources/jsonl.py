@@ -39,16 +39,26 @@ def _shape(lines: DataFrame) -> DataFrame:
 
 
 def read_jsonl(spark: SparkSession, path, streaming: bool = False, drop_invalid: bool = False,
-               max_files_per_trigger: int | None = None) -> DataFrame:
+               max_files_per_trigger: int | None = None, clean_source: str | None = None,
+               archive_dir: str | None = None, max_file_age: str | None = None) -> DataFrame:
     """Lines of JSON-lines file(s) at ``path`` as ``value BINARY``.
 
     ``streaming=True`` returns a file-source stream (new files are picked up
-    per trigger, offsets kept in the query checkpoint).
+    per trigger, offsets kept in the query checkpoint). The file source lists
+    its folder on every trigger, so a landing zone that only grows slows every
+    batch: ``clean_source`` (``"archive"`` with ``archive_dir``, or ``"delete"``)
+    moves committed files away and ``max_file_age`` bounds what is listed.
     """
     if streaming:
         r = spark.readStream.format("text")
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+        if clean_source:
+            r = r.option("cleanSource", clean_source)
+            if archive_dir:
+                r = r.option("sourceArchiveDir", archive_dir)
+        if max_file_age:
+            r = r.option("maxFileAge", max_file_age)
         lines = r.load(path)
     else:
         lines = spark.read.text(path)

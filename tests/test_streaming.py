@@ -125,3 +125,22 @@ def test_strip_unicode_whitespace_either_side(spark):
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     got = [bytes(r.value).decode() for r in strip_blank(df).collect()]
     assert got == ['{"a":1}', '{"a":1}', '{"a":1}', '{"a":1}', '{"a":" x "}']
+
+
+def test_clean_source_archives_committed_files(spark):
+    import os
+    src, lake, ckpt, arch = (scratch_path(spark, n) for n in ("src", "lake", "ckpt", "arch"))
+    _lines(spark, ['{"did":"a","time_us":1}'], f"{src}/b=0")
+    _, schema, _ = prepare(read_jsonl(spark, f"{src}/b=0"))
+    stream = read_jsonl(spark, f"{src}/b=*", streaming=True, clean_source="archive", archive_dir=arch)
+    (q,) = ingest_stream(stream, lake, ckpt, schema, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert [r.did for r in spark.read.parquet(lake).collect()] == ["a"]
+    # Spark archives a batch's files once the next batch starts; a second run commits it.
+    _lines(spark, ['{"did":"b","time_us":2}'], f"{src}/b=1")
+    stream = read_jsonl(spark, f"{src}/b=*", streaming=True, clean_source="archive", archive_dir=arch)
+    (q,) = ingest_stream(stream, lake, ckpt, schema, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert sorted(r.did for r in spark.read.parquet(lake).collect()) == ["a", "b"]
+    archived = [f for _, _, fs in os.walk(arch.replace("file:", "")) for f in fs if f.startswith("part-")]
+    assert archived, "committed source files are moved to the archive"
