@@ -1,7 +1,7 @@
 """Golden edge table (FIXTURES.md §4): flatten, guards and event ms on single events."""
 
 import pytest
-from pyspark.sql.types import ArrayType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType
 
 
 def cols(schema):

@@ -1,7 +1,6 @@
 """availableNow drain, exactly-once restart, failure limit, metrics."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from eventlake.plans.ingest import prepare
 from eventlake.session import scratch_path
