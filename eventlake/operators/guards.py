@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.jsonvalue import (
-    first_char, get_path, strict_parse, strict_parts, strict_value, variant_kind,
+    get_path, is_object, strict_parse, strict_parts, strict_value, variant_kind,
 )
 
 # Guard limits and reason labels.
@@ -50,13 +50,13 @@ def guard_time_us(v: Column) -> Column:
     return ok
 
 
-def guard_object(text: Column) -> Column:
-    """The event must be a JSON object (arrays, scalars and null are rejected).
+def guard_object(v: Column) -> Column:
+    """The parsed event must be a JSON object (arrays, scalars and null are rejected).
 
-    Applied after G3, so the first non-blank character decides the kind without
-    re-reading the parsed value.
+    Applied after G3 on the parsed value: a typed check of its kind, without
+    re-reading the text or walking the object.
     """
-    return first_char(text) == "{"
+    return is_object(v)
 
 
 def classify(df: DataFrame, value: str = "value", max_bytes: int = MAX_MESSAGE_BYTES) -> DataFrame:
@@ -86,7 +86,7 @@ def classify(df: DataFrame, value: str = "value", max_bytes: int = MAX_MESSAGE_B
     reason = (F.when(~size_ok, "oversize")
               .when(~utf8_ok, "bad_utf8")
               .when(pv.isNull(), "bad_json")
-              .when(~guard_object(text), "not_object")
+              .when(~guard_object(pv), "not_object")
               .when(~guard_time_us(pv), "bad_time_us"))
     return parsed.withColumn("reason", reason)
 
