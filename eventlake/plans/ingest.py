@@ -6,8 +6,9 @@ Passes over the input at scale (each parses every record once):
    of every reason (plus one more per nesting level of object/scalar conflicts,
    if any);
 2. one map-only pass flattens and writes the good records;
-3. only with a ``quarantine_path`` and only when pass 1 counted bad records (or
-   the schema was pinned, so there was no pass 1): the quarantine write.
+
+plus the quarantine write — only with a ``quarantine_path``, and only when pass 1
+counted bad records (or the schema was pinned, so there was no pass 1).
 
 With a pinned ``schema`` pass 1 is skipped. No shuffle in the write unless it
 clusters by event-time partition; nothing is collected except the schemas of at
