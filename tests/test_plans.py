@@ -50,3 +50,14 @@ def test_schema_inference_has_no_single_reducer(spark, monkeypatch):
     assert "SinglePartition" not in p
     assert "Exchange hashpartitioning(" in p  # by bucket (pulled out as a grouping expression)
     assert "partial_schema_of_variant_agg" in p  # merged map-side first
+
+
+def test_top_accounts_reduces_map_side_and_takes_top_k(spark):
+    """A hot account is counted per task before the shuffle; top-k is not a full sort."""
+    from eventlake.operators.reports import top_accounts
+    df = spark.createDataFrame([("hot", "commit")] * 50 + [(f"a{i}", "commit") for i in range(20)],
+                               "did string, event_type string")
+    p = _plan(top_accounts(df, 10))
+    assert p.index("TakeOrderedAndProject") < p.index("Exchange hashpartitioning") < p.index("partial_count")
+    assert "Sort [" not in p
+    assert top_accounts(df, 10).first()["did"] == "hot"
