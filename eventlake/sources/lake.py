@@ -118,13 +118,18 @@ def open_lake_slice(spark: SparkSession, path: str, template: str = DEFAULT_TEMP
 
 
 def register_lake(spark: SparkSession, path: str, name: str = "lake",
-                  template: str = DEFAULT_TEMPLATE) -> DataFrame:
+                  template: str = DEFAULT_TEMPLATE, **slice_values) -> DataFrame:
     """Expose the lake to ``spark.sql`` as a temporary view (partition columns STRING).
 
     SQL over the view takes the same Catalyst path as the DataFrame API:
     partition predicates become ``PartitionFilters``, selected columns the
-    ``ReadSchema``.
+    ``ReadSchema``. The file listing is made once, when the view is created;
+    with ``year=`` / ``month=`` / ``day=`` / ``hour=`` the view covers only that
+    slice and lists only its folder (``open_lake_slice``).
     """
-    df = open_lake(spark, path, template=template)
+    if any(v is not None for v in slice_values.values()):
+        df = open_lake_slice(spark, path, template, **slice_values)
+    else:
+        df = open_lake(spark, path, template=template)
     df.createOrReplaceTempView(name)
     return df

@@ -203,3 +203,14 @@ def test_event_time_write_splits_a_hot_hour(spark):
     lake = open_lake(spark, path)
     assert lake.count() == 3030
     assert lake.filter(F.col("hour") == "00").count() == 3000
+
+
+def test_register_lake_slice_view(spark):
+    from eventlake.sources.lake import register_lake
+    path = scratch_path(spark, "t-view")
+    raw = _raw(spark, ['{"did":"a","time_us":1704067207179575}', '{"did":"b","time_us":1717200000000000}'])
+    ingest_batch(raw, path, ts="event")
+    register_lake(spark, path, "t_view_june", year=2024, month=6)
+    rows = spark.sql("SELECT did, month FROM t_view_june").collect()
+    assert [(r.did, r.month) for r in rows] == [("b", "06")]
+    assert all("/month=06/" in f for f in spark.table("t_view_june").inputFiles())
