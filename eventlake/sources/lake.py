@@ -109,10 +109,12 @@ def open_lake_slice(spark: SparkSession, path: str, template: str = DEFAULT_TEMP
     prefix = slice_prefix(path, template, year=year, month=month, day=day, hour=hour)
     if schema is None:
         schema = read_schema_sidecar(spark, path)
-    if prefix != path.rstrip("/") and schema is not None:
+    if prefix != path.rstrip("/"):
         fs, p = _fs_path(spark, prefix)
         if not fs.exists(p):
-            return spark.createDataFrame([], _table_schema(schema, template_columns(template)))
+            if schema is not None:
+                return spark.createDataFrame([], _table_schema(schema, template_columns(template)))
+            prefix = path  # no stored schema to shape an empty frame: filter the whole lake
     df = open_lake(spark, path, schema, template, read_path=prefix)
     return lake_slice(df, year=year, month=month, day=day, hour=hour)
 

@@ -214,3 +214,13 @@ def test_register_lake_slice_view(spark):
     rows = spark.sql("SELECT did, month FROM t_view_june").collect()
     assert [(r.did, r.month) for r in rows] == [("b", "06")]
     assert all("/month=06/" in f for f in spark.table("t_view_june").inputFiles())
+
+
+def test_slice_of_missing_folder_without_sidecar(spark):
+    from eventlake.sources.lake import SCHEMA_FILE, open_lake_slice
+    path = scratch_path(spark, "t-nosidecar")
+    raw = _raw(spark, ['{"did":"a","time_us":1704067207179575}'])
+    ingest_batch(raw, path, ts="event")
+    os.remove(path.replace("file:", "") + "/" + SCHEMA_FILE)
+    assert open_lake_slice(spark, path, year=2023).count() == 0
+    assert [r.did for r in open_lake_slice(spark, path, year=2024).collect()] == ["a"]
