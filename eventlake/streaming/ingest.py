@@ -110,7 +110,13 @@ def drain(queries: list[StreamingQuery], timeout: float | None = None) -> None:
 
 
 def run_metrics(query: StreamingQuery, name: str = METRICS_NAME) -> dict:
-    """T5: totals over the query's recent progress (batches, rows, observed counters)."""
+    """T5: totals over the query's recent progress (batches, rows, observed counters).
+
+    Spark keeps only the last ``spark.sql.streaming.numRecentProgressUpdates``
+    (100) progress entries, so this is exact for bounded runs (``availableNow``
+    drains, tests); for a long-running query use ``MetricsListener``, which
+    adds up every batch as it commits.
+    """
     tot = {"batches": 0, "input_rows": 0, "consumed": 0, "written": 0, "errors": 0,
            "write_ms": 0}
     for p in query.recentProgress:
