@@ -28,6 +28,7 @@ from eventlake.sources.lake import SCHEMA_FILE
 # files at ~100 TB would mean tens of millions of ~1 MB files — so the default is none.
 FLUSH_ROWS = 10000
 DEFAULT_MAX_ROWS = None
+WRITE_MIN_PARTITION = "64KB"
 
 
 def write_lake(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
@@ -42,7 +43,16 @@ def write_lake(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
     w = df.write.mode(mode).option("compression", "snappy").partitionBy(*parts)
     if max_rows:
         w = w.option("maxRecordsPerFile", int(max_rows))
-    w.parquet(path)
+    if not cluster:
+        w.parquet(path)
+        return
+    # A rebalanced write's cost is set by its folders as much as its bytes: with AQE's
+    # 1 MB floor a small batch spanning many hours collapses into one task that writes
+    # every folder in turn. A lower floor keeps the writers parallel (each hour still
+    # lands in one partition); large batches are unaffected (partitions are ~advisory).
+    from eventlake.session import conf_scope
+    with conf_scope(df.sparkSession, **{"spark.sql.adaptive.coalescePartitions.minPartitionSize": WRITE_MIN_PARTITION}):
+        w.parquet(path)
 
 
 def write_schema_sidecar(df_or_schema, path: str) -> None:
