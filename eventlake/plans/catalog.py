@@ -364,6 +364,14 @@ def e3_lake_sql(spark, sf):
     return spark.sql(LAKE_SQL.format(view=view))
 
 
+def e3_lake_sql_slice(spark, sf):
+    """E3 over a slice view: the same SQL text; the view lists only the hour's folder."""
+    path = _declared_lake(spark, sf)
+    view = "eventlake_slice_" + path.rsplit("-", 1)[-1]
+    register_lake(spark, path, view, **SLICE)
+    return spark.sql(LAKE_SQL.format(view=view))
+
+
 def a3_histogram(spark, sf):
     h = reports.histogram(_env_flat(spark, sf), "commit_record_value", HIST_BUCKETS)
     return h.select("le", "ord", "count", "total",
@@ -410,6 +418,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a1_top_accounts": a1_top_accounts,
     "a1_top_accounts_hour": a1_top_accounts_hour,
     "e3_lake_sql": e3_lake_sql,
+    "e3_lake_sql_slice": e3_lake_sql_slice,
     "a2_counters": a2_counters,
     "a3_histogram": a3_histogram,
     "a4_lag": a4_lag,
@@ -541,6 +550,8 @@ ORACLES: dict[str, str] = {
                              f"WHERE {_SLICE} GROUP BY 1, 2 ORDER BY count DESC, did, event_type LIMIT 10"),
     "e3_lake_sql": (f"SELECT {_DID} AS did, {_KIND} AS event_type, count(*) AS count FROM events "
                     f"WHERE {_SLICE} GROUP BY 1, 2 ORDER BY count DESC, did, event_type LIMIT 10"),
+    "e3_lake_sql_slice": (f"SELECT {_DID} AS did, {_KIND} AS event_type, count(*) AS count FROM events "
+                          f"WHERE {_SLICE} GROUP BY 1, 2 ORDER BY count DESC, did, event_type LIMIT 10"),
     "a3_histogram": (
         "WITH c AS (SELECT value FROM events WHERE " + _IS_COMMIT + "), "
         "b(le, ord, ub) AS (VALUES " + ", ".join(
