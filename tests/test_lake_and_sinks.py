@@ -224,3 +224,17 @@ def test_slice_of_missing_folder_without_sidecar(spark):
     os.remove(path.replace("file:", "") + "/" + SCHEMA_FILE)
     assert open_lake_slice(spark, path, year=2023).count() == 0
     assert [r.did for r in open_lake_slice(spark, path, year=2024).collect()] == ["a"]
+
+
+def test_small_batch_over_many_hours_keeps_parallel_writers(spark):
+    """A small batch (~500 KB) over many hours: one file per hour, written by several tasks."""
+    import hashlib
+    rows = [f'{{"did":"d{h}-{i}","time_us":{1704067200000000 + h * 3600000000 + i},'
+            f'"pad":"{hashlib.sha256(f"{h}-{i}".encode()).hexdigest() * 2}"}}'
+            for h in range(48) for i in range(60)]  # ~500 KB: small, but above the write floor
+    path = scratch_path(spark, "t-many-hours")
+    ingest_batch(_raw(spark, rows).repartition(4), path, ts="event")
+    root = path.replace("file:", "")
+    files = [(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")]
+    assert len(files) == 48 and len({d for d, _ in files}) == 48  # one file per hour
+    assert len({f.split("-")[1] for _, f in files}) > 1  # part numbers: more than one writer task
