@@ -100,3 +100,21 @@ def append_evolving(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
     write_lake(df, path, template, max_rows, cluster=cluster)
     write_schema_sidecar(merged, path)
     return df
+
+
+def repair_schema_sidecar(spark, path: str, template: str = DEFAULT_TEMPLATE):
+    """Rebuild the stored lake schema from the files' footers.
+
+    ``append_evolving`` updates the schema file after the data commit; a writer
+    that dies in between leaves files with columns the stored schema lacks (no
+    data is lost, readers just do not see them). Spark merges the footers in a
+    distributed job (types agree across files, since appends never narrow them).
+    """
+    from pyspark.sql.types import StructType
+    from eventlake.session import conf_scope
+    with conf_scope(spark, **{"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+        df = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(path)
+    parts = template_columns(template)
+    st = StructType([f for f in df.schema.fields if f.name not in parts])
+    write_schema_sidecar(st, path)
+    return st

@@ -238,3 +238,18 @@ def test_small_batch_over_many_hours_keeps_parallel_writers(spark):
     files = [(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")]
     assert len(files) == 48 and len({d for d, _ in files}) == 48  # one file per hour
     assert len({f.split("-")[1] for _, f in files}) > 1  # part numbers: more than one writer task
+
+
+def test_repair_schema_after_a_writer_died_before_the_schema_update(spark):
+    from eventlake.sinks.lake import repair_schema_sidecar, write_schema_sidecar
+    from eventlake.sources.lake import read_schema_sidecar
+    path = scratch_path(spark, "t-repair")
+    ingest_batch(_raw(spark, ['{"did":"a","time_us":1}']), path, ts="event")
+    before = read_schema_sidecar(spark, path)
+    ingest_batch(_raw(spark, ['{"did":"b","time_us":2,"extra":5}']), path, ts="event")
+    write_schema_sidecar(before, path)  # as if the second writer died after its data commit
+    assert "extra" not in open_lake(spark, path).columns
+    st = repair_schema_sidecar(spark, path)
+    assert "extra" in st.names and "year" not in st.names
+    lake = open_lake(spark, path)
+    assert sorted((r.did, r.extra) for r in lake.select("did", "extra").collect()) == [("a", None), ("b", 5)]
