@@ -35,12 +35,14 @@ def kafka_sink_options(servers: str, topic: str = DEFAULT_TOPIC, **extra) -> dic
 
 def write_kafka(df: DataFrame, servers: str, topic: str = DEFAULT_TOPIC, streaming: bool = False,
                 checkpoint: str | None = None, **extra):
+    if streaming and not checkpoint:
+        # Offsets and sink progress live in the checkpoint; without one a restart
+        # would re-send everything (the reference commits only after delivery).
+        raise ValueError("a streaming Kafka write needs checkpoint= (a shared folder)")
     frame = kafka_frame(df)
     opts = kafka_sink_options(servers, topic, **extra)
     if streaming:
-        w = frame.writeStream.format("kafka").options(**opts)
-        if checkpoint:
-            w = w.option("checkpointLocation", checkpoint)
+        w = frame.writeStream.format("kafka").options(**opts).option("checkpointLocation", checkpoint)
         return w.start()
     frame.write.format("kafka").options(**opts).save()
     return None

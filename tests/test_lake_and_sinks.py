@@ -253,3 +253,11 @@ def test_repair_schema_after_a_writer_died_before_the_schema_update(spark):
     assert "extra" in st.names and "year" not in st.names
     lake = open_lake(spark, path)
     assert sorted((r.did, r.extra) for r in lake.select("did", "extra").collect()) == [("a", None), ("b", 5)]
+
+
+def test_streaming_kafka_write_needs_a_checkpoint(spark):
+    import pytest
+    from eventlake.sinks.kafka import write_kafka
+    stream = spark.readStream.format("rate").load().selectExpr("CAST(value AS STRING) AS value")
+    with pytest.raises(ValueError, match="checkpoint"):
+        write_kafka(stream, "broker:9092", streaming=True)
