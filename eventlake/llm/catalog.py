@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import simhash
+from eventlake.llm import decontaminate, mixing, simhash, token_pack
 from eventlake.llm.common import read_table
 
 
@@ -14,6 +15,18 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(read_table(spark, sf_dir, "documents"))
+
+
+def op9_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_pack.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path(token_pack.TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash,)}
-ORACLES: dict[str, str] = {}
+    f.__name__: f for f in (op1_simhash, op3_decontaminate, op5_mixing, op9_token_pack)}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE}
