@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import decontaminate, mixing, simhash, token_pack
+from eventlake.llm import decontaminate, mixing, simhash, token_pack, toxicity
 from eventlake.llm.common import read_table
 
 
@@ -23,10 +23,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_pack.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path(token_pack.TOKENIZER))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op3_decontaminate, op5_mixing, op9_token_pack)}
+    f.__name__: f for f in (op1_simhash, op3_decontaminate, op5_mixing, op8_toxicity, op9_token_pack)}
 ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE}
