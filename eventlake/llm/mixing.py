@@ -15,7 +15,7 @@ most.
 
 Defined cases: a null text has size 0; a null source is a source of its own, the last;
 a source without words has target 0 and its documents are not taken; repeated rows count
-each (between rows of equal doc_id the smaller size, then the lesser text, goes first); an
+each (between rows of equal doc_id the smaller size, then the lesser hash of the text, goes first); an
 empty table gives an empty result; columns of the input keep their names whatever they are.
 """
 
@@ -61,7 +61,8 @@ def with_plan(docs: DataFrame, plan: str, weights: Sequence[int] = WEIGHTS, tota
     work = fresh_name(docs, "mix")
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     rows = docs.withColumn(work, F.struct(word_count(F.col("text")).alias("size"), key.alias("key"),
-                                          F.substring(key, 1, HEX_DIGITS).alias("bucket")))
+                                          F.substring(key, 1, HEX_DIGITS).alias("bucket"),
+                                          F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("tie")))
     buckets = written(rows.groupBy(F.col("source"), F.col(f"{work}.bucket").alias("bucket"))
                       .agg(F.sum(f"{work}.size").alias("size")), "mix-buckets")
     targets = source_targets(buckets.groupBy("source").agg(F.sum("size").alias("size")), weights, total, max_epochs)
@@ -89,7 +90,7 @@ def with_plan(docs: DataFrame, plan: str, weights: Sequence[int] = WEIGHTS, tota
                                         at("target").alias("target"),
                                         F.coalesce(copies, F.lit(0)).cast("int").alias("copies")).alias(plan))
 
-    ordered = Window.partitionBy("source").orderBy(f"{work}.key", "doc_id", words, F.coalesce(F.col("text"), F.lit(""))) \
+    ordered = Window.partitionBy("source").orderBy(f"{work}.key", "doc_id", words, f"{work}.tie") \
         .rowsBetween(Window.unboundedPreceding, 0)
     reached = f"{work}_reached"
     edge = planned.where(border).withColumn(reached, at("before") + F.sum(words).over(ordered))
@@ -130,7 +131,7 @@ t AS (SELECT source, size AS source_size, least(cap, weight * max(level) OVER ()
 p AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS whole,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size, coalesce(d.text, '')
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size, md5(coalesce(d.text, ''))
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size / 2.0::DOUBLE AS mid
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
