@@ -27,6 +27,7 @@ writes no record; other columns are not read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -142,8 +143,13 @@ class WordEncoder:
     def __init__(self, vocabulary: bytes):
         from tokenizers import Tokenizer
 
+        # a task has one core; the library's own threads would only wait for it
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_buffer(vocabulary)
         self.memo: dict[bytes, bytes] = {b"": b""}
+        suffix, vocab = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab(True)
+        self.closing = np.zeros(max(vocab.values(), default=0) + 1, bool)  # ids that end a pre-token
+        self.closing[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
         self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     @classmethod
@@ -154,30 +160,60 @@ class WordEncoder:
         return cls._kept[1]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        words = [self._same_ids(t).replace(b"\n", b" ").split(b" ") for t in texts]
+        low = [t.lower() for t in texts]  # of bytes: A-Z alone
+        special = [any(s in t for s in self.special) for t in low]
+        # where a special string could come about, the text keeps its case
+        words = [(t if odd else same).replace(b"\n", b" ").split(b" ") for t, same, odd in zip(texts, low, special, strict=True)]
         used = set().union(*words)
         if len(self.memo) + len(used) > MEMO_WORDS:
             self.memo = {w: self.memo[w] for w in used if w in self.memo} | {b"": b""}
-        self._learn(used - self.memo.keys())
+        self._learn(used.difference(self.memo), any(special))
         return [b"".join(map(self.memo.__getitem__, w)) for w in words]
 
-    def _same_ids(self, text: bytes) -> bytes:
-        """``text`` with A-Z in lower case, unless that could make a special string."""
-        low = text.lower()  # of bytes: A-Z alone
-        return text if any(s in low for s in self.special) else low
-
-    def _learn(self, new: set[bytes]) -> None:
-        memo = self.memo
-        # a letter and a closing sign always belong to different pre-tokens
-        ends = [w for w in new if w[-1:] in b".," and w[-2:-1].islower()]
-        plain = [*new.difference(ends).union({w[:-1] for w in ends}) - memo.keys(), b".", b","]
-        for k in range(0, len(plain), 4096):
-            part = plain[k:k + 4096]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, coded, strict=True):
-                memo[w] = np.array(e.ids, "<u4").tobytes()
-        for w in ends:
-            memo[w] = memo[w[:-1]] + memo[w[-1:]]
+    def _learn(self, new: set[bytes], special: bool) -> None:
+        memo, letters, others, joint = self.memo, [], set(), []
+
+        def plain(word: bytes) -> None:
+            text = word.decode()
+            letters.append(text) if text.isalpha() else others.add(text)
+
+        bases = set()
+        for word in new:
+            base = word.rstrip(_SIGNS)
+            # a letter and a closing sign always belong to different pre-tokens
+            if base != word and base.decode()[-1:].isalpha() and not (special and any(s in word.lower() for s in self.special)):
+                joint.append((word, base))
+                bases.add(base)
+                others.add(word[len(base):].decode())
+            else:
+                plain(word)
+        for base in bases.difference(memo, new):
+            plain(base)
+        for k in range(0, len(letters), 8192):
+            self._learn_letters(letters[k:k + 8192])
+        self._learn_each([*others])
+        for word, base in joint:
+            memo[word] = memo[base] + memo[word[len(base):]]
+
+    def _learn_letters(self, words: list[str]) -> None:
+        """Words of letters only are one pre-token each, so one text tells them apart."""
+        coded = self.tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0]
+        ids = np.array(coded.ids, "<u4")
+        last = np.flatnonzero(self.closing[ids])
+        if len(last) != len(words):  # letters to Python, but not to the tokenizer
+            return self._learn_each(words)
+        data, ends = ids.tobytes(), [0, *(4 * last + 4).tolist()]
+        for word, a, b in zip(words, ends, ends[1:], strict=False):
+            self.memo[word.encode()] = data[a:b]
+
+    def _learn_each(self, words: list[str]) -> None:
+        for k in range(0, len(words), 4096):
+            part = words[k:k + 4096]
+            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.memo[word.encode()] = np.array(e.ids, "<u4").tobytes()
+
+
+_SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 # --- Spark side -------------------------------------------------------------------

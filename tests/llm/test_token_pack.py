@@ -11,7 +11,7 @@ from eventlake.llm import token_pack as tp
 PATH = public_tokenizers.path(tp.TOKENIZER)
 TEXTS = [None, "", " ", "\n", "Hello, World. it's o'clock don't DON'T we'll'd", "a\x1cb\x85c d　e", "x  y\n\nz\t\r\nq",
          "İstanbul ΣΑΣ Σ ς straße ÉÈ é ́a ﬁ ½ ²", "<|endoftext|> a<|startoftext|>b <|ENDOFTEXT|>", "wow!!, yes., no,. a., é, é. '.",
-         "日本語 テスト 123 4.5,6 ​﻿", "mixed.\nLine, ends. ", "ab'sc 's 't'", "\x00 a\x00b", "z" * 5000, "word " * 3000]
+         "日本語 テスト 123 4.5,6 ​﻿", "mixed.\nLine, ends. ", "ab'sc 's 't'", "a<|endoftext|>, <|endoftext|>### b<|endoftext|", "wörd### été... ꟑ ꟑ, ᄒ\u1161\u11ab e\u0301, ǆ ª º", "\x00 a\x00b", "z" * 5000, "word " * 3000]
 
 
 @pytest.mark.parametrize("ids", [
