@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import decontaminate, mixing, simhash, token_pack, toxicity
+from eventlake.llm import chat, decontaminate, mixing, quality_knn, quality_rules, simhash, token_counts, token_pack, toxicity
 from eventlake.llm.common import read_table
 
 
@@ -15,6 +15,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -23,6 +27,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(read_table(spark, sf_dir, "conversations"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -31,6 +43,11 @@ def op9_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_pack.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path(token_pack.TOKENIZER))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(token_counts.TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op3_decontaminate, op5_mixing, op8_toxicity, op9_token_pack)}
-ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE}
+    f.__name__: f for f in (op1_simhash, op2_quality_knn, op3_decontaminate, op5_mixing, op6_chat, op7_quality_rules,
+                            op8_toxicity, op9_token_pack, op10_token_counts)}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op6_chat": chat.ORACLE}
