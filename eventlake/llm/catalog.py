@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import chat, decontaminate, mixing, quality_knn, quality_rules, simhash, token_counts, token_pack, toxicity
+from eventlake.llm import chat, decontaminate, mixing, pii, quality_knn, quality_rules, simhash, token_counts, token_pack, toxicity
 from eventlake.llm.common import read_table
 
 
@@ -23,6 +23,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(read_table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_quality_knn, op3_decontaminate, op5_mixing, op6_chat, op7_quality_rules,
+    f.__name__: f for f in (op1_simhash, op2_quality_knn, op3_decontaminate, op4_pii, op5_mixing, op6_chat, op7_quality_rules,
                             op8_toxicity, op9_token_pack, op10_token_counts)}
 ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op6_chat": chat.ORACLE}
