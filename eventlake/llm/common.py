@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -45,6 +48,25 @@ def broadcast_bytes(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """Pauses the cycle collector: word lists and memos hold no cycles, only many objects
+    that it would walk again and again."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
+def release() -> None:
+    """Gives freed memory back to the system: Python workers live on from stage to stage, and
+    what their allocators keep would add up."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_bytes(col: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [b or b"" for b in col.cast(pa.binary()).to_pylist()]
@@ -68,13 +90,16 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str,
         yield batch.slice(start, n - start)
 
 
-def map_batches(df: DataFrame, column: str, schema: str,
-                fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
+def map_batches(df: DataFrame, column: str, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch],
+                max_bytes: int = 8 << 20) -> DataFrame:
     """``mapInArrow`` over bounded slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in pieces(batches, column):
-            yield fn(part)
+        for part in pieces(batches, column, max_bytes):
+            with uncollected():
+                out = fn(part)
+            yield out
+        release()
 
     return df.mapInArrow(run, schema)
 

@@ -36,6 +36,7 @@ EDIT_RATE = 0.08  # edits allowed, as a share of the passage's length
 PASSAGE = 512
 MAX_PART_CHARS = 8 << 20  # of benchmark text, broadcast at a time
 FILTER_BITS = 21
+SLICE_BYTES = 2 << 20  # of text at a time; the q-gram hashes take some forty times as much
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FAR = 1 << 14  # cost of crossing from one document into the next
 
@@ -231,7 +232,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 [batch.column(0).take(pa.array(text)), pa.array([ids[i] for i in item], pa.int64()),
                  pa.array(edits.astype(np.int32))], names=["doc_id", "item_id", "edits"])
 
-        found = map_batches(docs, "text", out.schema, hits)
+        found = map_batches(docs, "text", out.schema, hits, SLICE_BYTES)
         out = found if k == 0 else out.unionByName(found)
     return out
 
@@ -247,5 +248,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             keep[shared.value.found(_texts(batch.column(at)))[0]] = False
             return batch.filter(pa.array(keep))
 
-        docs = map_batches(docs, "text", docs.schema, rest)
+        docs = map_batches(docs, "text", docs.schema, rest, SLICE_BYTES)
     return docs

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import broadcast_bytes, id_and_text, pieces, text_bytes
+from eventlake.llm.common import broadcast_bytes, id_and_text, pieces, release, text_bytes, uncollected
 from eventlake.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -45,7 +45,7 @@ END_ID = 2
 BLOCK = 1024
 PERCENTILE = 0.95
 RECORD_IDS = 1 << 20  # a record is closed once it has as many
-MEMO_WORDS = 1 << 20
+MEMO_WORDS = 300_000
 _MAGIC = int.from_bytes(b"PFR1", "little")
 
 
@@ -241,7 +241,9 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
 
         for batch in pieces(batches, "text", 4 << 20):
             ids_of = batch.column(0).to_pylist()
-            for name, c in zip(ids_of, encoder.encode(text_bytes(batch.column(1))), strict=True):
+            with uncollected():
+                ids = encoder.encode(text_bytes(batch.column(1)))
+            for name, c in zip(ids_of, ids, strict=True):
                 names.append(name)
                 coded.append(c + end)
                 held += len(c) // 4 + 1
@@ -250,6 +252,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
                     names, coded, held, part = [], [], 0, part + 1
         if coded:
             yield record()
+        release()
 
     rows = id_and_text(docs)
     tie = F.xxhash64("text")
@@ -286,6 +289,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array([shard.as_py()] * n, pa.int32()), pa.array([part.as_py()] * n, pa.int32()), names.values,
                      pa.array(ends - lengths), pa.array(lengths.astype(np.int64)), pa.array(sums, pa.int64())],
                     names=["shard", "part", "doc_id", "offset", "n_tokens", "ids_crc32"])
+        release()
 
     found = records.mapInArrow(documents, "shard int, part int, doc_id long, offset long, n_tokens long, ids_crc32 long")
     return found.join(starts, ["shard", "part"]) \

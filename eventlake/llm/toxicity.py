@@ -48,6 +48,7 @@ STEM_LENGTHS = range(4, 9)
 STEM_SHARE = 0.9  # toxic share that a stem needs
 MAX_STEMS = 5_000
 THRESHOLD = 0.5
+MEMO_WORDS = 100_000  # whose symbols a task remembers
 
 # Fixed word lists of the grammar (lower case, a trailing * marks a stem).
 INSULTS = "idiot* moron* stupid* dumb* loser* scum trash pathetic worthless disgusting clown* fool* dumm* trottel* imbécile* estúpid*"
@@ -171,7 +172,7 @@ class Lexicon:
     def read(self, text: str) -> bytes:
         """Class symbols of a text."""
         words = text.lower().replace("\n", " | ").split()
-        if len(self.memo) > 500_000:
+        if len(self.memo) > MEMO_WORDS:
             self.memo = {}
         for w in set(words).difference(self.memo):
             self.memo[w] = self.symbols(w)
