@@ -5,15 +5,17 @@ pre-tokens of the corpus and counts each one's pieces once. A second pass takes
 document's pre-token frequencies; they are joined to the piece counts and summed.
 
 Frequencies travel in chunks: a chunk is a bounded run of documents within a task, and one
-row holds one pre-token's frequencies over the chunk's documents (pairs of position and
-frequency, two bytes each). So a frequent pre-token has a row per chunk rather than per
-document, and the join, which Spark may split at skewed keys, stays short. The sums come
-back per chunk, sparse, and are added up there; a chunk's header row, which carries its
-documents' ids and lengths, goes the same way under a key of its own.
-
-Pre-tokens are those of byte-level BPE files with the usual pattern: a blank that follows
-other than white space always begins one, so texts are cut there and each distinct cut is
-taken apart once per chunk. Other kinds of files are refused.
+row holds one pre-token's frequencies over the chunk's documents (two bytes of position and
+one of frequency each). So a frequent pre-token has a row per chunk rather than per
+document, and the join, which Spark may split at skewed keys, stays short. Rows carry a
+64-bit hash in place of the pre-token; the vocabulary, which has both, is checked for two
+pre-tokens of one hash, and if there are any, another seed is taken. The sums come back per
+chunk, sparse, and are added up there; a chunk's header row, which carries its documents'
+ids and lengths, goes the same way under a key of its own.
+
+Pre-tokens are those of byte-level BPE files with the usual pattern: a blank or
+line feed that follows other than white space always begins one, so texts are cut there and
+each distinct cut is taken apart once per chunk. Other kinds of files are refused.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens; special strings inside a text
 count as the library has it, one token each; rows of null or equal doc_id are kept each; an
@@ -27,20 +29,23 @@ import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import broadcast_bytes, id_and_text, pieces, text_bytes
+from eventlake.llm.common import broadcast_bytes, id_and_text, pieces, release, text_bytes, uncollected, written
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
 CHUNK_BYTES = 32 << 20
 CHUNK_DOCS = 1 << 16
-MOST = (1 << 16) - 1  # a pair's greatest frequency; more take further pairs
+MOST = 255  # an entry's greatest frequency; more take further entries
 OPEN_CHUNKS = 256  # whose sums a task holds at a time
 _BATCH_ROWS = 1 << 16
 
@@ -72,8 +77,8 @@ class PreTokens:
         self.tokenizer = Tokenizer.from_buffer(vocabulary)
         self.letters = _byte_letters()
         added = sorted((t["content"] for t in how.get("added_tokens") or []), key=len, reverse=True)
-        self.added = set(added)
-        self.special = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
+        self.added = {a.encode() for a in added}
+        self.special = re.compile(("(" + "|".join(map(re.escape, added)) + ")").encode()) if added else None
         self.splitter = self.tokenizer.pre_tokenizer
 
     @classmethod
@@ -82,85 +87,156 @@ class PreTokens:
             cls._kept = vocabulary, cls(vocabulary)
         return cls._kept[1]
 
-    def cuts(self, text: str) -> list:
-        """Cuts of a text: a word stands for itself after one blank, a tuple for its only string."""
-        if self.special and (parts := self.special.split(text))[1:]:
-            return [c for p in parts if p for c in ([(p,)] if p in self.added else self.cuts_of(p))]
-        return self.cuts_of(text)
-
-    @staticmethod
-    def cuts_of(text: str) -> list:
-        if _GAP.search(text):
-            return [(p,) for p in _CUT.split(text)]
-        cuts: list = text.split(" ")
-        cuts[0] = (cuts[0],)
-        return cuts
-
-    def apart(self, cut) -> list[bytes]:
-        if isinstance(cut, tuple):
-            text = core = cut[0]
-            if text in self.added:
-                return [text.encode()]
+    def parts(self, text: bytes) -> list[bytes]:
+        """A text between its special strings, and these."""
+        if self.special and any(s in text for s in self.added):
+            return [p for p in self.special.split(text) if p]
+        return [text]
+
+    def apart(self, key: bytes | tuple) -> list[bytes]:
+        """The pre-tokens of a cut."""
+        if isinstance(key, tuple):
+            blank, word = b"", key[0]
+            if word in self.added:
+                return [word]
+        elif key[:1] == b"\n":
+            m = _PLAIN.fullmatch(key, 1)
+            return [b"\n", *filter(None, m.groups())] if m else self._library(key)
         else:
-            text, core = " " + cut, cut
-        # Latin letters, with a closing sign or without
-        if core and (core.isascii() or max(core) < "ɐ"):
-            if core.isalpha():
-                return [text.encode()]
-            if core[-1] in _SIGNS and core[:-1].isalpha():
-                return [text[:-1].encode(), core[-1].encode()]
-        return [bytes(map(self.letters.__getitem__, p)) for p, _ in self.splitter.pre_tokenize_str(text)]
+            blank, word = b" ", key
+        m = _PLAIN.fullmatch(word)
+        if m:
+            return [blank + m[1], m[2]] if m[2] else [blank + m[1]]
+        return self._library(blank + word)
+
+    def _library(self, cut: bytes) -> list[bytes]:
+        return [bytes(map(self.letters.__getitem__, p)) for p, _ in self.splitter.pre_tokenize_str(cut.decode())]
 
     def counts(self, tokens: list[bytes]) -> list[int]:
         coded = self.tokenizer.encode_batch_fast([t.decode() for t in tokens], add_special_tokens=False)
         return [len(e.ids) for e in coded]
 
 
-_GAP = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
-_SIGNS = frozenset(".,;:!?")
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+# Latin letters in UTF-8, then ASCII signs: one pre-token each.
+_PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+)([!-/:-@\[-`{-~]*)")
+
+
+def _open(key: bytes | tuple) -> bool:
+    """Whether a cut may not end before a blank: it is none, or ends in white space (or in
+    another control character, which takes the longer way for nothing)."""
+    cut = key[0] if isinstance(key, tuple) else key
+    if not cut:
+        return not isinstance(key, tuple)
+    return cut[-1] < 33 or cut[-1] > 127 and cut.decode()[-1].isspace()
+
+
+def _cut(part: bytes) -> list[bytes]:
+    """A part cut at blanks and line feeds. What begins with a line feed has no blank before
+    it, the others, apart from the first, have one."""
+    return part.replace(b"\n", b" \n").split(b" ")
+
+
+def _cut_slowly(part: bytes) -> list[tuple]:
+    """The cuts of a part that has white space before a blank or a line feed."""
+    return [(c.encode(),) for c in _CUT.split(part.decode())]
+
+
+def cuts_of(texts: list[bytes], pre: PreTokens) -> tuple[dict, list[np.ndarray]]:
+    """The distinct cuts, numbered, and each text's cuts by number. A word stands for itself
+    after one blank, or with its line feed; a tuple for its only string."""
+    index: defaultdict = defaultdict()
+    index.default_factory = index.__len__
+    read: list[tuple[int, bytes, np.ndarray]] = []
+    for doc, text in enumerate(texts):
+        for part in pre.parts(text):
+            words: list = [part] if part in pre.added else _cut(part)
+            words[0] = (words[0],)
+            read.append((doc, part, np.fromiter(map(index.__getitem__, words), np.int64, len(words))))
+    open_ = np.fromiter(map(_open, index), bool, len(index))
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    for doc, part, cuts in read:
+        if open_[cuts[:-1]].any():
+            cuts = np.array([index[c] for c in _cut_slowly(part)], np.int64)
+        out[doc].append(cuts)
+    return index, [np.concatenate(c) if len(c) > 1 else c[0] for c in out]
+
+
+def pretokens_of(texts: list[bytes], pre: PreTokens) -> set[bytes]:
+    """The distinct pre-tokens of the texts (where white space stands before a blank, perhaps
+    with some that the quick cuts would give)."""
+    cuts: set = set()
+    parts = [p for t in texts for p in pre.parts(t)]
+    for part in parts:
+        words = [part] if part in pre.added else _cut(part)
+        cuts.add((words[0],))
+        cuts.update(words[1:])
+    open_ = {c if isinstance(c, bytes) else c[0] for c in filter(_open, cuts)}
+    if open_:
+        for part in parts:
+            if part not in pre.added and not open_.isdisjoint(_cut(part)[:-1]):
+                cuts.update(_cut_slowly(part))
+    return {t for c in cuts for t in pre.apart(c)}
 
 
 class Chunk:
-    """Pre-token frequencies of a run of documents."""
+    """Pre-token frequencies of a run of documents: token, document and frequency, in order."""
 
     def __init__(self, texts: list[bytes], pre: PreTokens):
-        cuts: defaultdict = defaultdict()
-        cuts.default_factory = cuts.__len__
-        seen = [np.array([*map(cuts.__getitem__, pre.cuts(t.decode()))], np.int64) for t in texts]
+        index, seen = cuts_of(texts, pre)
         tokens: defaultdict = defaultdict()
         tokens.default_factory = tokens.__len__
-        apart = [[*map(tokens.__getitem__, pre.apart(c))] for c in cuts]
+        apart = [[*map(tokens.__getitem__, a)] for a in map(pre.apart, index)]
         self.tokens: list[bytes] = [*tokens]
-        sizes = np.array([len(a) for a in apart], np.int64)
-        flat = np.array([t for a in apart for t in a], np.int64)
-        first = np.cumsum(sizes) - sizes
-        cut = np.concatenate(seen) if seen else np.zeros(0, np.int64)
-        doc = np.repeat(np.arange(len(seen)), [len(s) for s in seen])
-        key, n = np.unique(doc * max(1, len(cuts)) + cut, return_counts=True)
-        doc, cut = np.divmod(key, max(1, len(cuts)))
-        size = sizes[cut]
-        ends = np.cumsum(size)
-        token = flat[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size - first[cut], size)]
-        key = token * max(1, len(texts)) + np.repeat(doc, size)
-        order = np.argsort(key, kind="stable")
-        key, n = key[order], np.repeat(n, size)[order]
+        size = np.fromiter(map(len, apart), np.int64, len(apart))
+        flat = np.fromiter(chain.from_iterable(apart), np.int64, int(size.sum()))
+        first, many = np.cumsum(size) - size, max(1, len(apart))
+        key = np.concatenate(seen) if seen else np.zeros(0, np.int64)
+        key += np.repeat(np.arange(len(seen)) * many, [len(c) for c in seen])
+        key, n = np.unique(key, return_counts=True)
+        doc, cut = np.divmod(key, many)
+        own = size[cut]
+        ends = np.cumsum(own)
+        token = flat[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - own - first[cut], own)]
+        # sorted with the frequency in the low bits
+        key = (token * max(1, len(texts)) + np.repeat(doc, own)) << 24
+        n = np.repeat(n, own)
+        while (over := n >= 1 << 24).any():  # more often than the low bits hold
+            key, n = np.append(key, key[over]), np.append(np.where(over, (1 << 24) - 1, n), n[over] - ((1 << 24) - 1))
+        key = np.sort(key | n)
+        n, key = key & 0xFFFFFF, key >> 24
         new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         self.freq = np.add.reduceat(n, new) if len(new) else n
         self.token, self.doc = np.divmod(key[new], max(1, len(texts)))
 
-    def rows(self) -> tuple[pa.Array, pa.Array]:
-        """Per pre-token, in order: its bytes, and its pairs."""
+    def rows(self) -> pa.Array:
+        """Per pre-token its entries: positions <u2, then frequencies u1."""
         parts = -(-self.freq // MOST)
         token, doc, freq = (np.repeat(a, parts) for a in (self.token, self.doc, self.freq))
         if len(freq) > len(parts):
             ends = np.cumsum(parts)
-            nth = np.arange(len(freq)) - np.repeat(ends - parts, parts)
-            freq = np.minimum(MOST, freq - nth * MOST)
-        pairs = np.stack([doc, freq], axis=1).astype("<u2")
-        offsets = (4 * np.searchsorted(token, np.arange(len(self.tokens) + 1))).astype(np.int32)
-        packed = pa.Array.from_buffers(pa.binary(), len(self.tokens), [None, pa.py_buffer(offsets), pa.py_buffer(pairs)])
-        return pa.array(self.tokens, pa.binary()), packed
+            freq = np.minimum(MOST, freq - (np.arange(len(freq)) - np.repeat(ends - parts, parts)) * MOST)
+        starts = np.searchsorted(token, np.arange(len(self.tokens) + 1))
+        count = np.diff(starts)
+        place = np.arange(len(token)) - np.repeat(starts[:-1], count)
+        base, data = np.repeat(3 * starts[:-1], count), np.empty(3 * len(token), np.uint8)
+        data[base + 2 * place], data[base + 2 * place + 1] = doc & 255, doc >> 8
+        data[base + 2 * np.repeat(count, count) + place] = freq
+        return pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer((3 * starts).astype(np.int32)), pa.py_buffer(data)])
+
+
+def entries(packed: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entries per row, positions, frequencies) of rows that ``Chunk.rows`` made."""
+    packed = packed.cast(pa.binary())
+    if not len(packed):
+        return (np.zeros(0, np.int64),) * 3
+    at = np.frombuffer(packed.buffers()[1], np.int32, len(packed) + 1, 4 * packed.offset).astype(np.int64)
+    data = np.frombuffer(packed.buffers()[2], np.uint8) if at[-1] else np.zeros(0, np.uint8)
+    count = np.diff(at) // 3
+    place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    base = np.repeat(at[:-1], count)
+    low = base + 2 * place
+    return count, data[low] + (data[low + 1].astype(np.int64) << 8), data[base + 2 * np.repeat(count, count) + place].astype(np.int64)
 
 
 # --- Spark side -------------------------------------------------------------------
@@ -176,79 +252,106 @@ def _slices(*columns: pa.Array) -> Iterator[list[pa.Array]]:
         yield [c.slice(k, _BATCH_ROWS) for c in columns]
 
 
-def piece_counts(docs: DataFrame, vocabulary) -> DataFrame:
-    """(token, pieces) of every distinct pre-token of ``docs``."""
+def _hashes(tokens: list[bytes], seed: int) -> np.ndarray:
+    return np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=seed), tokens), np.uint64, len(tokens)).view(np.int64)
+
+
+def vocabulary_of(docs: DataFrame, shared) -> DataFrame:
+    """(token, pieces): every distinct pre-token of ``docs`` with its number of pieces."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pre = PreTokens.of(vocabulary.value)
+        pre = PreTokens.of(shared.value)
         for part in _chunks(batches):
-            cuts: set = set()
-            for t in text_bytes(part.column(0)):
-                cuts.update(pre.cuts(t.decode()))
-            tokens = {t for c in cuts for t in pre.apart(c)}
-            for columns in _slices(pa.array([*tokens], pa.binary())):
+            with uncollected():
+                tokens = pa.array([*pretokens_of(text_bytes(part.column(0)), pre)], pa.binary())
+            for columns in _slices(tokens):
                 yield pa.RecordBatch.from_arrays(columns, names=["token"])
+        release()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pre = PreTokens.of(vocabulary.value)
+        pre = PreTokens.of(shared.value)
         for batch in batches:
-            counts = pre.counts(batch.column(0).cast(pa.binary()).to_pylist())
+            with uncollected():
+                counts = pre.counts(batch.column(0).cast(pa.binary()).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int32())], names=["token", "pieces"])
+        release()
 
     return docs.select("text").mapInArrow(gather, "token binary").distinct().mapInArrow(count, "token binary, pieces int")
 
 
-_FREQUENCIES = "token binary, chunk long, pairs binary, ids array<bigint>, sizes array<bigint>"
-_SUMS = "chunk long, sums binary, ids array<bigint>, sizes array<bigint>"
+def piece_counts(docs: DataFrame, shared) -> tuple[DataFrame, int]:
+    """(key, pieces) with the hash of every distinct pre-token, and the seed of the hash, the
+    first under which no two pre-tokens share one."""
+    words = written(vocabulary_of(docs, shared), "pretokens")
+    seed = 0
+    while True:
+        def keys(batches: Iterator[pa.RecordBatch], seed=seed) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hashes = _hashes(batch.column(0).cast(pa.binary()).to_pylist(), seed)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes), batch.column(1)], names=["key", "pieces"])
+
+        counts = words.mapInArrow(keys, "key long, pieces int")
+        if counts.groupBy("key").count().where("count > 1").isEmpty():
+            return counts, seed
+        seed += 1
 
 
-def frequencies(docs: DataFrame, vocabulary) -> DataFrame:
-    """Rows of pairs per chunk and pre-token, and a header row per chunk."""
+def frequencies(docs: DataFrame, shared, seed: int) -> DataFrame:
+    """(key, chunk, entries, ids, sizes): rows per chunk and pre-token. A chunk's header has
+    its documents' ids and lengths, no entries, and a key of its own."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pre, longs = PreTokens.of(vocabulary.value), pa.list_(pa.int64())
+        pre = PreTokens.of(shared.value)
         for nth, part in enumerate(_chunks(batches)):
-            texts, chunk = text_bytes(part.column(1)), TaskContext.get().partitionId() << 32 | nth
-            head = [pa.array([b"\0chunk %d" % chunk], pa.binary()), pa.array([chunk]), pa.array([None], pa.binary()),
-                    pa.array([part.column(0).to_pylist()], longs), pa.array([[len(t) for t in texts]], longs)]
-            names = ["token", "chunk", "pairs", "ids", "sizes"]
-            yield pa.RecordBatch.from_arrays(head, names=names)
-            for token, pairs in _slices(*Chunk(texts, pre).rows()):
-                n = len(token)
-                yield pa.RecordBatch.from_arrays([token, pa.array(np.full(n, chunk)), pairs, pa.nulls(n, longs), pa.nulls(n, longs)], names=names)
+            with uncollected():
+                texts, number = text_bytes(part.column(1)), TaskContext.get().partitionId() << 32 | nth
+                chunk = Chunk(texts, pre)
+                keys, packed = pa.array(_hashes(chunk.tokens, seed)), chunk.rows()
+                sizes = [len(t) for t in texts]
+                del chunk, texts
+            head = pa.array(_hashes([b"\0chunk %d" % number], seed))
+            yield _row_batch(head, number, pa.nulls(1, pa.binary()), pa.array([part.column(0).to_pylist()], _LONGS), pa.array([sizes], _LONGS))
+            for key, entries_ in _slices(keys, packed):
+                yield _row_batch(key, number, entries_, pa.nulls(len(key), _LONGS), pa.nulls(len(key), _LONGS))
+        release()
 
-    return docs.mapInArrow(take, _FREQUENCIES)
+    return docs.mapInArrow(take, "key long, chunk long, entries binary, ids array<bigint>, sizes array<bigint>")
+
+
+_LONGS = pa.list_(pa.int64())
+
+
+def _row_batch(key: pa.Array, chunk: int, *rest: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([key, pa.array(np.full(len(key), chunk)), *rest], names=["key", "chunk", "entries", "ids", "sizes"])
+
+
+_SUMS = "chunk long, sums binary, ids array<bigint>, sizes array<bigint>"
 
 
 def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums over the pre-tokens of this task, per chunk: positions <u2, then sums <i8."""
-    names, longs = ["chunk", "sums", "ids", "sizes"], pa.list_(pa.int64())
+    """Sums over the pre-tokens of this task, per chunk: positions <u2, then sums <u4."""
+    names = ["chunk", "sums", "ids", "sizes"]
     held: dict[int, np.ndarray] = {}
 
     def flush() -> pa.RecordBatch:
         packed = []
         for sums in held.values():
             where = np.flatnonzero(sums)
-            packed.append(where.astype("<u2").tobytes() + sums[where].astype("<i8").tobytes())
-        out = pa.RecordBatch.from_arrays([pa.array([*held], pa.int64()), pa.array(packed, pa.binary()), pa.nulls(len(held), longs),
-                                          pa.nulls(len(held), longs)], names=names)
+            packed.append(where.astype("<u2").tobytes() + sums[where].astype("<u4").tobytes())
+        out = pa.RecordBatch.from_arrays([pa.array([*held], pa.int64()), pa.array(packed, pa.binary()), pa.nulls(len(held), _LONGS),
+                                          pa.nulls(len(held), _LONGS)], names=names)
         held.clear()
         return out
 
     for batch in batches:
         head = batch.filter(batch.column(2).is_valid())
         if head.num_rows:
-            n = head.num_rows
-            yield pa.RecordBatch.from_arrays([head.column(0), pa.nulls(n, pa.binary()), head.column(2), head.column(3)], names=names)
+            yield pa.RecordBatch.from_arrays([head.column(0), pa.nulls(head.num_rows, pa.binary()), head.column(2), head.column(3)], names=names)
         rows = batch.filter(batch.column(1).is_valid())
-        chunk, pieces_ = rows.column(0).to_numpy(), rows.column(4).to_numpy(zero_copy_only=False).astype(np.int64)
-        data = rows.column(1).cast(pa.binary())
-        at = np.frombuffer(data.buffers()[1], np.int32, len(data) + 1, 4 * data.offset) if len(data) else np.zeros(1, np.int32)
-        pairs = np.frombuffer(data.buffers()[2], "<u2")[at[0] // 2:at[-1] // 2].reshape(-1, 2) if at[-1] > at[0] else np.zeros((0, 2), "<u2")
-        sizes = np.diff(at) // 4
-        chunks, code = np.unique(chunk, return_inverse=True)
-        key = np.repeat(code, sizes) << 16 | pairs[:, 0]
-        value = pairs[:, 1] * np.repeat(pieces_, sizes)
+        chunks, code = np.unique(rows.column(0).to_numpy(), return_inverse=True)
+        count, where, freq = entries(rows.column(1))
+        key = np.repeat(code, count) << 16 | where
+        value = freq * np.repeat(rows.column(4).to_numpy(zero_copy_only=False).astype(np.int64), count)
         order = np.argsort(key, kind="stable")
         key, value = key[order], value[order]
         new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
@@ -262,6 +365,7 @@ def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             held[c][key[i:j] & (CHUNK_DOCS - 1)] += total[i:j]
     if held:
         yield flush()
+    release()
 
 
 def _chunk_totals(table: pa.Table) -> pa.Table:
@@ -272,17 +376,18 @@ def _chunk_totals(table: pa.Table) -> pa.Table:
         if sums is None:
             ids, sizes = i, s
         elif sums:
-            n = len(sums) // 10
-            total[np.frombuffer(sums, "<u2", n)] += np.frombuffer(sums, "<i8", n, 2 * n)
+            n = len(sums) // 6
+            total[np.frombuffer(sums, "<u2", n)] += np.frombuffer(sums, "<u4", n, 2 * n)
     return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array(sizes, pa.int64()), "n_tokens": pa.array(total[:len(ids)])})
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_tokens, over_limit (more than ``limit`` tokens)."""
     docs = id_and_text(docs)
-    vocabulary = broadcast_bytes(docs.sparkSession, tokenizer)
-    PreTokens.of(vocabulary.value)  # refuses other kinds of files here, not in a task
-    joined = frequencies(docs, vocabulary).join(piece_counts(docs, vocabulary).hint("shuffle_hash"), "token", "left")
-    sums = joined.select("chunk", "pairs", "ids", "sizes", "pieces").mapInArrow(_partial_sums, _SUMS)
+    shared = broadcast_bytes(docs.sparkSession, tokenizer)
+    PreTokens.of(shared.value)  # refuses other kinds of files here, not in a task
+    counts, seed = piece_counts(docs, shared)
+    joined = frequencies(docs, shared, seed).join(counts.hint("shuffle_hash"), "key", "left")
+    sums = joined.select("chunk", "entries", "ids", "sizes", "pieces").mapInArrow(_partial_sums, _SUMS)
     return sums.groupBy("chunk").applyInArrow(_chunk_totals, "doc_id long, n_bytes long, n_tokens long") \
         .withColumn("over_limit", F.col("n_tokens") > limit)

@@ -1,3 +1,6 @@
+from collections import Counter
+
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -11,25 +14,32 @@ TEXTS = [None, "", " ", "\n", "  a", "a  b   c\n\n d \n", "Hello, World. it's o'
          "日本語 テスト 123 4.5,6 ​﻿ ꟑ ꟑ.", "\t tab\ttab \t\n x", "ends with line\n", "z" * 3000, "word " * 3000, "the " * 70000 + "end", " \n \n a", "a  b  c"]
 
 
-def test_cuts_give_the_librarys_pretokens():
-    with open(PATH, "rb") as f:
-        pre = tc.PreTokens(f.read())
-    for text in TEXTS:
-        if "<|" in (text or ""):
-            continue
-        got = [t for c in pre.cuts(text or "") for t in pre.apart(c)]
-        want = [bytes(map(pre.letters.__getitem__, p)) for p, _ in pre.splitter.pre_tokenize_str(text or "")]
-        assert b"".join(got) == (text or "").encode()
-        assert got == want, text[:50]
-
-
-def test_a_frequency_may_take_several_pairs():
+@pytest.fixture(scope="module")
+def pre():
     with open(PATH, "rb") as f:
-        pre = tc.PreTokens(f.read())
-    chunk = tc.Chunk([b"x", b"the " * 200000, b""], pre)
-    tokens, pairs = chunk.rows()
-    row = dict(zip(tokens.to_pylist(), pairs.to_pylist(), strict=True))
-    assert len(row[b" the"]) == 4 * 4 and len(row[b"x"]) == 4
+        return tc.PreTokens(f.read())
+
+
+def test_cuts_give_the_librarys_pretokens(pre):
+    texts = [t or "" for t in TEXTS if "<|" not in (t or "")]
+    index, cuts = tc.cuts_of([t.encode() for t in texts], pre)
+    apart = [*map(pre.apart, index)]
+    for text, own in zip(texts, cuts, strict=True):
+        got = [t for c in own for t in apart[c]]
+        assert b"".join(got) == text.encode()
+        assert got == [bytes(map(pre.letters.__getitem__, p)) for p, _ in pre.splitter.pre_tokenize_str(text)], text[:50]
+        assert set(got) <= tc.pretokens_of([text.encode()], pre)
+    everything = [(t or "").encode() for t in TEXTS]
+    assert set(tc.Chunk(everything, pre).tokens) >= {t for x in everything for t in tc.Chunk([x], pre).tokens if tc.Chunk([x], pre).freq.any()}
+
+
+def test_entries_round_trip(pre):
+    chunk = tc.Chunk([b"x", b"the " * 2000 + b"x x", b"", b"y x"], pre)
+    count, where, freq = tc.entries(chunk.rows())
+    got = Counter()
+    for t, w, f in zip(np.repeat(np.arange(len(count)), count), where, freq, strict=True):
+        got[chunk.tokens[t], w] += f
+    assert got == {(b"x", 0): 1, (b"the", 1): 1, (b" the", 1): 1999, (b" x", 1): 2, (b"y", 3): 1, (b" x", 3): 1}
 
 
 @pytest.mark.parametrize("parts", [1, 7])
