@@ -19,15 +19,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def text_of(value: Column) -> Column:
-    """Raw bytes (or string) as a string without re-encoding."""
-    return value.cast("string")
-
-
-def bytes_of(text: Column) -> Column:
-    return F.encode(text, "UTF-8")
-
-
 def strict_parts(text: Column) -> tuple[Column, Column]:
     """The two expensive pieces of ``strict_parse``: the ``[`` wrapper's parse and
     the ``{"v":`` wrapper's verdict (parsed only for texts containing ``]``, the
@@ -55,11 +46,6 @@ def strict_parse(text: Column) -> Column:
     return strict_value(*strict_parts(text))
 
 
-def first_char(text: Column) -> Column:
-    """First non-whitespace character of a JSON text (its kind once it parses)."""
-    return F.regexp_extract(text, r"^[ \t\r\n]*(.)", 1)
-
-
 def variant_kind(v: Column) -> Column:
     """'object', 'array', 'null', 'string', 'boolean', 'number' or NULL (absent).
 
@@ -85,17 +71,47 @@ def is_null_value(v: Column) -> Column:
     return v.isNull() | F.coalesce(F.call_function("is_variant_null", v), F.lit(True))
 
 
+def sql_text(text: str) -> str:
+    """``text`` as a SQL string expression. ``${`` is cut apart, because the SQL parser
+    would substitute a variable there even inside a literal."""
+    parts = ["'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" for x in text.replace("${", "$\0{").split("\0")] \
+        if "${" in text and "\0" not in text else None
+    if parts is None:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return "concat(" + ", ".join(parts) + ")"
+
+
+def _in_path(key: str) -> bool:
+    """Variant paths have no escapes: a key with a backslash, or with both kinds of quotes,
+    cannot be written in one."""
+    return "\\" not in key and not ("'" in key and '"' in key) and "${" not in key
+
+
 def path_of(keys) -> str:
     """Variant path for a key sequence, quoting every key (dots, spaces, '$')."""
-    out = "$"
+    return "$" + "".join(f"['{k}']" if '"' in k else f'["{k}"]' for k in keys)
+
+
+def get_sql(v: str, keys, dtype: str = "variant") -> str:
+    """SQL text of ``get_path`` on the expression ``v``. Keys that no path can hold are read
+    from their parent as a map."""
+    path: list[str] = []
     for k in keys:
-        if '"' in k:
-            out += "['" + k.replace("\\", "\\\\").replace("'", "\\'") + "']"
+        if _in_path(k):
+            path.append(k)
         else:
-            out += '["' + k.replace("\\", "\\\\") + '"]'
-    return out
+            v = f"try_element_at(try_variant_get({v}, {sql_text(path_of(path))}, 'map<string,variant>'), {sql_text(k)})"
+            path = []
+    return f"try_variant_get({v}, {sql_text(path_of(path))}, {sql_text(dtype)})"
 
 
 def get_path(v: Column, keys, dtype: str = "variant") -> Column:
     """``try_variant_get`` at a key path (NULL when absent or not castable)."""
-    return F.call_function("try_variant_get", v, F.lit(path_of(keys)), F.lit(dtype))
+    path: list[str] = []
+    for k in keys:
+        if _in_path(k):
+            path.append(k)
+        else:
+            parent = F.call_function("try_variant_get", v, F.lit(path_of(path)), F.lit("map<string,variant>"))
+            v, path = F.try_element_at(parent, F.lit(k)), []
+    return F.call_function("try_variant_get", v, F.lit(path_of(path)), F.lit(dtype))

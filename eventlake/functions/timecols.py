@@ -25,7 +25,6 @@ def _epoch() -> Column:
 # The epoch-millisecond range of Spark timestamps (0001-01-01 .. 9999-12-31).
 MIN_MS = -62135596800000
 MAX_MS = 253402300799999
-_BIGINT_LIMIT = 9.2e18
 
 
 def floor_ms(time_us: Column, dtype: DataType | None = None) -> Column:
@@ -38,7 +37,8 @@ def floor_ms(time_us: Column, dtype: DataType | None = None) -> Column:
     """
     if isinstance(dtype, (DoubleType, FloatType)):
         q = time_us.try_cast("double") / F.lit(1000.0)
-        return F.when(F.abs(q) < F.lit(_BIGINT_LIMIT), F.floor(q)).cast("bigint")
+        # doubles from -2^63 up to, but not including, 2^63 are BIGINTs
+        return F.when((q >= F.lit(-(2.0 ** 63))) & (q < F.lit(2.0 ** 63)), F.floor(q)).try_cast("bigint")
     d = time_us.try_cast("decimal(38,0)")
     return F.floor(d / F.lit(1000)).try_cast("bigint")
 
@@ -48,13 +48,6 @@ def ts_to_epoch_us(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", _epoch(), ts.cast("timestamp_ntz"))
 
 
-def epoch_us_to_ts(us: Column) -> Column:
-    """Epoch microseconds -> TIMESTAMP_NTZ; NULL outside the timestamp range."""
-    ms = floor_ms(us)
-    return F.when(ms.between(MIN_MS, MAX_MS),
-                  F.timestamp_add("MICROSECOND", us.try_cast("bigint"), _epoch()))
-
-
 def epoch_ms_to_ts(ms: Column) -> Column:
     """P5: epoch milliseconds -> TIMESTAMP_NTZ (millisecond precision); NULL out of range."""
     m = F.floor(ms.try_cast("double"))
@@ -63,8 +56,9 @@ def epoch_ms_to_ts(ms: Column) -> Column:
 
 
 def ingest_time() -> Column:
-    """Wall-clock UTC at query start as TIMESTAMP_NTZ (one value per query)."""
-    return F.current_timestamp().cast("timestamp_ntz")
+    """Wall-clock UTC at query start as TIMESTAMP_NTZ (one value per query), whatever the
+    session's time zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(F.current_timestamp()), _epoch())
 
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")

@@ -1,7 +1,7 @@
 """DataFrame operators: guards, filters, flatten, derived columns, schema, reports."""
 
 from eventlake.operators.guards import (
-    classify, split_valid, parse_strict, guard_size, guard_utf8, guard_time_us, guard_object,
+    classify, guard_size, guard_utf8, guard_time_us, guard_object,
     MAX_MESSAGE_BYTES, REASONS,
 )
 from eventlake.operators.filters import wanted_collections, lake_slice, capture, DEFAULT_WANTED
@@ -11,18 +11,18 @@ from eventlake.operators.derive import (
     DEFAULT_PATHS, DECLARED_COLUMNS,
 )
 from eventlake.operators.schema import (
-    infer_event_schema, infer_raw, conform, merge_schemas, evolve_for_append, SchemaConflict,
+    infer_raw, normalize, conform, merge_schemas, evolve_frame,
 )
 from eventlake.operators.reports import (
     top_accounts, event_counters, reason_counts, histogram, current_lag, lake_inventory,
 )
 
 __all__ = [
-    "classify", "split_valid", "parse_strict", "guard_size", "guard_utf8", "guard_time_us",
+    "classify", "guard_size", "guard_utf8", "guard_time_us",
     "guard_object", "MAX_MESSAGE_BYTES", "REASONS", "wanted_collections", "lake_slice", "capture",
     "DEFAULT_WANTED", "flatten", "flatten_columns", "flattened_schema", "with_event_ms",
     "with_epoch_timestamps", "with_partitions", "with_lag", "project_event", "DEFAULT_PATHS",
-    "DECLARED_COLUMNS", "infer_event_schema", "infer_raw", "conform", "merge_schemas",
-    "evolve_for_append", "SchemaConflict", "top_accounts", "event_counters", "reason_counts",
+    "DECLARED_COLUMNS", "infer_raw", "normalize", "conform", "merge_schemas",
+    "evolve_frame", "top_accounts", "event_counters", "reason_counts",
     "histogram", "current_lag", "lake_inventory",
 ]

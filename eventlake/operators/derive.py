@@ -11,6 +11,7 @@ from eventlake.functions.timecols import (
     DEFAULT_TEMPLATE, epoch_ms_to_ts, floor_ms, ingest_time, lag_seconds, partition_columns,
     template_columns,
 )
+from eventlake.session import conf_scope
 
 EVENT_MS = "event_timestamp_ms"
 
@@ -22,6 +23,24 @@ def _dtype(df: DataFrame, name: str):
     return None
 
 
+def _aside(df: DataFrame, names, but: str | None = None) -> DataFrame:
+    """Renames columns that equal one of ``names`` up to case (``but`` itself stays) by
+    trailing underscores: Spark would take them for the same column."""
+    wanted, taken = {n.lower() for n in names}, {c.lower() for c in df.columns} | {n.lower() for n in names}
+    renamed = {}
+    for c in df.columns:
+        if c.lower() in wanted and c != but:
+            new = c + "_"
+            while new.lower() in taken:
+                new += "_"
+            taken.add(new.lower())
+            renamed[c] = new
+    if not renamed:
+        return df
+    with conf_scope(df.sparkSession, **{"spark.sql.caseSensitive": "true"}):
+        return df.select(*[F.col("`" + c.replace("`", "``") + "`").alias(renamed.get(c, c)) for c in df.columns])
+
+
 def with_event_ms(df: DataFrame, time_col: str = "time_us", out: str = EVENT_MS) -> DataFrame:
     """``event_timestamp_ms = floor(time_us / 1000)`` where ``time_us`` is present.
 
@@ -30,6 +49,7 @@ def with_event_ms(df: DataFrame, time_col: str = "time_us", out: str = EVENT_MS)
     overwrites a carried key.
     """
     tdt = _dtype(df, time_col)
+    df = _aside(df, [out], but=out)
     if tdt is None:
         if _dtype(df, out) is None:
             return df.withColumn(out, F.lit(None).cast("bigint"))
@@ -70,27 +90,17 @@ def with_partitions(df: DataFrame, ts: Column | str | None = None,
     """
     if ts is None:
         tcol = ingest_time()
-    elif isinstance(ts, str):
-        tcol = F.col(ts)
     else:
         tcol = ts
-    for n in template_columns(template):
-        if n in df.columns:
-            # An event key with a partition column's name keeps its value under
-            # ``name_`` (more underscores if that is taken too); nothing is dropped.
-            new = n + "_"
-            while new in df.columns:
-                new += "_"
-            df = df.withColumnRenamed(n, new)
-            if isinstance(ts, str) and ts == n:
-                tcol = F.col(new)
+    # An event key with a partition column's name, in any case, keeps its value under
+    # ``name_`` (more underscores if that is taken too); nothing is dropped.
+    before = df.columns
+    df = _aside(df, template_columns(template))
+    if isinstance(ts, str):
+        tcol = F.col("`" + df.columns[before.index(ts)].replace("`", "``") + "`")
     return df.select("*", *partition_columns(tcol, template))
 
 
-def event_time_from_ms(ms: str = EVENT_MS) -> Column:
-    return epoch_ms_to_ts(F.col(ms))
-
-
 def with_lag(df: DataFrame, now_us=None, time_col: str = "time_us") -> DataFrame:
     """``lag_seconds`` = (now - time_us) / 1e6 where ``time_us`` is present."""
     if _dtype(df, time_col) is None:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.functions.timecols import format_field
+from eventlake.functions.timecols import DEFAULT_TEMPLATE, format_field
 
 # Fixed value: the reference's default wanted-collections list.
 DEFAULT_WANTED = ("app.bsky.feed.post,app.bsky.feed.like,app.bsky.feed.repost,"
@@ -35,16 +37,32 @@ def wanted_collections(df: DataFrame, spec: str | None = DEFAULT_WANTED,
     return df.filter(c.isNull() | c.isin(wanted))
 
 
-def lake_slice(df: DataFrame, year=None, month=None, day=None, hour=None) -> DataFrame:
-    """equality on the string partition columns -> ``PartitionFilters``.
+def lake_slice(df: DataFrame, year=None, month=None, day=None, hour=None, template: str = DEFAULT_TEMPLATE) -> DataFrame:
+    """conditions on the string partition columns of ``template`` -> ``PartitionFilters``.
+
+    A segment whose fields are all given is an equality on its whole text. One that has other
+    fields too is matched around the given ones; a field that no segment holds cannot be
+    sliced by and raises.
 
     On a lake opened at its root Spark still lists every folder before pruning;
     ``sources.lake.open_lake_slice`` also narrows the listing to the folder prefix.
     """
-    cond = F.lit(True)
-    for name, val in (("year", year), ("month", month), ("day", day), ("hour", hour)):
-        if val is not None:
-            cond = cond & (F.col(name) == F.lit(format_field(name, val)))
+    given = {n: format_field(n, v) for n, v in (("year", year), ("month", month), ("day", day), ("hour", hour)) if v is not None}
+    cond, used = F.lit(True), set()
+    for segment in template.strip("/").split("/"):
+        name, form = segment.split("=", 1)
+        fields = re.findall(r"\{(\w+)\}", form)
+        if not given.keys() & set(fields):
+            continue
+        used |= given.keys() & set(fields)
+        if given.keys() >= set(fields):
+            cond = cond & (F.col(f"`{name}`") == F.lit(form.format(**given)))
+        else:
+            parts = re.split(r"\{(\w+)\}", form)
+            pattern = "".join(("\\d+" if p not in given else given[p]) if i % 2 else f"\\Q{p}\\E" if p else "" for i, p in enumerate(parts))
+            cond = cond & F.col(f"`{name}`").rlike(f"^{pattern}$")
+    if missing := given.keys() - used:
+        raise ValueError(f"the template {template!r} has no field for {sorted(missing)}")
     return df.filter(cond)
 
 

@@ -16,14 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.jsonvalue import (
-    get_path, is_object, strict_parse, strict_parts, strict_value, variant_kind,
+    get_path, is_object, strict_parts, strict_value, variant_kind,
 )
 
 # Guard limits and reason labels.
 MAX_MESSAGE_BYTES = 10 * 1024 * 1024
 REASONS = ("oversize", "bad_utf8", "bad_json", "not_object", "bad_time_us")
 
-# JSON paths that flatten to the ``time_us`` column and so must hold a number.
+# JSON paths that flatten to the ``time_us`` column and so must hold a number. Empty keys
+# give any number of further ones; ``plans.ingest.prepare`` takes those from the schema.
 TIME_US_PATHS = (("time_us",), ("time", "us"))
 
 
@@ -37,14 +38,14 @@ def guard_utf8(value: Column) -> Column:
     return F.call_function("is_valid_utf8", value.cast("string"))
 
 
-def guard_time_us(v: Column) -> Column:
+def guard_time_us(v: Column, paths=TIME_US_PATHS) -> Column:
     """``time_us`` must be a number when present (absent or an object is fine).
 
     An explicit null, a string, a list or a boolean would fail the ms
     derivation, so the record is rejected; absence just means no derived column.
     """
     ok = F.lit(True)
-    for path in TIME_US_PATHS:
+    for path in paths:
         k = variant_kind(get_path(v, path))
         ok = ok & (k.isNull() | k.isin("number", "object"))
     return ok
@@ -59,7 +60,8 @@ def guard_object(v: Column) -> Column:
     return is_object(v)
 
 
-def classify(df: DataFrame, value: str = "value", max_bytes: int = MAX_MESSAGE_BYTES) -> DataFrame:
+def classify(df: DataFrame, value: str = "value", max_bytes: int = MAX_MESSAGE_BYTES,
+             time_paths=TIME_US_PATHS) -> DataFrame:
     """Add ``v`` (VARIANT) and ``reason`` to raw records in column ``value``.
 
     ``v`` is the parsed value where the text is one JSON value; use it only
@@ -70,7 +72,7 @@ def classify(df: DataFrame, value: str = "value", max_bytes: int = MAX_MESSAGE_B
     per record (instead of three times when inlined).
     """
     from eventlake.session import configure_session
-    configure_session(df.sparkSession)  # last duplicate key wins, UTC
+    configure_session(df.sparkSession)  # last duplicate key wins
     raw = F.col(value)
     text = raw.cast("string")
     size_ok = guard_size(raw, max_bytes)
@@ -87,18 +89,5 @@ def classify(df: DataFrame, value: str = "value", max_bytes: int = MAX_MESSAGE_B
               .when(~utf8_ok, "bad_utf8")
               .when(pv.isNull(), "bad_json")
               .when(~guard_object(pv), "not_object")
-              .when(~guard_time_us(pv), "bad_time_us"))
+              .when(~guard_time_us(pv, time_paths), "bad_time_us"))
     return parsed.withColumn("reason", reason)
-
-
-def split_valid(df: DataFrame, value: str = "value", max_bytes: int = MAX_MESSAGE_BYTES):
-    """(good, bad). ``good`` keeps ``v``; ``bad`` keeps the raw value and ``reason``."""
-    c = classify(df, value, max_bytes)
-    good = c.filter(F.col("reason").isNull()).drop("reason")
-    bad = c.filter(F.col("reason").isNotNull()).drop("v")
-    return good, bad
-
-
-def parse_strict(df: DataFrame, value: str = "value") -> DataFrame:
-    """G3 alone: add ``v`` = strict parse of the text (NULL when not exactly one JSON value)."""
-    return df.withColumn("v", strict_parse(F.col(value).cast("string")))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.functions.timecols import lag_seconds
+from eventlake.functions.timecols import DEFAULT_TEMPLATE, lag_seconds, template_columns
 
 # Default histogram buckets of the Prometheus client library.
 DEFAULT_BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
@@ -30,15 +30,16 @@ def top_accounts(df: DataFrame, n: int = 10, keys=("did", "event_type")) -> Data
 def event_counters(classified: DataFrame) -> DataFrame:
     """A2: pipeline counters from guarded records (one row).
 
-    ``received`` every record, ``produced`` those forwarded as valid JSON (the
-    ingest side forwards what parses), ``consumed`` = produced, ``written``
-    records that pass every guard, ``errors`` the rest.
+    ``received`` every record that arrives, ``produced`` those forwarded as valid JSON
+    (the ingest side forwards what parses), ``consumed`` every record that a worker reads
+    here, whether it parses or not (as in ``streaming.ingest``), ``written`` records that
+    pass every guard, ``errors`` the rest.
     """
     r = F.col("reason")
     return classified.agg(
         F.count(F.lit(1)).alias("received"),
         F.count_if(r.isNull() | ~r.isin("oversize", "bad_utf8", "bad_json")).alias("produced"),
-        F.count_if(r.isNull() | ~r.isin("oversize", "bad_utf8", "bad_json")).alias("consumed"),
+        F.count(F.lit(1)).alias("consumed"),
         F.count_if(r.isNull()).alias("written"),
         F.count_if(r.isNotNull()).alias("errors"),
     )
@@ -80,9 +81,9 @@ def current_lag(df: DataFrame, now_us=None, time_col: str = "time_us") -> DataFr
     return newest.select("newest_us", lag_seconds(F.col("newest_us"), now_us))
 
 
-def lake_inventory(lake: DataFrame, partition_cols=("year", "month", "day", "hour")) -> DataFrame:
+def lake_inventory(lake: DataFrame, template: str = DEFAULT_TEMPLATE) -> DataFrame:
     """A5: one row per file — partition values, rows and bytes (from ``_metadata``)."""
-    parts = [c for c in partition_cols if c in lake.columns]
+    parts = template_columns(template)
     return (lake.select(*parts, F.col("_metadata.file_path").alias("file_path"),
                         F.col("_metadata.file_size").alias("file_size"))
             .groupBy("file_path", *parts)

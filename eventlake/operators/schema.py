@@ -17,7 +17,7 @@ Types are widened so every file of the lake gets the same, stable types:
 inferred                stored
 =====================  ============================================
 BIGINT                  BIGINT
-DECIMAL(p,0), p <= 18   BIGINT
+DECIMAL(p,0), p <= 18   DOUBLE (a number written with a fraction mark, as 1.0)
 DECIMAL(p,0), p > 18    STRING (JSON text of the number)
 DECIMAL(p,s>0), FLOAT   DOUBLE
 VOID (only nulls)       STRING
@@ -30,8 +30,6 @@ ARRAY<OBJECT<>>         ARRAY<STRING>
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -43,11 +41,8 @@ from pyspark.sql.types import (
 from eventlake.functions.jsonvalue import get_path, is_null_value, is_object
 
 SCALAR_KEY = "eventlake.scalar"
-MAX_ROUNDS = 32
-
-
-class SchemaConflict(ValueError):
-    """A batch cannot be appended without changing a stored column's type."""
+ALT_KEY = "eventlake.alt_of"
+NAME_KEY = "eventlake.key"  # on a column that could not be named like its event key
 
 
 # ---------------------------------------------------------------------------
@@ -100,7 +95,8 @@ def _scalar(dt: DataType, in_array: bool) -> DataType | None:
         return StringType()
     if isinstance(dt, DecimalType):
         if dt.scale == 0:
-            return LongType() if dt.precision <= 18 else StringType()
+            # whole numbers in BIGINT range are inferred as BIGINT, so a short decimal had a mark
+            return DoubleType() if dt.precision <= 18 else StringType()
         return DoubleType()
     if isinstance(dt, (FloatType, DoubleType)):
         return DoubleType()
@@ -298,10 +294,7 @@ def infer_raw(df: DataFrame, v: str = "v", initial: StructType | None = None) ->
         st = initial
     if not isinstance(st, StructType):
         return StructType([])
-    for _ in range(MAX_ROUNDS):
-        paths = _variant_paths(st)
-        if not paths:
-            break
+    while paths := _variant_paths(st):  # each round settles one level; nesting is finite
         aggs = {}
         for i, p in enumerate(paths):
             x, many = _values(vcol, p)
@@ -328,12 +321,6 @@ def infer_raw(df: DataFrame, v: str = "v", initial: StructType | None = None) ->
     return st
 
 
-def infer_event_schema(df: DataFrame, v: str = "v") -> StructType:
-    """Stable, widened union-of-keys schema of the objects in column ``v``."""
-    st = normalize(infer_raw(df, v))
-    return st if st is not None else StructType([])
-
-
 def scalar_type(f: StructField) -> DataType | None:
     meta = f.metadata or {}
     if SCALAR_KEY not in meta:
@@ -352,28 +339,38 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     schema to lose nothing).
     """
     have = {f.name: f.dataType for f in df.schema.fields}
-    cols = []
-    for f in schema.fields:
-        if f.name in have:
-            c = F.col(f"`{f.name}`")
-            if have[f.name] != f.dataType:
-                c = _cast_into(c, have[f.name], f.dataType)
-            cols.append(c.alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
-
-
-def _cast_into(c: Column, src: DataType, dst: DataType) -> Column:
-    """Cast that never fails a job: JSON text for nested -> STRING, else NULL when invalid."""
-    if isinstance(dst, StringType) and isinstance(src, (StructType, ArrayType)):
-        return F.to_json(c)
+    return df.select(*[(cast_into(_named(f.name), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+                       for f in schema.fields])
+
+
+def _named(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def cast_into(c: Column, src: DataType, dst: DataType, same_kind: bool = False) -> Column:
+    """Cast that never fails a job. Structs are rebuilt by field name (missing ones NULL),
+    lists element by element, nested values become JSON text where text is wanted; what
+    does not fit is NULL. With ``same_kind`` text or a truth value is no number, nor the
+    reverse."""
+    if src == dst:
+        return c
+    if isinstance(src, NullType):
+        return F.lit(None).cast(dst)
+    nested = isinstance(src, (StructType, ArrayType))
+    if isinstance(dst, StringType):
+        return F.to_json(c) if nested else c.cast("string")
+    if isinstance(src, ArrayType) and isinstance(dst, ArrayType):
+        return F.transform(c, lambda x: cast_into(x, src.elementType, dst.elementType, same_kind))
+    if isinstance(src, StructType) and isinstance(dst, StructType):
+        have = {f.name: f.dataType for f in src.fields}
+        return F.when(c.isNotNull(), F.struct(*[
+            (cast_into(c.getField(f.name), have[f.name], f.dataType, same_kind) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in dst.fields]))
+    if nested or isinstance(dst, (StructType, ArrayType)) or same_kind and not (type(src) in _NUM_RANK and type(dst) in _NUM_RANK):
+        return F.lit(None).cast(dst)
     return c.try_cast(dst)
 
 
-safe_cast = _cast_into
-
-
 # ---------------------------------------------------------------------------
 # C3
 
@@ -397,52 +394,93 @@ def widen_type(a: DataType, b: DataType) -> DataType:
     return StringType()
 
 
-def merge_schemas(a: StructType, b: StructType) -> StructType:
-    """Union of fields; first-seen order; conflicting types widened."""
-    bmap = {f.name: f for f in b.fields}
-    fields = []
-    for f in a.fields:
-        if f.name in bmap:
-            fields.append(StructField(f.name, widen_type(f.dataType, bmap[f.name].dataType), True))
-        else:
-            fields.append(StructField(f.name, f.dataType, True))
+def _union(a: StructType, b: StructType, both) -> StructType:
+    """Fields of ``a``, then the further ones of ``b``; ``both`` settles a shared one's type."""
+    other = {f.name: f for f in b.fields}
+    fields = [StructField(f.name, both(f.dataType, other[f.name].dataType) if f.name in other else f.dataType, True, f.metadata) for f in a.fields]
     names = {f.name for f in a.fields}
-    fields.extend(StructField(f.name, f.dataType, True) for f in b.fields if f.name not in names)
-    return StructType(fields)
+    return StructType(fields + [StructField(f.name, f.dataType, True, f.metadata) for f in b.fields if f.name not in names])
 
 
-def evolve_for_append(stored: StructType | None, batch: StructType,
-                      partition_cols: list[str] = ()) -> StructType:
-    """Schema the new batch is written with so the lake stays readable as one table.
-
-    Parquet readers do not widen a column's physical type across files, so a
-    stored column keeps its type: new values are cast into it when lossless
-    (BIGINT into DOUBLE, anything into STRING); a narrower stored type that
-    would have to change raises ``SchemaConflict``.
-    """
-    if stored is None:
-        return batch
-    smap = {f.name: f.dataType for f in stored.fields}
-    out = []
-    for f in batch.fields:
-        if f.name in partition_cols or f.name not in smap:
-            out.append(f)
+def merge_schemas(a: StructType, b: StructType) -> StructType:
+    """Union of fields; first-seen order; conflicting types widened."""
+    return _union(a, b, widen_type)
+
+
+def evolve_type(stored: DataType, new: DataType) -> DataType:
+    """Type of a stored column after a batch of type ``new``. Parquet files do not change
+    their types, so a scalar stays what it is; structs, also inside lists, gain fields (older
+    files read NULL there)."""
+    if isinstance(stored, NullType):
+        return new
+    if isinstance(stored, StructType) and isinstance(new, StructType):
+        return _union(stored, new, evolve_type)
+    if isinstance(stored, ArrayType) and isinstance(new, ArrayType):
+        return ArrayType(evolve_type(stored.elementType, new.elementType), True)
+    return stored
+
+
+def holds_all(src: DataType, dst: DataType) -> bool:
+    """Whether every value of ``src`` survives ``cast_into`` to ``dst``."""
+    if src == dst or isinstance(src, NullType) or isinstance(dst, StringType):
+        return True
+    if isinstance(src, ArrayType) and isinstance(dst, ArrayType):
+        return holds_all(src.elementType, dst.elementType)
+    if isinstance(src, StructType) and isinstance(dst, StructType):
+        to = {f.name: f.dataType for f in dst.fields}
+        return all(f.name in to and holds_all(f.dataType, to[f.name]) for f in src.fields)
+    return False
+
+
+def _lake_names(columns: list[str], stored: StructType, partition_cols) -> dict[str, str]:
+    """Name in the lake of each event column. Names that differ only by case would be one
+    column to Spark by default, so a later one gets trailing underscores, and its metadata
+    keeps the key; a column known to the lake keeps its name."""
+    key_of = {f.name: (f.metadata or {}).get(NAME_KEY, None if ALT_KEY in (f.metadata or {}) else f.name) for f in stored.fields}
+    known = {key: name for name, key in key_of.items() if key is not None}
+    names = {c: c if c in partition_cols else known[c] for c in columns if c in partition_cols or c in known}
+    taken = {n.lower() for n in [*key_of, *partition_cols]}
+    for c in columns:
+        if c not in names:
+            names[c] = c
+            while names[c].lower() in taken:
+                names[c] += "_"
+            taken.add(names[c].lower())
+    return names
+
+
+def evolve_frame(df: DataFrame, stored: StructType | None, partition_cols: list[str] = ()) -> tuple[DataFrame, StructType]:
+    """(``df`` as it can be appended, schema of the lake afterwards). No batch is refused
+    and no value lost: each stored column keeps its type, gains new fields inside structs,
+    and takes the values that survive the cast whole; the others are NULL there and go as
+    text (JSON for lists) to a column beside it, ``<name>__alt``, whose metadata names the
+    column it belongs to. Columns that differ only by case are told apart
+    (``_lake_names``); ``df`` is read in the scope of ``flatten.case_scope``."""
+    stored = stored if stored is not None else StructType([])
+    old = {f.name: f.dataType for f in stored.fields}
+    names = _lake_names(df.columns, stored, partition_cols)
+    alts = {(f.metadata or {}).get(ALT_KEY): f.name for f in stored.fields}
+    taken = {n.lower() for n in [*old, *names.values()]}
+    cols, fields = [], []
+    for f in df.schema.fields:
+        c, name = _named(f.name), names[f.name]
+        if f.name in partition_cols:
+            cols.append(c)
             continue
-        old = smap[f.name]
-        if old == f.dataType or isinstance(f.dataType, NullType):
-            out.append(StructField(f.name, old, True))
-        elif widen_type(old, f.dataType) == old:
-            out.append(StructField(f.name, old, True))
-        else:
-            raise SchemaConflict(
-                f"column {f.name!r}: stored {old.simpleString()}, batch {f.dataType.simpleString()}; "
-                "pin the schema (conform) or re-ingest with a widened schema")
-    return StructType(out)
-
-
-def schema_to_json(st: StructType) -> str:
-    return st.json()
-
-
-def schema_from_json(text: str) -> StructType:
-    return StructType.fromJson(json.loads(text))
+        meta = {NAME_KEY: f.name} if name != f.name else {}
+        to = evolve_type(old[name], f.dataType) if name in old else f.dataType
+        value = cast_into(c, f.dataType, to, same_kind=True)
+        fields.append(StructField(name, to, True, meta))
+        if holds_all(f.dataType, to):
+            cols.append(value.alias(name, metadata=meta))
+            continue
+        alt = alts.get(name, name + "__alt")
+        while name not in alts and alt.lower() in taken:
+            alt += "_"
+        taken.add(alt.lower())
+        kept = cast_into(value, to, f.dataType).eqNullSafe(c)
+        cols.append(F.when(kept, value).alias(name, metadata=meta))
+        cols.append(F.when(c.isNotNull() & ~kept, cast_into(c, f.dataType, StringType())).alias(alt, metadata={ALT_KEY: name}))
+        fields.append(StructField(alt, StringType(), True, {ALT_KEY: name}))
+    # ``fields`` hold the settled types already
+    return df.select(*cols), _union(stored, StructType(fields), lambda _, settled: settled)

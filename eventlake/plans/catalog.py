@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from eventlake.functions.jsonvalue import get_path, strict_parse
-from eventlake.functions.timecols import epoch_ms_to_ts
+from eventlake.functions.timecols import epoch_ms_to_ts, ts_to_epoch_us
 from eventlake.operators import derive, filters, guards, reports, schema as sch
 from eventlake.plans import fixtures as fx
 from eventlake.plans.ingest import flatten_events, ingest_batch, ingest_declared, prepare
@@ -32,7 +32,7 @@ COLLECTED_MS = 1735689600000       # collection time given to the declared model
 SLICE = dict(year=2024, month=1, day=15, hour=14)
 WANTED_SPEC = " app.bsky.feed.post , app.bsky.feed.like,"
 HIST_BUCKETS = (1.0, 5.0, 10.0, 25.0, 50.0, 100.0, 250.0)
-BOUNDED_ROWS = 100
+BOUNDED_ROWS = 5  # fewer than an hour holds, so the bound binds
 
 
 # ---------------------------------------------------------------------------
@@ -104,7 +104,7 @@ def _nonnull_report(df: DataFrame, with_types: bool) -> DataFrame:
 
 
 def s1_jsonl_source(spark, sf):
-    """Padded lines and extra whitespace-only lines; every event read once."""
+    """Padded lines, whitespace-only lines and lines that are not JSON; every event read once."""
     e = fx.env(_events(spark, sf))
     r = F.pmod(F.col("event_id"), F.lit(7))
     deco = (F.when(r == 0, F.concat(F.lit(" \t"), F.col("value"), F.lit("  ")))
@@ -134,14 +134,19 @@ def k1_write_lake(spark, sf):
 
 
 def s3_lake_scan(spark, sf):
-    return (open_lake_slice(spark, _env_lake(spark, sf), year=2024, month=1)
-            .groupBy("day", "kind").agg(F.count(F.lit(1)).alias("n")))
+    return (open_lake_slice(spark, _env_lake(spark, sf), year=2024, month=1, day=SLICE["day"])
+            .groupBy("hour", "kind").agg(F.count(F.lit(1)).alias("n")))
 
 
 def k2_bounded_files(spark, sf):
     lake = open_lake(spark, _env_lake(spark, sf, max_rows=BOUNDED_ROWS))
     inv = reports.lake_inventory(lake)
-    return inv.agg((F.max("rows") <= BOUNDED_ROWS).alias("bounded"), F.sum("rows").alias("total"))
+    per_folder = inv.groupBy("year", "month", "day", "hour").agg(
+        F.max("rows").alias("most"), F.sum("rows").alias("rows"), F.count("*").alias("files"))
+    least = F.ceil(F.col("rows") / BOUNDED_ROWS)
+    return per_folder.agg((F.max("most") <= BOUNDED_ROWS).alias("bounded"), F.sum("rows").alias("total"),
+                          F.count("*").alias("folders"), F.sum(least).alias("least_files"),
+                          F.bool_and(F.col("files") >= least).alias("enough"))
 
 
 def k3_kafka_frame(spark, sf):
@@ -387,6 +392,163 @@ def a5_inventory(spark, sf):
     return inv.groupBy("year", "month", "day", "hour").agg(F.sum("rows").alias("rows"))
 
 
+# ---------------------------------------------------------------------------
+# drift, odd keys, one writer per lake, nothing dropped unseen
+
+
+def _json_object(**fields) -> "F.Column":
+    """JSON text of an object; values are columns of JSON text."""
+    items = [x for k, v in fields.items() for x in (F.lit(f'"{k}":'), v, F.lit(","))][:-1]
+    return F.concat(F.lit("{"), *items, F.lit("}"))
+
+
+def _as_value(df: DataFrame, text) -> DataFrame:
+    return df.select(text.cast("binary").alias("value"))
+
+
+def c3_evolve_nested(spark, sf):
+    """C3 over three batches that drift: list elements with a new and with a missing key, an
+    empty list before objects and numbers, whole numbers before fractions and the reverse, and an
+    odd ``time_us``. Every value is read back."""
+    ev, conv = _events(spark, sf), fx.load(spark, sf, "conversations")
+    k = F.get_json_object("props", "$.k")
+    us, num = ts_to_epoch_us(F.col("ts")).cast("string"), F.col("event_id").cast("string")
+    odd = F.when(F.pmod("event_id", F.lit(1000)) == 0, F.lit("7.5")).otherwise(us)
+    turn = F.col("turn").cast("string")
+    batches = (
+        _as_value(ev, _json_object(time_us=us, b=F.lit("1"), l=F.concat(F.lit('[{"a":'), k, F.lit("}]")), e=F.lit("[]"), n=F.lit("1.0"), w=num)),
+        _as_value(ev, _json_object(time_us=odd, b=F.lit("2"), l=F.concat(F.lit('[{"a":1,"b":'), k, F.lit('},{"b":1}]')),
+                                   e=F.concat(F.lit('[{"x":'), k, F.lit("}]")), n=F.lit("1.5"), w=F.concat(num, F.lit(".5")))),
+        _as_value(conv, _json_object(b=F.lit("3"), l=F.concat(F.lit('[{"c":"t'), turn, F.lit('"}]')), e=F.concat(F.lit("["), turn, F.lit("]")),
+                                     n=F.lit("2"), w=F.lit('"text"'))))
+    path = scratch_path(spark, "c3-nested")
+    for batch in batches:
+        ingest_batch(batch, path, ts="event")
+    items = F.col("l")
+    total = lambda name: F.aggregate(items, F.lit(0).cast("long"), lambda t, x: t + F.coalesce(x[name], F.lit(0)))
+    lake = open_lake(spark, path)
+    return lake.groupBy("b").agg(
+        F.count("*").alias("n_rows"), F.sum(total("a")).alias("sum_a"), F.sum(total("b")).alias("sum_b"),
+        F.sum(F.size(F.filter(items, lambda x: x["c"].startswith("t")))).alias("n_c"),
+        F.sum(F.size("e")).alias("n_e"), 
+        F.sum(F.when(F.size("e") > 0, F.get_json_object(F.try_element_at("e", F.lit(1)), "$.x").cast("long"))).alias("sum_x"),
+        F.sum((F.col("n") * 2).cast("long")).alias("twice_n"), F.count("w").alias("n_w"), F.count("w__alt").alias("n_w_alt"),
+        F.sum(F.col("w__alt").try_cast("double").cast("long")).alias("sum_w_alt"),
+        F.count("time_us").alias("n_time"), F.count("time_us__alt").alias("n_time_alt"))
+
+
+def p1_hostile_keys(spark, sf):
+    """Keys with quotes, a backslash and a backtick, an empty key, and keys named like
+    derived columns, written to a lake and read back."""
+    ev, num = _events(spark, sf), F.col("event_id").cast("string")
+    text = _json_object(**{"q'\\\"z": num, "back\\\\slash": num, "tick`": num, "dot.ted key[0]": num, "${v}": num, "Hour": num,
+                           "Event_Timestamp_Ms": num, "__raw_event": F.lit('"r"'), "raw_event": F.lit('"x"')}, time_us=ts_to_epoch_us(F.col("ts")).cast("string"))
+    text = F.concat(F.regexp_replace(text, r"\}$", ""), F.lit(',"":{"e":'), num, F.lit("}}"))
+    path = scratch_path(spark, "p1-hostile")
+    ingest_batch(_as_value(ev, text), path, ts="event", keep_raw=True)
+    c = lambda name: F.col("`" + name.replace("`", "``") + "`")
+    return open_lake(spark, path).select(
+        c("q'\"z").alias("quotes"), c("back\\slash").alias("backslash"), c("tick`").alias("backtick"), c("dot.ted key[0]").alias("dotted"),
+        c("${v}").alias("variable"), c("e").alias("below_empty"), c("Hour_").alias("hour_key"), c("Event_Timestamp_Ms_").alias("ms_key"),
+        c("__raw_event").alias("raw_key"), c("raw_event").alias("raw_key_2"), (F.octet_length("_raw_event") > 0).alias("has_bytes"),
+        "event_timestamp_ms", "hour")
+
+
+def p1_case_pairs(spark, sf):
+    """Keys that differ only by case stay columns of their own; the session's setting does not change."""
+    from eventlake.session import conf_scope
+    num = F.col("event_id").cast("string")
+    flat = _flat(_as_value(_events(spark, sf), _json_object(aB=num, ab=F.concat(num, F.lit("0")))))
+    with conf_scope(spark, **{"spark.sql.caseSensitive": "true"}):
+        return flat.select(F.col("aB").alias("upper"), F.col("ab").alias("lower"))
+
+
+def p5_ingest(spark, sf):
+    """P5 in the ingest: epoch-millisecond keys come back from the lake as timestamps."""
+    ms = F.floor(ts_to_epoch_us(F.col("ts")) / 1000).cast("string")
+    path = scratch_path(spark, "p5-lake")
+    ingest_batch(_as_value(_events(spark, sf), _json_object(id=F.col("event_id").cast("string"), event_timestamp=ms, collection_timestamp=ms)), path)
+    lake = open_lake(spark, path)
+    return lake.select(F.col("id").alias("event_id"), "event_timestamp", "collection_timestamp",
+                       F.lit(lake.schema["event_timestamp"].dataType.simpleString()).alias("stored_as"))
+
+
+def f1_ingest(spark, sf):
+    """F1 in the ingest: the lake holds only wanted collections and events without one."""
+    path = scratch_path(spark, "f1-lake")
+    res = ingest_batch(_env_raw(spark, sf), path, ts="event", wanted=WANTED_SPEC)
+    return open_lake(spark, path).groupBy("kind", "commit_collection").agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("written", F.lit(res.written).cast("long"))
+
+
+def _edge_declared(spark, sf) -> tuple[str, str]:
+    lake, bad = scratch_path(spark, "edge-lake"), scratch_path(spark, "edge-quarantine")
+    ingest_declared(_edge_lines(spark, sf), lake, collected_ms=COLLECTED_MS, max_bytes=fx.EDGE_MAX_BYTES, quarantine_path=bad)
+    return lake, bad
+
+
+def a1_edge_accounts(spark, sf):
+    """The flagship over input with bad records: they are left out of the lake ..."""
+    return reports.top_accounts(open_lake(spark, _edge_declared(spark, sf)[0]), 10)
+
+
+def a1_edge_quarantine(spark, sf):
+    """... and are found in its quarantine."""
+    return spark.read.parquet(_edge_declared(spark, sf)[1]).groupBy("reason").agg(F.count("*").alias("n"), F.count("raw").alias("n_raw"))
+
+
+def _refused(start) -> bool:
+    from eventlake.sources.lake import LakeConflict
+    try:
+        start()
+    except LakeConflict:
+        return True
+    return False
+
+
+def _lake_counts(spark, path, **found):
+    """One row: rows by the lake, by its slices, and what was refused."""
+    zero = F.lit(0).cast("long")
+    whole = open_lake(spark, path).agg(F.count("*").alias("by_lake"), zero.alias("by_slice"))
+    part = open_lake_slice(spark, path, year=2024, month=1).agg(zero.alias("by_lake"), F.count("*").alias("by_slice"))
+    return whole.unionByName(part).agg(F.sum("by_lake").alias("by_lake"), F.sum("by_slice").alias("by_slice")) \
+        .select("by_lake", "by_slice", *[v.alias(k) for k, v in found.items()])
+
+
+def t2_batch_then_stream(spark, sf):
+    """A lake of batches refuses a stream, a streamed lake refuses batches; no row is hidden."""
+    from eventlake.streaming.ingest import ingest_stream
+    raw = _env_raw(spark, sf)
+    lake = _env_lake(spark, sf)
+    src = scratch_path(spark, "t2-src")
+    write_jsonl(fx.env(_events(spark, sf)).select("value"), src)
+    _, schema, _ = prepare(raw)
+    stream = read_jsonl(spark, src, streaming=True)
+    no_stream = _refused(lambda: ingest_stream(stream, lake, scratch_path(spark, "t2-ckpt"), schema, ts="event", trigger={"availableNow": True}))
+    streamed, _ = _stream_lake(spark, sf, [fx.env(_events(spark, sf))])
+    no_batch = _refused(lambda: ingest_batch(raw, streamed, ts="event"))
+    return _lake_counts(spark, lake, lake=F.lit("batch"), stream_refused=F.lit(no_stream), batch_refused=F.lit(False)) \
+        .unionByName(_lake_counts(spark, streamed, lake=F.lit("stream"), stream_refused=F.lit(False), batch_refused=F.lit(no_batch)))
+
+
+def t2_fresh_checkpoint(spark, sf):
+    """A new checkpoint on a streamed lake is refused; the old one goes on without loss."""
+    from eventlake.streaming.ingest import ingest_stream
+    ev = _events(spark, sf)
+    is_commit = F.col("event_type").isin(*fx.COLLECTION_OF)
+    lake, ckpt, src = (scratch_path(spark, n) for n in ("t2-lake", "t2-ckpt", "t2-src"))
+    _, schema, _ = prepare(_env_raw(spark, sf))
+    refused = False
+    for i, part in enumerate((ev.filter(is_commit), ev.filter(~is_commit))):
+        write_jsonl(fx.env(part).select("value"), f"{src}/run={i}")
+        stream = read_jsonl(spark, f"{src}/run=*", streaming=True)
+        start = lambda at: ingest_stream(stream, lake, at, schema, ts="event", trigger={"availableNow": True})  # noqa: B023, E731
+        refused = refused or i > 0 and _refused(lambda: start(scratch_path(spark, "t2-fresh")))  # noqa: B023
+        for q in start(ckpt):
+            q.awaitTermination()
+    return _lake_counts(spark, lake, fresh_refused=F.lit(refused))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s1_jsonl_source": s1_jsonl_source,
     "s3_lake_scan": s3_lake_scan,
@@ -423,6 +585,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a3_histogram": a3_histogram,
     "a4_lag": a4_lag,
     "a5_inventory": a5_inventory,
+    **{f.__name__: f for f in (
+        c3_evolve_nested, p1_hostile_keys, p1_case_pairs, p5_ingest, f1_ingest, a1_edge_accounts, a1_edge_quarantine,
+        t2_batch_then_stream, t2_fresh_checkpoint)},
 }
 
 
@@ -487,9 +652,12 @@ ORACLES: dict[str, str] = {
     "k4_jsonl_roundtrip": f"SELECT {_DID} AS did, {_US} AS time_us, {_KIND} AS kind FROM events",
     "k1_write_lake": f"SELECT {_Y} AS year, {_M} AS month, {_D} AS day, {_H} AS hour, count(*) AS n "
                      f"FROM events GROUP BY 1, 2, 3, 4",
-    "s3_lake_scan": f"SELECT {_D} AS day, {_KIND} AS kind, count(*) AS n FROM events "
-                    f"WHERE year(ts) = 2024 AND month(ts) = 1 GROUP BY 1, 2",
-    "k2_bounded_files": "SELECT true AS bounded, count(*) AS total FROM events",
+    "s3_lake_scan": f"SELECT {_H} AS hour, {_KIND} AS kind, count(*) AS n FROM events "
+                    f"WHERE year(ts) = 2024 AND month(ts) = 1 AND day(ts) = {SLICE['day']} GROUP BY 1, 2",
+    "k2_bounded_files": f"""
+        WITH h AS (SELECT count(*) AS n FROM events GROUP BY date_trunc('hour', ts))
+        SELECT true AS bounded, CAST(sum(n) AS BIGINT) AS total, count(*) AS folders,
+               CAST(sum(ceil(n / {BOUNDED_ROWS}.0)) AS BIGINT) AS least_files, true AS enough FROM h""",
     "k3_kafka_frame": f"SELECT true AS key_is_null, {_DID} AS did, {_US} AS time_us FROM events",
     "g1_utf8": f"SELECT {_R} <> 6 AS utf8_ok, count(*) AS n FROM events GROUP BY 1",
     "g3_strict_json": f"SELECT {_R} NOT IN (1, 2, 6) AS json_ok, count(*) AS n FROM events GROUP BY 1",
@@ -498,7 +666,7 @@ ORACLES: dict[str, str] = {
     "g4_quarantine": f"SELECT {_REASON} AS reason, count(*) AS n FROM events GROUP BY 1",
     "a2_counters": (f"SELECT count(*) AS received, "
                     f"count(*) FILTER (WHERE {_R} NOT IN (1, 2, 6, 8)) AS produced, "
-                    f"count(*) FILTER (WHERE {_R} NOT IN (1, 2, 6, 8)) AS consumed, "
+                    f"count(*) AS consumed, "
                     f"count(*) FILTER (WHERE {_REASON} = 'ok') AS written, "
                     f"count(*) FILTER (WHERE {_REASON} <> 'ok') AS errors FROM events"),
     "f1_wanted_collections": (f"SELECT {_KIND} AS kind, {_COLL} AS commit_collection, count(*) AS n "
@@ -563,4 +731,28 @@ ORACLES: dict[str, str] = {
     "a4_lag": f"SELECT max({_US}) AS newest_us, ({NOW_US} - max({_US})) / 1e6 AS lag_seconds FROM events",
     "a5_inventory": f"SELECT {_Y} AS year, {_M} AS month, {_D} AS day, {_H} AS hour, count(*) AS rows "
                     f"FROM events GROUP BY 1, 2, 3, 4",
+    "c3_evolve_nested": f"""
+        SELECT 1 AS b, count(*) AS n_rows, CAST(sum({_K}) AS BIGINT) AS sum_a, CAST(0 AS BIGINT) AS sum_b, CAST(0 AS BIGINT) AS n_c,
+               CAST(0 AS BIGINT) AS n_e, CAST(NULL AS BIGINT) AS sum_x, 2 * count(*) AS twice_n, count(*) AS n_w, CAST(0 AS BIGINT) AS n_w_alt,
+               CAST(NULL AS BIGINT) AS sum_w_alt, count(*) AS n_time, CAST(0 AS BIGINT) AS n_time_alt FROM events
+        UNION ALL
+        SELECT 2, count(*), count(*), CAST(sum({_K} + 1) AS BIGINT), 0, count(*), CAST(sum({_K}) AS BIGINT), 3 * count(*), 0, count(*),
+               CAST(sum(event_id) AS BIGINT), count(*) FILTER (WHERE event_id % 1000 <> 0), count(*) FILTER (WHERE event_id % 1000 = 0) FROM events
+        UNION ALL
+        SELECT 3, count(*), 0, 0, count(*), count(*), NULL, 4 * count(*), 0, count(*), NULL, 0, 0 FROM conversations""",
+    "p1_hostile_keys": f"""
+        SELECT event_id AS quotes, event_id AS backslash, event_id AS backtick, event_id AS dotted, event_id AS variable,
+               event_id AS below_empty, event_id AS hour_key, event_id AS ms_key, 'r' AS raw_key, 'x' AS raw_key_2, true AS has_bytes,
+               {_US} // 1000 AS event_timestamp_ms, {_H} AS hour FROM events""",
+    "p1_case_pairs": "SELECT event_id AS upper, event_id * 10 AS lower FROM events",
+    "p5_ingest": "SELECT event_id, date_trunc('millisecond', ts) AS event_timestamp, date_trunc('millisecond', ts) AS collection_timestamp, "
+                 "'timestamp_ntz' AS stored_as FROM events",
+    "f1_ingest": f"SELECT {_KIND} AS kind, {_COLL} AS commit_collection, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS written "
+                 f"FROM events WHERE event_type IN ('purchase', 'click', 'signup', 'error') GROUP BY 1, 2",
+    "a1_edge_accounts": f"SELECT {_DID} AS did, {_KIND} AS event_type, count(*) AS count FROM events WHERE {_REASON} = 'ok' "
+                        f"GROUP BY 1, 2 ORDER BY count DESC, did, event_type LIMIT 10",
+    "a1_edge_quarantine": f"SELECT {_REASON} AS reason, count(*) AS n, count(*) AS n_raw FROM events WHERE {_REASON} <> 'ok' GROUP BY 1",
+    "t2_batch_then_stream": "SELECT count(*) AS by_lake, count(*) AS by_slice, 'batch' AS lake, true AS stream_refused, false AS batch_refused FROM events "
+                            "UNION ALL SELECT count(*), count(*), 'stream', false, true FROM events",
+    "t2_fresh_checkpoint": "SELECT count(*) AS by_lake, count(*) AS by_slice, true AS fresh_refused FROM events",
 }

@@ -17,28 +17,35 @@ most ``SCHEMA_BUCKETS`` reducers (bounded by distinct JSON paths) and counts.
 
 from __future__ import annotations
 
+import logging
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from eventlake.functions.timecols import DEFAULT_TEMPLATE, epoch_ms_to_ts
-from eventlake.operators.derive import EVENT_MS, with_event_ms, with_partitions
-from eventlake.operators.flatten import flatten
-from eventlake.operators.guards import MAX_MESSAGE_BYTES, REASONS, classify
+from eventlake.functions.timecols import DEFAULT_TEMPLATE, epoch_ms_to_ts, ingest_time
+from eventlake.operators.derive import EVENT_MS, with_epoch_timestamps, with_event_ms, with_partitions
+from eventlake.operators.filters import wanted_collections
+from eventlake.operators.flatten import case_scope, flatten, flattened_schema, paths_to
+from eventlake.operators.guards import MAX_MESSAGE_BYTES, REASONS, TIME_US_PATHS, classify
 from eventlake.operators.schema import infer_raw, normalize, schema_aggregate, _variant_paths
 from eventlake.sinks.lake import DEFAULT_MAX_ROWS, append_evolving, write_lake
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class IngestResult:
     schema: StructType
     counts: dict = field(default_factory=dict)
+    kept: int = 0
 
     @property
     def written(self) -> int:
-        return self.counts.get("ok", 0)
+        """Records in the lake: those that pass the guards and the wanted filter."""
+        return self.kept
 
     @property
     def quarantined(self) -> int:
@@ -54,42 +61,66 @@ def partition_time(df: DataFrame, ts: str):
     return F.col(ts)
 
 
-# Alarm threshold for the flattened width: data used as keys (ids, URLs) would
-# widen the table without limit. Exceeding it fails the ingest with a clear message.
-MAX_COLUMNS = 5000
+# Wide tables usually mean data used as keys (ids, URLs). They are ingested whole; beyond this
+# width a warning names the remedy.
+WARN_COLUMNS = 5000
 
 
 def flatten_events(good: DataFrame, schema: StructType, keep=(), keep_raw: bool = False,
-                   value: str = "value", max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """P1-P4 on guarded records: flattened columns plus ``event_timestamp_ms``.
+                   value: str = "value") -> DataFrame:
+    """P1-P5 on guarded records: flattened columns, ``event_timestamp_ms``, and timestamps for
+    the epoch-millisecond columns.
 
     ``keep_raw`` adds ``raw_event`` (the record's bytes) so nothing is lost even
     when a pinned schema lacks a new key.
     """
+    taken = {f.name.lower() for f in flattened_schema(schema).fields} | {c.lower() for c in good.columns}
+    inner = "raw_event"
+    while inner in taken:  # a key of that name keeps its own value
+        inner = "_" + inner
     if keep_raw:
-        good = good.withColumn("__raw_event", F.col(value).cast("binary"))
-        keep = tuple(keep) + ("__raw_event",)
-    flat = with_event_ms(flatten(good, schema, keep=keep))
-    if len(flat.columns) > max_columns:
-        raise ValueError(f"flattened events have {len(flat.columns)} columns (> {max_columns}); "
-                         "keys look like data — pin a schema or raise max_columns")
-    if keep_raw:
-        name = "raw_event" if "raw_event" not in flat.columns else "_raw_event"
-        flat = flat.withColumnRenamed("__raw_event", name)
+        good = good.withColumn(inner, F.col(value).cast("binary"))
+        keep = tuple(keep) + (inner,)
+    flat = with_epoch_timestamps(with_event_ms(flatten(good, schema, keep=keep)))
+    if len(flat.columns) > WARN_COLUMNS:
+        log.warning("flattened events have %d columns; if keys are data, name their objects in map_paths", len(flat.columns))
     return flat
 
 
+def as_json(schema: StructType, map_paths) -> StructType:
+    """``schema`` with the objects at ``map_paths`` (key tuples) as one JSON-text column each,
+    for objects whose keys are data."""
+    for path in map_paths:
+        def settle(st: StructType, keys: tuple) -> StructType:
+            return StructType([
+                f if f.name != keys[0] else
+                StructField(f.name, StringType()) if len(keys) == 1 else
+                StructField(f.name, settle(f.dataType, keys[1:]) if isinstance(f.dataType, StructType) else f.dataType, True, f.metadata)
+                for f in st.fields])
+        schema = settle(schema, tuple(path))
+    return schema
+
+
 def prepare(raw: DataFrame, schema: StructType | None = None, value: str = "value",
             max_bytes: int = MAX_MESSAGE_BYTES, quarantine_path: str | None = None):
     """Classify, and infer the schema (with reason counts) when none is given.
 
     With ``quarantine_path`` the bad records are written right after inference
-    (when there are any).
+    (when there are any). Objects under empty keys can hold further paths that flatten to
+    ``time_us``; if the schema has such, the records are guarded by those as well.
     """
-    c = classify(raw, value, max_bytes)
-    counts = None
-    if schema is None:
-        schema, counts = infer_with_counts(c, quarantine_path, value)
+    pinned, counts = schema is not None, None
+    paths = TIME_US_PATHS
+    while True:
+        c = classify(raw, value, max_bytes, paths)
+        if not pinned:
+            schema, counts = infer_with_counts(c)
+        more = [p for p in paths_to(schema, "time_us") if p not in paths]
+        if not more:
+            break
+        paths = (*paths, *more)
+    if not pinned and quarantine_path and any(counts.get(x) for x in REASONS):
+        write_quarantine(c, quarantine_path, value)
     return c, schema, counts
 
 
@@ -98,17 +129,13 @@ def _reason_counts() -> dict:
     return {"ok": F.count_if(r.isNull()), **{x: F.count_if(r == x) for x in REASONS}}
 
 
-def infer_with_counts(classified: DataFrame, quarantine_path: str | None = None,
-                      value: str = "value"):
+def infer_with_counts(classified: DataFrame):
     """Pass 1: schema of the good records and per-reason counts, from one two-level
     aggregate (``schema_aggregate``: no single reducer or driver receives a partial per
-    task). With ``quarantine_path`` the bad records are written next — only when pass 1
-    counted any."""
+    task)."""
     good_v = F.when(F.col("reason").isNull(), F.col("v"))
     res = schema_aggregate(classified, {"__schema": good_v}, _reason_counts())
     counts = {k: res[k] for k in ("ok",) + REASONS if res[k]}
-    if quarantine_path and any(counts.get(x) for x in REASONS):
-        write_quarantine(classified, quarantine_path, value)
     st = res["__schema"]
     if isinstance(st, StructType) and _variant_paths(st):
         good = classified.filter(F.col("reason").isNull())
@@ -119,11 +146,13 @@ def infer_with_counts(classified: DataFrame, quarantine_path: str | None = None,
     return st, counts
 
 
-def quarantine_with_counts(classified: DataFrame, path: str, value: str = "value") -> dict:
-    """Write the quarantine and return the per-reason counts from the same job."""
-    obs = Observation("eventlake_quarantine")
-    write_quarantine(classified.observe(obs, *[c.alias(n) for n, c in _reason_counts().items()]),
-                     path, value)
+def observed(classified: DataFrame) -> tuple[DataFrame, Observation]:
+    """``classified`` with per-reason counts that the next job over it fills in."""
+    obs = Observation(f"eventlake_{uuid.uuid4().hex}")
+    return classified.observe(obs, *[c.alias(n) for n, c in _reason_counts().items()]), obs
+
+
+def _nonzero(obs: Observation) -> dict:
     return {k: int(v) for k, v in obs.get.items() if v}
 
 
@@ -132,47 +161,73 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
                  max_rows: int | None = DEFAULT_MAX_ROWS, value: str = "value",
                  max_bytes: int = MAX_MESSAGE_BYTES, quarantine_path: str | None = None,
                  cluster: bool | None = None, evolve: bool = True,
-                 keep_raw: bool = False) -> IngestResult:
+                 keep_raw: bool | None = None, wanted: str | None = None,
+                 wanted_column: str = "commit_collection", map_paths=()) -> IngestResult:
     """E4 as one Spark job graph: raw ``value`` records in, partitioned lake out.
 
     ``cluster`` None picks by partition clock: ingest time needs no shuffle (a
     run lands in one hour); event time rebalances on the partition columns so
-    each hour gets few files.
+    each hour gets few files. ``keep_raw`` None keeps the records' bytes when the
+    schema is pinned, as keys it lacks would be lost otherwise. ``wanted`` is F1's comma
+    list; the default None takes every collection. ``map_paths`` names objects to store
+    as one JSON-text column. Counts come from the same jobs: records by outcome, and ``kept``
+    by the filter.
     """
+    from eventlake.sources.lake import refuse_streamed
+    refuse_streamed(raw.sparkSession, lake_path)  # before the quarantine is written
     if cluster is None:
         cluster = ts != "ingest"
     pinned = schema is not None
+    if keep_raw is None:
+        keep_raw = pinned
     c, schema, counts = prepare(raw, schema, value, max_bytes, quarantine_path)
-    good = c.filter(F.col("reason").isNull())
-    flat = flatten_events(good, schema, keep_raw=keep_raw, value=value)
-    parts_ts = partition_time(flat, ts)
-    out = with_partitions(flat, parts_ts, template)
-    if evolve:
-        append_evolving(out, lake_path, template, max_rows, cluster=cluster)
-    else:
-        write_lake(out, lake_path, template, max_rows, cluster=cluster)
-    if pinned and quarantine_path:
-        counts = quarantine_with_counts(c, quarantine_path, value)
-    return IngestResult(schema=schema, counts=counts or {})
+    schema = as_json(schema, map_paths)
+    obs, kept = None, Observation(f"eventlake_{uuid.uuid4().hex}")
+    seen = c
+    if pinned:
+        seen, obs = observed(c)
+    with case_scope(raw.sparkSession, flattened_schema(schema)):
+        flat = flatten_events(seen.filter(F.col("reason").isNull()), schema, keep_raw=keep_raw, value=value)
+        flat = wanted_collections(flat, wanted, wanted_column).observe(kept, F.count(F.lit(1)).alias("kept"))
+        out = with_partitions(flat, partition_time(flat, ts), template)
+        if evolve:
+            append_evolving(out, lake_path, template, max_rows, cluster=cluster)
+        else:
+            write_lake(out, lake_path, template, max_rows, cluster=cluster)
+    if pinned:
+        counts = _nonzero(obs)
+        if quarantine_path and any(counts.get(x) for x in REASONS):
+            write_quarantine(c, quarantine_path, value)
+    return IngestResult(schema=schema, counts=counts or {}, kept=int(kept.get["kept"]))
 
 
 def write_quarantine(classified: DataFrame, path: str, value: str = "value") -> None:
     """Bad records with reason, raw bytes and ingest time, partitioned by reason."""
     bad = classified.filter(F.col("reason").isNotNull()).select(
         F.col(value).cast("binary").alias("raw"), "reason",
-        F.current_timestamp().cast("timestamp_ntz").alias("ingested_at"))
+        ingest_time().alias("ingested_at"))
     bad.write.mode("append").partitionBy("reason").parquet(path)
 
 
 def ingest_declared(raw: DataFrame, lake_path: str, template: str = DEFAULT_TEMPLATE,
                     ts: str = "event", paths: dict | None = None, collected_ms=None,
                     max_rows: int | None = DEFAULT_MAX_ROWS, value: str = "value",
-                    max_bytes: int = MAX_MESSAGE_BYTES, cluster: bool | None = None) -> DataFrame:
-    """Declared 12-column model (P8) into a partitioned lake; returns the written frame."""
+                    max_bytes: int = MAX_MESSAGE_BYTES, cluster: bool | None = None,
+                    quarantine_path: str | None = None, wanted: str | None = None) -> IngestResult:
+    """Declared 12-column model (P8) into a partitioned lake; records by outcome are counted
+    in the write itself, and a second pass writes the bad ones if there are any."""
     from eventlake.operators.derive import project_event
+    from eventlake.sources.lake import refuse_streamed
+    refuse_streamed(raw.sparkSession, lake_path)
     c = classify(raw, value, max_bytes)
-    ev = project_event(c.filter(F.col("reason").isNull()), paths, collected_ms, value=value)
+    seen, obs = observed(c)
+    kept = Observation(f"eventlake_{uuid.uuid4().hex}")
+    ev = project_event(seen.filter(F.col("reason").isNull()), paths, collected_ms, value=value)
+    ev = wanted_collections(ev, wanted, "collection").observe(kept, F.count(F.lit(1)).alias("kept"))
     tcol = F.col("event_timestamp") if ts == "event" else None
     out = with_partitions(ev, tcol, template)
     write_lake(out, lake_path, template, max_rows, cluster=(ts != "ingest") if cluster is None else cluster)
-    return out
+    counts = _nonzero(obs)
+    if quarantine_path and any(counts.get(x) for x in REASONS):
+        write_quarantine(c, quarantine_path, value)
+    return IngestResult(schema=ev.schema, counts=counts, kept=int(kept.get["kept"]))

@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 import contextlib
-import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Session settings every eventlake plan relies on.
-#  - duplicate JSON keys: the last one wins (as a JSON-lines reader in Python does);
-#  - UTC so that hour partitions and epoch conversions do not depend on the host zone.
+# The one session setting every eventlake plan relies on: of duplicate JSON keys the last
+# wins (as a JSON-lines reader in Python does). Spark reads it when a plan is run, so it has
+# to stay set. Times need no setting: all conversions are zone-free.
 REQUIRED_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -81,7 +80,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             # A machine-local folder is invisible to other executors: refuse.
             raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder "
                                "(HDFS / object store) that every executor can reach")
@@ -95,12 +94,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under the shared checkpoint root (not created)."""
     return f"{checkpoint_root(spark)}/eventlake/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str | None:
-    """Local filesystem path of a ``file:`` or plain path, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):].replace("///", "/", 1) if path.startswith("file:///") else path[5:]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)

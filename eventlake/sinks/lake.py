@@ -16,8 +16,9 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from eventlake.functions.timecols import DEFAULT_TEMPLATE, template_columns
 from eventlake.sources.lake import SCHEMA_FILE
@@ -56,7 +57,8 @@ def write_lake(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
 
 
 def write_schema_sidecar(df_or_schema, path: str) -> None:
-    """Store the lake schema as one small JSON file beside the data."""
+    """Store the lake schema as one small JSON file beside the data: written under another
+    name and renamed, so a reader sees the old file or the new one, never half of it."""
     from pyspark.sql import SparkSession
     from pyspark.sql.types import StructType
     from eventlake.sources.lake import _fs_path
@@ -64,50 +66,49 @@ def write_schema_sidecar(df_or_schema, path: str) -> None:
         st, spark = df_or_schema, SparkSession.getActiveSession()
     else:
         st, spark = df_or_schema.schema, df_or_schema.sparkSession
-    fs, p = _fs_path(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
-    out = fs.create(p, True)
+    target = f"{path.rstrip('/')}/{SCHEMA_FILE}"
+    fs, p = _fs_path(spark, target)
+    _, new = _fs_path(spark, f"{target}.{uuid.uuid4().hex}")
+    out = fs.create(new, True)
     try:
         out.write(bytearray(st.json().encode("utf-8")))
     finally:
         out.close()
+    if not fs.rename(new, p):  # some stores do not rename onto a file that is there
+        fs.delete(p, False)
+        if not fs.rename(new, p):
+            raise OSError(f"cannot put {target} into place")
 
 
 def append_evolving(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
                     max_rows: int | None = DEFAULT_MAX_ROWS, cluster: bool = False) -> DataFrame:
     """Append a flattened batch whose columns may differ from the lake's.
 
-    The stored (widened) schema beside the lake decides each column's type:
-    new columns are added, lossless widenings are cast on write, a narrowing
-    raises ``SchemaConflict``. Returns the frame as written. The schema file is
-    updated after the data commit; concurrent appenders to one lake must be
-    serialised by the caller (as with any single-writer table layout).
+    The stored schema beside the lake decides each column's type; new columns and new fields
+    inside lists are added, and values that do not fit go to a column beside theirs
+    (``evolve_frame``). Returns the frame as written. The schema file is updated before the
+    data: columns without files yet read as NULL, files with columns the schema lacks would
+    be hidden. Concurrent appenders to one lake must be serialised by the caller (as with
+    any single-writer table layout). A lake that a stream writes refuses batches.
     """
-    from pyspark.sql.types import StructType
-    from eventlake.operators.schema import evolve_for_append, merge_schemas
-    from eventlake.sources.lake import read_schema_sidecar
+    from eventlake.operators.flatten import case_scope
+    from eventlake.operators.schema import evolve_frame
+    from eventlake.sources.lake import read_schema_sidecar, refuse_streamed
     spark = df.sparkSession
-    parts = template_columns(template)
-    stored = read_schema_sidecar(spark, path)
-    target = evolve_for_append(stored, df.schema, parts)
-    if target != df.schema:
-        from eventlake.operators.schema import safe_cast
-        have = {f.name: f.dataType for f in df.schema.fields}
-        df = df.select(*[safe_cast(F.col(f"`{f.name}`"), have[f.name], f.dataType).alias(f.name)
-                         if have[f.name] != f.dataType else F.col(f"`{f.name}`")
-                         for f in target.fields])
-    data_schema = StructType([f for f in df.schema.fields if f.name not in parts])
-    merged = data_schema if stored is None else merge_schemas(stored, data_schema)
-    write_lake(df, path, template, max_rows, cluster=cluster)
-    write_schema_sidecar(merged, path)
+    refuse_streamed(spark, path)
+    with case_scope(spark, df.schema):
+        df, merged = evolve_frame(df, read_schema_sidecar(spark, path), template_columns(template))
+    with case_scope(spark, merged):
+        write_schema_sidecar(merged, path)
+        write_lake(df, path, template, max_rows, cluster=cluster)
     return df
 
 
 def repair_schema_sidecar(spark, path: str, template: str = DEFAULT_TEMPLATE):
     """Rebuild the stored lake schema from the files' footers.
 
-    ``append_evolving`` updates the schema file after the data commit; a writer
-    that dies in between leaves files with columns the stored schema lacks (no
-    data is lost, readers just do not see them). Spark merges the footers in a
+    Needed only if the schema file was lost, or files came in another way
+    (``append_evolving`` writes the schema before the data). Spark merges the footers in a
     distributed job (types agree across files, since appends never narrow them).
     """
     from pyspark.sql.types import StructType

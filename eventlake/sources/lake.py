@@ -10,6 +10,7 @@ and read; column selection reaches the scan as ``ReadSchema``.
 from __future__ import annotations
 
 import json
+import logging
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from eventlake.functions.timecols import DEFAULT_TEMPLATE, format_field, template_columns
 from eventlake.session import conf_scope
 
+log = logging.getLogger(__name__)
+
 SCHEMA_FILE = "_eventlake_schema.json"
 
 
@@ -47,6 +50,33 @@ def read_schema_sidecar(spark: SparkSession, path: str) -> StructType | None:
     return StructType.fromJson(json.loads(text))
 
 
+METADATA_LOG = "_spark_metadata"
+
+
+class LakeConflict(RuntimeError):
+    """A lake is written by batches or by one stream, not by both."""
+
+
+def is_streamed(spark: SparkSession, path: str) -> bool:
+    """Whether a stream writes this lake: its log then decides which files count."""
+    fs, p = _fs_path(spark, f"{path.rstrip('/')}/{METADATA_LOG}")
+    return fs.exists(p)
+
+
+def holds_batches(spark: SparkSession, path: str) -> bool:
+    """Whether there is a lake at ``path`` that no stream writes."""
+    fs, p = _fs_path(spark, path)
+    if is_streamed(spark, path) or not fs.exists(p):
+        return False
+    return any(not f.getPath().getName().startswith((".", "_")) for f in fs.listStatus(p))
+
+
+def refuse_streamed(spark: SparkSession, path: str) -> None:
+    """Files that a batch adds to a streamed lake would stay hidden: its log lacks them."""
+    if is_streamed(spark, path):
+        raise LakeConflict(f"{path} is written by a stream; append batches to a lake of their own")
+
+
 def _table_schema(schema: StructType, parts: list[str]) -> StructType:
     fields = [f for f in schema.fields if f.name not in parts]
     fields += [StructField(p, StringType(), True) for p in parts]
@@ -67,8 +97,12 @@ def open_lake(spark: SparkSession, path: str, schema: StructType | None = None,
     reader = spark.read.option("basePath", path)
     target = read_path or path
     if schema is not None:
-        from eventlake.operators.flatten import ensure_case_sensitive
-        ensure_case_sensitive(spark, schema)
+        from eventlake.operators.flatten import _case_collisions
+        if _case_collisions(schema):
+            # Only fields inside lists can still differ by case alone. Spark reads such files
+            # in no other way, and it reads them when the frame is run, not here.
+            log.warning("%s has fields that differ only by case; setting spark.sql.caseSensitive=true", path)
+            spark.conf.set("spark.sql.caseSensitive", "true")
         return reader.schema(_table_schema(schema, parts)).parquet(target)
     with conf_scope(spark, **{"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
         return reader.option("mergeSchema", str(merge_schema).lower()).parquet(target)
@@ -109,6 +143,10 @@ def open_lake_slice(spark: SparkSession, path: str, template: str = DEFAULT_TEMP
     prefix = slice_prefix(path, template, year=year, month=month, day=day, hour=hour)
     if schema is None:
         schema = read_schema_sidecar(spark, path)
+    if is_streamed(spark, path):
+        # a folder read would pass over the stream's log and show uncommitted files; the log
+        # also spares the listing
+        prefix = path.rstrip("/")
     if prefix != path.rstrip("/"):
         fs, p = _fs_path(spark, prefix)
         if not fs.exists(p):
@@ -116,7 +154,7 @@ def open_lake_slice(spark: SparkSession, path: str, template: str = DEFAULT_TEMP
                 return spark.createDataFrame([], _table_schema(schema, template_columns(template)))
             prefix = path  # no stored schema to shape an empty frame: filter the whole lake
     df = open_lake(spark, path, schema, template, read_path=prefix)
-    return lake_slice(df, year=year, month=month, day=day, hour=hour)
+    return lake_slice(df, year=year, month=month, day=day, hour=hour, template=template)
 
 
 def register_lake(spark: SparkSession, path: str, name: str = "lake",

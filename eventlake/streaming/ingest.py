@@ -26,13 +26,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from eventlake.functions.timecols import DEFAULT_TEMPLATE, template_columns
+from eventlake.functions.timecols import DEFAULT_TEMPLATE, ingest_time, template_columns
 from eventlake.operators.derive import with_partitions
-from eventlake.operators.guards import MAX_MESSAGE_BYTES, classify
+from eventlake.operators.filters import wanted_collections
+from eventlake.operators.flatten import case_scope, flattened_schema, paths_to
+from eventlake.operators.guards import MAX_MESSAGE_BYTES, TIME_US_PATHS, classify
+from eventlake.operators.schema import evolve_frame
 from eventlake.plans.ingest import flatten_events, partition_time
-from eventlake.sinks.lake import DEFAULT_MAX_ROWS
+from eventlake.sinks.lake import DEFAULT_MAX_ROWS, write_schema_sidecar
+from eventlake.sources.lake import read_schema_sidecar
 
 METRICS_NAME = "eventlake_metrics"
+WRITERS_PER_FOLDER = 8  # tasks that share an hour's rows when the lake follows event time
 
 
 def observe_batch(classified: DataFrame, name: str = METRICS_NAME) -> DataFrame:
@@ -51,18 +56,31 @@ def ingest_stream(stream: DataFrame, lake_path: str, checkpoint: str, schema: St
                   max_rows: int | None = DEFAULT_MAX_ROWS, trigger: dict | None = None,
                   value: str = "value", max_bytes: int = MAX_MESSAGE_BYTES,
                   quarantine_path: str | None = None, query_name: str | None = None,
-                  keep_raw: bool = True) -> list[StreamingQuery]:
+                  keep_raw: bool = True, wanted: str | None = None,
+                  wanted_column: str = "commit_collection") -> list[StreamingQuery]:
     """Start the ingest query (and the quarantine query); returns the started queries.
 
     ``keep_raw`` (default on, since the schema is pinned) stores each event's
-    bytes as ``raw_event`` so keys the pinned schema lacks are not lost.
+    bytes as ``raw_event`` so keys the pinned schema lacks are not lost. ``wanted`` is
+    F1's comma list (None: every collection). A lake that batches write, or one that
+    another checkpoint has streamed to, is refused.
     """
+    spark = stream.sparkSession
+    _refuse_conflicts(spark, lake_path, f"{checkpoint.rstrip('/')}/lake")
     trigger = trigger or {"processingTime": "60 seconds"}
-    c = observe_batch(classify(stream, value, max_bytes))
+    c = observe_batch(classify(stream, value, max_bytes, (*TIME_US_PATHS, *paths_to(schema, "time_us"))))
     good = c.filter(F.col("reason").isNull())
-    flat = flatten_events(good, schema, keep_raw=keep_raw, value=value)
-    out = with_partitions(flat, partition_time(flat, ts), template)
-    _store_schema(out, lake_path, template)
+    parts = template_columns(template)
+    with case_scope(spark, flattened_schema(schema)):
+        flat = wanted_collections(flatten_events(good, schema, keep_raw=keep_raw, value=value), wanted, wanted_column)
+        out = with_partitions(flat, partition_time(flat, ts), template)
+        # cast to the stored types, so that no file disagrees with the lake
+        out, merged = evolve_frame(out, read_schema_sidecar(spark, lake_path), parts)
+    write_schema_sidecar(merged, lake_path)
+    if ts != "ingest":
+        # rows of an hour go to few tasks, a hot hour's to several
+        mixed = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in out.columns[:16]])
+        out = out.repartition(*[F.col(f"`{p}`") for p in parts], F.pmod(mixed, F.lit(WRITERS_PER_FOLDER)))
     w = (out.writeStream.format("parquet")
          .option("checkpointLocation", f"{checkpoint.rstrip('/')}/lake")
          .option("compression", "snappy")
@@ -73,11 +91,12 @@ def ingest_stream(stream: DataFrame, lake_path: str, checkpoint: str, schema: St
         w = w.option("maxRecordsPerFile", int(max_rows))
     if query_name:
         w = w.queryName(query_name)
-    queries = [w.start(lake_path)]
+    with case_scope(spark, merged):  # a query keeps the settings it was started with
+        queries = [w.start(lake_path)]
     if quarantine_path:
         bad = classify(stream, value, max_bytes).filter(F.col("reason").isNotNull()).select(
             F.col(value).cast("binary").alias("raw"), "reason",
-            F.current_timestamp().cast("timestamp_ntz").alias("ingested_at"))
+            ingest_time().alias("ingested_at"))
         queries.append(bad.writeStream.format("parquet")
                        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/quarantine")
                        .partitionBy("reason").outputMode("append").trigger(**trigger)
@@ -85,22 +104,17 @@ def ingest_stream(stream: DataFrame, lake_path: str, checkpoint: str, schema: St
     return queries
 
 
-def _store_schema(out: DataFrame, lake_path: str, template: str) -> None:
-    """Check the pinned schema against the lake's and store the union beside it.
-
-    Readers then take the schema from this small file instead of merging every
-    file footer; a pinned type that would narrow a stored column fails here,
-    before any data is written.
-    """
-    from eventlake.operators.schema import evolve_for_append, merge_schemas
-    from eventlake.sinks.lake import write_schema_sidecar
-    from eventlake.sources.lake import read_schema_sidecar
-    parts = template_columns(template)
-    spark = out.sparkSession
-    stored = read_schema_sidecar(spark, lake_path)
-    evolve_for_append(stored, out.schema, parts)
-    data = StructType([f for f in out.schema.fields if f.name not in parts])
-    write_schema_sidecar(data if stored is None else merge_schemas(stored, data), lake_path)
+def _refuse_conflicts(spark, lake_path: str, checkpoint: str) -> None:
+    """Before anything is written: a lake of batches would lose its rows from sight behind
+    the stream's log, and a new checkpoint would number its batches from 0 again, which the
+    log takes for batches that it has already."""
+    from eventlake.sources.lake import LakeConflict, _fs_path, holds_batches, is_streamed
+    if holds_batches(spark, lake_path):
+        raise LakeConflict(f"{lake_path} is written by batches; stream into a lake of its own")
+    fs, p = _fs_path(spark, f"{checkpoint}/offsets")
+    if is_streamed(spark, lake_path) and not fs.exists(p):
+        raise LakeConflict(f"{lake_path} has a stream's log, but {checkpoint} no offsets: "
+                           "go on with the checkpoint that wrote this lake")
 
 
 def drain(queries: list[StreamingQuery], timeout: float | None = None) -> None:
@@ -121,18 +135,19 @@ def run_metrics(query: StreamingQuery, name: str = METRICS_NAME) -> dict:
            "write_ms": 0}
     for p in query.recentProgress:
         prog = json.loads(p.json) if hasattr(p, "json") and isinstance(p.json, str) else dict(p)
+        obs = (prog.get("observedMetrics") or {}).get(name)
+        if not obs:  # the quarantine query, or an idle trigger
+            continue
         tot["batches"] += 1
         tot["input_rows"] += int(prog.get("numInputRows", 0) or 0)
-        obs = (prog.get("observedMetrics") or {}).get(name)
-        if obs:
-            for k in ("consumed", "written", "errors"):
-                tot[k] += int(obs[k] or 0)
+        for k in ("consumed", "written", "errors"):
+            tot[k] += int(obs[k] or 0)
         tot["write_ms"] += int((prog.get("durationMs") or {}).get("addBatch", 0))
     return tot
 
 
 class MetricsListener:
-    """T5: totals across every streaming query of the session (consumed, written, errors,
+    """T5: totals across the session's ingest queries (consumed, written, errors,
     batches, input rows, write milliseconds), fed by ``StreamingQueryListener`` events.
 
     Register with ``spark.streams.addListener(MetricsListener().listener)``; read
@@ -165,9 +180,11 @@ class MetricsListener:
 
     def _add(self, prog: dict) -> None:
         t = self.totals
+        obs = (prog.get("observedMetrics") or {}).get(self.name)
+        if not obs:  # another query of the session, or an idle trigger
+            return
         t["batches"] += 1
         t["input_rows"] += int(prog.get("numInputRows", 0) or 0)
-        obs = (prog.get("observedMetrics") or {}).get(self.name) or {}
         for k in ("consumed", "written", "errors"):
             t[k] += int(obs.get(k, 0) or 0) if isinstance(obs, dict) else int(obs[k] or 0)
         t["write_ms"] += int((prog.get("durationMs") or {}).get("addBatch", 0))

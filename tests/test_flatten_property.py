@@ -14,7 +14,7 @@ import json
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-KEYS = ["a", "b", "c"]
+KEYS = ["a", "b", "A", "q'\"", "b\\s", "t`.k"]
 
 
 def _obj(depth):
@@ -36,6 +36,8 @@ def _obj(depth):
             else:
                 out[name] = draw(st.lists(st.lists(_leaf_obj(), min_size=1, max_size=2),
                                           min_size=1, max_size=2))
+        if draw(st.booleans()):
+            out[""] = draw(st.dictionaries(st.sampled_from(["ia", "iz"]), st.integers(0, 9)))
         return out
     return st.composite(lambda draw: build(draw))()
 
@@ -51,25 +53,34 @@ def _leaf_obj():
 # the model
 
 
-def _flat(obj, sep, prefix=""):
-    out = {}
-    for k, v in obj.items():
-        name = f"{prefix}{sep}{k}" if prefix else k
-        if isinstance(v, dict):
-            out.update(_flat(v, sep, name))
-        elif isinstance(v, list):
-            out[name] = _flat_list(v, sep, False)
+def _leaves(tree):
+    """Every (path, value) below an object whose value is no object."""
+    todo = [((k,), v) for k, v in tree.items()]
+    for path, value in todo:
+        if isinstance(value, dict):
+            todo.extend(((*path, k), v) for k, v in value.items())
         else:
-            out[name] = v
-    return out
+            yield path, value
+
+
+def _name(path, sep):
+    """Keys joined by ``sep``; nothing is joined to an empty beginning."""
+    first = next((i for i, k in enumerate(path) if k), len(path) - 1)
+    return sep.join(path[first:])
+
+
+def _columns(tree, sep="_"):
+    """Values by column name; of paths with one name the deepest that has a value counts."""
+    by_name = {}
+    for path, value in sorted(_leaves(tree), key=lambda leaf: -len(leaf[0])):
+        if by_name.get(name := _name(path, sep)) is None:
+            by_name[name] = _items(value, sep) if isinstance(value, list) else value
+    return by_name
 
 
-def _flat_list(lst, sep, inner):
-    if lst and all(isinstance(x, dict) for x in lst):
-        return [_flat(x, "__" if inner else sep) for x in lst]
-    if lst and all(isinstance(x, list) for x in lst):
-        return [_flat_list(x, sep, True) for x in lst]
-    return list(lst)
+def _items(values, sep):
+    """Lists keep their objects, flattened on their own; inside lists of lists by ``__``."""
+    return [_columns(x, sep) if isinstance(x, dict) else _items(x, "__") if isinstance(x, list) else x for x in values]
 
 
 def _fill(rows):
@@ -105,7 +116,7 @@ def test_flatten_matches_model(run_lines, events):
     lines = [json.dumps(e, ensure_ascii=False) for e in events]
     rows, schema, reasons = run_lines(lines)
     assert reasons == [None] * len(events)
-    expected = _fill([_flat(e, "_") for e in events])
+    expected = _fill([_columns(e) for e in events])
     got = [{k: _norm(v) for k, v in r.items() if k != "event_timestamp_ms"} for r in rows]
     key = lambda r: json.dumps(r, sort_keys=True)
     assert sorted(map(key, got)) == sorted(map(key, expected))
