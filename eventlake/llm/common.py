@@ -104,6 +104,16 @@ def map_batches(df: DataFrame, column: str, schema: str, fn: Callable[[pa.Record
     return df.mapInArrow(run, schema)
 
 
+def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows, those of the least hashes of ``key``: the same ones at each run.
+    A share of the hash range, from the row count, leaves about twice as many to the ordering,
+    so that no task hands on more than its part."""
+    share = min(1.0, 2.0 * rows / max(1, df.count()))
+    hashed, fine = F.xxhash64(key), 1 << 40
+    return df.where(F.pmod(hashed, F.lit(fine)) < F.lit(int(share * fine) + 1)) \
+        .orderBy(F.pmod(hashed, F.lit(fine)), key).limit(rows)
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Only the two columns that the operators read, so other columns cannot clash."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),

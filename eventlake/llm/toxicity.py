@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import id_and_text, map_batches, pieces, text_bytes, written
+from eventlake.llm.common import bounded_sample, id_and_text, map_batches, pieces, text_bytes, written
 
 FOLDS, HELD_FOLD = 5, 0
 SAMPLE_ROWS = 12_000  # labelled rows learned from, at most
@@ -233,7 +233,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")) \
         .where(F.col("y").isNotNull() & (fold(F.col("doc_id"), folds) != held)) \
         .groupBy("doc_id").agg(F.max("y").alias("y"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    chosen = bounded_sample(known, "doc_id", rows)
     texts = id_and_text(docs).where(F.length("text") <= chars)
     sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
     # copies would make their chance words look significant: rows that share the least
