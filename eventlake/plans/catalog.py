@@ -458,7 +458,7 @@ def p1_case_pairs(spark, sf):
     """Keys that differ only by case stay columns of their own; the session's setting does not change."""
     from eventlake.session import conf_scope
     num = F.col("event_id").cast("string")
-    flat = _flat(_as_value(_events(spark, sf), _json_object(aB=num, ab=F.concat(num, F.lit("0")))))
+    flat = _flat(_as_value(_events(spark, sf), _json_object(aB=num, ab=(F.col("event_id") * 10).cast("string"))))
     with conf_scope(spark, **{"spark.sql.caseSensitive": "true"}):
         return flat.select(F.col("aB").alias("upper"), F.col("ab").alias("lower"))
 

@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Defaults (both are arguments; set them to the deployment's topic and group).
-DEFAULT_TOPIC = "social-events"
-DEFAULT_GROUP = "lake-storage-workers"
+DEFAULT_TOPIC = "social-events"  # an argument; set it to the deployment's topic
 # Fixed value: the consumer's max poll interval.
 MAX_POLL_INTERVAL_MS = 300000
 
@@ -20,7 +18,7 @@ MAX_POLL_INTERVAL_MS = 300000
 def kafka_source_options(servers: str, topic: str = DEFAULT_TOPIC, starting: str = "earliest",
                          min_rows: int | None = None, max_delay: str | None = None,
                          fail_on_data_loss: bool = True, min_partitions: int | None = None,
-                         group: str | None = DEFAULT_GROUP, **extra) -> dict:
+                         group: str | None = None, **extra) -> dict:
     """Options for ``format('kafka')``.
 
     ``min_rows`` / ``max_delay`` give the count-or-time trigger (T1) with
@@ -28,6 +26,8 @@ def kafka_source_options(servers: str, topic: str = DEFAULT_TOPIC, starting: str
     deliberately not set from ``min_rows``: that would throttle throughput.
     ``min_partitions`` splits large topic partitions over more Spark tasks, so
     parallelism is not capped at the topic's partition count (12 by default).
+    No consumer group is set unless asked for: Spark gives every query its own, and queries
+    that share one may each see a part of the data only. Offsets are in the checkpoint.
     """
     opts = {
         "kafka.bootstrap.servers": servers,

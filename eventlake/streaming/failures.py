@@ -12,9 +12,10 @@ from __future__ import annotations
 import logging
 from typing import Callable
 
-from pyspark.errors import StreamingQueryException
 from pyspark.sql.streaming import StreamingQuery
 
+from eventlake.sources.lake import LakeConflict
+
 log = logging.getLogger(__name__)
 
 MAX_FLUSH_FAILURES = 5  # fixed value: the reference's consecutive-failure limit
@@ -24,28 +25,39 @@ class FailureLimitReached(RuntimeError):
     pass
 
 
-def run_with_failure_limit(start: Callable[[], StreamingQuery], limit: int = MAX_FLUSH_FAILURES,
-                           timeout: float | None = None) -> int:
-    """Run ``start()`` until it terminates cleanly; returns the number of restarts.
+def run_with_failure_limit(start: Callable[[], StreamingQuery | list[StreamingQuery]],
+                           limit: int = MAX_FLUSH_FAILURES, timeout: float | None = None) -> int:
+    """Run what ``start()`` starts (one query, or the list of ``ingest_stream``) until it
+    terminates cleanly; returns the number of restarts.
 
-    Raises ``FailureLimitReached`` after ``limit`` consecutive failures.
+    ``start`` should use the same checkpoint each time: what a failed flush read is then
+    read again. An error of ``start`` itself counts as a failed flush, too; a refused lake
+    (``LakeConflict``) is raised at once. Raises ``FailureLimitReached`` after ``limit``
+    consecutive failures.
     """
-    failures = 0
-    restarts = 0
+    failures = restarts = 0
     while True:
-        q = start()
+        queries: list[StreamingQuery] = []
         try:
-            q.awaitTermination(timeout)
-            if q.isActive:
-                q.stop()
+            started = start()
+            queries = started if isinstance(started, list) else [started]
+            for q in queries:
+                q.awaitTermination(timeout)
+            for q in queries:
+                if q.isActive:
+                    q.stop()
             return restarts
-        except StreamingQueryException as e:  # one failed flush
-            committed = _committed_a_batch(q)
+        except LakeConflict:
+            raise
+        except Exception as e:  # one failed flush
+            for q in queries:  # the others go on from their checkpoint, too
+                if q.isActive:
+                    q.stop()
+            committed = any(_committed_a_batch(q) for q in queries)
             failures = 1 if committed else failures + 1
             log.error("flush failed (%d consecutive): %s", failures, e)
             if failures >= limit:
-                raise FailureLimitReached(
-                    f"flush failed {limit} consecutive times; stopping") from e
+                raise FailureLimitReached(f"flush failed {limit} consecutive times; stopping") from e
             restarts += 1
 
 

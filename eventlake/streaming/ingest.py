@@ -20,12 +20,14 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from eventlake.functions.jsonvalue import get_path
 from eventlake.functions.timecols import DEFAULT_TEMPLATE, ingest_time, template_columns
 from eventlake.operators.derive import with_partitions
 from eventlake.operators.filters import wanted_collections
@@ -41,13 +43,15 @@ WRITERS_PER_FOLDER = 8  # tasks that share an hour's rows when the lake follows
 
 
 def observe_batch(classified: DataFrame, name: str = METRICS_NAME) -> DataFrame:
-    """Attach consumed / written / error counters to a classified frame."""
+    """Attach consumed / written / error counters, and the newest event time for the lag
+    gauge, to a classified frame."""
     r = F.col("reason")
     return classified.observe(
         name,
         F.count(F.lit(1)).alias("consumed"),
         F.count_if(r.isNull()).alias("written"),
         F.count_if(r.isNotNull()).alias("errors"),
+        F.max(F.when(r.isNull(), get_path(F.col("v"), ("time_us",), "bigint"))).alias("newest_us"),
     )
 
 
@@ -129,7 +133,8 @@ def run_metrics(query: StreamingQuery, name: str = METRICS_NAME) -> dict:
     Spark keeps only the last ``spark.sql.streaming.numRecentProgressUpdates``
     (100) progress entries, so this is exact for bounded runs (``availableNow``
     drains, tests); for a long-running query use ``MetricsListener``, which
-    adds up every batch as it commits.
+    adds up every batch as it commits. ``lag_seconds`` and ``behind`` are gauges of
+    the last batch.
     """
     tot = {"batches": 0, "input_rows": 0, "consumed": 0, "written": 0, "errors": 0,
            "write_ms": 0}
@@ -143,9 +148,23 @@ def run_metrics(query: StreamingQuery, name: str = METRICS_NAME) -> dict:
         for k in ("consumed", "written", "errors"):
             tot[k] += int(obs[k] or 0)
         tot["write_ms"] += int((prog.get("durationMs") or {}).get("addBatch", 0))
+        _gauges(tot, prog, obs)
     return tot
 
 
+def _gauges(tot: dict, prog: dict, obs) -> None:
+    """Lag of the newest event when its batch was written, and what the sources still hold
+    (Kafka reports it; files do not)."""
+    newest = obs["newest_us"]
+    if newest is not None:
+        at = datetime.fromisoformat(prog["timestamp"].replace("Z", "+00:00")).timestamp()
+        tot["lag_seconds"] = at - int(newest) / 1e6
+    behind = [float(s["metrics"]["maxOffsetsBehindLatest"]) for s in prog.get("sources") or []
+              if (s.get("metrics") or {}).get("maxOffsetsBehindLatest") is not None]
+    if behind:
+        tot["behind"] = int(max(behind))
+
+
 class MetricsListener:
     """T5: totals across the session's ingest queries (consumed, written, errors,
     batches, input rows, write milliseconds), fed by ``StreamingQueryListener`` events.
@@ -186,5 +205,6 @@ class MetricsListener:
         t["batches"] += 1
         t["input_rows"] += int(prog.get("numInputRows", 0) or 0)
         for k in ("consumed", "written", "errors"):
-            t[k] += int(obs.get(k, 0) or 0) if isinstance(obs, dict) else int(obs[k] or 0)
+            t[k] += int(obs[k] or 0)
+        _gauges(t, prog, obs)
         t["write_ms"] += int((prog.get("durationMs") or {}).get("addBatch", 0))

@@ -38,37 +38,74 @@ def test_metrics_count_quarantine(spark):
     q.awaitTermination()
     m = run_metrics(q)
     assert (m["consumed"], m["written"], m["errors"]) == (3, 1, 2)
+    assert "lag_seconds" not in m  # no event has a time
+
+
+def test_lag_gauge(spark):
+    import time
+    src = scratch_path(spark, "src")
+    _lines(spark, [f'{{"time_us":{int((time.time() - 100) * 1e6)}}}', '{"time_us":5}'], src)
+    _, schema, _ = prepare(read_jsonl(spark, src))
+    (q,) = ingest_stream(read_jsonl(spark, src, streaming=True), scratch_path(spark, "lake"), scratch_path(spark, "ckpt"), schema,
+                         trigger={"availableNow": True})
+    q.awaitTermination()
+    assert 90 < run_metrics(q)["lag_seconds"] < 200
 
 
 class _Failing:
-    def __init__(self, spark, fail_times):
-        self.spark, self.left, self.calls = spark, fail_times, 0
+    """Fails in some of its runs, or there at one row; every run has the same checkpoint and
+    input folder."""
+
+    def __init__(self, spark, fails, lines=("x",)):
+        self.spark, self.fails, self.calls, self.rows = spark, fails, 0, []
+        self.src, self.ckpt = scratch_path(spark, "fail-src"), scratch_path(spark, "fail-ckpt")
+        self.add(lines)
+
+    def add(self, lines):
+        self.spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(self.src)
 
     def start(self):
+        fail = self.fails(self.calls)
         self.calls += 1
-        fail = self.left > 0
-        self.left -= 1
-        ckpt = scratch_path(self.spark, "fail-ckpt")
 
         def sink(df, epoch):
-            if fail:
+            rows = [r.value for r in df.collect()]
+            if fail is True or fail in rows:
                 raise RuntimeError("flush failed")
+            self.rows += rows
 
-        return (self.spark.readStream.format("rate").option("rowsPerSecond", 5).load()
-                .writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
-                .trigger(availableNow=True).start())
+        return [self.spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(self.src)
+                .writeStream.foreachBatch(sink).option("checkpointLocation", self.ckpt).trigger(availableNow=True).start()]
 
 
 def test_failure_limit_stops_after_five(spark):
-    f = _Failing(spark, fail_times=10)
+    f = _Failing(spark, lambda call: True)
     with pytest.raises(FailureLimitReached):
         run_with_failure_limit(f.start, limit=5)
     assert f.calls == 5
 
 
 def test_failure_limit_recovers_below_limit(spark):
-    f = _Failing(spark, fail_times=2)
+    f = _Failing(spark, lambda call: call < 2)
     assert run_with_failure_limit(f.start, limit=5) == 2
+    assert f.rows == ["x"]  # what the failed flushes read was kept
+
+
+def test_failures_in_starting_count_and_a_commit_resets(spark):
+    f = _Failing(spark, lambda call: "b" if call == 0 else None, ["a"])  # commits a, then fails at b
+    f.add(["b"])
+    calls = []
+
+    def start():
+        calls.append(1)
+        if len(calls) in (1, 2, 4, 5):
+            raise RuntimeError("no source yet")
+        return f.start()
+
+    assert run_with_failure_limit(start, limit=4) == 5
+    assert f.rows == ["a", "b"]
+    with pytest.raises(FailureLimitReached):
+        run_with_failure_limit(lambda: 1 / 0, limit=3)
 
 
 def test_metrics_listener(spark):
