@@ -27,13 +27,14 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -43,7 +44,7 @@ from eventlake.llm.common import broadcast_bytes, id_and_text, pieces, release,
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 12 << 20
 CHUNK_DOCS = 1 << 16
 MOST = 255  # an entry's greatest frequency; more take further entries
 OPEN_CHUNKS = 256  # whose sums a task holds at a time
@@ -186,11 +187,15 @@ class Chunk:
         index, seen = cuts_of(texts, pre)
         tokens: defaultdict = defaultdict()
         tokens.default_factory = tokens.__len__
-        apart = [[*map(tokens.__getitem__, a)] for a in map(pre.apart, index)]
+        flat, size = array("q"), array("q")
+        for cut in index:
+            own = pre.apart(cut)
+            size.append(len(own))
+            flat.extend(map(tokens.__getitem__, own))
+        flat, size = np.frombuffer(flat, np.int64), np.frombuffer(size, np.int64)
         self.tokens: list[bytes] = [*tokens]
-        size = np.fromiter(map(len, apart), np.int64, len(apart))
-        flat = np.fromiter(chain.from_iterable(apart), np.int64, int(size.sum()))
-        first, many = np.cumsum(size) - size, max(1, len(apart))
+        first, many = np.cumsum(size) - size, max(1, len(size))
+        del index, tokens
         key = np.concatenate(seen) if seen else np.zeros(0, np.int64)
         key += np.repeat(np.arange(len(seen)) * many, [len(c) for c in seen])
         key, n = np.unique(key, return_counts=True)
@@ -253,7 +258,8 @@ def _slices(*columns: pa.Array) -> Iterator[list[pa.Array]]:
 
 
 def _hashes(tokens: list[bytes], seed: int) -> np.ndarray:
-    return np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=seed), tokens), np.uint64, len(tokens)).view(np.int64)
+    """Even numbers; odd ones are the keys of headers."""
+    return np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=seed), tokens), np.uint64, len(tokens)).view(np.int64) & ~1
 
 
 def vocabulary_of(docs: DataFrame, shared) -> DataFrame:
@@ -297,8 +303,10 @@ def piece_counts(docs: DataFrame, shared) -> tuple[DataFrame, int]:
 
 
 def frequencies(docs: DataFrame, shared, seed: int) -> DataFrame:
-    """(key, chunk, entries, ids, sizes): rows per chunk and pre-token. A chunk's header has
-    its documents' ids and lengths, no entries, and a key of its own."""
+    """(key, chunk, entries): rows per chunk and pre-token. A chunk's header has its documents'
+    ids and lengths for entries, and a key of its own, which no pre-token has. (Columns that
+    are null in most rows would be slow here: what Spark hands to Python row by row should be
+    flat.)"""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pre = PreTokens.of(shared.value)
@@ -307,51 +315,60 @@ def frequencies(docs: DataFrame, shared, seed: int) -> DataFrame:
                 texts, number = text_bytes(part.column(1)), TaskContext.get().partitionId() << 32 | nth
                 chunk = Chunk(texts, pre)
                 keys, packed = pa.array(_hashes(chunk.tokens, seed)), chunk.rows()
-                sizes = [len(t) for t in texts]
+                header = _header(part.column(0), np.array([len(t) for t in texts], "<i8"))
                 del chunk, texts
-            head = pa.array(_hashes([b"\0chunk %d" % number], seed))
-            yield _row_batch(head, number, pa.nulls(1, pa.binary()), pa.array([part.column(0).to_pylist()], _LONGS), pa.array([sizes], _LONGS))
+            yield _row_batch(pa.array([number << 1 | 1]), number, pa.array([header]))
             for key, entries_ in _slices(keys, packed):
-                yield _row_batch(key, number, entries_, pa.nulls(len(key), _LONGS), pa.nulls(len(key), _LONGS))
+                yield _row_batch(key, number, entries_)
         release()
 
-    return docs.mapInArrow(take, "key long, chunk long, entries binary, ids array<bigint>, sizes array<bigint>")
+    return docs.mapInArrow(take, "key long, chunk long, entries binary")
 
 
-_LONGS = pa.list_(pa.int64())
+def _row_batch(key: pa.Array, chunk: int, entries_: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([key, pa.array(np.full(len(key), chunk)), entries_], names=["key", "chunk", "entries"])
 
 
-def _row_batch(key: pa.Array, chunk: int, *rest: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([key, pa.array(np.full(len(key), chunk)), *rest], names=["key", "chunk", "entries", "ids", "sizes"])
+def _header(ids: pa.Array, sizes: np.ndarray) -> bytes:
+    known = ids.is_valid().to_numpy(zero_copy_only=False)
+    return b"".join((known.astype("u1").tobytes(), ids.fill_null(0).to_numpy().astype("<i8").tobytes(), sizes.tobytes()))
 
 
-_SUMS = "chunk long, sums binary, ids array<bigint>, sizes array<bigint>"
+def _documents(header: bytes) -> tuple[pa.Array, pa.Array]:
+    """The ids and lengths in a header."""
+    n = len(header) // 17
+    ids, sizes = np.frombuffer(header, "<i8", 2 * n, n).reshape(2, n)
+    return pa.array(ids, mask=np.frombuffer(header, "u1", n) == 0), pa.array(sizes)
+
+
+_SUMS = "chunk long, header boolean, sums binary"
 
 
 def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums over the pre-tokens of this task, per chunk: positions <u2, then sums <u4."""
-    names = ["chunk", "sums", "ids", "sizes"]
     held: dict[int, np.ndarray] = {}
 
+    def batch_of(chunks: pa.Array, header: bool, sums: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([chunks, pa.array(np.full(len(chunks), header)), sums], names=["chunk", "header", "sums"])
+
     def flush() -> pa.RecordBatch:
         packed = []
         for sums in held.values():
             where = np.flatnonzero(sums)
             packed.append(where.astype("<u2").tobytes() + sums[where].astype("<u4").tobytes())
-        out = pa.RecordBatch.from_arrays([pa.array([*held], pa.int64()), pa.array(packed, pa.binary()), pa.nulls(len(held), _LONGS),
-                                          pa.nulls(len(held), _LONGS)], names=names)
+        out = batch_of(pa.array([*held], pa.int64()), False, pa.array(packed, pa.binary()))
         held.clear()
         return out
 
     for batch in batches:
-        head = batch.filter(batch.column(2).is_valid())
+        headers = pc.bit_wise_and(batch.column(0), 1).cast(pa.bool_())
+        head, rows = batch.filter(headers), batch.filter(pc.invert(headers))
         if head.num_rows:
-            yield pa.RecordBatch.from_arrays([head.column(0), pa.nulls(head.num_rows, pa.binary()), head.column(2), head.column(3)], names=names)
-        rows = batch.filter(batch.column(1).is_valid())
-        chunks, code = np.unique(rows.column(0).to_numpy(), return_inverse=True)
-        count, where, freq = entries(rows.column(1))
+            yield batch_of(head.column(1), True, head.column(2).cast(pa.binary()))
+        chunks, code = np.unique(rows.column(1).to_numpy(), return_inverse=True)
+        count, where, freq = entries(rows.column(2))
         key = np.repeat(code, count) << 16 | where
-        value = freq * np.repeat(rows.column(4).to_numpy(zero_copy_only=False).astype(np.int64), count)
+        value = freq * np.repeat(rows.column(3).to_numpy(zero_copy_only=False).astype(np.int64), count)
         order = np.argsort(key, kind="stable")
         key, value = key[order], value[order]
         new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
@@ -371,14 +388,14 @@ def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _chunk_totals(table: pa.Table) -> pa.Table:
     """All rows of one chunk to its documents' counts."""
     total = np.zeros(CHUNK_DOCS, np.int64)
-    ids, sizes = [], []
-    for sums, i, s in zip(table.column("sums").to_pylist(), table.column("ids").to_pylist(), table.column("sizes").to_pylist(), strict=True):
-        if sums is None:
-            ids, sizes = i, s
+    ids = sizes = pa.array([], pa.int64())
+    for header, sums in zip(table.column("header").to_pylist(), table.column("sums").to_pylist(), strict=True):
+        if header:
+            ids, sizes = _documents(sums)
         elif sums:
             n = len(sums) // 6
             total[np.frombuffer(sums, "<u2", n)] += np.frombuffer(sums, "<u4", n, 2 * n)
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array(sizes, pa.int64()), "n_tokens": pa.array(total[:len(ids)])})
+    return pa.table({"doc_id": ids, "n_bytes": sizes, "n_tokens": pa.array(total[:len(ids)])})
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:
@@ -388,6 +405,6 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
     PreTokens.of(shared.value)  # refuses other kinds of files here, not in a task
     counts, seed = piece_counts(docs, shared)
     joined = frequencies(docs, shared, seed).join(counts.hint("shuffle_hash"), "key", "left")
-    sums = joined.select("chunk", "entries", "ids", "sizes", "pieces").mapInArrow(_partial_sums, _SUMS)
+    sums = joined.select("key", "chunk", "entries", "pieces").mapInArrow(_partial_sums, _SUMS)
     return sums.groupBy("chunk").applyInArrow(_chunk_totals, "doc_id long, n_bytes long, n_tokens long") \
         .withColumn("over_limit", F.col("n_tokens") > limit)
