@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import id_and_text, map_batches, text_bytes
+from eventlake.llm.common import bounded_sample, id_and_text, map_batches, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 400  # documents trained on, at most
@@ -334,41 +334,51 @@ class Tagger:
         n = p["hf"].shape[1]
         half = np.ones((4 * n, 1))
         half[:3 * n] = 0.5  # sigmoid(z) = tanh(z / 2) / 2 + 1 / 2
-        self.p = {k: np.ascontiguousarray(v * half if k[0] in "xh" else v, np.float32) for k, v in p.items()}
+        # outputs are kept at twice their size, so what reads them takes half of it
+        share = {"x": half, "h": 0.5 * half, "e": 0.5}
+        self.p = {k: np.ascontiguousarray(v * share[k[0]] if len(k) > 1 else v, np.float32) for k, v in p.items()}
         d = (self.p["t"] - self.p["t"][0, 0]).astype(np.float64)
         self.within = d[1:, 1:].max()  # most that one more step among the kinds can add,
         self.enter = d[0, 1:].max()  # coming from "none",
         self.around = self.enter + max(0.0, d[1:, 0].max()) - self.within  # and there and back
 
-    def _direction(self, side: str, text: np.ndarray, first: np.ndarray, step: int, sizes: np.ndarray, into: np.ndarray, out: np.ndarray) -> None:
-        """Adds one direction's emissions to ``out`` (tag, place); windows lie longest first."""
+    def _direction(self, side: str, text: np.ndarray, first: np.ndarray, step: int, sizes: np.ndarray) -> np.ndarray:
+        """One direction's part of the emissions, (time, tag, window); windows lie longest first."""
         px, ph, pe = self.p[f"x{side}"], self.p[f"h{side}"], self.p[f"e{side}"]
         n, m = ph.shape[1], len(first)
         h, c = np.zeros((n, m), np.float32), np.zeros((n, m), np.float32)
+        out = np.empty((int(sizes[0]), TAGS, m), np.float32)
         for t, k in enumerate(_active(sizes)):
             if k < h.shape[1]:
                 h, c = np.ascontiguousarray(h[:, :k]), np.ascontiguousarray(c[:, :k])
             z = np.take(px, text[first[:k] + step * t], axis=1)
             z += ph @ h
             np.tanh(z, out=z)
-            gates = z[:3 * n]
-            gates *= np.float32(0.5)
-            gates += np.float32(0.5)
+            gates, g = z[:3 * n], z[3 * n:]
+            gates += np.float32(1)  # twice the gates: the halves are taken below
             c *= gates[n:2 * n]
-            z[3 * n:] *= gates[:n]
-            c += z[3 * n:]
+            g *= gates[:n]
+            c += g
+            c *= np.float32(0.5)
             np.tanh(c, out=h)
             h *= gates[2 * n:]
-            out[:, into[:k] + step * t] += pe @ h
+            np.matmul(pe, h, out=out[t, :, :k])
+        return out
 
     def emissions(self, text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(tag, place) scores of all windows, and where each window's places begin; windows
         (begin and length in ``text``) must be ordered longest first."""
         place = np.cumsum(sizes) - sizes
-        out = np.repeat(self.p["e"], int(sizes.sum()), axis=1)
+        out = np.empty((TAGS, int(sizes.sum())), np.float32)
         if len(sizes):
-            self._direction("f", text, starts, 1, sizes, place, out)
-            self._direction("b", text, starts + sizes - 1, -1, sizes, place + sizes - 1, out)
+            ahead = self._direction("f", text, starts, 1, sizes)
+            back = self._direction("b", text, starts + sizes - 1, -1, sizes)
+            edges = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(sizes)]
+            for a, b in zip(edges, edges[1:], strict=False):  # windows of one length
+                n = int(sizes[a])
+                both = ahead[:n, :, a:b] + back[:n, :, a:b][::-1]
+                out[:, place[a]:place[a] + n * (b - a)] = both.transpose(1, 2, 0).reshape(TAGS, -1)
+            out += self.p["e"]
         return out, place
 
     def undecided(self, e: np.ndarray, place: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -453,9 +463,13 @@ def _listed(spans: list[tuple[int, int, int]]) -> str:
 # --- Spark side -------------------------------------------------------------------
 
 def learn(docs: DataFrame) -> Tagger:
-    """Trains on a bounded sample, chosen by a hash of doc_id and text."""
-    rows = id_and_text(docs).where(F.length("text") <= SAMPLE_CHARS).select(F.xxhash64("doc_id", "text").alias("h"), "text")
-    return train([r.text for r in rows.orderBy("h").limit(SAMPLE_ROWS).collect()])
+    """Trains on a bounded sample, chosen by a hash of doc_id among the shorter texts. Narrow
+    rows are ordered; the texts follow by their number and hash."""
+    rows = id_and_text(docs).where(F.length("text") <= SAMPLE_CHARS)
+    named = rows.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    chosen = bounded_sample(named.select("doc_id", "h").where("doc_id IS NOT NULL").distinct(), "doc_id", SAMPLE_ROWS)
+    texts = named.join(F.broadcast(chosen), ["doc_id", "h"], "left_semi").select("text").distinct()
+    return train(sorted(r.text for r in texts.collect()))
 
 
 def find(docs: DataFrame) -> DataFrame:
