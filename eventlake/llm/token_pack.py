@@ -28,7 +28,11 @@ writes no record; other columns are not read.
 from __future__ import annotations
 
 import os
+import re
+import sys
 import zlib
+from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +49,7 @@ END_ID = 2
 BLOCK = 1024
 PERCENTILE = 0.95
 RECORD_IDS = 1 << 20  # a record is closed once it has as many
-MEMO_WORDS = 300_000
+MEMO_WORDS = 800_000
 _MAGIC = int.from_bytes(b"PFR1", "little")
 
 
@@ -55,18 +59,19 @@ def pack(ids: np.ndarray) -> bytes:
     n, blocks = len(ids), -(-len(ids) // BLOCK)
     if not blocks:
         return np.array([_MAGIC, 0, 0, 0], "<u4").tobytes()
-    full = np.full(blocks * BLOCK, ids[-1], np.uint64)
+    full = np.full(blocks * BLOCK, ids[-1], np.uint32)
     full[:n] = ids
     full = full.reshape(blocks, BLOCK)
     low = full.min(axis=1)
     rest = full - low[:, None]
     at = min(BLOCK - 1, int(PERCENTILE * BLOCK))
     width = np.frexp(np.partition(rest, at, axis=1)[:, at].astype(np.float64))[1]
-    high = rest >> width[:, None].astype(np.uint64)
+    # a width of 32 leaves nothing above it
+    high = np.where(width[:, None] < 32, rest >> np.minimum(width, 31)[:, None].astype(np.uint32), 0)
     parts: list[bytes] = [b""] * blocks
     for w in np.unique(width).tolist():
         own = np.flatnonzero(width == w)
-        words = _pack_bits(rest[own] & np.uint64((1 << w) - 1), w)
+        words = _pack_bits(rest[own] & np.uint32((1 << w) - 1), w)
         for b, body in zip(own.tolist(), words, strict=True):
             odd = np.flatnonzero(high[b])
             parts[b] = b"".join((np.array([low[b]], "<u4").tobytes(), bytes((w, 0)), np.array([len(odd)], "<u2").tobytes(),
@@ -77,29 +82,30 @@ def pack(ids: np.ndarray) -> bytes:
 
 def _pack_bits(values: np.ndarray, width: int) -> np.ndarray:
     """64 values of ``width`` bits in ``width`` words."""
-    rows = values.reshape(-1, 64)
-    words = np.zeros((len(rows), width + 1), np.uint64)
+    lanes = values.reshape(-1, 64).T.astype(np.uint64, order="C")  # the same place of all rows side by side
+    words = np.zeros((width + 1, lanes.shape[1]), np.uint64)
     for i in range(64 if width else 0):
         word, shift = divmod(i * width, 64)
-        words[:, word] |= rows[:, i] << np.uint64(shift)
+        words[word] |= lanes[i] << np.uint64(shift)
         if shift + width > 64:
-            words[:, word + 1] |= rows[:, i] >> np.uint64(64 - shift)
-    return words[:, :width].reshape(len(values), -1).astype("<u8")
+            words[word + 1] |= lanes[i] >> np.uint64(64 - shift)
+    return np.ascontiguousarray(words[:width].T).reshape(len(values), -1).astype("<u8", copy=False)
 
 
 def _unpack_bits(words: np.ndarray, width: int) -> np.ndarray:
     """Rows of words to rows of BLOCK values."""
-    out = np.zeros((len(words) * (BLOCK // 64), 64), np.uint64)
+    lanes = np.zeros((64, len(words) * (BLOCK // 64)), np.uint32)
     if width:
-        words = words.reshape(-1, width)
+        words = np.ascontiguousarray(words.reshape(-1, width).T)
         mask = np.uint64((1 << width) - 1)
         for i in range(64):
             word, shift = divmod(i * width, 64)
-            v = words[:, word] >> np.uint64(shift)
+            v = words[word] >> np.uint64(shift)
             if shift + width > 64:
-                v = v | words[:, word + 1] << np.uint64(64 - shift)
-            out[:, i] = v & mask
-    return out.reshape(-1, BLOCK)
+                v |= words[word + 1] << np.uint64(64 - shift)
+            v &= mask
+            lanes[i] = v
+    return np.ascontiguousarray(lanes.T).reshape(-1, BLOCK)
 
 
 def unpack(payload: bytes, start: int = 0, stop: int | None = None) -> np.ndarray:
@@ -113,7 +119,7 @@ def unpack(payload: bytes, start: int = 0, stop: int | None = None) -> np.ndarra
     index = np.frombuffer(payload, "<u4", blocks + 1, 12)
     body = 12 + 4 * (blocks + 1)
     first, last = start // BLOCK, -(-stop // BLOCK)
-    out = np.zeros((last - first, BLOCK), np.uint64)
+    out = np.zeros((last - first, BLOCK), np.uint32)
     heads = []
     for b in range(first, last):
         at = body + int(index[b])
@@ -128,9 +134,9 @@ def unpack(payload: bytes, start: int = 0, stop: int | None = None) -> np.ndarra
     for b, (low, w, odd, at) in enumerate(heads):
         if odd:
             where = np.frombuffer(payload, "<u2", odd, at)
-            out[b, where] |= np.frombuffer(payload, "<u4", odd, at + 2 * odd).astype(np.uint64) << np.uint64(w)
-        out[b] += np.uint64(low)
-    return out.reshape(-1)[start - first * BLOCK:stop - first * BLOCK].astype(np.uint32)
+            out[b, where] |= np.frombuffer(payload, "<u4", odd, at + 2 * odd) << np.uint32(min(w, 31))
+        out[b] += np.uint32(low)
+    return out.reshape(-1)[start - first * BLOCK:stop - first * BLOCK]
 
 
 # --- encoding ---------------------------------------------------------------------
@@ -147,9 +153,13 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_buffer(vocabulary)
         self.memo: dict[bytes, bytes] = {b"": b""}
-        suffix, vocab = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab(True)
-        self.closing = np.zeros(max(vocab.values(), default=0) + 1, bool)  # ids that end a pre-token
-        self.closing[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
+        self.older: dict[bytes, bytes] = {}  # what the memo held before it was full
+        # byte-level files write bytes as printable stand-ins
+        rest = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or 174 <= b)]
+        self.stand_ins = "".join(chr(256 + rest.index(b)) if b in rest else chr(b) for b in range(256))
+        probe = "étretionœ"
+        self.direct = array("I").itemsize == 4 and sys.byteorder == "little" and self.tokenizer.encode(probe, add_special_tokens=False).ids == \
+            [t.id for t in self.tokenizer.model.tokenize(charmap_decode(probe.encode(), "strict", self.stand_ins)[0])]
         self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     @classmethod
@@ -165,46 +175,45 @@ class WordEncoder:
         # where a special string could come about, the text keeps its case
         words = [(t if odd else same).replace(b"\n", b" ").split(b" ") for t, same, odd in zip(texts, low, special, strict=True)]
         used = set().union(*words)
-        if len(self.memo) + len(used) > MEMO_WORDS:
-            self.memo = {w: self.memo[w] for w in used if w in self.memo} | {b"": b""}
-        self._learn(used.difference(self.memo), any(special))
+        if len(self.memo) > MEMO_WORDS // 2:
+            self.older, self.memo = self.memo, {b"": b""}
+        new = used.difference(self.memo)
+        again = new.intersection(self.older)
+        self.memo.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        self._learn(new.difference(again), any(special))
         return [b"".join(map(self.memo.__getitem__, w)) for w in words]
 
     def _learn(self, new: set[bytes], special: bool) -> None:
         memo, letters, others, joint = self.memo, [], set(), []
-
-        def plain(word: bytes) -> None:
-            text = word.decode()
-            letters.append(text) if text.isalpha() else others.add(text)
-
-        bases = set()
+        bases, signs = set(), set()
         for word in new:
-            base = word.rstrip(_SIGNS)
+            m = _PLAIN.fullmatch(word)
             # a letter and a closing sign always belong to different pre-tokens
-            if base != word and base.decode()[-1:].isalpha() and not (special and any(s in word.lower() for s in self.special)):
-                joint.append((word, base))
-                bases.add(base)
-                others.add(word[len(base):].decode())
+            if m is None or special and any(s in word.lower() for s in self.special):
+                others.add(word.decode())
+            elif m[2]:
+                joint.append((word, m[1], m[2]))
+                bases.add(m[1])
+                signs.add(m[2])
             else:
-                plain(word)
-        for base in bases.difference(memo, new):
-            plain(base)
-        for k in range(0, len(letters), 8192):
-            self._learn_letters(letters[k:k + 8192])
+                letters.append(word)
+        letters += bases.difference(memo, letters)
+        others.update(s.decode() for s in signs.difference(memo))
+        self._learn_letters(letters, others)
         self._learn_each([*others])
-        for word, base in joint:
-            memo[word] = memo[base] + memo[word[len(base):]]
-
-    def _learn_letters(self, words: list[str]) -> None:
-        """Words of letters only are one pre-token each, so one text tells them apart."""
-        coded = self.tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0]
-        ids = np.array(coded.ids, "<u4")
-        last = np.flatnonzero(self.closing[ids])
-        if len(last) != len(words):  # letters to Python, but not to the tokenizer
-            return self._learn_each(words)
-        data, ends = ids.tobytes(), [0, *(4 * last + 4).tolist()]
-        for word, a, b in zip(words, ends, ends[1:], strict=False):
-            self.memo[word.encode()] = data[a:b]
+        for word, base, sign in joint:
+            memo[word] = memo[base] + memo[sign]
+
+    def _learn_letters(self, words: list[bytes], others: set[str]) -> None:
+        """Words of letters only are one pre-token each, which goes to the tokenizer's model as
+        it is; ``others`` takes those that its normaliser might change."""
+        tokenize, memo = self.tokenizer.model.tokenize, self.memo
+        for word in words:
+            if self.direct and (word if word.isascii() else word.decode()).islower():
+                text = word.decode() if word.isascii() else charmap_decode(word, "strict", self.stand_ins)[0]
+                memo[word] = array("I", [t.id for t in tokenize(text)]).tobytes()
+            else:
+                others.add(word.decode())
 
     def _learn_each(self, words: list[str]) -> None:
         for k in range(0, len(words), 4096):
@@ -213,7 +222,8 @@ class WordEncoder:
                 self.memo[word.encode()] = np.array(e.ids, "<u4").tobytes()
 
 
-_SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+# Latin letters in UTF-8, then ASCII signs.
+_PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+)([!-/:-@\[-`{-~]*)")
 
 
 # --- Spark side -------------------------------------------------------------------
@@ -254,10 +264,9 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
             yield record()
         release()
 
-    rows = id_and_text(docs)
-    tie = F.xxhash64("text")
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), tie) \
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
+    # the ranges are drawn from doc_id alone, so that sampling them reads no text
+    by_id = F.col("doc_id").asc_nulls_first()
+    ordered = id_and_text(docs).repartitionByRange(by_id).sortWithinPartitions(by_id, F.xxhash64("text"))
     return ordered.mapInArrow(records, RECORDS)
 
 
@@ -281,7 +290,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
             for i in range(batch.num_rows):
                 shard, part, _, names, lengths, payload = (c[i] for c in batch.columns)
                 lengths = lengths.values.to_numpy()
-                data = memoryview(unpack(payload.as_py()).astype("<u4").tobytes())
+                data = memoryview(unpack(payload.as_py()).astype("<u4", copy=False).tobytes())
                 ends = np.cumsum(lengths, dtype=np.int64)
                 sums = [zlib.crc32(data[4 * (e - n):4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 n = len(sums)
