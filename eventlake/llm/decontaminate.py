@@ -34,7 +34,7 @@ from eventlake.llm.common import fresh_name, id_and_text, map_batches, text_byte
 Q = 10
 EDIT_RATE = 0.08  # edits allowed, as a share of the passage's length
 PASSAGE = 512
-MAX_PART_CHARS = 8 << 20  # of benchmark text, broadcast at a time
+MAX_PART_CHARS = 1 << 20  # of benchmark text, whose index (some thirty times as much) is broadcast at a time
 FILTER_BITS = 21
 SLICE_BYTES = 2 << 20  # of text at a time; the q-gram hashes take some forty times as much
 _BASE = np.uint64(0x9E3779B97F4A7C15)

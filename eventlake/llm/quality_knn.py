@@ -80,7 +80,7 @@ class Voters:
         n = len(x)
         self.idf = np.log((1 + n) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + np.float32(1)
         weighted = self._unit(x * self.idf)
-        _, vectors = np.linalg.eigh(weighted.T.astype(np.float64) @ weighted) if n else (0, np.zeros((TERMS, 0)))
+        _, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64)) if n else (0, np.zeros((TERMS, 0)))
         self.axes = np.ascontiguousarray(vectors[:, ::-1][:, :RANK]).astype(np.float32)
         self.vectors, self.labels = self._unit(weighted @ self.axes), (y > 0).astype(np.float32)
 
