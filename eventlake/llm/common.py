@@ -5,7 +5,10 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,6 +16,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import eventlake
 from eventlake.session import scratch_path
 
 # ASCII whitespace that separates words: the complement of the class [^\x20\x09-\x0D].
@@ -20,6 +24,25 @@ from eventlake.session import scratch_path
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+_sent_to: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Python workers import this package by name. It goes to them with the application,
+    once, so that it need not be installed on every machine or lie in the working folder."""
+    context = spark.sparkContext
+    if context.applicationId in _sent_to:
+        return
+    root = Path(eventlake.__file__).resolve().parent
+    # Spark's file server hands the archive on; only the driver reads it from here
+    archive = Path(tempfile.mkdtemp(prefix="eventlake-package-")) / "eventlake_package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, Path("eventlake") / file.relative_to(root))
+    context.addPyFile(str(archive))
+    _sent_to.add(context.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -93,6 +116,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str,
 def map_batches(df: DataFrame, column: str, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch],
                 max_bytes: int = 8 << 20) -> DataFrame:
     """``mapInArrow`` over bounded slices."""
+    send_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, column, max_bytes):
@@ -116,5 +140,6 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
 
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Only the two columns that the operators read, so other columns cannot clash."""
+    send_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
