@@ -25,7 +25,7 @@ from eventlake.llm.textstats import SPACE, gaps, word_ids
 from eventlake.llm.toxicity import fold, labelled_sample
 
 FOLDS, HELD_FOLD = 4, 2
-INDEX_ROWS = 4096  # labelled rows that vote, at most
+INDEX_ROWS = 8192  # labelled rows that vote, at most
 SAMPLE_CHARS = 50_000  # longer texts are left out of the sample
 RANK = 96
 NEIGHBOURS = 7
@@ -80,8 +80,11 @@ class Voters:
         n = len(x)
         self.idf = np.log((1 + n) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + np.float32(1)
         weighted = self._unit(x * self.idf)
-        _, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64)) if n else (0, np.zeros((TERMS, 0)))
-        self.axes = np.ascontiguousarray(vectors[:, ::-1][:, :RANK]).astype(np.float32)
+        used = np.flatnonzero((x > 0).any(axis=0))  # other terms have no part in the space
+        own = weighted[:, used]
+        _, vectors = np.linalg.eigh((own.T @ own).astype(np.float64)) if len(used) else (0, np.zeros((0, 0)))
+        self.axes = np.zeros((TERMS, min(RANK, len(used))), np.float32)
+        self.axes[used] = vectors[:, ::-1][:, :RANK]
         self.vectors, self.labels = self._unit(weighted @ self.axes), (y > 0).astype(np.float32)
 
     @staticmethod
@@ -106,17 +109,30 @@ def _matrix(texts: list[bytes]) -> np.ndarray:
     return np.stack([terms(t) for t in texts]) if texts else np.zeros((0, TERMS), np.float32)
 
 
+def _sparse(row: np.ndarray) -> bytes:
+    """Places <u2 of a row's terms, then their values <f4."""
+    where = np.flatnonzero(row)
+    return where.astype("<u2").tobytes() + row[where].astype("<f4").tobytes()
+
+
+def _dense(rows: list[bytes]) -> np.ndarray:
+    x = np.zeros((len(rows), TERMS), np.float32)
+    for i, row in enumerate(rows):
+        n = len(row) // 6
+        x[i, np.frombuffer(row, "<u2", n)] = np.frombuffer(row, "<f4", n, 2 * n)
+    return x
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> Voters:
     sample = labelled_sample(docs, labels, "quality", FOLDS, HELD_FOLD, INDEX_ROWS, SAMPLE_CHARS)
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = _matrix(text_bytes(batch.column(1)))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary()), batch.column(2)], names=["doc_id", "x", "y"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([_sparse(r) for r in x], pa.binary()), batch.column(2)], names=["doc_id", "x", "y"])
 
     found = written(map_batches(sample.select("doc_id", "text", "y"), "text", "doc_id long, x binary, y int", rows), "quality-sample") \
         .orderBy("doc_id").collect()
-    x = np.frombuffer(b"".join(r.x for r in found), np.float32).reshape(-1, TERMS)
-    return Voters(x, np.array([r.y for r in found]))
+    return Voters(_dense([r.x for r in found]), np.array([r.y for r in found]))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
