@@ -222,8 +222,9 @@ class WordEncoder:
                 self.memo[word.encode()] = np.array(e.ids, "<u4").tobytes()
 
 
-# Latin letters in UTF-8, then ASCII signs.
-_PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+)([!-/:-@\[-`{-~]*)")
+# Latin letters in UTF-8, then ASCII signs. Not U+0130: its lower case ends with a combining
+# dot, which is no letter and shares a pre-token with the signs after it.
+_PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+)([!-/:-@\[-`{-~]*)")
 
 
 # --- Spark side -------------------------------------------------------------------

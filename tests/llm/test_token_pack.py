@@ -40,6 +40,16 @@ def test_words_give_the_tokenizers_ids():
         assert np.frombuffer(coded, "<u4").tolist() == t.encode(text or "", add_special_tokens=False).ids, text
 
 
+def test_every_admitted_letter_before_closing_signs():
+    t = Tokenizer.from_file(PATH)
+    texts = ["tepesİ.", "Aİ, aİ! (İ) İİ...", "İ.", "İSTANBUL'DA, İZMİR'E GELDİ?"]
+    texts += [w for c in map(chr, range(0x41, 0x250)) for w in (f"a{c}.", f"{c}!?", f"{c}b,", f"{c}'")]
+    with open(PATH, "rb") as f:
+        got = tp.WordEncoder(f.read()).encode([x.encode() for x in texts])
+    for text, coded in zip(texts, got, strict=True):
+        assert np.frombuffer(coded, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
 def test_bounded_memo_gives_the_same(monkeypatch):
     with open(PATH, "rb") as f:
         whole = tp.WordEncoder(f.read())
