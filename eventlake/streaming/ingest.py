@@ -72,7 +72,8 @@ def ingest_stream(stream: DataFrame, lake_path: str, checkpoint: str, schema: St
     spark = stream.sparkSession
     _refuse_conflicts(spark, lake_path, f"{checkpoint.rstrip('/')}/lake")
     trigger = trigger or {"processingTime": "60 seconds"}
-    c = observe_batch(classify(stream, value, max_bytes, (*TIME_US_PATHS, *paths_to(schema, "time_us"))))
+    time_paths = (*TIME_US_PATHS, *paths_to(schema, "time_us"))  # both queries part the records alike
+    c = observe_batch(classify(stream, value, max_bytes, time_paths))
     good = c.filter(F.col("reason").isNull())
     parts = template_columns(template)
     with case_scope(spark, flattened_schema(schema)):
@@ -98,7 +99,7 @@ def ingest_stream(stream: DataFrame, lake_path: str, checkpoint: str, schema: St
     with case_scope(spark, merged):  # a query keeps the settings it was started with
         queries = [w.start(lake_path)]
     if quarantine_path:
-        bad = classify(stream, value, max_bytes).filter(F.col("reason").isNotNull()).select(
+        bad = classify(stream, value, max_bytes, time_paths).filter(F.col("reason").isNotNull()).select(
             F.col(value).cast("binary").alias("raw"), "reason",
             ingest_time().alias("ingested_at"))
         queries.append(bad.writeStream.format("parquet")

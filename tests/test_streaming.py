@@ -180,3 +180,18 @@ def test_clean_source_archives_committed_files(spark):
     assert sorted(r.did for r in spark.read.parquet(lake).collect()) == ["a", "b"]
     archived = [f for _, _, fs in os.walk(arch.replace("file:", "")) for f in fs if f.startswith("part-")]
     assert archived, "committed source files are moved to the archive"
+
+
+def test_lake_and_quarantine_hold_every_record(spark):
+    """A record that fails only a further time path of the pinned schema is quarantined."""
+    src, lake, ckpt, quar = (scratch_path(spark, n) for n in ("src", "lake", "ckpt", "quar"))
+    lines = ['{"did":"a","":{"time_us":1}}', '{"did":"b","":{"time_us":"x"}}', '{"did":"c"}', "[1]"]
+    _lines(spark, lines[:1] + lines[2:], f"{src}/b=0")
+    _, schema, _ = prepare(read_jsonl(spark, f"{src}/b=0"))
+    _lines(spark, lines[1:2], f"{src}/b=1")
+    for q in ingest_stream(read_jsonl(spark, f"{src}/b=*", streaming=True), lake, ckpt, schema,
+                           trigger={"availableNow": True}, quarantine_path=quar):
+        q.awaitTermination()
+    bad = sorted((r.reason, bytes(r.raw).decode()) for r in spark.read.parquet(quar).collect())
+    assert bad == [("bad_time_us", lines[1]), ("not_object", "[1]")]
+    assert spark.read.parquet(lake).count() + len(bad) == len(lines)
