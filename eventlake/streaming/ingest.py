@@ -19,7 +19,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
+import threading
+import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -39,6 +42,9 @@ from eventlake.sinks.lake import DEFAULT_MAX_ROWS, write_schema_sidecar
 from eventlake.sources.lake import read_schema_sidecar
 
 METRICS_NAME = "eventlake_metrics"
+PROGRESS_SETTING = "spark.sql.streaming.numRecentProgressUpdates"
+PROGRESS_KEPT = 2000  # progress entries that Spark keeps of a query, at least
+PROGRESS_READ_S = 0.5  # how often it is looked whether many are new
 WRITERS_PER_FOLDER = 8  # tasks that share an hour's rows when the lake follows event time
 
 
@@ -96,8 +102,11 @@ def ingest_stream(stream: DataFrame, lake_path: str, checkpoint: str, schema: St
         w = w.option("maxRecordsPerFile", int(max_rows))
     if query_name:
         w = w.queryName(query_name)
+    if int(spark.conf.get(PROGRESS_SETTING, "100")) < PROGRESS_KEPT:  # read from the session at each batch
+        spark.conf.set(PROGRESS_SETTING, str(PROGRESS_KEPT))
     with case_scope(spark, merged):  # a query keeps the settings it was started with
         queries = [w.start(lake_path)]
+    _follow(queries[0])
     if quarantine_path:
         bad = classify(stream, value, max_bytes, time_paths).filter(F.col("reason").isNotNull()).select(
             F.col(value).cast("binary").alias("raw"), "reason",
@@ -128,29 +137,76 @@ def drain(queries: list[StreamingQuery], timeout: float | None = None) -> None:
         q.awaitTermination(timeout)
 
 
+class _RunTotals:
+    """Totals of one run of a query, each batch added once."""
+
+    def __init__(self, query: StreamingQuery, name: str):
+        self.query, self.name, self.lock = query, name, threading.Lock()
+        self.last = -1  # newest batch that was added
+        self.totals = {"batches": 0, "input_rows": 0, "consumed": 0, "written": 0, "errors": 0,
+                       "write_ms": 0, "missed": 0}
+
+    def behind(self) -> int:
+        newest = self.query.lastProgress
+        return newest["batchId"] - self.last if newest else 0
+
+    def take(self, final: bool = False) -> dict:
+        """Adds the batches that are new among Spark's progress entries."""
+        with self.lock:
+            for p in self.query.recentProgress if self.query else ():
+                prog = json.loads(p.json) if hasattr(p, "json") and isinstance(p.json, str) else dict(p)
+                obs = (prog.get("observedMetrics") or {}).get(self.name)
+                if not obs or prog["batchId"] <= self.last:  # the quarantine query, an idle trigger, or added before
+                    continue
+                if self.totals["batches"]:
+                    self.totals["missed"] += prog["batchId"] - self.last - 1
+                self.last = prog["batchId"]
+                _count(self.totals, prog, obs)
+            if final:
+                self.query = None
+            return dict(self.totals)
+
+
+_runs: dict[str, _RunTotals] = {}
+
+
+def _follow(query: StreamingQuery) -> None:
+    """Takes the query's progress over, by a thread, before Spark drops it."""
+    run = _runs[str(query.runId)] = _RunTotals(query, METRICS_NAME)
+
+    def follow() -> None:
+        with contextlib.suppress(Exception):  # the session may end first
+            while query.isActive:
+                if run.behind() > PROGRESS_KEPT // 8:
+                    run.take()
+                time.sleep(PROGRESS_READ_S)
+            run.take(final=True)
+
+    threading.Thread(target=follow, name="eventlake-metrics", daemon=True).start()
+
+
 def run_metrics(query: StreamingQuery, name: str = METRICS_NAME) -> dict:
-    """T5: totals over the query's recent progress (batches, rows, observed counters).
+    """T5: totals over all batches of this run of the query (batches, rows, observed counters).
 
-    Spark keeps only the last ``spark.sql.streaming.numRecentProgressUpdates``
-    (100) progress entries, so this is exact for bounded runs (``availableNow``
-    drains, tests); for a long-running query use ``MetricsListener``, which
-    adds up every batch as it commits. ``lag_seconds`` and ``behind`` are gauges of
-    the last batch.
+    Spark keeps only the last ``PROGRESS_SETTING`` progress entries of a query; those of
+    the queries that ``ingest_stream`` started are added up while they are kept, however
+    many batches there are. Batches are numbered without gaps, so one that was dropped
+    unread all the same would be counted in ``missed``. Of other queries only what Spark
+    still keeps is added. ``lag_seconds`` and ``behind`` are gauges of the last batch.
     """
-    tot = {"batches": 0, "input_rows": 0, "consumed": 0, "written": 0, "errors": 0,
-           "write_ms": 0}
-    for p in query.recentProgress:
-        prog = json.loads(p.json) if hasattr(p, "json") and isinstance(p.json, str) else dict(p)
-        obs = (prog.get("observedMetrics") or {}).get(name)
-        if not obs:  # the quarantine query, or an idle trigger
-            continue
-        tot["batches"] += 1
-        tot["input_rows"] += int(prog.get("numInputRows", 0) or 0)
-        for k in ("consumed", "written", "errors"):
-            tot[k] += int(obs[k] or 0)
-        tot["write_ms"] += int((prog.get("durationMs") or {}).get("addBatch", 0))
-        _gauges(tot, prog, obs)
-    return tot
+    run = _runs.get(str(query.runId))
+    if run is None or run.name != name:
+        run = _RunTotals(query, name)
+    return run.take()
+
+
+def _count(tot: dict, prog: dict, obs) -> None:
+    tot["batches"] += 1
+    tot["input_rows"] += int(prog.get("numInputRows", 0) or 0)
+    for k in ("consumed", "written", "errors"):
+        tot[k] += int(obs[k] or 0)
+    tot["write_ms"] += int((prog.get("durationMs") or {}).get("addBatch", 0))
+    _gauges(tot, prog, obs)
 
 
 def _gauges(tot: dict, prog: dict, obs) -> None:
@@ -199,13 +255,7 @@ class MetricsListener:
         self.listener = _L()
 
     def _add(self, prog: dict) -> None:
-        t = self.totals
         obs = (prog.get("observedMetrics") or {}).get(self.name)
         if not obs:  # another query of the session, or an idle trigger
             return
-        t["batches"] += 1
-        t["input_rows"] += int(prog.get("numInputRows", 0) or 0)
-        for k in ("consumed", "written", "errors"):
-            t[k] += int(obs[k] or 0)
-        _gauges(t, prog, obs)
-        t["write_ms"] += int((prog.get("durationMs") or {}).get("addBatch", 0))
+        _count(self.totals, prog, obs)

@@ -195,3 +195,28 @@ def test_lake_and_quarantine_hold_every_record(spark):
     bad = sorted((r.reason, bytes(r.raw).decode()) for r in spark.read.parquet(quar).collect())
     assert bad == [("bad_time_us", lines[1]), ("not_object", "[1]")]
     assert spark.read.parquet(lake).count() + len(bad) == len(lines)
+
+
+def test_metrics_of_more_batches_than_spark_keeps(spark, monkeypatch):
+    from eventlake.streaming import ingest
+    n = 104
+    src, lake, ckpt = (scratch_path(spark, x) for x in ("src", "lake", "ckpt"))
+    lines = [("[1]",) if i % 10 == 0 else (f'{{"did":"d{i}"}}',) for i in range(n)]
+    spark.createDataFrame(spark.sparkContext.parallelize(lines, n), "value string").write.text(src)  # a file for each
+    _, schema, _ = prepare(read_jsonl(spark, src))
+    # as a run of over 2,000 batches would be
+    monkeypatch.setattr(ingest, "PROGRESS_KEPT", 40, raising=False)
+    setting = "spark.sql.streaming.numRecentProgressUpdates"
+    kept = spark.conf.get(setting, "100")
+    spark.conf.set(setting, "40")
+    try:
+        (q,) = ingest_stream(read_jsonl(spark, src, streaming=True, max_files_per_trigger=1), lake, ckpt, schema,
+                             trigger={"availableNow": True})
+        q.awaitTermination()
+        m = run_metrics(q)
+        assert len(q.recentProgress) <= 40
+    finally:
+        spark.conf.set(setting, kept)
+    assert (m["batches"], m["input_rows"], m["consumed"], m["written"], m["errors"]) == (n, n, n, n - 11, 11)
+    assert m["missed"] == 0
+    assert run_metrics(q) == m
