@@ -10,7 +10,10 @@ other. So shared q-grams are counted in overlapping bands of diagonals, each win
 banded semi-global alignment. The filter drops no true occurrence.
 
 Long items are cut into overlapping passages of ``PASSAGE`` characters, any of which
-counts. The benchmark is the broadcast side: it is read in parts of at most
+counts, and items of more than ``STRETCH`` characters also into passages of that length
+(about 27 words), ``STRIDE`` apart, so that any copied stretch of ``STRETCH + STRIDE - 1``
+normalised characters holds a whole one, wherever it begins. An item that is found by long
+passages has the least edits of these, else the least of the short ones. The benchmark is the broadcast side: it is read in parts of at most
 ``MAX_PART_CHARS`` characters, one pass over the documents for each part.
 
 Defined cases: a null or empty document shares nothing; items with fewer than ``Q``
@@ -34,7 +37,8 @@ from eventlake.llm.common import fresh_name, id_and_text, map_batches, text_byte
 Q = 10
 EDIT_RATE = 0.08  # edits allowed, as a share of the passage's length
 PASSAGE = 512
-MAX_PART_CHARS = 1 << 20  # of benchmark text, whose index (some thirty times as much) is broadcast at a time
+STRETCH, STRIDE = 160, 40
+MAX_PART_CHARS = 1 << 18  # of benchmark text, whose index (up to some 180 times as much) is broadcast at a time
 FILTER_BITS = 21
 SLICE_BYTES = 2 << 20  # of text at a time; the q-gram hashes take some forty times as much
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -94,25 +98,33 @@ def grams(chars: np.ndarray) -> np.ndarray:
 
 # --- the benchmark ------------------------------------------------------------------
 
+def _cuts(length: int, size: int, step: int) -> list[int]:
+    """Where passages of ``size`` characters begin; the last one ends with the item."""
+    return [0] if length <= size else [*range(0, length - size, step), length - size]
+
+
 class Passages:
     """The q-gram index of a bounded part of the benchmark."""
 
     def __init__(self, texts: list[str]):
-        self.item, chars, starts, lengths = [], [], [], []
+        self.item, self.short, chars, starts, lengths = [], [], [], [], []
         at = 0
         for i, text in enumerate(texts):
             c = normalised([text])[0][1:-1]
             step = PASSAGE // 2
-            cuts = [0] if len(c) <= PASSAGE else [*range(0, len(c) - PASSAGE, step), len(c) - PASSAGE]
-            for cut in cuts:
-                part = c[cut:cut + PASSAGE]
+            cuts = [(cut, PASSAGE) for cut in _cuts(len(c), PASSAGE, step)]
+            if len(c) > STRETCH:
+                cuts += [(cut, STRETCH) for cut in _cuts(len(c), STRETCH, STRIDE)]
+            for cut, size in cuts:
+                part = c[cut:cut + size]
                 if len(part) >= Q:
                     self.item.append(i)
+                    self.short.append(size == STRETCH)
                     starts.append(at)
                     lengths.append(len(part))
                     chars.append(part)
                     at += len(part)
-        self.item = np.array(self.item, np.int64)
+        self.item, self.short = np.array(self.item, np.int64), np.array(self.short, bool)
         self.start, self.length = np.array(starts, np.int64), np.array(lengths, np.int64)
         self.chars = np.concatenate(chars) if chars else np.zeros(0, np.uint32)
         # the largest budget for which the lemma still asks for one shared q-gram
@@ -194,8 +206,8 @@ class Passages:
         best, ends = self.distances(chars, owner, band)
         keep = best <= self.budget[owner]
         text = np.searchsorted(edges, ends[keep], side="right") - 1
-        item, best = self.item[owner[keep]], best[keep]
-        order = np.lexsort((best, item, text))
+        item, short, best = self.item[owner[keep]], self.short[owner[keep]], best[keep]
+        order = np.lexsort((best, short, item, text))
         text, item, best = text[order], item[order], best[order]
         new = np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]))[:len(text)]
         return text[new], item[new], best[new]

@@ -105,6 +105,29 @@ def test_a_long_item_is_found_by_any_passage():
     assert p.found([plain(item)[700:700 + 2 * dc.PASSAGE], "nothing here", item])[0].tolist() == [0, 2]
 
 
+def test_a_stretch_of_a_long_item_is_found_wherever_it_begins():
+    rng = random.Random(6)
+    item = plain(words(rng, 300))[:1000].strip()
+    p = dc.Passages([item])
+    around = words(rng, 20), words(rng, 20)
+    for size in (201, 400, 600):
+        texts = [f"{around[0]} {item[at:at + size]} {around[1]}" for at in range(len(item) - size + 1)]
+        assert p.found(texts)[0].tolist() == [*range(len(texts))]
+    assert not len(p.found([*around, item[:60]])[0])
+
+
+def test_half_of_an_item_with_edits_is_found():
+    rng = random.Random(7)
+    item = plain(words(rng, 100))[:400].strip()
+    p = dc.Passages([item, "another item of some length, whole"])
+    halves = [item[:len(item) // 2 + 1], item[len(item) // 2 - 1:], item[100:300]]
+    texts = [words(rng, 9) + " " + edited(rng, h, 4) + " " + words(rng, 9) for h in halves]
+    texts += [item, edited(rng, item, 9)]
+    text, found, edits = p.found(texts)
+    assert text.tolist() == [0, 1, 2, 3, 4] and not found.any()
+    assert edits[3] == 0 and edits[4] == least_edits(item, texts[-1])
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     items = spark.createDataFrame([], "item_id long, text string")
