@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import chat, decontaminate, mixing, pii, quality_knn, quality_rules, simhash, token_counts, token_pack, toxicity
+from eventlake.llm import alignment, chat, decontaminate, mixing, periodic, pii, quality_knn, quality_rules, simhash, token_counts, token_pack, toxicity
 from eventlake.llm.common import read_table
 
 
@@ -51,7 +52,27 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(token_counts.TOKENIZER))
 
 
+def with_planted_cycle(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words that the contract of op12 derives: every tenth document or so repeats a
+    stretch of its own to the end. A null doc_id has no decimal and keeps its words."""
+    h = zlib.crc32(b"%d" % doc_id) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * (1 + (n - a) // p))[:n - a]
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.collapse(read_table(spark, sf_dir, "documents"), with_planted_cycle)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"), public_tokenizers.path(alignment.A_FILE), public_tokenizers.path(alignment.B_FILE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_quality_knn, op3_decontaminate, op4_pii, op5_mixing, op6_chat, op7_quality_rules,
-                            op8_toxicity, op9_token_pack, op10_token_counts)}
+                            op8_toxicity, op9_token_pack, op10_token_counts, op12_periodic, op13_alignment)}
 ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op6_chat": chat.ORACLE}
