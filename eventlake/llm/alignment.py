@@ -6,12 +6,16 @@ direction, keyed by document, takes each token's start to the covering token of
 side; the union of both directions is the table of overlapping tokens. Overlapping tokens
 that also end together are links, and their ends cut the text into groups.
 
+Both sides part a text at a blank after other than white space, which is checked on the files.
+So a distinct cut is encoded once and kept for a while; texts with a cut whose bytes do not
+come out the same are encoded whole.
+
 How often the corpus links an id pair is counted in two levels, per task and then by pair.
 Tokens that end together are one a suffix of the other in bytes, so the vocabularies alone
-say which pairs can ever be linked: at most the sum of all token lengths. This list gives
-each pair its number, bounds the counts that a task holds, and bounds the table of counts
-that the second pass gets by broadcast (``Vocabularies.pairs``; about 0.2 M pairs for the
-files used here, whatever the corpus). Links travel between the passes as these numbers,
+say which pairs can ever be linked: at most the sum of all token lengths, times the ids that
+may have the same bytes. This gives each pair its number, bounds the counts that a task holds,
+and bounds the table of counts that the second pass gets by broadcast
+(``Vocabularies.n_pairs``; below a million for the files used here, whatever the corpus). Links travel between the passes as these numbers,
 in a written table, so nothing is encoded twice and no text is shuffled.
 
 Defined cases: a null or empty text, and one whose tokens' bytes are not a blank and the text
@@ -26,6 +30,8 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -40,8 +46,8 @@ from eventlake.llm.common import broadcast_bytes, id_and_text, pieces, release,
 from eventlake.llm.token_counts import _byte_letters
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-SLICE_BYTES = 1 << 20  # of text at a time: an encoded token takes some hundred bytes
-_BITS = 32
+SLICE_BYTES = 1 << 20  # of text at a time: a token takes some hundred bytes on the way
+MEMO_BYTES, NEW_CUTS = 48 << 20, 1 << 14  # of cuts whose ids a task keeps; of cuts encoded at a time
 
 
 class Vocabularies:
@@ -65,7 +71,11 @@ class Vocabularies:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
         self.a_len, self.b_len = (np.array([*map(len, x)], np.int64) for x in (self.a_bytes, self.b_bytes))
-        self.pairs = self._pairs()
+        self.a_same, self.b_same = _Same(self.a_bytes), _Same(self.b_bytes)
+        of_a, of_b = self.a_len * self.b_same.most, self.b_len * self.a_same.most
+        self.a_first, self.b_first = np.cumsum(of_a) - of_a, np.cumsum(of_b) - of_b + int(of_a.sum())
+        self.n_pairs = int(of_a.sum() + of_b.sum())
+        self.parts, self.memo = self._parts(json.loads(a)), Memo(self)
         # a token's decimal id after each mark that may stand before it
         self.ids = max(len(self.a_bytes), len(self.b_bytes))
         self.marked = [m + b"%d" % i for m in (b",", b";", b"|", b"") for i in range(self.ids)]
@@ -76,23 +86,46 @@ class Vocabularies:
             cls._kept = a, b, cls(a, b)
         return cls._kept[2]
 
-    def _pairs(self) -> np.ndarray:
-        """The codes ``a << 32 | b`` of all pairs of which one is a suffix of the other."""
+    def _parts(self, how: dict) -> bool:
+        """Whether both sides part at a blank after other than white space: the byte-level file
+        has the usual pattern, and no piece of the model has a blank after another character."""
+        pre = how.get("pre_tokenizer") or {}
+        usual = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not how.get("normalizer")
+        return usual and not any(b" " in p.lstrip(b" ") for p in self.b_bytes)
+
+    def numbers(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The numbers of id pairs of which one is a suffix of the other: the longer side's token
+        and the length of the shorter say which, but for ids that have the same bytes."""
+        x, y = self.a_len[a], self.b_len[b]
+        return np.where(y <= x, self.a_first[a] + (y - 1) * self.b_same.most + self.b_same.rank[b],
+                        self.b_first[b] + (x - 1) * self.a_same.most + self.a_same.rank[a])
+
+    def b_of(self) -> np.ndarray:
+        """The B id of every number that a pair has (-1: none has it)."""
+        out = np.full(self.n_pairs, -1, np.int64)
         by_bytes: list[dict[bytes, list[int]]] = []
         for side in (self.a_bytes, self.b_bytes):
             by_bytes.append({})
             for i, x in enumerate(side):
                 by_bytes[-1].setdefault(x, []).append(i)
-        found = set()
-        for side, other, flip in ((self.a_bytes, by_bytes[1], False), (self.b_bytes, by_bytes[0], True)):
-            for i, x in enumerate(side):
-                for k in range(len(x)):
-                    for j in other.get(x[k:], ()):
-                        found.add(j << _BITS | i if flip else i << _BITS | j)
-        return np.array(sorted(found), np.int64)
+        found = [(i, j) for i, x in enumerate(self.a_bytes) for k in range(len(x)) for j in by_bytes[1].get(x[k:], ())]
+        found += [(i, j) for j, x in enumerate(self.b_bytes) for k in range(1, len(x)) for i in by_bytes[0].get(x[k:], ())]
+        a, b = np.array(found, np.int64).T
+        out[self.numbers(a, b)] = b
+        return out
 
-    def numbers(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.pairs, a << _BITS | b)
+
+class _Same:
+    """Each id's rank among those of the same bytes, and the greatest number of such."""
+
+    def __init__(self, tokens: list[bytes]):
+        seen: Counter[bytes] = Counter()
+        self.rank = np.zeros(len(tokens), np.int64)
+        for i, t in enumerate(tokens):
+            self.rank[i] = seen[t]
+            seen[t] += 1
+        # no token is empty but those that never stand in a text
+        self.most = max(n for t, n in seen.items() if t)
 
 
 def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -100,22 +133,138 @@ def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(rows), np.int64, int(sizes.sum())), sizes
 
 
+def _whole(vocab: Vocabularies, texts: list[bytes]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+    """Both sides' ids as the libraries give them, and whether either side has the bytes of a
+    blank and the text."""
+    strings = [t.decode() for t in texts]
+    a = [e.ids for e in vocab.a.encode_batch_fast([" " + s for s in strings], add_special_tokens=False)]
+    b = vocab.b.encode(strings, num_threads=1)
+    good = [all(b"".join(map(table.__getitem__, x)) == b" " + t for x, table in ((i, vocab.a_bytes), (j, vocab.b_bytes)))
+            for t, i, j in zip(texts, a, b, strict=True)]
+    return a, b, np.array(good, bool)
+
+
+_SPACE = rb"[\x00-\x20]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
+_CUT = re.compile(rb"(?<!^)(?<![\x00-\x20])(?<!\xc2[\x85\xa0])(?<!\xe1\x9a\x80)(?<!\xe2\x80[\x80-\x8a\xa8\xa9\xaf])"
+                  rb"(?<!\xe2\x81\x9f)(?<!\xe3\x80\x80) (?!$)")
+_LAST = re.compile(rb"(?:" + _SPACE + rb")$")
+
+
+def uncut(texts: list[bytes]) -> np.ndarray:
+    """Which texts have a blank that does not part them: after white space, or at an end."""
+    whole = b"   " + b" ".join(texts)
+    at = np.frombuffer(whole, np.uint8)
+    blank = np.flatnonzero(at[3:] == 32) + 3
+    one, two, three = at[blank - 1], at[blank - 2], at[blank - 3]
+    high = (two == 0xC2) & ((one == 0x85) | (one == 0xA0)) | (three == 0xE1) & (two == 0x9A) & (one == 0x80)
+    high |= (three == 0xE2) & (two == 0x80) & ((one <= 0x8A) | (one == 0xA8) | (one == 0xA9) | (one == 0xAF))
+    high |= (three == 0xE2) & (two == 0x81) & (one == 0x9F) | (three == 0xE3) & (two == 0x80) & (one == 0x80)
+    ends = np.cumsum([len(t) + 1 for t in texts])  # of each text, with the blank that was put after it
+    out = np.zeros(len(texts) + 1, bool)
+    out[np.searchsorted(ends, blank[(one <= 32) | high] - 3, "right")] = True
+    return out[:-1] | np.array([t.endswith(b" ") for t in texts], bool)
+
+
+def cuts_of(texts: list[bytes]) -> list[list[bytes]]:
+    """Texts at their blanks after other than white space: there the pattern of byte-level files
+    begins a pre-token, and no piece of the model goes on."""
+    return [_CUT.split(t) if odd else t.split(b" ") for t, odd in zip(texts, uncut(texts).tolist(), strict=True)]
+
+
+class Memo:
+    """Both sides' ids of cuts, end to end, kept from slice to slice up to ``MEMO_BYTES``."""
+
+    def __init__(self, vocab: Vocabularies):
+        self.vocab = vocab
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.ids = [np.zeros(0, np.int64)] * 2
+        self.ends = [np.zeros(1, np.int64)] * 2
+        self.good, self.held = np.zeros(0, bool), 0
+
+    def places(self, cuts: list[bytes]) -> np.ndarray:
+        if self.held > MEMO_BYTES:
+            self.clear()
+        found = [*map(self.place.get, cuts)]
+        if None in found:
+            missing = [i for i, x in enumerate(found) if x is None]
+            new = [*{cuts[i]: None for i in missing}]
+            for lo in range(0, len(new), NEW_CUTS):
+                self._learn(new[lo:lo + NEW_CUTS])
+            for i in missing:
+                found[i] = self.place[cuts[i]]
+        return np.array(found, np.int64)
+
+    def _together(self, new: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Both sides' ids of the cuts and each one's number of them, from one text of them
+        all; nothing if its tokens do not part where the cuts do."""
+        text = b" ".join(new)
+        string, want, sides = text.decode(), b" " + text, []
+        ends = np.cumsum(np.array([*map(len, new)], np.int64) + 1)
+        for ids, table, lengths in ((self.vocab.a.encode(" " + string, add_special_tokens=False).ids, self.vocab.a_bytes, self.vocab.a_len),
+                                    (self.vocab.b.encode(string), self.vocab.b_bytes, self.vocab.b_len)):
+            if b"".join(map(table.__getitem__, ids)) != want:
+                return None
+            ids = np.array(ids, np.int64)
+            after = np.cumsum(lengths[ids])
+            last = np.searchsorted(after, ends)
+            if (after[last] != ends).any():
+                return None
+            sides.append((ids, np.diff(last, prepend=-1)))
+        return sides
+
+    def _learn(self, new: list[bytes]) -> None:
+        # one that ends in white space, at the end of its text, may not stand before another
+        last = {c for c in new if c[-1] < 33 or c[-1] > 127 and _LAST.search(c[-3:])}
+        plain = [c for c in new if c not in last] if last else new
+        sides = self._together(plain) if plain else None
+        if sides:
+            self._add(plain, sides, np.ones(len(plain), bool))
+        for some in ([*last], [] if sides else plain):
+            *lists, good = _whole(self.vocab, some)
+            self._add(some, [_flat(side) for side in lists], good)
+
+    def _add(self, new: list[bytes], sides: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray) -> None:
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+        self.good = np.concatenate([self.good, good])
+        self.held += sum(map(len, new)) + 100 * len(new)
+        for k, (ids, sizes) in enumerate(sides):
+            self.ends[k] = np.concatenate([self.ends[k], self.ends[k][-1] + np.cumsum(sizes)])
+            self.ids[k] = np.concatenate([self.ids[k], ids])
+
+    def ids_at(self, k: int, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Side k's ids of the cuts at ``places``, end to end, and each cut's number of them."""
+        begin, sizes = self.ends[k][places], np.diff(self.ends[k])[places]
+        total = np.cumsum(sizes)
+        return self.ids[k][np.arange(int(sizes.sum())) + np.repeat(begin - total + sizes, sizes)], sizes
+
+
 def encoded(vocab: Vocabularies, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts on both sides and each text's number of them (0 on both sides where
     the bytes of a side differ from a blank and the text)."""
-    strings = [t.decode() for t in texts]
-    a = [e.ids if t else [] for e, t in zip(
-        vocab.a.encode_batch_fast([" " + s for s in strings], add_special_tokens=False), texts, strict=True)]
-    b = [ids if t else [] for ids, t in zip(vocab.b.encode(strings, num_threads=1), texts, strict=True)]
-    want = b"".join([b" " + t for t in texts if t])
-    for ids, table in ((a, vocab.a_bytes), (b, vocab.b_bytes)):
-        if b"".join(map(table.__getitem__, chain.from_iterable(ids))) == want and len(want):
-            continue
-        for i, t in enumerate(texts):
-            if t and b"".join(map(table.__getitem__, ids[i])) != b" " + t:
-                a[i], b[i] = [], []
-        want = b"".join([b" " + t for t, x in zip(texts, a, strict=True) if x])
-    return *_flat(a), *_flat(b)
+    cuts = [c if t and vocab.parts else [] for t, c in zip(texts, cuts_of(texts), strict=True)]
+    sizes = np.array([*map(len, cuts)], np.int64)
+    of = np.repeat(np.arange(len(texts)), sizes)
+    places = vocab.memo.places([*chain.from_iterable(cuts)])
+    # a text with a cut that does not come out the same is left to the libraries as a whole
+    alone = np.array([bool(t) and not vocab.parts for t in texts], bool)
+    alone[of[~vocab.memo.good[places]]] = True
+    kept = ~alone[of]
+    sides = []
+    for k in range(2):
+        ids, n = vocab.memo.ids_at(k, places[kept])
+        sides.append((ids, np.bincount(of[kept], weights=n, minlength=len(texts)).astype(np.int64)))
+    if alone.any():
+        some = np.flatnonzero(alone).tolist()
+        *whole, good = _whole(vocab, [texts[i] for i in some])
+        for k, (ids, n) in enumerate(sides):
+            rows = np.split(ids, np.cumsum(n)[:-1])
+            for i, new, fine in zip(some, whole[k], good.tolist(), strict=True):
+                rows[i] = np.array(new if fine else [], np.int64)
+            sides[k] = np.concatenate(rows), np.array([*map(len, rows)], np.int64)
+    return *sides[0], *sides[1]
 
 
 def _covering(left: np.ndarray, left_doc: np.ndarray, right: np.ndarray, right_doc: np.ndarray) -> np.ndarray:
@@ -190,7 +339,7 @@ _FIRST = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string,
 def _encode(a: Broadcast, b: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = Vocabularies.of(a.value, b.value)
-        counts = np.zeros(len(vocab.pairs), np.int64)
+        counts = np.zeros(vocab.n_pairs, np.int64)
         schema = pa.schema([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
                             ("groups_sha256", pa.string()), ("links", pa.binary()), ("pairs", pa.binary()), ("counts", pa.binary())])
         for part in pieces(batches, "text", SLICE_BYTES):
@@ -253,10 +402,10 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     vocab = Vocabularies.of(*[f.value for f in files])
     # bounded by the vocabularies, not by the corpus
     got = pair_counts(first).toArrow()
-    count = np.zeros(len(vocab.pairs), np.int64)
+    count = np.zeros(vocab.n_pairs, np.int64)
     count[got.column("pair").to_numpy()] = got.column("n").to_numpy()
-    b = vocab.pairs & ((1 << _BITS) - 1)
-    most = np.zeros(len(vocab.b_bytes), np.int64)
+    b = vocab.b_of()
+    most = np.zeros(len(vocab.b_bytes) + 1, np.int64)
     np.maximum.at(most, b, count)
     table = spark.sparkContext.broadcast((count, count == most[b]))
     return first.where("pairs IS NULL").select("doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links").mapInArrow(

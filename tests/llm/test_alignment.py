@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers as P
@@ -111,9 +112,27 @@ def test_overlaps_are_all_pairs_that_share_bytes(spark):
     assert got == want
 
 
-def test_listed_pairs_hold_every_link():
-    vocab = alignment.Vocabularies.of(*[open(f, "rb").read() for f in FILES])
-    assert len(vocab.pairs) <= vocab.a_len.sum() + vocab.b_len.sum()
+def vocabularies():
+    return alignment.Vocabularies.of(*[open(f, "rb").read() for f in FILES])
+
+
+def test_pairs_have_numbers_of_their_own():
+    vocab = vocabularies()
+    assert vocab.n_pairs <= 2 * vocab.a_len.sum() + vocab.b_len.sum()
     got = alignment.Aligned(vocab, [(t or "").encode() for t in TEXTS])
-    codes = got.a[got.link_a] << 32 | got.b[got.link_b]
-    assert (vocab.pairs[got.links] == codes).all()
+    pairs = {(a, b) for a, b in zip(got.a[got.link_a].tolist(), got.b[got.link_b].tolist())}
+    assert len(pairs) == len(set(got.links.tolist()))
+    assert (vocab.b_of()[got.links] == got.b[got.link_b]).all()
+
+
+def test_cuts_equal_whole_texts():
+    vocab, rng = vocabularies(), random.Random(3)
+    marks = [" ", " ", "  ", "\n", "\t", " \n", "a", "the", "THE", "don't", "'s", "12", ".", ",", "é", "\u00a0", "\u3000 ", "\u2028", "\u0085 ", "日本", "👍",
+             "ﬁ", "▁", "<s>", "<|endoftext|>", "\x00", "\x1c", "\u0301", "\r\n", "\u200b", "I", "ll", "'"]
+    for marks_used in (marks, [m for m in marks if m not in ("ﬁ", "▁")]):
+        texts = ["".join(rng.choice(marks_used) for _ in range(rng.randint(1, 14))).encode() for _ in range(8000)]
+        a, n_a, b, n_b = alignment.encoded(vocab, texts)
+        *want, good = alignment._whole(vocab, texts)
+        for ids, n, lists in ((a, n_a, want[0]), (b, n_b, want[1])):
+            flat, sizes = alignment._flat([x if g else [] for x, g in zip(lists, good.tolist())])
+            assert ids.tolist() == flat.tolist() and n.tolist() == sizes.tolist()
