@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import alignment, chat, decontaminate, mixing, periodic, pii, quality_knn, quality_rules, simhash, token_counts, token_pack, toxicity
+from eventlake.llm import alignment, chat, decontaminate, mixing, periodic, pii, quality_knn, quality_rules, sharding, simhash, token_counts, token_pack, toxicity
 from eventlake.llm.common import read_table
 
 
@@ -52,6 +52,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(token_counts.TOKENIZER))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read_table(spark, sf_dir, "documents"))
+
+
 def with_planted_cycle(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """The words that the contract of op12 derives: every tenth document or so repeats a
     stretch of its own to the end. A null doc_id has no decimal and keeps its words."""
@@ -74,5 +78,5 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_quality_knn, op3_decontaminate, op4_pii, op5_mixing, op6_chat, op7_quality_rules,
-                            op8_toxicity, op9_token_pack, op10_token_counts, op12_periodic, op13_alignment)}
+                            op8_toxicity, op9_token_pack, op10_token_counts, op11_sharding, op12_periodic, op13_alignment)}
 ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op6_chat": chat.ORACLE}
