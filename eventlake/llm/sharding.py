@@ -42,7 +42,7 @@ from eventlake.llm.common import written
 
 CELLS = 4096  # of a group, and of group hashes in the histograms
 ROUNDS = 12
-RANGE_ROWS = 1 << 17  # rows that one window sorts, about
+RANGE_ROWS = 1 << 12  # rows that one window sorts, about
 MAX_RANGES = 1 << 16
 
 
