@@ -11,8 +11,9 @@ from eventlake.operators.derive import (
     DEFAULT_PATHS, DECLARED_COLUMNS,
 )
 from eventlake.operators.schema import (
-    infer_raw, normalize, conform, merge_schemas, evolve_frame,
+    normalize, conform, merge_schemas, evolve_frame,
 )
+from eventlake.operators.paths import collect_pairs, path_kinds, schema_of_pairs, shapes_of, with_shape
 from eventlake.operators.reports import (
     top_accounts, event_counters, reason_counts, histogram, current_lag, lake_inventory,
 )
@@ -22,7 +23,7 @@ __all__ = [
     "guard_object", "MAX_MESSAGE_BYTES", "REASONS", "wanted_collections", "lake_slice", "capture",
     "DEFAULT_WANTED", "flatten", "flatten_columns", "flattened_schema", "with_event_ms",
     "with_epoch_timestamps", "with_partitions", "with_lag", "project_event", "DEFAULT_PATHS",
-    "DECLARED_COLUMNS", "infer_raw", "normalize", "conform", "merge_schemas",
+    "DECLARED_COLUMNS", "collect_pairs", "path_kinds", "schema_of_pairs", "shapes_of", "with_shape", "normalize", "conform", "merge_schemas",
     "evolve_frame", "top_accounts", "event_counters", "reason_counts",
     "histogram", "current_lag", "lake_inventory",
 ]

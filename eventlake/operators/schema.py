@@ -1,12 +1,8 @@
 """Schema operators: union-of-keys inference (C1), conform (C2), merge across batches.
 
-C1 runs ``schema_of_variant_agg`` — a distributed aggregate whose partial
-results are per-task schemas — in two levels (``schema_aggregate``): reducers
-merge the per-task partials in parallel, the driver merges a bounded number of
-schemas; never rows. Paths whose values disagree come back as VARIANT; for those a
-second aggregate pass infers the object values and the non-object values
-separately, so that ``{"a":{"b":1}}`` and ``{"a":2}`` give both ``a_b`` and ``a``
-(the flattening semantics) instead of one lossy column.
+C1 itself is in ``operators.paths``: executors unite the (path, kind) pairs of all records, so
+that ``{"a":{"b":1}}`` and ``{"a":2}`` give both ``a_b`` and ``a`` (the flattening semantics)
+instead of one lossy column. Here are the rules for types.
 
 The resolved schema is an ordinary ``StructType``. A path that holds objects in
 some rows and other values in others is a struct field (the object part) whose
@@ -38,8 +34,6 @@ from pyspark.sql.types import (
     VariantType, _parse_datatype_string,
 )
 
-from eventlake.functions.jsonvalue import get_path, is_null_value, is_object
-
 SCALAR_KEY = "eventlake.scalar"
 ALT_KEY = "eventlake.alt_of"
 NAME_KEY = "eventlake.key"  # on a column that could not be named like its event key
@@ -136,12 +130,7 @@ def normalize(dt: DataType, in_array: bool = False) -> DataType | None:
 
 
 # ---------------------------------------------------------------------------
-# Two-level schema aggregation
-
-# Reducers that merge the per-task partial schemas (level 1); the driver then
-# merges at most this many schemas (level 2), each bounded by distinct JSON paths.
-SCHEMA_BUCKETS = 256
-
+# Union of inferred types
 
 def _decimal_shape(dt: DataType) -> tuple[int, int] | None:
     """(integer digits, scale) of a number type in the decimal lattice; BIGINT
@@ -189,138 +178,6 @@ def merge_variant_types(a: DataType | None, b: DataType | None) -> DataType | No
     return VariantType()
 
 
-def schema_aggregate(df: DataFrame, schemas: dict[str, Column], counts: dict[str, Column] | None = None,
-                     buckets: int = SCHEMA_BUCKETS) -> dict:
-    """``schema_of_variant_agg`` of each column in ``schemas`` plus additive ``counts``.
-
-    A global aggregate would send one partial schema per map task into a single
-    reducer (or, inside ``observe``, to the driver) — at 100 TB that is about a
-    million partials. Instead level 1 groups by ``spark_partition_id() % buckets``:
-    each map task yields one partial row and ``buckets`` reducers merge them in
-    parallel; level 2 merges those few schemas on the driver
-    (``merge_variant_types``). Returns name -> DataType (None when no values)
-    and name -> total for the counts.
-    """
-    counts = counts or {}
-    bucket = F.pmod(F.spark_partition_id(), F.lit(int(buckets))).alias("__schema_bucket")
-    aggs = [F.call_function("schema_of_variant_agg", c).alias(n) for n, c in schemas.items()]
-    aggs += [c.alias(n) for n, c in counts.items()]
-    out = {n: None for n in schemas}
-    out.update({n: 0 for n in counts})
-    for row in df.groupBy(bucket).agg(*aggs).collect():  # at most ``buckets`` rows
-        for n in schemas:
-            out[n] = merge_variant_types(out[n], variant_ddl_to_type(row[n]))
-        for n in counts:
-            out[n] += int(row[n] or 0)
-    return out
-
-
-# ---------------------------------------------------------------------------
-# C1
-
-
-class _Each:
-    """Path step meaning "every element of this list"."""
-
-    def __repr__(self):
-        return "[*]"
-
-
-EACH = _Each()
-
-
-def _variant_paths(dt: DataType, prefix=()) -> list[tuple]:
-    """Paths (through objects and lists) of object fields whose type is still VARIANT."""
-    out = []
-    if isinstance(dt, StructType):
-        for f in dt.fields:
-            if isinstance(f.dataType, VariantType) and SCALAR_KEY not in (f.metadata or {}):
-                out.append(prefix + (f.name,))
-            elif isinstance(f.dataType, (StructType, ArrayType)):
-                out.extend(_variant_paths(f.dataType, prefix + (f.name,)))
-    elif isinstance(dt, ArrayType) and isinstance(dt.elementType, (StructType, ArrayType)):
-        out.extend(_variant_paths(dt.elementType, prefix + (EACH,)))
-    return out
-
-
-def _replace(dt: DataType, path: tuple, field: StructField) -> DataType:
-    if path[0] is EACH:
-        return ArrayType(_replace(dt.elementType, path[1:], field), True)
-    fields = []
-    for f in dt.fields:
-        if f.name == path[0]:
-            if len(path) == 1:
-                fields.append(field)
-            else:
-                fields.append(StructField(f.name, _replace(f.dataType, path[1:], field), True,
-                                          f.metadata))
-        else:
-            fields.append(f)
-    return StructType(fields)
-
-
-def _values(v: Column, path: tuple) -> tuple[Column, bool]:
-    """Variant at ``path``; with list steps, an ARRAY<VARIANT> of every value reached."""
-    if EACH not in path:
-        return get_path(v, path), False
-    i = path.index(EACH)
-    arr = get_path(v, path[:i], "array<variant>")
-    rest = path[i + 1:]
-    if not rest:
-        return arr, True
-    _, nested = _values(F.lit(None), rest)
-    if nested:
-        return F.flatten(F.transform(arr, lambda x: _values(x, rest)[0])), True
-    return F.transform(arr, lambda x: _values(x, rest)[0]), True
-
-
-def _unwrap(dt: DataType | None, is_array: bool) -> DataType | None:
-    if is_array:
-        return dt.elementType if isinstance(dt, ArrayType) else None
-    return dt
-
-
-def infer_raw(df: DataFrame, v: str = "v", initial: StructType | None = None) -> StructType:
-    """C1 without widening: the resolved variant schema of column ``v``.
-
-    One aggregate pass, plus one pass per nesting level of object/non-object
-    conflicts (none for clean data). Conflicts inside lists of objects are
-    resolved the same way, over every element of every row.
-    """
-    vcol = F.col(v)
-    if initial is None:
-        st = schema_aggregate(df, {"s": vcol})["s"]
-    else:
-        st = initial
-    if not isinstance(st, StructType):
-        return StructType([])
-    while paths := _variant_paths(st):  # each round settles one level; nesting is finite
-        aggs = {}
-        for i, p in enumerate(paths):
-            x, many = _values(vcol, p)
-            if many:
-                objs = F.filter(x, lambda e: is_object(e))
-                others = F.filter(x, lambda e: ~is_null_value(e) & ~is_object(e))
-                o_in = F.call_function("to_variant_object", objs)
-                s_in = F.call_function("to_variant_object", others)
-            else:
-                obj = is_object(x)
-                o_in = F.when(obj, x)
-                s_in = F.when(~is_null_value(x) & ~obj, x)
-            aggs[f"o{i}"] = o_in
-            aggs[f"s{i}"] = s_in
-        res = schema_aggregate(df, aggs)
-        for i, p in enumerate(paths):
-            many = EACH in p
-            o = _unwrap(res[f"o{i}"], many)
-            s = _unwrap(res[f"s{i}"], many)
-            if not isinstance(o, StructType):
-                o = StructType([])
-            meta = {SCALAR_KEY: type_ddl(s if s is not None else NullType())}
-            st = _replace(st, p, StructField(p[-1], o, True, meta))
-    return st
-
-
 def scalar_type(f: StructField) -> DataType | None:
     meta = f.metadata or {}
     if SCALAR_KEY not in meta:

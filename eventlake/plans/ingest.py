@@ -1,18 +1,17 @@
 """Batch ingest: raw records -> guards -> flatten (C1 schema) -> event ms -> partitions -> lake.
 
-Passes over the input at scale (each parses every record once):
+Every record is parsed once. Without a pinned schema the parsed records are written to the
+shared scratch folder first (``staged``: VARIANT, reason, shape, and the bytes of what the
+quarantine or ``raw_event`` needs); then
 
-1. one two-level aggregate gives the C1 schema of the good records and the count
-   of every reason (plus one more per nesting level of object/scalar conflicts,
-   if any);
+1. inference reads the shapes only, and unites their paths in executors (``operators.paths``);
 2. one map-only pass flattens and writes the good records;
+3. the quarantine write reads the bad ones, after the lake has its batch.
 
-plus the quarantine write — only with a ``quarantine_path``, and only when pass 1
-counted bad records (or the schema was pinned, so there was no pass 1).
-
-With a pinned ``schema`` pass 1 is skipped. No shuffle in the write unless it
-clusters by event-time partition; nothing is collected except the schemas of at
-most ``SCHEMA_BUCKETS`` reducers (bounded by distinct JSON paths) and counts.
+A lake keeps the list of its paths. A later batch is compared to it by an anti-join, and only
+one that has other paths or kinds is inferred anew. With a pinned ``schema`` nothing is staged.
+No shuffle in the write unless it clusters by event-time partition; nothing is collected except
+lists of paths and counts.
 """
 
 from __future__ import annotations
@@ -29,18 +28,30 @@ from eventlake.functions.timecols import DEFAULT_TEMPLATE, epoch_ms_to_ts, inges
 from eventlake.operators.derive import EVENT_MS, with_epoch_timestamps, with_event_ms, with_partitions
 from eventlake.operators.filters import wanted_collections
 from eventlake.operators.flatten import case_scope, flatten, flattened_schema, paths_to
-from eventlake.operators.guards import MAX_MESSAGE_BYTES, REASONS, TIME_US_PATHS, classify
-from eventlake.operators.schema import infer_raw, normalize, schema_aggregate, _variant_paths
-from eventlake.sinks.lake import DEFAULT_MAX_ROWS, append_evolving, write_lake
+from eventlake.operators.guards import MAX_MESSAGE_BYTES, REASONS, TIME_US_PATHS, classify, guard_time_us
+from eventlake.operators.paths import OWN_TEXT, SHAPE, collect_pairs, path_kinds, schema_of_pairs, shapes_of, with_shape
+from eventlake.operators.schema import normalize
+from eventlake.session import scratch_path
+from eventlake.sinks.lake import DEFAULT_MAX_ROWS, append_evolving, write_lake, write_paths
+from eventlake.sources.lake import read_paths
 
 log = logging.getLogger(__name__)
 
 
+# Below this input a second parse is quicker than a written table of parsed records.
+PARSE_ONCE_BYTES = 64 << 20
+
+
+def _input_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # noqa: SLF001 - Spark's own estimate
+
+
 @dataclass
 class IngestResult:
     schema: StructType
     counts: dict = field(default_factory=dict)
     kept: int = 0
+    new_paths: int | None = None  # pairs of path and kind that the lake did not have (None: not compared)
 
     @property
     def written(self) -> int:
@@ -102,26 +113,106 @@ def as_json(schema: StructType, map_paths) -> StructType:
 
 
 def prepare(raw: DataFrame, schema: StructType | None = None, value: str = "value",
-            max_bytes: int = MAX_MESSAGE_BYTES, quarantine_path: str | None = None):
-    """Classify, and infer the schema (with reason counts) when none is given.
+            max_bytes: int = MAX_MESSAGE_BYTES):
+    """(classified records, schema, counts): classify, and infer the schema (with reason
+    counts) when none is given.
 
-    With ``quarantine_path`` the bad records are written right after inference
-    (when there are any). Objects under empty keys can hold further paths that flatten to
-    ``time_us``; if the schema has such, the records are guarded by those as well.
+    Objects under empty keys can hold further paths that flatten to ``time_us``; if the
+    schema has such, the records are guarded by those as well.
     """
-    pinned, counts = schema is not None, None
+    if schema is not None:
+        return classify(raw, value, max_bytes, _time_paths(schema)), schema, None
     paths = TIME_US_PATHS
     while True:
         c = classify(raw, value, max_bytes, paths)
-        if not pinned:
-            schema, counts = infer_with_counts(c)
-        more = [p for p in paths_to(schema, "time_us") if p not in paths]
+        schema, counts = infer_with_counts(c, value)
+        more = _time_paths(schema)
+        if set(more) <= set(paths):
+            return c, schema, counts
+        paths = (*paths, *[p for p in more if p not in paths])
+
+
+def _time_paths(schema: StructType) -> tuple:
+    return (*TIME_US_PATHS, *[p for p in paths_to(schema, "time_us") if p not in TIME_US_PATHS])
+
+
+def infer_with_counts(classified: DataFrame, value: str = "value"):
+    """Schema of the good records and records by outcome, from one pass (``operators.paths``)."""
+    pairs, counts = collect_pairs(shapes_of(with_shape(classified, value)))
+    return _stored_types(pairs), counts
+
+
+def _stored_types(pairs) -> StructType:
+    return normalize(schema_of_pairs(pairs)) or StructType([])
+
+
+@dataclass
+class Staged:
+    """Parsed records, written once: ``rows`` as ``classify`` gives them, their schema, counts,
+    pairs of path and kind (None: the lake has them all), and which of these the lake lacks."""
+
+    rows: DataFrame
+    schema: StructType
+    counts: dict
+    pairs: list | None
+    unseen: int | None
+
+
+def stage(raw: DataFrame, value: str = "value", max_bytes: int = MAX_MESSAGE_BYTES, keep_raw: bool = False,
+          known: DataFrame | None = None) -> Staged:
+    """Parses every record once, into a table in the scratch folder, and infers the schema from
+    it. ``known`` is the lake's list of paths; a batch that fits it takes the lake's schema, and
+    nothing is inferred."""
+    spark = raw.sparkSession
+    shaped = with_shape(classify(raw, value, max_bytes), value)
+    bytes_of = F.col(value).cast("binary")
+    where = scratch_path(spark, "staged")
+    shaped.select((bytes_of if keep_raw else F.when(F.col("reason").isNotNull(), bytes_of)).alias(value),
+                  F.when(F.col("reason").isNull(), F.col("v")).alias("v"), "reason", OWN_TEXT, SHAPE) \
+        .write.option("compression", "lz4_raw").parquet(where)
+    rows, paths = spark.read.parquet(where), TIME_US_PATHS
+    while True:
+        shapes = shapes_of(rows)
+        if known is not None:
+            found, counts = unseen_pairs(shapes, known)
+            if not found:
+                main = [(tuple(r.path), r.kind, r.digits, r.scale) for r in known.where("main").collect()]
+                schema, pairs, unseen = _stored_types(main), None, 0
+            else:
+                pairs, counts = collect_pairs(shapes)
+                schema, unseen = _stored_types(pairs), sum(1 for f in found if f.new)
+        else:
+            pairs, counts = collect_pairs(shapes)
+            schema, unseen = _stored_types(pairs), None
+        more = [p for p in _time_paths(schema) if p not in paths]
         if not more:
-            break
+            return Staged(rows, schema, counts, pairs, unseen)
+        # guarded by the further paths, too, from the parsed values
         paths = (*paths, *more)
-    if not pinned and quarantine_path and any(counts.get(x) for x in REASONS):
-        write_quarantine(c, quarantine_path, value)
-    return c, schema, counts
+        rows = rows.withColumn("reason", F.coalesce("reason", F.when(~guard_time_us(F.col("v"), paths), "bad_time_us")))
+
+
+def unseen_pairs(shapes: DataFrame, known: DataFrame) -> tuple[list, dict]:
+    """(pairs of the batch that the lake does not have as its main ones, counts by outcome). A pair
+    that the lake has beside the main ones is among them, with ``new`` false."""
+    within = [F.coalesce(F.col(f"p.{c}"), F.lit(0)) <= F.coalesce(F.col(f"k.{c}"), F.lit(0)) for c in ("digits", "scale")]
+    same = (F.col("p.path") == F.col("k.path")) & (F.col("p.kind") == F.col("k.kind")) & within[0] & within[1]
+    pairs = path_kinds(shapes).alias("p").join(known.alias("k"), same, "left").select("p.*", F.col("k.main").alias("main"))
+    # what the lake has already is only counted
+    seen = F.coalesce("main", F.lit(False))
+    rows = pairs.groupBy(*[F.when(~seen, F.col(c)).alias(c) for c in ("path", "kind", "digits", "scale")], "main",
+                         F.col("path").isNotNull().alias("good")).agg(F.sum("n").alias("n")).collect()
+    counts: dict[str, int] = {}
+    for r in rows:
+        key = "ok" if r.good else r.kind
+        counts[key] = counts.get(key, 0) + r.n
+    return [_Unseen(r, r.main is None) for r in rows if r.path is not None], {k: n for k, n in counts.items() if n}
+
+
+@dataclass
+class _Unseen:
+    pair: object
+    new: bool
 
 
 def _reason_counts() -> dict:
@@ -129,23 +220,6 @@ def _reason_counts() -> dict:
     return {"ok": F.count_if(r.isNull()), **{x: F.count_if(r == x) for x in REASONS}}
 
 
-def infer_with_counts(classified: DataFrame):
-    """Pass 1: schema of the good records and per-reason counts, from one two-level
-    aggregate (``schema_aggregate``: no single reducer or driver receives a partial per
-    task)."""
-    good_v = F.when(F.col("reason").isNull(), F.col("v"))
-    res = schema_aggregate(classified, {"__schema": good_v}, _reason_counts())
-    counts = {k: res[k] for k in ("ok",) + REASONS if res[k]}
-    st = res["__schema"]
-    if isinstance(st, StructType) and _variant_paths(st):
-        good = classified.filter(F.col("reason").isNull())
-        st = infer_raw(good, "v", initial=st)  # conflicts need the extra split passes
-    if not isinstance(st, StructType):
-        st = StructType([])
-    st = normalize(st) or StructType([])
-    return st, counts
-
-
 def observed(classified: DataFrame) -> tuple[DataFrame, Observation]:
     """``classified`` with per-reason counts that the next job over it fills in."""
     obs = Observation(f"eventlake_{uuid.uuid4().hex}")
@@ -162,7 +236,7 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
                  max_bytes: int = MAX_MESSAGE_BYTES, quarantine_path: str | None = None,
                  cluster: bool | None = None, evolve: bool = True,
                  keep_raw: bool | None = None, wanted: str | None = None,
-                 wanted_column: str = "commit_collection", map_paths=()) -> IngestResult:
+                 wanted_column: str = "commit_collection", map_paths=(), parse_once: bool | None = None) -> IngestResult:
     """E4 as one Spark job graph: raw ``value`` records in, partitioned lake out.
 
     ``cluster`` None picks by partition clock: ingest time needs no shuffle (a
@@ -171,22 +245,31 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
     schema is pinned, as keys it lacks would be lost otherwise. ``wanted`` is F1's comma
     list; the default None takes every collection. ``map_paths`` names objects to store
     as one JSON-text column. Counts come from the same jobs: records by outcome, and ``kept``
-    by the filter.
+    by the filter. ``parse_once`` False parses the records for the schema and again for the
+    lake instead of writing them parsed in between; None does so for a small input without
+    a quarantine into a new lake, where a further job costs more than the parse.
     """
     from eventlake.sources.lake import refuse_streamed
-    refuse_streamed(raw.sparkSession, lake_path)  # before the quarantine is written
+    spark = raw.sparkSession
+    refuse_streamed(spark, lake_path)
     if cluster is None:
         cluster = ts != "ingest"
-    pinned = schema is not None
+    pinned, staged = schema is not None, None
     if keep_raw is None:
         keep_raw = pinned
-    c, schema, counts = prepare(raw, schema, value, max_bytes, quarantine_path)
+    known = read_paths(spark, lake_path) if evolve and not pinned else None
+    if parse_once is None:
+        parse_once = quarantine_path is not None or known is not None or _input_bytes(raw) >= PARSE_ONCE_BYTES
+    if pinned or not parse_once:
+        c, schema, counts = prepare(raw, schema, value, max_bytes)
+        seen, obs = observed(c) if pinned else (c, None)
+    else:
+        staged = stage(raw, value, max_bytes, keep_raw, known)
+        c, schema, counts = staged.rows, staged.schema, staged.counts
+        seen = c
     schema = as_json(schema, map_paths)
-    obs, kept = None, Observation(f"eventlake_{uuid.uuid4().hex}")
-    seen = c
-    if pinned:
-        seen, obs = observed(c)
-    with case_scope(raw.sparkSession, flattened_schema(schema)):
+    kept = Observation(f"eventlake_{uuid.uuid4().hex}")
+    with case_scope(spark, flattened_schema(schema)):
         flat = flatten_events(seen.filter(F.col("reason").isNull()), schema, keep_raw=keep_raw, value=value)
         flat = wanted_collections(flat, wanted, wanted_column).observe(kept, F.count(F.lit(1)).alias("kept"))
         out = with_partitions(flat, partition_time(flat, ts), template)
@@ -194,11 +277,14 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
             append_evolving(out, lake_path, template, max_rows, cluster=cluster)
         else:
             write_lake(out, lake_path, template, max_rows, cluster=cluster)
+    if staged and evolve and staged.pairs:
+        write_paths(spark, lake_path, staged.pairs)
     if pinned:
         counts = _nonzero(obs)
-        if quarantine_path and any(counts.get(x) for x in REASONS):
-            write_quarantine(c, quarantine_path, value)
-    return IngestResult(schema=schema, counts=counts or {}, kept=int(kept.get["kept"]))
+    # after the lake: a batch that fails and is run again has left no rows here
+    if quarantine_path and any(counts.get(x) for x in REASONS):
+        write_quarantine(c, quarantine_path, value)
+    return IngestResult(schema=schema, counts=counts or {}, kept=int(kept.get["kept"]), new_paths=staged.unseen if staged else None)
 
 
 def write_quarantine(classified: DataFrame, path: str, value: str = "value") -> None:

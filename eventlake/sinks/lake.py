@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame
@@ -61,17 +62,20 @@ def write_schema_sidecar(df_or_schema, path: str) -> None:
     name and renamed, so a reader sees the old file or the new one, never half of it."""
     from pyspark.sql import SparkSession
     from pyspark.sql.types import StructType
-    from eventlake.sources.lake import _fs_path
     if isinstance(df_or_schema, StructType):
         st, spark = df_or_schema, SparkSession.getActiveSession()
     else:
         st, spark = df_or_schema.schema, df_or_schema.sparkSession
-    target = f"{path.rstrip('/')}/{SCHEMA_FILE}"
+    _replace_file(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}", st.json())
+
+
+def _replace_file(spark, target: str, text: str) -> None:
+    from eventlake.sources.lake import _fs_path
     fs, p = _fs_path(spark, target)
     _, new = _fs_path(spark, f"{target}.{uuid.uuid4().hex}")
     out = fs.create(new, True)
     try:
-        out.write(bytearray(st.json().encode("utf-8")))
+        out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
     if not fs.rename(new, p):  # some stores do not rename onto a file that is there
@@ -80,8 +84,26 @@ def write_schema_sidecar(df_or_schema, path: str) -> None:
             raise OSError(f"cannot put {target} into place")
 
 
+def write_paths(spark, path: str, pairs: list[tuple]) -> None:
+    """Adds a batch's pairs of path and kind to the lake's list. The first batch that has a path
+    says what its column is made for (``main``); kinds that come later stand beside these."""
+    from eventlake.sources.lake import PATHS_FILE, read_paths
+    stored = read_paths(spark, path)
+    old = {(tuple(r.path), r.kind): (r.digits, r.scale, r.main) for r in stored.collect()} if stored is not None else {}
+    have = {p[:i] for p, _ in old for i in range(len(p) + 1)}
+    for p, kind, digits, scale in pairs:
+        was = old.get((p, kind))
+        if was is None:
+            old[p, kind] = digits, scale, p not in have
+        elif digits is not None and (digits > was[0] or scale > was[1]):
+            # wider numbers than the column was made for
+            old[p, kind] = max(digits, was[0]), max(scale, was[1]), False
+    lines = [json.dumps([p, k, d, s, m]) for (p, k), (d, s, m) in old.items()]
+    _replace_file(spark, f"{path.rstrip('/')}/{PATHS_FILE}", "\n".join(lines) + "\n")
+
+
 def append_evolving(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
-                    max_rows: int | None = DEFAULT_MAX_ROWS, cluster: bool = False) -> DataFrame:
+                    max_rows: int | None = DEFAULT_MAX_ROWS, cluster: bool = False, into: str | None = None) -> DataFrame:
     """Append a flattened batch whose columns may differ from the lake's.
 
     The stored schema beside the lake decides each column's type; new columns and new fields
@@ -89,7 +111,8 @@ def append_evolving(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
     (``evolve_frame``). Returns the frame as written. The schema file is updated before the
     data: columns without files yet read as NULL, files with columns the schema lacks would
     be hidden. Concurrent appenders to one lake must be serialised by the caller (as with
-    any single-writer table layout). A lake that a stream writes refuses batches.
+    any single-writer table layout). A lake that a file-sink stream writes refuses batches.
+    ``into`` is another folder for the files (``sinks.commits`` moves them in later).
     """
     from eventlake.operators.flatten import case_scope
     from eventlake.operators.schema import evolve_frame
@@ -100,7 +123,7 @@ def append_evolving(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
         df, merged = evolve_frame(df, read_schema_sidecar(spark, path), template_columns(template))
     with case_scope(spark, merged):
         write_schema_sidecar(merged, path)
-        write_lake(df, path, template, max_rows, cluster=cluster)
+        write_lake(df, into or path, template, max_rows, cluster=cluster)
     return df
 
 

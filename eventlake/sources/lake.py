@@ -14,6 +14,7 @@ import logging
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from eventlake.functions.timecols import DEFAULT_TEMPLATE, format_field, template_columns
@@ -31,28 +32,69 @@ def _fs_path(spark: SparkSession, target: str):
     return p.getFileSystem(conf), p
 
 
-def read_schema_sidecar(spark: SparkSession, path: str) -> StructType | None:
-    """The widened lake schema stored beside the data, or None.
-
-    It is one small driver-side metadata file (Spark's file listing skips
-    ``_``-names, so the data scans never see it), read through the Hadoop
-    FileSystem API so any storage scheme works.
-    """
-    fs, p = _fs_path(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+def _read_text(spark: SparkSession, target: str) -> str | None:
+    """A small metadata file, read through the Hadoop FileSystem API so any storage scheme
+    works; None if there is none. (Spark's file listing skips ``_``-names.)"""
+    fs, p = _fs_path(spark, target)
     if not fs.exists(p):
         return None
     stream = fs.open(p)
     try:
         jvm = spark.sparkContext._jvm  # noqa: SLF001
-        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return StructType.fromJson(json.loads(text))
+
+
+def read_schema_sidecar(spark: SparkSession, path: str) -> StructType | None:
+    """The widened lake schema stored beside the data, or None."""
+    text = _read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    return StructType.fromJson(json.loads(text)) if text is not None else None
+
+
+PATHS_FILE = "_eventlake_paths.json"
+
+
+def read_paths(spark: SparkSession, path: str) -> DataFrame | None:
+    """(path, kind, digits, scale, main): the paths of the events in the lake, with their kinds;
+    ``main`` are those that the columns were made for. None if no list was stored."""
+    text = _read_text(spark, f"{path.rstrip('/')}/{PATHS_FILE}")
+    if text is None:
+        return None
+    return spark.createDataFrame([tuple(json.loads(line)) for line in text.splitlines()],
+                                 "path array<string>, kind string, digits int, scale int, main boolean")
 
 
 METADATA_LOG = "_spark_metadata"
 
 
+# Entries of commits (``sinks.commits``), beside the data.
+COMMITS, PENDING, STAGING = "_eventlake_commits", "_eventlake_pending", "_eventlake_staging"
+
+
+def without_pending(df: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """``df`` without the files of commits that are not done. Only those in flight have entries."""
+    fs, p = _fs_path(spark, f"{path.rstrip('/')}/{PENDING}")
+    if not fs.exists(p):
+        return df
+    names = []
+    for f in fs.listStatus(p):
+        text = _read_text(spark, f.getPath().toString()) if f.getPath().getName().endswith(".json") else None
+        if text:
+            entry = json.loads(text)
+            done, q = _fs_path(spark, f"{entry['lake']}/{COMMITS}/{entry['name']}.json")
+            if not done.exists(q):
+                names.append(entry["name"])
+    for name in names:
+        df = df.where(~F.startswith(F.col("_metadata.file_name"), F.lit(name + "-")))
+    return df
+
+
+def open_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """The quarantined records of a stream, of done commits only."""
+    return without_pending(spark.read.parquet(path), spark, path)
+
+
 class LakeConflict(RuntimeError):
     """A lake is written by batches or by one stream, not by both."""
 
@@ -103,9 +145,9 @@ def open_lake(spark: SparkSession, path: str, schema: StructType | None = None,
             # in no other way, and it reads them when the frame is run, not here.
             log.warning("%s has fields that differ only by case; setting spark.sql.caseSensitive=true", path)
             spark.conf.set("spark.sql.caseSensitive", "true")
-        return reader.schema(_table_schema(schema, parts)).parquet(target)
+        return without_pending(reader.schema(_table_schema(schema, parts)).parquet(target), spark, path)
     with conf_scope(spark, **{"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
-        return reader.option("mergeSchema", str(merge_schema).lower()).parquet(target)
+        return without_pending(reader.option("mergeSchema", str(merge_schema).lower()).parquet(target), spark, path)
 
 
 _FIELD = re.compile(r"\{(\w+)\}")

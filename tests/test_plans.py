@@ -1,9 +1,12 @@
 """Plan shapes the design relies on at scale (checked on the executed plan)."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from eventlake.operators.guards import classify
-from eventlake.plans.ingest import flatten_events, prepare
+from eventlake.operators.paths import path_kinds, shapes_of, with_shape
+from eventlake.plans.ingest import flatten_events, ingest_batch, prepare
+from eventlake.sources.lake import open_lake
 
 
 def _plan(df):
@@ -33,23 +36,60 @@ def test_ingest_projection_is_shuffle_free_and_python_free(spark):
     assert p.count("parseJson(concat([") == 1
 
 
-def test_schema_inference_has_no_single_reducer(spark, monkeypatch):
-    """C1's aggregate exchanges by bucket of map tasks, never to a single partition."""
-    from eventlake.operators import schema as sch
-    DataFrame = type(spark.range(1))  # the concrete (classic) class that runs collect
-    plans = []
-    orig = DataFrame.collect
+def test_schema_inference_unites_shapes_in_executors(spark):
+    """C1 counts shapes map-side, exchanges distinct ones and pairs, and parses no record twice."""
+    p = _plan(path_kinds(shapes_of(with_shape(classify(_raw(spark))))))
+    assert "SinglePartition" not in p and "schema_of_variant_agg" not in p
+    assert p.count("Exchange hashpartitioning(") == 2 and p.count(" HashAggregate(") == 4
+    assert p.count("parseJson(concat([") == 1
+
+
+def _spied(spark, monkeypatch, run):
+    """The executed plans of all writes and collects of ``run``."""
+    plans, frame = [], type(spark.range(1))
+    collect, parquet = frame.collect, DataFrameWriter.parquet
 
-    def spy(self):
+    def spy_collect(self):
         plans.append(_plan(self))
-        return orig(self)
-
-    monkeypatch.setattr(DataFrame, "collect", spy)
-    sch.schema_aggregate(classify(_raw(spark)), {"s": F.col("v")}, {"n": F.count_if(F.col("reason").isNull())})
-    (p,) = plans
-    assert "SinglePartition" not in p
-    assert "Exchange hashpartitioning(" in p  # by bucket (pulled out as a grouping expression)
-    assert "partial_schema_of_variant_agg" in p  # merged map-side first
+        return collect(self)
+
+    def spy_parquet(self, *args, **kw):
+        plans.append(_plan(self._df))
+        return parquet(self, *args, **kw)
+
+    monkeypatch.setattr(frame, "collect", spy_collect)
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy_parquet)
+    out = run()
+    monkeypatch.undo()
+    return plans, out
+
+
+def test_ingest_with_quarantine_parses_each_record_once(spark, monkeypatch, tmp_path):
+    plans, got = _spied(spark, monkeypatch, lambda: ingest_batch(
+        _raw(spark), str(tmp_path / "lake"), quarantine_path=str(tmp_path / "bad")))
+    assert sum(p.count("parseJson(concat([") for p in plans) == 1
+    assert got.counts == {"ok": 1, "bad_json": 2, "not_object": 1}
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 3
+
+
+def test_a_batch_without_news_is_not_inferred(spark, monkeypatch, tmp_path):
+    def batch(*lines):
+        return spark.createDataFrame([(x.encode(),) for x in lines], "value binary")
+
+    lake = str(tmp_path / "lake")
+    first = ingest_batch(batch('{"a":1,"b":{"c":"x"}}', '{"a":null}'), lake)
+    assert first.new_paths is None
+    _, same = _spied(spark, monkeypatch, lambda: ingest_batch(batch('{"b":{"c":"y"}}'), lake))
+    assert same.new_paths == 0 and {f.name for f in same.schema.fields} == {"a", "b"}
+    plans, more = _spied(spark, monkeypatch, lambda: ingest_batch(batch('{"a":2,"d":[1.5]}', '{"b":"z"}'), lake))
+    assert more.new_paths == 2  # the elements of d, and text at b
+    assert sum(p.count("parseJson(concat([") for p in plans) == 1
+    # text came later at b: it is no main kind, so such a batch is inferred by itself again
+    again = ingest_batch(batch('{"b":"w"}'), lake)
+    assert again.new_paths == 0 and [f.name for f in again.schema.fields] == ["b"]
+    rows = {(r.a, r.b_c, r.b, tuple(r.d or ())) for r in open_lake(spark, lake).collect()}
+    assert rows == {(1, "x", None, ()), (None, None, None, ()), (None, "y", None, ()), (2, None, None, (1.5,)),
+                    (None, None, "z", ()), (None, None, "w", ())}
 
 
 def test_top_accounts_reduces_map_side_and_takes_top_k(spark):
