@@ -84,7 +84,7 @@ def _nonnull_report(df: DataFrame, with_types: bool) -> DataFrame:
     fields = [f for f in df.schema.fields]
     # Two levels: a partial row per map task holds one count per column (up to
     # thousands), so buckets of tasks are summed first, then the few bucket rows.
-    bucket = F.pmod(F.spark_partition_id(), F.lit(sch.SCHEMA_BUCKETS)).alias("__bucket")
+    bucket = F.pmod(F.spark_partition_id(), F.lit(256)).alias("__bucket")
     per_bucket = df.groupBy(bucket).agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}")
                                           for i, f in enumerate(fields)])
     agg = per_bucket.agg(*[F.coalesce(F.sum(f"c{i}"), F.lit(0)).cast("bigint").alias(f"c{i}")
@@ -549,6 +549,94 @@ def t2_fresh_checkpoint(spark, sf):
     return _lake_counts(spark, lake, fresh_refused=F.lit(refused))
 
 
+def _arrivals(spark, lines: list[DataFrame]) -> str:
+    """One folder of JSON lines per arrival, in order."""
+    src = scratch_path(spark, "arrivals")
+    for i, df in enumerate(lines):
+        write_jsonl(df.select("value").coalesce(1), f"{src}/run={i}")
+    return src
+
+
+def _shared_run(spark, src, lake, checkpoint, **settings) -> None:
+    """One run of a shared lake's stream over what has arrived; then it ends, as after a kill."""
+    from eventlake.streaming.shared import SharedIngest
+    run = SharedIngest(spark, lake, checkpoint, **settings)
+    run.start(read_jsonl(spark, f"{src}/run=*", streaming=True, max_files_per_trigger=1), {"availableNow": True}).awaitTermination()
+    run.drain()
+
+
+def t2_shared_lake(spark, sf):
+    """A batch, a stream and a second appender on one lake; no row is hidden or doubled."""
+    ev = _events(spark, sf)
+    parts = [fx.env(ev.filter(F.pmod("event_id", F.lit(3)) == i)) for i in range(3)]
+    lake = scratch_path(spark, "shared-lake")
+    as_raw = lambda df: df.select(F.col("value").cast("binary").alias("value"))
+    ingest_batch(as_raw(parts[0]), lake, ts="event")
+    _shared_run(spark, _arrivals(spark, [parts[1]]), lake, scratch_path(spark, "shared-ckpt"), ts="event")
+    ingest_batch(as_raw(parts[2]), lake, ts="event")
+    return open_lake(spark, lake).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("did", "time_us").alias("n_distinct"))
+
+
+def t2_quarantine_commit(spark, sf):
+    """Lake and quarantine of a stream in one commit hold every record once."""
+    from eventlake.sources.lake import open_quarantine
+    lake, bad = scratch_path(spark, "qc-lake"), scratch_path(spark, "qc-bad")
+    _shared_run(spark, _arrivals(spark, [fx.edge(_events(spark, sf))]), lake, scratch_path(spark, "qc-ckpt"), ts="event",
+                quarantine_path=bad, max_bytes=fx.EDGE_MAX_BYTES)
+    return open_lake(spark, lake).agg(F.lit("ok").alias("reason"), F.count(F.lit(1)).alias("n")) \
+        .unionByName(open_quarantine(spark, bad).groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _three_runs(spark, sf) -> str:
+    """A lake that a stream wrote in three runs, each after an arrival."""
+    ev = _events(spark, sf)
+    lake, ckpt, src = (scratch_path(spark, n) for n in ("runs-lake", "runs-ckpt", "runs-src"))
+    for i in range(3):
+        write_jsonl(fx.edge(ev.filter(F.pmod("event_id", F.lit(3)) == i)).select("value").coalesce(1), f"{src}/run={i}")
+        _shared_run(spark, src, lake, ckpt, ts="event", max_bytes=fx.EDGE_MAX_BYTES)
+    return lake
+
+
+def t5_restarted_run(spark, sf):
+    """T5: totals of a stream that was restarted, each batch counted once."""
+    from eventlake.sinks.commits import run_totals
+    return run_totals(spark, _three_runs(spark, sf)).select("batches", "consumed", "written", "errors")
+
+
+def a3_write_time(spark, sf):
+    """A3: the histogram of a stream's write times, from its commits."""
+    from eventlake.sinks.commits import run_totals, write_seconds
+    lake = _three_runs(spark, sf)
+    h = reports.histogram(write_seconds(spark, lake), "write_s")
+    h = h.agg(F.max(F.when(F.col("le") == "+Inf", F.col("count"))).alias("batches"), F.max("total").alias("total"), F.max("sum").alias("seconds"),
+              F.sort_array(F.collect_list(F.struct("ord", "count")))["count"].alias("counts")) \
+        .select("batches", "total", "seconds", (F.sort_array("counts") == F.col("counts")).alias("cumulative"))
+    whole = run_totals(spark, lake).select(*[F.lit(None).cast(t).alias(c) for c, t in h.dtypes if c != "seconds"], (-F.col("write_ms") / 1000).alias("seconds"))
+    return h.unionByName(whole).agg(F.max("batches").alias("batches"), F.max("total").alias("total"), F.max("cumulative").alias("cumulative"),
+                                    (F.abs(F.sum("seconds")) < 0.001).alias("sum_is_write_time"))
+
+
+T1_ARRIVALS, T1_FLUSHES = 8, 3
+
+
+def t1_count_or_time(spark, sf):
+    """Arrivals wait for a number of rows; the last flush is the drain's."""
+    from eventlake.sinks.commits import committed
+    ev = _events(spark, sf)
+    lake, min_rows = scratch_path(spark, "t1-lake"), ev.count() // T1_FLUSHES
+    src = _arrivals(spark, [fx.env(ev.filter(F.pmod("event_id", F.lit(T1_ARRIVALS)) == i)) for i in range(T1_ARRIVALS)])
+    _shared_run(spark, src, lake, scratch_path(spark, "t1-ckpt"), ts="event", min_rows=min_rows, max_delay=1e9)
+    done = committed(spark, lake)
+    whole = F.col("consumed") >= min_rows
+    # the drain's flush is the one that may be smaller
+    sizes = done.agg(F.count(F.lit(1)).alias("flushes"), F.sum("written").alias("written"), F.max(F.when(~whole, F.col("batch"))).alias("least"),
+                     F.max("batch").alias("last"), F.count_if(~whole).alias("small"), F.lit(0).cast("long").alias("in_lake"))
+    held = open_lake(spark, lake).agg(F.count(F.lit(1)).alias("in_lake"))
+    return sizes.unionByName(held, allowMissingColumns=True).agg(
+        F.sum("flushes").alias("flushes"), F.sum("written").alias("written"),
+        F.max((F.col("small") == 0) | (F.col("small") == 1) & (F.col("least") == F.col("last"))).alias("whole_but_last"), F.sum("in_lake").alias("in_lake"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s1_jsonl_source": s1_jsonl_source,
     "s3_lake_scan": s3_lake_scan,
@@ -587,7 +675,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a5_inventory": a5_inventory,
     **{f.__name__: f for f in (
         c3_evolve_nested, p1_hostile_keys, p1_case_pairs, p5_ingest, f1_ingest, a1_edge_accounts, a1_edge_quarantine,
-        t2_batch_then_stream, t2_fresh_checkpoint)},
+        t2_batch_then_stream, t2_fresh_checkpoint, t2_shared_lake, t2_quarantine_commit, t5_restarted_run, a3_write_time, t1_count_or_time)},
 }
 
 
@@ -752,6 +840,12 @@ ORACLES: dict[str, str] = {
     "a1_edge_accounts": f"SELECT {_DID} AS did, {_KIND} AS event_type, count(*) AS count FROM events WHERE {_REASON} = 'ok' "
                         f"GROUP BY 1, 2 ORDER BY count DESC, did, event_type LIMIT 10",
     "a1_edge_quarantine": f"SELECT {_REASON} AS reason, count(*) AS n, count(*) AS n_raw FROM events WHERE {_REASON} <> 'ok' GROUP BY 1",
+    "t2_shared_lake": f"SELECT {_KIND} AS kind, count(*) AS n, count(*) AS n_distinct FROM events GROUP BY 1",
+    "t2_quarantine_commit": f"SELECT {_REASON} AS reason, count(*) AS n FROM events GROUP BY 1",
+    "t5_restarted_run": (f"SELECT CAST(3 AS BIGINT) AS batches, count(*) AS consumed, count(*) FILTER (WHERE {_REASON} = 'ok') AS written, "
+                         f"count(*) FILTER (WHERE {_REASON} <> 'ok') AS errors FROM events"),
+    "a3_write_time": "SELECT CAST(3 AS BIGINT) AS batches, CAST(3 AS BIGINT) AS total, true AS cumulative, true AS sum_is_write_time",
+    "t1_count_or_time": "SELECT CAST(3 AS BIGINT) AS flushes, count(*) AS written, true AS whole_but_last, count(*) AS in_lake FROM events",
     "t2_batch_then_stream": "SELECT count(*) AS by_lake, count(*) AS by_slice, 'batch' AS lake, true AS stream_refused, false AS batch_refused FROM events "
                             "UNION ALL SELECT count(*), count(*), 'stream', false, true FROM events",
     "t2_fresh_checkpoint": "SELECT count(*) AS by_lake, count(*) AS by_slice, true AS fresh_refused FROM events",
