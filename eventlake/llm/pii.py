@@ -9,11 +9,12 @@ beside look-alikes (hex strings, versions, dates, numbers that fail a check digi
 carry no label.
 
 Texts are cut into overlapping windows, all of which run side by side, one character at a
-time in each direction. The overlap is wider than the longest span, so every span lies
-whole in some window. Windows whose scores cannot lift any path above "no span" are
+time in each direction. A span that reaches an edge of its window inside the text is read again
+in a window around it, twice as wide each time, until it does not, so spans are found whole
+however long they are. Windows whose scores cannot lift any path above "no span" are
 settled by that bound, which is exact; the others are decoded by Viterbi. The spans of all
 windows of a text are then reconciled together: those that hold their kind's
-check are chosen for the greatest total score such that none overlaps another or a base
+check (or, of adjoining spans proposed as one, the parts that do) are chosen for the greatest total score such that none overlaps another or a base
 span.
 
 Defined cases: a null or empty text has no span; null and repeated doc_ids are rows like
@@ -36,10 +37,10 @@ from eventlake.llm.common import bounded_sample, id_and_text, map_batches, text_
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 400  # documents trained on, at most
-SAMPLE_CHARS = 20_000  # longer texts are left out of the sample
+SAMPLE_CHARS = 20_000  # of each that are trained on, from a place that its hash says
 HIDDEN = 8
-WINDOW, OVERLAP = 1024, 96  # characters; no span is longer than the overlap
-SLICE_BYTES = 2 << 20
+WINDOW, OVERLAP = 1024, 96  # characters
+SLICE_BYTES = 1 << 20
 STEPS, BATCH, LENGTH, RATE = 500, 48, 112, 0.02
 SEED = 11
 
@@ -99,6 +100,9 @@ _CARD_LOOSE = re.compile(r"[0-9]{4}(?:[ ./_-]{1,2}[0-9]{2,6}){2,4}")
 _PHONE_LOOSE = re.compile(r"\(?[0-9]{2,4}\)?(?:[ ./-]{1,2}[0-9]{2,5}){2,4}")
 
 
+_PATTERNS = ((_AT,), (_IPV6, _IP_SPACED), (_CARD_LOOSE,), (_PHONE_LOOSE,))
+
+
 def holds(kind: int, text: str) -> bool:
     """Whether a proposed span can be what it is proposed as."""
     digits = _digits(text)
@@ -181,7 +185,7 @@ def _run(px: np.ndarray, ph: np.ndarray, x: np.ndarray) -> list[tuple]:
 
 def _run_back(px, ph, steps, dh_out, grad_x, grad_h) -> None:
     """Adds the gradients of one direction, given those of its outputs."""
-    n = ph.shape[1]
+    n, all_dz = ph.shape[1], []
     dh, dc = np.zeros_like(steps[0][1]), np.zeros_like(steps[0][1])
     for (codes_, before, c_before, gates, g, tc, _), out in zip(reversed(steps), reversed(dh_out), strict=True):
         i, f, o = gates[:n], gates[n:2 * n], gates[2 * n:]
@@ -189,8 +193,10 @@ def _run_back(px, ph, steps, dh_out, grad_x, grad_h) -> None:
         dc = dc + dh * o * (1 - tc * tc)
         dz = np.concatenate([dc * g * i * (1 - i), dc * c_before * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - g * g)])
         grad_h += dz @ before.T
-        np.add.at(grad_x.T, codes_, dz.T)
+        all_dz.append(dz)
         dh, dc = ph.T @ dz, dc * f
+    chars = np.concatenate([s[0] for s in reversed(steps)])
+    grad_x += np.concatenate(all_dz, axis=1) @ (chars[:, None] == np.arange(CODES))
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -298,6 +304,9 @@ def training_windows(texts: list[str], rng: np.random.Generator, n: int) -> tupl
             tail = [".", ",", ")", "!!", "$$$"][rng.integers(5)] if rng.random() < 0.4 else ""
             piece = f"{piece[:i]} {edge}{s}{tail}{piece[i:] or ' '}"
             tags = tags[:i] + [0] * (1 + len(edge)) + [kind + 1] * len(s) + [0] * len(tail) + (tags[i:] or [0])
+        if any(tags) and rng.random() < 0.25:  # the text ends soon after the span
+            end = min(LENGTH, len(tags) - tags[::-1].index(max(tags)) + int(rng.integers(0, 3)))
+            piece, tags = piece[:end].rjust(LENGTH), [0] * (LENGTH - len(tags[:end])) + tags[:end]
         piece = (piece + " " * LENGTH)[:LENGTH]
         x[:, k], y[:, k] = codes(piece), (tags + [0] * LENGTH)[:LENGTH]
     return x, y
@@ -344,15 +353,19 @@ class Tagger:
 
     def _direction(self, side: str, text: np.ndarray, first: np.ndarray, step: int, sizes: np.ndarray) -> np.ndarray:
         """One direction's part of the emissions, (time, tag, window); windows lie longest first."""
-        px, ph, pe = self.p[f"x{side}"], self.p[f"h{side}"], self.p[f"e{side}"]
+        px, ph, pe = np.ascontiguousarray(self.p[f"x{side}"].T), self.p[f"h{side}"], self.p[f"e{side}"]
         n, m = ph.shape[1], len(first)
         h, c = np.zeros((n, m), np.float32), np.zeros((n, m), np.float32)
         out = np.empty((int(sizes[0]), TAGS, m), np.float32)
+        # the same memory at every step: fresh arrays of this size are mapped anew each time
+        space, more = np.empty(4 * n * m, np.float32), np.empty(4 * n * m, np.float32)
         for t, k in enumerate(_active(sizes)):
             if k < h.shape[1]:
                 h, c = np.ascontiguousarray(h[:, :k]), np.ascontiguousarray(c[:, :k])
-            z = np.take(px, text[first[:k] + step * t], axis=1)
-            z += ph @ h
+            z, w = space[:4 * n * k].reshape(4 * n, k), more[:4 * n * k].reshape(k, 4 * n)
+            np.matmul(ph, h, out=z)
+            np.take(px, text[first[:k] + step * t], axis=0, out=w, mode="clip")  # whole rows, one a window
+            z += w.T
             np.tanh(z, out=z)
             gates, g = z[:3 * n], z[3 * n:]
             gates += np.float32(1)  # twice the gates: the halves are taken below
@@ -416,27 +429,48 @@ class Tagger:
         """Per text the spans of its windows: (score, kind, start, end)."""
         found: list[list] = [[] for _ in texts]
         lengths = [len(t) for t in texts]
-        begins = np.cumsum([0, *lengths])
-        owner, start, size = [], [], []
-        for i, n in enumerate(lengths):
-            cuts = [0] if n <= WINDOW else [*range(0, n - WINDOW, WINDOW - OVERLAP), n - WINDOW]
-            for cut in cuts if n else ():
-                owner.append(i)
-                start.append(cut)
-                size.append(min(WINDOW, n))
-        order = np.argsort(-np.array(size, np.int64), kind="stable")
-        owner, start, size = (np.array(a, np.int64)[order] for a in (owner, start, size))
-        e, place = self.emissions(codes("".join(texts)), begins[owner] + start, size)
+        begins, coded = np.cumsum([0, *lengths]), codes("".join(texts))
+        windows = [(i, cut, min(WINDOW, n)) for i, n in enumerate(lengths) if n
+                   for cut in ([0] if n <= WINDOW else [*range(0, n - WINDOW, WINDOW - OVERLAP), n - WINDOW])]
+        while windows:
+            again = set()
+            for (i, start, size), spans in zip(windows, self._spans(coded, begins, windows), strict=True):
+                for gain, kind, a, b in spans:
+                    if a == 0 < start or b == size < lengths[i] - start:
+                        # cut off by its window's edge
+                        wide = 2 * size
+                        left = max(0, start + (a + b) // 2 - size)
+                        again.add((i, left, min(wide, lengths[i] - left)))
+                    else:
+                        found[i].append((gain, kind, start + a, start + b))
+            windows = sorted(again - set(windows))
+        return found
+
+    def _spans(self, coded: np.ndarray, begins: np.ndarray, windows: list[tuple[int, int, int]]) -> list[list]:
+        """Per window (text, start, length) its spans: (score, kind, start, end) within it."""
+        owner, start, size = np.array(windows, np.int64).T
+        order = np.argsort(-size, kind="stable")
+        owner, start, size = owner[order], start[order], size[order]
+        e, place = self.emissions(coded, begins[owner] + start, size)
         open_ = self.undecided(e, place, size)
+        out: list[list] = [[] for _ in windows]
         for w, tags in zip(open_.tolist(), self.viterbi(e, place[open_], size[open_]), strict=True):
+            tags = tags.astype(np.int64)
             scores = e[:, place[w]:place[w] + size[w]]
+            gains = np.concatenate([[0.0], np.cumsum(scores[tags, np.arange(len(tags))] - scores[0], dtype=np.float64)])
             edges = np.flatnonzero(np.diff(tags)) + 1
             bounds = [0, *edges.tolist(), len(tags)]
-            for a, b in zip(bounds, bounds[1:], strict=False):
-                if tags[a]:
-                    gain = float((scores[tags[a], a:b] - scores[0, a:b]).sum())
-                    found[owner[w]].append((gain, int(tags[a]) - 1, int(start[w]) + a, int(start[w]) + b))
-        return found
+            out[order[w]] = [(float(gains[b] - gains[a]), int(tags[a]) - 1, a, b) for a, b in zip(bounds, bounds[1:], strict=False) if tags[a]]
+        return out
+
+
+def _held(kind: int, text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """A proposed span if it can be one, else what in it, give or take a character, can: adjoining
+    spans of a kind are proposed as one."""
+    if holds(kind, text[a:b]):
+        return [(a, b)]
+    a = max(0, a - 1)
+    return [(a + m.start(), a + m.end()) for pattern in _PATTERNS[kind] for m in pattern.finditer(text[a:b + 1]) if holds(kind, m.group())]
 
 
 def reconciled(text: str, base: list[tuple[int, int, int]], proposals: list[tuple[float, int, int, int]]) -> list[tuple[int, int, int]]:
@@ -445,8 +479,10 @@ def reconciled(text: str, base: list[tuple[int, int, int]], proposals: list[tupl
     taken = sorted((a, b) for _, a, b in base)
     clear = {}
     for gain, kind, a, b in proposals:
-        if gain > 0 and all(b <= x or a >= y for x, y in taken) and holds(kind, text[a:b]):
-            clear[kind, a, b] = max(gain, clear.get((kind, a, b), 0.0))
+        for c, d in _held(kind, text, a, b) if gain > 0 else ():
+            if all(d <= x or c >= y for x, y in taken):
+                share = gain * (d - c) / (b - a)
+                clear[kind, c, d] = max(share, clear.get((kind, c, d), 0.0))
     spans = sorted(clear, key=lambda s: (s[2], s[1], s[0]))
     best: list[tuple[float, list]] = [(0.0, [])]
     for i, s in enumerate(spans):
@@ -463,10 +499,11 @@ def _listed(spans: list[tuple[int, int, int]]) -> str:
 # --- Spark side -------------------------------------------------------------------
 
 def learn(docs: DataFrame) -> Tagger:
-    """Trains on a bounded sample, chosen by a hash of doc_id among the shorter texts. Narrow
-    rows are ordered; the texts follow by their number and hash."""
-    rows = id_and_text(docs).where(F.length("text") <= SAMPLE_CHARS)
-    named = rows.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    """Trains on a bounded sample, chosen by a hash of doc_id: of each text up to ``SAMPLE_CHARS``
+    characters. Narrow rows are ordered; the texts follow by their number and hash."""
+    named = id_and_text(docs).where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("h"), "text")
+    at = F.pmod("h", F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
+    named = named.withColumn("text", F.col("text").substr(at, F.lit(SAMPLE_CHARS)))
     chosen = bounded_sample(named.select("doc_id", "h").where("doc_id IS NOT NULL").distinct(), "doc_id", SAMPLE_ROWS)
     texts = named.join(F.broadcast(chosen), ["doc_id", "h"], "left_semi").select("text").distinct()
     return train(sorted(r.text for r in texts.collect()))
