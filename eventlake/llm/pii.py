@@ -24,8 +24,10 @@ other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
+import time
 import unicodedata
 
 import numpy as np
@@ -336,6 +338,31 @@ def _active(sizes: np.ndarray) -> list[int]:
     return np.searchsorted(-sizes, -np.arange(sizes[0]), side="left").tolist() if len(sizes) else []
 
 
+def _inputs(px: np.ndarray, chars: np.ndarray, space: np.ndarray, by_rows: bool) -> np.ndarray:
+    """The inputs' part of the gates, (feature, window), from a table by character (``by_rows``) or
+    by feature."""
+    if by_rows:
+        return np.take(px, chars, axis=0, out=space.reshape(len(chars), -1), mode="clip").T
+    return np.take(px, chars, axis=1, out=space.reshape(-1, len(chars)), mode="clip")
+
+
+@functools.cache
+def rows_are_quicker() -> bool:
+    """Which of the two gathers takes less time on this machine (they give the same numbers):
+    whole rows, added transposed, or a column each. Once per process."""
+    rng = np.random.default_rng(0)
+    table, chars = rng.random((4 * HIDDEN, CODES)).astype(np.float32), rng.integers(0, CODES, 1024).astype(np.uint8)
+    space, z, spent = np.empty(table.shape[0] * len(chars), np.float32), np.zeros((table.shape[0], len(chars)), np.float32), []
+    for by_rows in (False, True):
+        px, times = np.ascontiguousarray(table.T) if by_rows else table, []
+        for _ in range(15):
+            begin = time.perf_counter()
+            z += _inputs(px, chars, space, by_rows)
+            times.append(time.perf_counter() - begin)
+        spent.append(min(times))
+    return spent[1] < spent[0]
+
+
 class Tagger:
     """The trained network in single precision, for many windows side by side."""
 
@@ -353,8 +380,10 @@ class Tagger:
 
     def _direction(self, side: str, text: np.ndarray, first: np.ndarray, step: int, sizes: np.ndarray) -> np.ndarray:
         """One direction's part of the emissions, (time, tag, window); windows lie longest first."""
-        px, ph, pe = np.ascontiguousarray(self.p[f"x{side}"].T), self.p[f"h{side}"], self.p[f"e{side}"]
-        n, m = ph.shape[1], len(first)
+        px, ph, pe = self.p[f"x{side}"], self.p[f"h{side}"], self.p[f"e{side}"]
+        n, m, by_rows = ph.shape[1], len(first), rows_are_quicker()
+        if by_rows:
+            px = np.ascontiguousarray(px.T)
         h, c = np.zeros((n, m), np.float32), np.zeros((n, m), np.float32)
         out = np.empty((int(sizes[0]), TAGS, m), np.float32)
         # the same memory at every step: fresh arrays of this size are mapped anew each time
@@ -362,10 +391,9 @@ class Tagger:
         for t, k in enumerate(_active(sizes)):
             if k < h.shape[1]:
                 h, c = np.ascontiguousarray(h[:, :k]), np.ascontiguousarray(c[:, :k])
-            z, w = space[:4 * n * k].reshape(4 * n, k), more[:4 * n * k].reshape(k, 4 * n)
+            z, w = space[:4 * n * k].reshape(4 * n, k), more[:4 * n * k]
             np.matmul(ph, h, out=z)
-            np.take(px, text[first[:k] + step * t], axis=0, out=w, mode="clip")  # whole rows, one a window
-            z += w.T
+            z += _inputs(px, text[first[:k] + step * t], w, by_rows)
             np.tanh(z, out=z)
             gates, g = z[:3 * n], z[3 * n:]
             gates += np.float32(1)  # twice the gates: the halves are taken below

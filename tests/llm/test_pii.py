@@ -87,6 +87,16 @@ def test_windows_run_side_by_side_as_alone_and_the_bound_is_exact():
                 assert not tags[w].any()
 
 
+def test_both_gathers_give_the_same_numbers(tagger, monkeypatch):
+    text = np.random.default_rng(2).integers(0, pii.CODES, 300).astype(np.uint8)
+    sizes, starts = np.array([90, 60, 60, 7]), np.array([0, 5, 200, 290])
+    both = []
+    for by_rows in (True, False):
+        monkeypatch.setattr(pii, "rows_are_quicker", lambda: by_rows)  # noqa: B023
+        both.append(tagger.emissions(text, starts, sizes)[0])
+    assert (both[0] == both[1]).all()
+
+
 def test_held_out_accuracy(tagger):
     x, y = pii.training_windows(["other words for the test, none of them seen before"] * 3, np.random.default_rng(99), 300)
     sizes = np.full(300, pii.LENGTH)
