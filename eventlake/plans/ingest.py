@@ -38,8 +38,9 @@ from eventlake.sources.lake import read_paths
 log = logging.getLogger(__name__)
 
 
-# Below this input a second parse is quicker than a written table of parsed records.
-PARSE_ONCE_BYTES = 64 << 20
+# Below this input (by Spark's estimate, several times the file size) a second parse is quicker
+# than a written table of parsed records.
+PARSE_ONCE_BYTES = 256 << 20
 
 
 def _input_bytes(df: DataFrame) -> int:
@@ -120,15 +121,21 @@ def prepare(raw: DataFrame, schema: StructType | None = None, value: str = "valu
     Objects under empty keys can hold further paths that flatten to ``time_us``; if the
     schema has such, the records are guarded by those as well.
     """
+    return _prepare(raw, schema, value, max_bytes)[:3]
+
+
+def _prepare(raw: DataFrame, schema: StructType | None, value: str, max_bytes: int):
+    """As ``prepare``, and the pairs of path and kind that were inferred."""
     if schema is not None:
-        return classify(raw, value, max_bytes, _time_paths(schema)), schema, None
+        return classify(raw, value, max_bytes, _time_paths(schema)), schema, None, None
     paths = TIME_US_PATHS
     while True:
         c = classify(raw, value, max_bytes, paths)
-        schema, counts = infer_with_counts(c, value)
+        pairs, counts = collect_pairs(shapes_of(with_shape(c, value)))
+        schema = _stored_types(pairs)
         more = _time_paths(schema)
         if set(more) <= set(paths):
-            return c, schema, counts
+            return c, schema, counts, pairs
         paths = (*paths, *[p for p in more if p not in paths])
 
 
@@ -136,12 +143,6 @@ def _time_paths(schema: StructType) -> tuple:
     return (*TIME_US_PATHS, *[p for p in paths_to(schema, "time_us") if p not in TIME_US_PATHS])
 
 
-def infer_with_counts(classified: DataFrame, value: str = "value"):
-    """Schema of the good records and records by outcome, from one pass (``operators.paths``)."""
-    pairs, counts = collect_pairs(shapes_of(with_shape(classified, value)))
-    return _stored_types(pairs), counts
-
-
 def _stored_types(pairs) -> StructType:
     return normalize(schema_of_pairs(pairs)) or StructType([])
 
@@ -261,11 +262,11 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
     if parse_once is None:
         parse_once = quarantine_path is not None or known is not None or _input_bytes(raw) >= PARSE_ONCE_BYTES
     if pinned or not parse_once:
-        c, schema, counts = prepare(raw, schema, value, max_bytes)
+        c, schema, counts, pairs = _prepare(raw, schema, value, max_bytes)
         seen, obs = observed(c) if pinned else (c, None)
     else:
         staged = stage(raw, value, max_bytes, keep_raw, known)
-        c, schema, counts = staged.rows, staged.schema, staged.counts
+        c, schema, counts, pairs = staged.rows, staged.schema, staged.counts, staged.pairs
         seen = c
     schema = as_json(schema, map_paths)
     kept = Observation(f"eventlake_{uuid.uuid4().hex}")
@@ -277,8 +278,8 @@ def ingest_batch(raw: DataFrame, lake_path: str, schema: StructType | None = Non
             append_evolving(out, lake_path, template, max_rows, cluster=cluster)
         else:
             write_lake(out, lake_path, template, max_rows, cluster=cluster)
-    if staged and evolve and staged.pairs:
-        write_paths(spark, lake_path, staged.pairs)
+    if pairs and evolve:
+        write_paths(spark, lake_path, pairs)
     if pinned:
         counts = _nonzero(obs)
     # after the lake: a batch that fails and is run again has left no rows here

@@ -92,6 +92,17 @@ def test_a_batch_without_news_is_not_inferred(spark, monkeypatch, tmp_path):
                     (None, None, "z", ()), (None, None, "w", ())}
 
 
+def test_small_files_are_parsed_twice_and_leave_their_paths(spark, monkeypatch, tmp_path):
+    from eventlake.sources.jsonl import read_jsonl
+    (tmp_path / "a.jsonl").write_text('{"a":1}\n{"a":2,"b":[true]}\n')
+    lake = str(tmp_path / "lake")
+    plans, _ = _spied(spark, monkeypatch, lambda: ingest_batch(read_jsonl(spark, str(tmp_path / "a.jsonl")), lake))
+    assert sum(p.count("parseJson(concat([") for p in plans) == 2
+    plans, again = _spied(spark, monkeypatch, lambda: ingest_batch(read_jsonl(spark, str(tmp_path / "a.jsonl")), lake))
+    assert sum(p.count("parseJson(concat([") for p in plans) == 1 and again.new_paths == 0
+    assert open_lake(spark, lake).count() == 4
+
+
 def test_top_accounts_reduces_map_side_and_takes_top_k(spark):
     """A hot account is counted per task before the shuffle; top-k is not a full sort."""
     from eventlake.operators.reports import top_accounts
