@@ -104,7 +104,7 @@ def _nonnull_report(df: DataFrame, with_types: bool) -> DataFrame:
 
 
 def s1_jsonl_source(spark, sf):
-    """Padded lines, whitespace-only lines and lines that are not JSON; every event read once."""
+    """Padded lines and whitespace-only lines; every event read once."""
     e = fx.env(_events(spark, sf))
     r = F.pmod(F.col("event_id"), F.lit(7))
     deco = (F.when(r == 0, F.concat(F.lit(" \t"), F.col("value"), F.lit("  ")))
@@ -118,6 +118,16 @@ def s1_jsonl_source(spark, sf):
         get_path(v, ("time_us",), "bigint").alias("time_us"))
 
 
+def s1_drop_invalid(spark, sf):
+    """Lines that are not JSON are left out and counted, in one pass."""
+    from pyspark.sql import Observation
+    from eventlake.sources.jsonl import warn_dropped
+    path, dropped = scratch_path(spark, "s1-edge"), Observation("s1_drop_invalid")
+    write_jsonl(fx.edge(_events(spark, sf)), path)
+    kept = read_jsonl(spark, path, drop_invalid=True, dropped=dropped).count()
+    return spark.createDataFrame([(kept, warn_dropped(dropped, path))], "kept long, dropped long")
+
+
 def k4_jsonl_roundtrip(spark, sf):
     path = scratch_path(spark, "k4-jsonl")
     write_jsonl(fx.env(_events(spark, sf)), path)
@@ -675,7 +685,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a5_inventory": a5_inventory,
     **{f.__name__: f for f in (
         c3_evolve_nested, p1_hostile_keys, p1_case_pairs, p5_ingest, f1_ingest, a1_edge_accounts, a1_edge_quarantine,
-        t2_batch_then_stream, t2_fresh_checkpoint, t2_shared_lake, t2_quarantine_commit, t5_restarted_run, a3_write_time, t1_count_or_time)},
+        t2_batch_then_stream, t2_fresh_checkpoint, t2_shared_lake, t2_quarantine_commit, t5_restarted_run, a3_write_time, t1_count_or_time, s1_drop_invalid)},
 }
 
 
@@ -840,6 +850,8 @@ ORACLES: dict[str, str] = {
     "a1_edge_accounts": f"SELECT {_DID} AS did, {_KIND} AS event_type, count(*) AS count FROM events WHERE {_REASON} = 'ok' "
                         f"GROUP BY 1, 2 ORDER BY count DESC, did, event_type LIMIT 10",
     "a1_edge_quarantine": f"SELECT {_REASON} AS reason, count(*) AS n, count(*) AS n_raw FROM events WHERE {_REASON} <> 'ok' GROUP BY 1",
+    "s1_drop_invalid": (f"SELECT count(*) FILTER (WHERE {_REASON} NOT IN ('bad_json', 'bad_utf8')) AS kept, "
+                        f"count(*) FILTER (WHERE {_REASON} IN ('bad_json', 'bad_utf8')) AS dropped FROM events"),
     "t2_shared_lake": f"SELECT {_KIND} AS kind, count(*) AS n, count(*) AS n_distinct FROM events GROUP BY 1",
     "t2_quarantine_commit": f"SELECT {_REASON} AS reason, count(*) AS n FROM events GROUP BY 1",
     "t5_restarted_run": (f"SELECT CAST(3 AS BIGINT) AS batches, count(*) AS consumed, count(*) FILTER (WHERE {_REASON} = 'ok') AS written, "

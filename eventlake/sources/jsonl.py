@@ -10,9 +10,16 @@ it, so a bad line is quarantined with a reason instead of silently lost
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.functions.jsonvalue import strict_parts, strict_value
+
+log = logging.getLogger(__name__)
+
+DROPPED = "eventlake_dropped"
 _STRIP = r"(?U)^\s+|\s+$"
 _WS = r"(?U)\s"
 
@@ -40,9 +47,14 @@ def _shape(lines: DataFrame) -> DataFrame:
 
 def read_jsonl(spark: SparkSession, path, streaming: bool = False, drop_invalid: bool = False,
                max_files_per_trigger: int | None = None, clean_source: str | None = None,
-               archive_dir: str | None = None, max_file_age: str | None = None) -> DataFrame:
+               archive_dir: str | None = None, max_file_age: str | None = None,
+               dropped: Observation | None = None) -> DataFrame:
     """Lines of JSON-lines file(s) at ``path`` as ``value BINARY``.
 
+    ``drop_invalid`` leaves out lines that are not one JSON value in UTF-8. They are counted in
+    the job that reads the lines: by ``dropped`` (see ``warn_dropped``), in a stream under
+    ``DROPPED`` among each batch's observed metrics.
+
     ``streaming=True`` returns a file-source stream (new files are picked up
     per trigger, offsets kept in the query checkpoint). The file source lists
     its folder on every trigger, so a landing zone that only grows slows every
@@ -64,6 +76,20 @@ def read_jsonl(spark: SparkSession, path, streaming: bool = False, drop_invalid:
         lines = spark.read.text(path)
     out = _shape(lines)
     if drop_invalid:
-        from eventlake.functions.jsonvalue import strict_parse
-        out = out.filter(strict_parse(F.col("value").cast("string")).isNotNull())
+        text = F.col("value").cast("string")
+        utf8 = F.call_function("is_valid_utf8", text)
+        arr, obj_ok = strict_parts(text)
+        # a generator, so that each wrapper is parsed once (as in ``guards.classify``)
+        parts = out.select("value", F.inline(F.array(F.struct(F.when(utf8, arr).alias("__arr"), F.when(utf8, obj_ok).alias("__ok")))))
+        marked = parts.select("value", F.coalesce(strict_value(F.col("__arr"), F.col("__ok")).isNotNull(), F.lit(False)).alias("__valid"))
+        out = marked.observe(dropped if dropped is not None else DROPPED, F.count_if(~F.col("__valid")).alias("dropped")) \
+            .filter("__valid").select("value")
     return out
+
+
+def warn_dropped(dropped: Observation, path) -> int:
+    """After the job that read the lines: how many were dropped, with a warning if any were."""
+    n = int(dropped.get["dropped"])
+    if n:
+        log.warning("%s: %d lines are not JSON and were dropped", path, n)
+    return n

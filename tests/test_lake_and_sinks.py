@@ -251,3 +251,16 @@ def test_streaming_kafka_write_needs_a_checkpoint(spark):
     stream = spark.readStream.format("rate").load().selectExpr("CAST(value AS STRING) AS value")
     with pytest.raises(ValueError, match="checkpoint"):
         write_kafka(stream, "broker:9092", streaming=True)
+
+
+def test_lines_that_are_not_json_are_dropped_with_a_warning(spark, tmp_path, caplog):
+    from pyspark.sql import Observation
+    from eventlake.sources.jsonl import read_jsonl, warn_dropped
+    path = str(tmp_path / "a.jsonl")
+    with open(path, "wb") as f:
+        f.write(b'{"a":1}\n\n  [1]  \n{"a":1} x\n{bad\n{"a":"\xff"}\nnull\n')
+    dropped = Observation()
+    got = read_jsonl(spark, path, drop_invalid=True, dropped=dropped)
+    assert sorted(bytes(r.value) for r in got.collect()) == [b"[1]", b"null", b'{"a":1}']
+    assert warn_dropped(dropped, path) == 3 and "3 lines" in caplog.text
+    assert read_jsonl(spark, path).count() == 6
