@@ -117,22 +117,24 @@ def test_a_crash_at_any_point_loses_and_doubles_nothing(spark, paths, monkeypatc
 
 def test_count_or_time(spark, paths):
     os.makedirs(paths["src"])
-    ingest = SharedIngest(spark, paths["lake"], paths["ckpt"], ts="event", min_rows=5, max_delay=6.0)
+    ingest = SharedIngest(spark, paths["lake"], paths["ckpt"], ts="event", min_rows=5, max_delay=10.0)
     query = ingest.start(read_jsonl(spark, paths["src"], streaming=True), {"processingTime": "200 milliseconds"})
     try:
         put(paths["src"], "warm", *events(*range(5)))
-        wait(lambda: committed(spark, paths["lake"]).count() == 1, 60)
+        wait(lambda: committed(spark, paths["lake"]).count() == 1, 120)
         put(paths["src"], "a", *events(10, 11))
         wait(lambda: ingest.gauges()["buffered_rows"] == 2, 30)
         put(paths["src"], "b", *events(12, 13, 14))  # now there are enough
-        wait(lambda: committed(spark, paths["lake"]).count() == 2, 30)
+        wait(lambda: committed(spark, paths["lake"]).count() == 2, 60)
         put(paths["src"], "c", *events(15))  # too few: time flushes it, although nothing more arrives
         wait(lambda: ingest.gauges()["buffered_rows"] == 1, 30)
-        assert committed(spark, paths["lake"]).count() == 2
-        wait(lambda: committed(spark, paths["lake"]).count() == 3, 30)
-        time.sleep(6.5)  # idle for longer than the delay: one event is flushed at once
-        put(paths["src"], "d", *events(16))
-        wait(lambda: committed(spark, paths["lake"]).count() == 4, 5)
+        assert ingest.gauges()["seconds_since_flush"] < 10
+        wait(lambda: committed(spark, paths["lake"]).count() == 3, 60)
+        wait(lambda: ingest.gauges()["seconds_since_flush"] > 10, 30)  # idle for longer than the delay:
+        put(paths["src"], "d", *events(16))  # one event is flushed as it comes
+        begin = time.monotonic()
+        wait(lambda: committed(spark, paths["lake"]).count() == 4, 60)
+        assert ingest.gauges()["seconds_since_flush"] < time.monotonic() - begin
         put(paths["src"], "e", *events(17))
         ingest.drain()  # reads and flushes the rest of a running query
         assert not query.isActive and not leftovers(paths["lake"])
