@@ -1,5 +1,6 @@
 import random
 import re
+import resource
 
 import pytest
 
@@ -91,10 +92,12 @@ def test_benchmark_in_parts_gives_the_same(spark, tables, monkeypatch):
     docs, bench = tables
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
     whole = key(map(tuple, dc.contaminated(d, b).collect()))
+    left = key(map(tuple, dc.clean(d, b).collect()))
     parts = dc.benchmark_parts(b, 400)
-    assert len(parts) > 2 and sum(map(len, parts)) == len(bench)
+    assert len(parts) > 2 and sum(p.count() for p in parts) == len(bench)
     monkeypatch.setattr(dc, "benchmark_parts", lambda _: parts)
     assert key(map(tuple, dc.contaminated(d, b).collect())) == whole
+    assert key(map(tuple, dc.clean(d, b).collect())) == left
 
 
 def test_a_long_item_is_found_by_any_passage():
@@ -128,6 +131,46 @@ def test_half_of_an_item_with_edits_is_found():
     assert edits[3] == 0 and edits[4] == least_edits(item, texts[-1])
 
 
+def repetitive(rng, n):
+    return "".join(rng.choice(["a" * rng.randint(1, 30), "ha " * rng.randint(1, 12), words(rng, 2), "b"]) for _ in range(n))
+
+
+def test_repetitive_texts_match_brute_force(monkeypatch):
+    rng = random.Random(11)
+    items = ["a" * 60, "ha " * 25, "a" * 40 + "b" + "a" * 40, "ha " * 9 + words(rng, 4), *[repetitive(rng, 4) for _ in range(8)]]
+    texts = [repetitive(rng, rng.randint(0, 12)) for _ in range(120)]
+    texts += [items[i][:45] + edited(rng, items[i], 3) + "b" * i for i in range(len(items))]
+    want = brute([*enumerate(texts)], [*enumerate(items)])
+    assert len(want) > 40 and any(e for *_, e in want)
+    p = dc.Passages(items)
+    assert len(p.often_owner)
+    for block, segment in ((dc.BLOCK, dc.SEGMENT), (50, 64)):
+        monkeypatch.setattr(dc, "BLOCK", block)
+        monkeypatch.setattr(dc, "SEGMENT", segment)
+        assert key(map(tuple, zip(*(a.tolist() for a in p.found(texts)), strict=True))) == key(want)
+
+
+def test_a_very_long_text_of_one_character_takes_bounded_memory():
+    p = dc.Passages(["a" * 400, "ha " * 130])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    text, item, edits = p.found(["a" * 2_000_000])
+    assert (text.tolist(), item.tolist(), edits.tolist()) == ([0], [0], [0])
+    assert p.found(["ha " * 400_000 + "end", "b" * 50])[1].tolist() == [1]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1 << 20  # KB
+
+
+def test_items_of_one_template():
+    rng = random.Random(12)
+    template = plain(words(rng, 40))[:136].strip()
+    items = [f"{template} {rng.randrange(10 ** 9)}" for _ in range(150)]
+    texts = [f"{words(rng, 30)} {template} {rng.randrange(10 ** 9)} {words(rng, 5)}" for _ in range(10)]
+    got = dc.Passages([*items, items[0]]).found(texts)
+    want = brute([*enumerate(texts[:1])], [*enumerate(items[:20])])
+    first = [(t, i, e) for t, i, e in zip(*(a.tolist() for a in got), strict=True) if t == 0]
+    assert [x for x in first if x[1] < 20] == want
+    assert [x[2] for x in first if x[1] == 0] == [x[2] for x in first if x[1] == 150]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     items = spark.createDataFrame([], "item_id long, text string")
