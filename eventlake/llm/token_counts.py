@@ -47,7 +47,7 @@ LIMIT = 512
 CHUNK_BYTES = 12 << 20
 CHUNK_DOCS = 1 << 16
 MOST = 255  # an entry's greatest frequency; more take further entries
-OPEN_CHUNKS = 256  # whose sums a task holds at a time
+HELD_SUMS = 1 << 20  # partial sums that a task holds before it hands them on
 _BATCH_ROWS = 1 << 16
 
 
@@ -342,59 +342,69 @@ def _documents(header: bytes) -> tuple[pa.Array, pa.Array]:
 
 
 _SUMS = "chunk long, header boolean, sums binary"
+_SUM = np.dtype([("place", "<u2"), ("sum", "<u4")])  # of a document in its chunk
+
+
+def _added(chunk: np.ndarray, place: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of the values per chunk and place, in order of both."""
+    if not len(chunk):
+        return chunk, place, value
+    chunks, code = np.unique(chunk, return_inverse=True)
+    key = code << 16 | place
+    order = np.argsort(key, kind="stable")
+    key, value = key[order], value[order]
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return chunks[key[new] >> 16], key[new] & 0xFFFF, np.add.reduceat(value, new)
 
 
 def _partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums over the pre-tokens of this task, per chunk: positions <u2, then sums <u4."""
-    held: dict[int, np.ndarray] = {}
+    """Sums over the pre-tokens of this task, per chunk. Only places with a sum are held, so
+    a row costs the same whatever the number of chunks, and ``HELD_SUMS`` bounds them."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size = 0
 
     def batch_of(chunks: pa.Array, header: bool, sums: pa.Array) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([chunks, pa.array(np.full(len(chunks), header)), sums], names=["chunk", "header", "sums"])
 
-    def flush() -> pa.RecordBatch:
-        packed = []
-        for sums in held.values():
-            where = np.flatnonzero(sums)
-            packed.append(where.astype("<u2").tobytes() + sums[where].astype("<u4").tobytes())
-        out = batch_of(pa.array([*held], pa.int64()), False, pa.array(packed, pa.binary()))
-        held.clear()
-        return out
+    def together() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return _added(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+    def packed(chunk: np.ndarray, place: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
+        data = np.empty(len(chunk), _SUM)
+        data["place"], data["sum"] = place, value
+        new = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))[:len(chunk)]
+        ends = (np.append(new, len(chunk)) * _SUM.itemsize).astype(np.int32)
+        sums = pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(ends), pa.py_buffer(data.tobytes())])
+        return batch_of(pa.array(chunk[new], pa.int64()), False, sums)
 
     for batch in batches:
         headers = pc.bit_wise_and(batch.column(0), 1).cast(pa.bool_())
         head, rows = batch.filter(headers), batch.filter(pc.invert(headers))
         if head.num_rows:
             yield batch_of(head.column(1), True, head.column(2).cast(pa.binary()))
-        chunks, code = np.unique(rows.column(1).to_numpy(), return_inverse=True)
-        count, where, freq = entries(rows.column(2))
-        key = np.repeat(code, count) << 16 | where
+        count, place, freq = entries(rows.column(2))
         value = freq * np.repeat(rows.column(3).to_numpy(zero_copy_only=False).astype(np.int64), count)
-        order = np.argsort(key, kind="stable")
-        key, value = key[order], value[order]
-        new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        total, key = np.add.reduceat(value, new) if len(new) else value, key[new]
-        edges = np.searchsorted(key, np.arange(len(chunks) + 1) << 16).tolist()
-        for c, i, j in zip(chunks.tolist(), edges, edges[1:], strict=False):
-            if c not in held:
-                if len(held) >= OPEN_CHUNKS:
-                    yield flush()
-                held[c] = np.zeros(CHUNK_DOCS, np.int64)
-            held[c][key[i:j] & (CHUNK_DOCS - 1)] += total[i:j]
-    if held:
-        yield flush()
+        held.append(_added(np.repeat(rows.column(1).to_numpy(), count), place, value))
+        size += len(held[-1][0])
+        if size > HELD_SUMS:
+            held = [together()]
+            size = len(held[0][0])
+            if size > HELD_SUMS // 2:
+                yield packed(*held[0])
+                held, size = [], 0
+    if size:
+        yield packed(*together())
     release()
 
 
 def _chunk_totals(table: pa.Table) -> pa.Table:
     """All rows of one chunk to its documents' counts."""
-    total = np.zeros(CHUNK_DOCS, np.int64)
+    headers = table.column("header")
+    sums = np.frombuffer(b"".join(table.filter(pc.invert(headers)).column("sums").to_pylist()), _SUM)
+    total = np.bincount(sums["place"], sums["sum"], CHUNK_DOCS).astype(np.int64)  # exact: far below 2 ** 53
     ids = sizes = pa.array([], pa.int64())
-    for header, sums in zip(table.column("header").to_pylist(), table.column("sums").to_pylist(), strict=True):
-        if header:
-            ids, sizes = _documents(sums)
-        elif sums:
-            n = len(sums) // 6
-            total[np.frombuffer(sums, "<u2", n)] += np.frombuffer(sums, "<u4", n, 2 * n)
+    for header in table.filter(headers).column("sums").to_pylist():
+        ids, sizes = _documents(header)
     return pa.table({"doc_id": ids, "n_bytes": sizes, "n_tokens": pa.array(total[:len(ids)])})
 
 

@@ -2,6 +2,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -42,6 +43,29 @@ def test_entries_round_trip(pre):
     assert got == {(b"x", 0): 1, (b"the", 1): 1, (b" the", 1): 1999, (b" x", 1): 2, (b"y", 3): 1, (b" x", 3): 1}
 
 
+@pytest.mark.parametrize("held", [40, tc.HELD_SUMS])
+def test_partial_sums_over_thousands_of_chunks(monkeypatch, held):
+    monkeypatch.setattr(tc, "HELD_SUMS", held)
+    rng, want, batches = np.random.default_rng(5), Counter(), []
+    numbers = (np.arange(3000) % 41 << 32 | np.arange(3000)).tolist()
+    for _ in range(6):
+        rows = []
+        for c in rng.choice(numbers, 500).tolist():
+            places, freq, pieces = rng.choice(tc.CHUNK_DOCS, 3, replace=False), rng.integers(1, 200, 3), int(rng.integers(1, 9))
+            rows.append((2, c, places.astype("<u2").tobytes() + freq.astype("u1").tobytes(), pieces))
+            want.update({(c, int(p)): int(f) * pieces for p, f in zip(places, freq, strict=True)})
+        rows.append((numbers[0] << 1 | 1, numbers[0], b"header", None))
+        batches.append(pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.int32()), strict=True)],
+                                                  names=["key", "chunk", "entries", "pieces"]))
+    got, heads = Counter(), 0
+    for batch in tc._partial_sums(iter(batches)):
+        for r in batch.to_pylist():
+            heads += r["header"]
+            for place, total in np.frombuffer(b"" if r["header"] else r["sums"], tc._SUM).tolist():
+                got[r["chunk"], place] += total
+    assert got == want and heads == 6
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_matches_the_library(spark, parts):
     rows = list(enumerate(TEXTS)) + [(4, TEXTS[4]), (4, "other"), (None, "no number")] + [(100 + i, f"some words {i} " * (i % 7)) for i in range(80)]
