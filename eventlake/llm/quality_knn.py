@@ -9,7 +9,8 @@ cosine products in blocks, and its ``NEIGHBOURS`` nearest vote with weight by si
 
 Defined cases: a null or empty text has its length class as only term; without labelled
 rows every score is 0.5; a doc_id labelled more than once counts by its greatest label;
-rows of a null doc_id are scored and not held out; repeated documents score alike; an empty
+rows of a null doc_id are scored and not held out; a very long text is
+learned from and scored whole; repeated documents score alike; an empty
 table gives an empty result; other columns are not read.
 """
 
@@ -26,7 +27,6 @@ from eventlake.llm.toxicity import fold, labelled_sample
 
 FOLDS, HELD_FOLD = 4, 2
 INDEX_ROWS = 8192  # labelled rows that vote, at most
-SAMPLE_CHARS = 50_000  # longer texts are left out of the sample
 RANK = 96
 NEIGHBOURS = 7
 SHARPNESS = 30  # power of the similarity in a vote's weight
@@ -124,7 +124,7 @@ def _dense(rows: list[bytes]) -> np.ndarray:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Voters:
-    sample = labelled_sample(docs, labels, "quality", FOLDS, HELD_FOLD, INDEX_ROWS, SAMPLE_CHARS)
+    sample = labelled_sample(docs, labels, "quality", FOLDS, HELD_FOLD, INDEX_ROWS)
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = _matrix(text_bytes(batch.column(1)))

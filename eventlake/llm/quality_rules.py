@@ -13,7 +13,8 @@ and the trees give it ``THRESHOLD`` or more.
 
 Defined cases: a null or empty text has no word and fails the base rule; without labels of
 both kinds the base rules decide alone; a doc_id labelled more than once counts by its
-greatest label; null and repeated doc_ids are rows like any other; an empty table gives an
+greatest label; a very long text is
+learned from and scored whole; null and repeated doc_ids are rows like any other; an empty table gives an
 empty result; other columns are not read.
 """
 
@@ -29,7 +30,6 @@ from eventlake.llm.toxicity import labelled_sample
 
 FOLDS, HELD_FOLD = 4, 2  # held out of training, for the accuracy tests
 SAMPLE_ROWS = 12_000  # labelled rows trained on, at most
-SAMPLE_CHARS = 50_000  # longer texts are left out of the sample
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 TREES, DEPTH, RATE, BINS = 60, 4, 0.2, 64
@@ -173,7 +173,7 @@ def _measured(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def learn(docs: DataFrame, labels: DataFrame) -> Trees | None:
     """Trees from the sample; None without labels of both kinds."""
-    sample = labelled_sample(docs, labels, "quality", FOLDS, HELD_FOLD, SAMPLE_ROWS, SAMPLE_CHARS)
+    sample = labelled_sample(docs, labels, "quality", FOLDS, HELD_FOLD, SAMPLE_ROWS)
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         _, x = _measured(text_bytes(batch.column(1)))

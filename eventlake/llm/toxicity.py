@@ -22,7 +22,7 @@ executors; the driver sees only stems that passed, and the sample's feature rows
 Defined cases: a null or empty text has no clause and scores the intercept; rows without
 label, or of a null doc_id, are never learned from; a doc_id labelled more than once counts
 as toxic if any of its labels does; without a toxic and a clean label the listed words keep
-their prior weights; repeated documents score alike; an empty table gives an empty result;
+their prior weights; a very long text is learned from and scored whole; repeated documents score alike; an empty table gives an empty result;
 other columns are not read.
 """
 
@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +44,6 @@ from eventlake.llm.common import bounded_sample, id_and_text, map_batches, piece
 
 FOLDS, HELD_FOLD = 5, 0
 SAMPLE_ROWS = 12_000  # labelled rows learned from, at most
-SAMPLE_CHARS = 50_000  # longer texts are left out of the sample
 STEM_LENGTHS = range(4, 9)
 STEM_SHARE = 0.9  # toxic share that a stem needs
 MAX_STEMS = 5_000
@@ -225,35 +225,43 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("long").cast("string").cast("binary")) % folds
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int,
-                    rows: int, chars: int) -> DataFrame:
+BANDS, MINIMA = 4, 3  # least shingle hashes that near copies are told by
+_MIXES = np.random.default_rng(8).integers(1, 1 << 62, BANDS * MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, rows: int) -> DataFrame:
     """(doc_id, text, y) of at most ``rows`` labelled documents outside the held-out fold,
-    chosen by a hash of doc_id. Only narrow columns are ordered; the chosen ids, a bounded
-    number, then pick the texts."""
+    chosen by a hash of doc_id, whatever their length. Copies would make their chance words
+    look significant, so of rows with one label that agree in all ``MINIMA`` of one of
+    ``BANDS`` bands of least shingle hashes the one of least doc_id stays: that is likely
+    from a similarity of 0.8 on, and rare (1 in 30) at 0.2, as for texts that only share
+    a passage. Only narrow columns are ordered and grouped; then the chosen ids, a
+    bounded number, pick the texts."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")) \
         .where(F.col("y").isNotNull() & (fold(F.col("doc_id"), folds) != held)) \
         .groupBy("doc_id").agg(F.max("y").alias("y"))
     chosen = bounded_sample(known, "doc_id", rows)
-    texts = id_and_text(docs).where(F.length("text") <= chars)
-    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
-    # copies would make their chance words look significant: rows that share the least
-    # shingle hash under either of two mixes count once
-    sample = sample.mapInArrow(_least_shingles, "doc_id long, text string, y int, one long, two long")
-    for least in ("one", "two"):
-        sample = sample.groupBy(least, "y").agg(F.min_by(F.struct("doc_id", "text", "two"), "doc_id").alias("s")) \
-            .select("s.doc_id", "s.text", "y", "s.two")
-    return sample.select("doc_id", "text", "y")
-
-
-def _least_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    picked = written(id_and_text(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y", F.xxhash64("text").alias("digest")), "labelled")
+    bands = [f"band{i}" for i in range(BANDS)]
+    kept = picked.mapInArrow(_bands, "doc_id long, y int, digest long, " + ", ".join(f"{b} long" for b in bands)) \
+        .groupBy("doc_id", "y").agg(F.min(F.struct("digest", *bands)).alias("s")).select("doc_id", "y", "s.*")
+    for band in bands:
+        kept = kept.groupBy(band, "y").agg(F.min(F.struct("doc_id", "digest", *(b for b in bands if b != band))).alias("s")).select("y", band, "s.*")
+    return picked.join(F.broadcast(kept.select("doc_id", "digest")), ["doc_id", "digest"]).groupBy("doc_id") \
+        .agg(F.min("text").alias("text"), F.max("y").alias("y"))
+
+
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text", 4 << 20):
-        least = []
-        for text in text_bytes(batch.column(1)):
+        found = np.zeros((batch.num_rows, BANDS), np.int64)
+        for i, text in enumerate(text_bytes(batch.column(1))):
             words = text.split()
-            shingles = [*map(b" ".join, zip(words, words[1:], words[2:], strict=False))] or [text]
-            least.append([min(zlib.crc32(s, mix) for s in shingles) for mix in (1, 2)])
-        yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([v[i] for v in least], pa.int64()) for i in (0, 1))],
-                                         names=["doc_id", "text", "y", "one", "two"])
+            shingles = map(b" ".join, zip(words, words[1:], words[2:], strict=False)) if len(words) > 2 else [text]
+            hashes = np.fromiter(map(zlib.crc32, shingles), np.uint64)
+            least = np.array([(hashes * mix >> np.uint64(32)).min() for mix in _MIXES], "<u8").reshape(BANDS, MINIMA)
+            found[i] = [xxhash.xxh64_intdigest(band.tobytes()) >> 1 for band in least]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), *map(pa.array, found.T.copy())],
+                                         names=["doc_id", "y", "digest", *(f"band{i}" for i in range(BANDS))])
 
 
 def _stems_of(text: str) -> set[str]:
@@ -339,7 +347,7 @@ PRIOR_COEFFICIENTS = (-3.0, 0.6, 0.6, 0.3, 2.0)  # without labels
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Grammar:
-    sample = written(labelled_sample(docs, labels, "toxic", FOLDS, HELD_FOLD, SAMPLE_ROWS, SAMPLE_CHARS), "toxic-sample")
+    sample = written(labelled_sample(docs, labels, "toxic", FOLDS, HELD_FOLD, SAMPLE_ROWS), "toxic-sample")
     grammar = Grammar(learned_lexicon(sample))
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import quality_knn, quality_rules
 from eventlake.llm.textstats import gaps, repeated_words, word_ids
+from eventlake.llm.toxicity import labelled_sample
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TEXTS = [None, "", " ", "\n\n", "a", "é", "日本 語", "one two\none two\n \n \none two ", "a b c d e f g h " * 2, "x " * 9, "x " * 8, "x\x0by\x0cz\x1cw\x85v",
@@ -135,6 +136,36 @@ def test_held_out_labels_change_nothing(spark, tables):
     assert a == b
 
 
+@pytest.mark.parametrize("size", [40_000, 54_000, 1_000_000])
+def test_long_labelled_texts_are_learned_from(spark, size):
+    rng = np.random.default_rng(6)
+    syllables = np.array(["an", "re", "tion", "st", "ou", "the", "ri"])
+    rows = []
+    for i in range(160 if size < 100_000 else 60):
+        words = ["".join(w) + " " for w in syllables[rng.integers(0, 7, (size // 40, 3))]]
+        text = "".join(words) if i % 2 else "".join(w.strip().upper() + "!! $$ " for w in words)
+        rows.append((i, (text * (size // len(text) + 1))[:size] if size < 100_000 else text * 4))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    got = quality_knn.score(docs, marks).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got)
+    assert quality_rules.learn(docs, marks) is not None
+
+
+def test_copies_count_once_and_texts_that_share_a_passage_each(spark):
+    rng = np.random.default_rng(7)
+    text = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 10 ** 6, n))
+    licence, base = text(60), text(300).split()
+    near = [" ".join(base[:k] + ["changed"] + base[k + 1:]) for k in range(0, 300, 10)]
+    rows = [*enumerate([text(200) + " " + licence for _ in range(100)]), *((200 + i, t) for i, t in enumerate([" ".join(base)] * 30 + near)), (300, None), (301, "")]
+    docs = spark.createDataFrame([*rows, rows[0], (0, "another text of this number")], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1) for i, _ in rows], "doc_id long, quality int")
+    got = [r.doc_id for r in labelled_sample(docs, marks, "quality", 4, 9, 1000).collect()]
+    assert len(got) == len(set(got))
+    assert sum(i < 100 for i in got) > 85
+    assert sum(200 <= i < 300 for i in got) < 6
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
