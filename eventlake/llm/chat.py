@@ -9,8 +9,10 @@ one of the smallest conv_id stays. What remains is rendered in order.
 Only SQL functions run here. Positions and running hashes are taken in windows of
 ``BUCKET`` turn numbers and carried over between them, so a conversation that holds most
 turns does not end in one task; prefixes are made distinct before they are joined, so a
-first turn that many conversations share costs one row. Texts take part only in the hash
-and in the rendering, one row per conversation and bucket.
+first turn that many conversations share costs one row. The table is read three times: the
+numbers of turns, then the texts to hash them, then those of the conversations that stay.
+What is hashed is written once, in narrow rows, and texts are shuffled once, by conversation
+and bucket.
 
 Defined cases: turns are ordered by number, role and hash of the text, nulls first, and
 repeated rows are turns of their own; a null conv_id is a conversation; a null role renders
@@ -24,12 +26,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.llm.common import written
+
 BUCKET = 1024  # turn numbers per window and rendered row
 START, END = "<|im_start|>", "<|im_end|>"
 
 
-def _bucket(turn: Column) -> Column:
-    return F.floor(turn / BUCKET)
+_NO_TURN = -(1 << 62)  # the bucket of turns without a number, before all others
+_KEY = ["unnamed", "conv", "bucket"]  # none of them null, so that plain equality joins them
 
 
 def _hash(salt: int, *values: Column) -> Column:
@@ -37,44 +41,45 @@ def _hash(salt: int, *values: Column) -> Column:
     return F.xxhash64(F.lit(salt), *[x for v in values for x in (v.isNull(), v)])
 
 
-def turn_hashes(turns: DataFrame) -> DataFrame:
-    """(conv_id, turn, bucket, role, one, two): the turns without their texts."""
-    return turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-                        _bucket(F.col("turn").cast("long")).alias("bucket"), F.col("role").cast("string").alias("role"),
-                        *[_hash(salt, F.col("role"), F.col("text")).alias(name) for name, salt in (("one", 1), ("two", 2))])
+def _keyed(turns: DataFrame, *more: Column) -> DataFrame:
+    conv, turn = F.col("conv_id").cast("long"), F.col("turn").cast("long")
+    return turns.select(conv.isNull().alias("unnamed"), F.coalesce(conv, F.lit(0)).alias("conv"),
+                        F.coalesce(F.floor(turn / BUCKET), F.lit(_NO_TURN)).alias("bucket"), *more)
+
+
+def _turn(*more: Column) -> list[Column]:
+    """A turn's number, role and hashes, by which turns are ordered, nulls first."""
+    return [F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"),
+            *[_hash(salt, F.col("role"), F.col("text")).alias(name) for name, salt in (("one", 1), ("two", 2))], *more]
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
-    """(conv_id, n, one, two, last): the hash of each conversation's first n turns."""
-    rows = turn_hashes(turns)
-    key, order = ["conv_id", "bucket"], [F.col(c).asc_nulls_first() for c in ("turn", "role", "one", "two")]
-    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy(*key).orderBy(*order)).cast("long"))
-    sizes = rows.groupBy(*key).agg(F.count("*").alias("size"))
-    by_bucket = Window.partitionBy("conv_id").orderBy(F.col("bucket").asc_nulls_first())
-    earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(*key, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"),
-                         F.sum("size").over(Window.partitionBy("conv_id")).alias("turns"))
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in key]
-    rows = rows.alias("r").join(sizes.alias("s"), same[0] & same[1]) \
-        .select("r.conv_id", "r.bucket", (F.col("before") + F.col("place")).alias("n"), "turns", "one", "two") \
-        .withColumns({c: F.xxhash64(F.lit(salt), "n", c) for c, salt in (("one", 3), ("two", 4))})
-    up_to = Window.partitionBy(*key).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    whole = rows.groupBy(*key).agg(*[F.bit_xor(c).alias(c) for c in ("one", "two")])
-    carried = whole.select(*key, *[F.coalesce(F.bit_xor(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("one", "two")])
-    rows = rows.select("conv_id", "bucket", "n", "turns", *[F.bit_xor(c).over(up_to).alias(c) for c in ("one", "two")])
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in key]
-    return rows.alias("r").join(carried.alias("c"), same[0] & same[1]) \
-        .select("r.conv_id", "n", *[F.col(c).bitwiseXOR(F.col(f"{c}_before")).alias(c) for c in ("one", "two")],
-                (F.col("n") == F.col("turns")).alias("last"))
-
-
-def maximal(turns: DataFrame) -> DataFrame:
-    """(conv_id, n_turns) of the conversations that stay."""
-    rows, key = prefixes(turns), ["n", "one", "two"]
-    whole = rows.where("last").groupBy(*key).agg(
-        F.min("conv_id").alias("conv_id"), F.min(F.col("conv_id").isNull()).alias("unnamed"))
-    proper = rows.where("NOT last").select(*key).distinct()
-    return whole.join(proper, key, "left_anti").select(F.when(~F.col("unnamed"), F.col("conv_id")).alias("conv_id"), F.col("n").alias("n_turns"))
+    """The hash of each conversation's first n turns, running within its bucket, and ``before``
+    turns in earlier buckets, of ``turns`` in all; ``ends`` marks a bucket's last turn. Written."""
+    by_conv = Window.partitionBy("unnamed", "conv")
+    earlier = by_conv.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = _keyed(turns).groupBy(*_KEY).agg(F.count("*").alias("size")) \
+        .withColumns({"before": F.coalesce(F.sum("size").over(earlier), F.lit(0)), "turns": F.sum("size").over(by_conv)})
+    order = [F.col(c).asc_nulls_first() for c in ("turn", "role", "one", "two")]
+    rows = _keyed(turns, *_turn()).withColumn("place", F.row_number().over(Window.partitionBy(*_KEY).orderBy(*order)).cast("long"))
+    rows = rows.join(sizes, _KEY).withColumn("n", F.col("before") + F.col("place"))
+    up_to = Window.partitionBy(*_KEY).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    running = [F.bit_xor(F.xxhash64(F.lit(salt), "n", c)).over(up_to).alias(c) for c, salt in (("one", 3), ("two", 4))]
+    return written(rows.select(*_KEY, "n", "before", "turns", (F.col("place") == F.col("size")).alias("ends"), *running), "chat-prefixes")
+
+
+def maximal(found: DataFrame) -> DataFrame:
+    """(unnamed, conv, n_turns) of the conversations that stay, from ``prefixes``."""
+    key = ["n", "one", "two"]
+    later = Window.partitionBy("unnamed", "conv").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    several = found.where("ends AND (before > 0 OR n < turns)")  # buckets of conversations with more than one
+    carried = several.select(*_KEY, "before", *[F.bit_xor(c).over(later).alias(f"{c}_before") for c in ("one", "two")]).where("before > 0").drop("before")
+    columns = ["unnamed", "conv", "n", "turns"]
+    rows = found.where("before = 0").select(*columns, "one", "two").unionByName(
+        found.where("before > 0").join(carried, _KEY).select(*columns, *[F.col(c).bitwiseXOR(F.col(f"{c}_before")).alias(c) for c in ("one", "two")]))
+    whole = rows.where("n = turns").groupBy(*key).agg(F.min(F.struct("unnamed", "conv")).alias("first"))
+    proper = rows.where("n < turns").select(*key).distinct()
+    return whole.join(proper, key, "left_anti").select("first.unnamed", "first.conv", F.col("n").alias("n_turns"))
 
 
 def render(role: Column, text: Column) -> Column:
@@ -85,15 +90,12 @@ def render(role: Column, text: Column) -> Column:
 def formatted(turns: DataFrame) -> DataFrame:
     """(conv_id, part, n_turns, rendered): the maximal conversations, rendered; ``part``
     counts by BUCKET turn numbers, so conversations of fewer have one row."""
-    kept = maximal(turns)
-    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), _bucket(F.col("turn").cast("long")).alias("part"),
-                        F.struct(F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"),
-                                 *[_hash(salt, F.col("role"), F.col("text")).alias(name) for name, salt in (("one", 1), ("two", 2))],
-                                 render(F.col("role"), F.col("text")).alias("rendered")).alias("t"))
-    joined = rows.alias("r").join(kept.alias("k"), F.col("r.conv_id").eqNullSafe(F.col("k.conv_id"))) \
-        .select("r.conv_id", "part", "n_turns", "t")
-    return joined.groupBy("conv_id", "part", "n_turns").agg(F.sort_array(F.collect_list("t")).alias("t")) \
-        .select("conv_id", "part", "n_turns", F.array_join(F.col("t.rendered"), "").alias("rendered"))
+    found = prefixes(turns)
+    kept = found.where("ends").select(*_KEY).join(maximal(found), ["unnamed", "conv"])
+    rows = _keyed(turns, F.struct(*_turn(render(F.col("role"), F.col("text")).alias("rendered"))).alias("t"))
+    return rows.join(kept, _KEY).groupBy(*_KEY, "n_turns").agg(F.sort_array(F.collect_list("t")).alias("t")) \
+        .select(F.when(~F.col("unnamed"), F.col("conv")).alias("conv_id"), F.when(F.col("bucket") != _NO_TURN, F.col("bucket")).alias("part"),
+                "n_turns", F.array_join(F.col("t.rendered"), "").alias("rendered"))
 
 
 ORACLE = r"""

@@ -71,3 +71,13 @@ def test_plan_runs_no_python(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
     assert df.select(F.col("n_turns")).first()[0] == 1
+
+
+def test_the_table_is_read_three_times(spark, tmp_path):
+    spark.createDataFrame(ROWS, SCHEMA).write.parquet(str(tmp_path / "turns"))
+    turns = spark.read.parquet(str(tmp_path / "turns"))
+    place = str(tmp_path / "turns")
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count(place)
+    assert scans(chat.formatted(turns)) == 1  # the other two write the prefixes
+    got, _ = joined(chat.formatted(turns))
+    assert got == brute(ROWS)
