@@ -9,6 +9,7 @@ any JSON, so the two sides share no code.
 
 from __future__ import annotations
 
+import math
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -559,19 +560,25 @@ def t2_fresh_checkpoint(spark, sf):
     return _lake_counts(spark, lake, fresh_refused=F.lit(refused))
 
 
-def _arrivals(spark, lines: list[DataFrame]) -> str:
-    """One folder of JSON lines per arrival, in order."""
+def _files_of(spark, sf, arrivals: int) -> int:
+    """Files of one of so many arrivals of the events: one task writes a file."""
+    return math.ceil(fx.n_tasks(spark, sf, "events") / arrivals)
+
+
+def _arrivals(spark, lines: list[DataFrame], files: int = 1) -> str:
+    """One folder of JSON lines per arrival, in order, each of ``files`` files."""
     src = scratch_path(spark, "arrivals")
     for i, df in enumerate(lines):
-        write_jsonl(df.select("value").coalesce(1), f"{src}/run={i}")
+        write_jsonl(df.select("value").coalesce(files), f"{src}/run={i}")
     return src
 
 
-def _shared_run(spark, src, lake, checkpoint, **settings) -> None:
-    """One run of a shared lake's stream over what has arrived; then it ends, as after a kill."""
+def _shared_run(spark, src, lake, checkpoint, files: int = 1, **settings) -> None:
+    """One run of a shared lake's stream over what has arrived, an arrival's ``files`` at a
+    time; then it ends, as after a kill."""
     from eventlake.streaming.shared import SharedIngest
     run = SharedIngest(spark, lake, checkpoint, **settings)
-    run.start(read_jsonl(spark, f"{src}/run=*", streaming=True, max_files_per_trigger=1), {"availableNow": True}).awaitTermination()
+    run.start(read_jsonl(spark, f"{src}/run=*", streaming=True, max_files_per_trigger=files), {"availableNow": True}).awaitTermination()
     run.drain()
 
 
@@ -582,7 +589,8 @@ def t2_shared_lake(spark, sf):
     lake = scratch_path(spark, "shared-lake")
     as_raw = lambda df: df.select(F.col("value").cast("binary").alias("value"))
     ingest_batch(as_raw(parts[0]), lake, ts="event")
-    _shared_run(spark, _arrivals(spark, [parts[1]]), lake, scratch_path(spark, "shared-ckpt"), ts="event")
+    files = _files_of(spark, sf, 3)
+    _shared_run(spark, _arrivals(spark, [parts[1]], files), lake, scratch_path(spark, "shared-ckpt"), files, ts="event")
     ingest_batch(as_raw(parts[2]), lake, ts="event")
     return open_lake(spark, lake).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("did", "time_us").alias("n_distinct"))
 
@@ -591,7 +599,8 @@ def t2_quarantine_commit(spark, sf):
     """Lake and quarantine of a stream in one commit hold every record once."""
     from eventlake.sources.lake import open_quarantine
     lake, bad = scratch_path(spark, "qc-lake"), scratch_path(spark, "qc-bad")
-    _shared_run(spark, _arrivals(spark, [fx.edge(_events(spark, sf))]), lake, scratch_path(spark, "qc-ckpt"), ts="event",
+    files = _files_of(spark, sf, 1)
+    _shared_run(spark, _arrivals(spark, [fx.edge(_events(spark, sf))], files), lake, scratch_path(spark, "qc-ckpt"), files, ts="event",
                 quarantine_path=bad, max_bytes=fx.EDGE_MAX_BYTES)
     return open_lake(spark, lake).agg(F.lit("ok").alias("reason"), F.count(F.lit(1)).alias("n")) \
         .unionByName(open_quarantine(spark, bad).groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
@@ -599,11 +608,11 @@ def t2_quarantine_commit(spark, sf):
 
 def _three_runs(spark, sf) -> str:
     """A lake that a stream wrote in three runs, each after an arrival."""
-    ev = _events(spark, sf)
+    ev, files = _events(spark, sf), _files_of(spark, sf, 3)
     lake, ckpt, src = (scratch_path(spark, n) for n in ("runs-lake", "runs-ckpt", "runs-src"))
     for i in range(3):
-        write_jsonl(fx.edge(ev.filter(F.pmod("event_id", F.lit(3)) == i)).select("value").coalesce(1), f"{src}/run={i}")
-        _shared_run(spark, src, lake, ckpt, ts="event", max_bytes=fx.EDGE_MAX_BYTES)
+        write_jsonl(fx.edge(ev.filter(F.pmod("event_id", F.lit(3)) == i)).select("value").coalesce(files), f"{src}/run={i}")
+        _shared_run(spark, src, lake, ckpt, files, ts="event", max_bytes=fx.EDGE_MAX_BYTES)
     return lake
 
 
@@ -634,8 +643,9 @@ def t1_count_or_time(spark, sf):
     from eventlake.sinks.commits import committed
     ev = _events(spark, sf)
     lake, min_rows = scratch_path(spark, "t1-lake"), ev.count() // T1_FLUSHES
-    src = _arrivals(spark, [fx.env(ev.filter(F.pmod("event_id", F.lit(T1_ARRIVALS)) == i)) for i in range(T1_ARRIVALS)])
-    _shared_run(spark, src, lake, scratch_path(spark, "t1-ckpt"), ts="event", min_rows=min_rows, max_delay=1e9)
+    files = _files_of(spark, sf, T1_ARRIVALS)
+    src = _arrivals(spark, [fx.env(ev.filter(F.pmod("event_id", F.lit(T1_ARRIVALS)) == i)) for i in range(T1_ARRIVALS)], files)
+    _shared_run(spark, src, lake, scratch_path(spark, "t1-ckpt"), files, ts="event", min_rows=min_rows, max_delay=1e9)
     done = committed(spark, lake)
     whole = F.col("consumed") >= min_rows
     # the drain's flush is the one that may be smaller

@@ -13,6 +13,8 @@ totals of a pipeline are read from the lake (``committed``), whatever was restar
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,15 @@ COMMIT_SCHEMA = """writer string, batch long, upto long, consumed long, written
   reasons map<string,long>, write_ms long, files long"""
 
 
+MOVERS = 16  # calls of the file system that wait side by side
+
+
+def _side_by_side(call: Callable, items: Iterable) -> list:
+    """The calls' results; a call that fails is raised."""
+    with ThreadPoolExecutor(MOVERS) as pool:
+        return list(pool.map(call, items))
+
+
 def is_committed(spark: SparkSession, lake: str, name: str) -> bool:
     fs, p = _fs_path(spark, f"{lake}/{COMMITS}/{name}.json")
     return fs.exists(p)
@@ -34,15 +45,17 @@ def staging_folder(folder: str, name: str) -> str:
 
 
 def _files_below(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the data files, relative to the folder."""
+    """Paths of the data files, relative to the folder. Listed folder by folder: a recursive
+    listing also asks for owners, which on a local disk starts a process per file."""
     fs, root = _fs_path(spark, folder)
     if not fs.exists(root):
         return []
-    base, out, found = fs.makeQualified(root).toString().rstrip("/") + "/", [], fs.listFiles(root, True)
-    while found.hasNext():
-        path = found.next().getPath()
-        if not path.getName().startswith(("_", ".")):
-            out.append(path.toString()[len(base):])
+    base, out, folders = fs.makeQualified(root).toString().rstrip("/") + "/", [], [root]
+    while folders:
+        listed = [x for part in _side_by_side(lambda p: [(f.isDirectory(), f.getPath()) for f in fs.listStatus(p)], folders) for x in part]
+        folders = [p for is_folder, p in listed if is_folder]
+        files = [p.toString()[len(base):] for is_folder, p in listed if not is_folder]
+        out += [f for f in files if not f.rpartition("/")[2].startswith(("_", "."))]
     return out
 
 
@@ -70,12 +83,20 @@ def commit(spark: SparkSession, lake: str, name: str, folders: list[str], facts:
     entry = {"lake": lake, "name": name, "folders": folders, "moves": [[f, named(file)] for f, file in staged], "files": len(staged), **facts}
     for folder in [f for f in folders if f != lake] + [lake]:  # before any file is moved
         _replace_file(spark, f"{folder}/{PENDING}/{name}.json", json.dumps(entry))
-    for folder, file in staged:
+
+    def make(place: str) -> None:
+        fs, p = _fs_path(spark, place)
+        fs.mkdirs(p)
+
+    def move(one: tuple[str, str]) -> None:
+        folder, file = one
         fs, src = _fs_path(spark, f"{staging_folder(folder, name)}/{file}")
         _, dst = _fs_path(spark, f"{folder}/{named(file)}")
-        fs.mkdirs(dst.getParent())
         if not fs.rename(src, dst):
             raise OSError(f"cannot move {src} to {dst}")
+
+    _side_by_side(make, sorted({f"{folder}/{named(file)}".rpartition("/")[0] for folder, file in staged}))
+    _side_by_side(move, staged)
     fs, done = _fs_path(spark, f"{lake}/{COMMITS}/{name}.json")
     fs.mkdirs(done.getParent())
     _, pending = _fs_path(spark, f"{lake}/{PENDING}/{name}.json")

@@ -9,10 +9,12 @@ and read; column selection reaches the scan as ``ReadSchema``.
 
 from __future__ import annotations
 
+import functools
 import json
 import logging
 import re
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -25,10 +27,15 @@ log = logging.getLogger(__name__)
 SCHEMA_FILE = "_eventlake_schema.json"
 
 
+@functools.lru_cache(maxsize=1)
+def _hadoop(context: SparkContext):
+    """Hadoop's Path and the session's settings: looked up anew they take several round trips to the JVM."""
+    return context._jvm.org.apache.hadoop.fs.Path, context._jsc.hadoopConfiguration()  # noqa: SLF001 - Hadoop FS keeps this storage-agnostic
+
+
 def _fs_path(spark: SparkSession, target: str):
-    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS keeps this storage-agnostic
-    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-    p = jvm.org.apache.hadoop.fs.Path(target)
+    path, conf = _hadoop(spark.sparkContext)
+    p = path(target)
     return p.getFileSystem(conf), p
 
 
