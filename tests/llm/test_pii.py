@@ -174,3 +174,21 @@ def test_query_on_odd_texts(spark):
         order = [(pii.KINDS.index(k), int(a)) for k, a, _ in spans]
         assert order == sorted(order)
     assert pii.find(docs.limit(0)).count() == 0
+
+
+def test_windows_cover_a_text_without_waste():
+    for n in (0, 1, pii.WINDOW, pii.WINDOW + 1, 1100, 2000, 5000, 128_657):
+        cuts = pii.cuts(n)
+        assert sum(size for _, size in cuts) <= n + len(cuts) * (pii.OVERLAP + 1)
+        assert all(size <= pii.WINDOW for _, size in cuts) and len({size for _, size in cuts}) <= 1
+        assert not n or cuts[0][0] == 0 and sum(cuts[-1]) == n
+        assert all(a + size - b >= pii.OVERLAP for (a, size), (b, _) in zip(cuts, cuts[1:], strict=False))
+
+
+def test_arithmetic_tanh_is_close():
+    z = np.linspace(-30, 30, 4001, dtype=np.float32).reshape(1, -1)
+    out, s, q = (np.empty_like(z) for _ in range(3))
+    pii.quick_tanh(z, out, s, q)
+    assert np.abs(out - np.tanh(z.astype(np.float64))).max() < 1e-4
+    pii.quick_tanh(z, z, s, q)
+    assert (z == out).all()
