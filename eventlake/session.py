@@ -33,6 +33,7 @@ def get_spark(master: str | None = None, app: str = "eventlake", **conf) -> Spar
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.maxMetadataStringLength": "2000",  # plans name whole paths
         **REQUIRED_CONF,
     }
     defaults.update(conf)
