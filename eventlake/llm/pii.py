@@ -42,7 +42,8 @@ SAMPLE_ROWS = 400  # documents trained on, at most
 SAMPLE_CHARS = 20_000  # of each that are trained on, from a place that its hash says
 HIDDEN = 8
 WINDOW, OVERLAP = 1024, 96  # characters
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 8 << 20
+SIDE_CHARS = 1 << 20  # of windows that run side by side
 STEPS, BATCH, LENGTH, RATE = 500, 48, 112, 0.02
 SEED = 11
 
@@ -338,6 +339,19 @@ def _active(sizes: np.ndarray) -> list[int]:
     return np.searchsorted(-sizes, -np.arange(sizes[0]), side="left").tolist() if len(sizes) else []
 
 
+def _side_by_side(windows: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
+    """The windows (text, start, length) in groups of like length, each of at most ``SIDE_CHARS``
+    characters or a single window."""
+    groups, chars = [], 0
+    for window in sorted(windows, key=lambda w: w[2], reverse=True):
+        if not groups or chars + window[2] > SIDE_CHARS:
+            groups.append([])
+            chars = 0
+        groups[-1].append(window)
+        chars += window[2]
+    return groups
+
+
 def _inputs(px: np.ndarray, chars: np.ndarray, space: np.ndarray, by_rows: bool) -> np.ndarray:
     """The inputs' part of the gates, (feature, window), from a table by character (``by_rows``) or
     by feature."""
@@ -346,24 +360,21 @@ def _inputs(px: np.ndarray, chars: np.ndarray, space: np.ndarray, by_rows: bool)
     return np.take(px, chars, axis=1, out=space.reshape(-1, len(chars)), mode="clip")
 
 
-# tanh as z (A + B / (z^2 + C) + D / (z^2 + E)), fitted within the clip: off by at most 0.00007.
-# Arithmetic costs the same on all machines; numpy's tanh reads tables, slowly on some.
-TANH_CLIP = np.float32(5.4)
-_A, _B, _C, _D, _E = map(np.float32, (0.05038078, 2.02697362, 2.48454758, 4.38970936, 32.88128517))
+def logistic(z: np.ndarray, out: np.ndarray) -> None:
+    """1 / (1 + e^z), into ``out`` (which may be z). An e^z beyond single precision is infinite,
+    which gives the 0 that it should; numpy's warning of it is the caller's to silence. numpy's exp
+    is arithmetic on all x86 machines; its tanh reads tables, slowly on some."""
+    np.exp(z, out=out)
+    out += np.float32(1)
+    np.divide(np.float32(1), out, out=out)
 
 
 def quick_tanh(z: np.ndarray, out: np.ndarray, s: np.ndarray, q: np.ndarray) -> None:
     """tanh of z, into ``out`` (which may be z); s and q are of its shape, to work in."""
-    np.minimum(z, TANH_CLIP, out=out)
-    np.maximum(out, -TANH_CLIP, out=out)
-    np.multiply(out, out, out=s)
-    np.add(s, _E, out=q)
-    np.divide(_D, q, out=q)
-    s += _C
-    np.divide(_B, s, out=s)
-    s += q
-    s += _A
-    out *= s
+    np.multiply(z, np.float32(-2), out=s)
+    logistic(s, q)
+    np.multiply(q, np.float32(2), out=out)
+    out -= np.float32(1)
 
 
 def cuts(n: int) -> list[tuple[int, int]]:
@@ -397,10 +408,10 @@ class Tagger:
 
     def __init__(self, p: dict[str, np.ndarray]):
         n = p["hf"].shape[1]
-        half = np.ones((4 * n, 1))
-        half[:3 * n] = 0.5  # sigmoid(z) = tanh(z / 2) / 2 + 1 / 2
-        # outputs are kept at twice their size, so what reads them takes half of it
-        share = {"x": half, "h": 0.5 * half, "e": 0.5}
+        sign = np.full((4 * n, 1), -1.0)  # the logistic's e^-z
+        sign[3 * n:] = -2.0  # tanh(z) = 2 / (1 + e^-2z) - 1
+        # cells and outputs are kept at half their size, so what reads outputs takes twice of it
+        share = {"x": sign, "h": 2 * sign, "e": 2.0}
         self.p = {k: np.ascontiguousarray(v * share[k[0]] if len(k) > 1 else v, np.float32) for k, v in p.items()}
         d = (self.p["t"] - self.p["t"][0, 0]).astype(np.float64)
         self.within = d[1:, 1:].max()  # most that one more step among the kinds can add,
@@ -416,24 +427,25 @@ class Tagger:
         h, c = np.zeros((n, m), np.float32), np.zeros((n, m), np.float32)
         out = np.empty((int(sizes[0]), TAGS, m), np.float32)
         # the same memory at every step: fresh arrays of this size are mapped anew each time
-        space, more, rest = np.empty(4 * n * m, np.float32), np.empty(4 * n * m, np.float32), np.empty(4 * n * m, np.float32)
-        for t, k in enumerate(_active(sizes)):
-            if k < h.shape[1]:
-                h, c = np.ascontiguousarray(h[:, :k]), np.ascontiguousarray(c[:, :k])
-            z, w = space[:4 * n * k].reshape(4 * n, k), more[:4 * n * k]
-            np.matmul(ph, h, out=z)
-            z += _inputs(px, text[first[:k] + step * t], w, by_rows)
-            work = w.reshape(4 * n, k), rest[:4 * n * k].reshape(4 * n, k)
-            quick_tanh(z, z, *work)
-            gates, g = z[:3 * n], z[3 * n:]
-            gates += np.float32(1)  # twice the gates: the halves are taken below
-            c *= gates[n:2 * n]
-            g *= gates[:n]
-            c += g
-            c *= np.float32(0.5)
-            quick_tanh(c, h, work[0][:n], work[1][:n])
-            h *= gates[2 * n:]
-            np.matmul(pe, h, out=out[t, :, :k])
+        space, more = np.empty(4 * n * m, np.float32), np.empty(4 * n * m, np.float32)
+        with np.errstate(over="ignore"):
+            for t, k in enumerate(_active(sizes)):
+                if k < h.shape[1]:
+                    h, c = np.ascontiguousarray(h[:, :k]), np.ascontiguousarray(c[:, :k])
+                z = space[:4 * n * k].reshape(4 * n, k)
+                np.matmul(ph, h, out=z)
+                z += _inputs(px, text[first[:k] + step * t], more[:4 * n * k], by_rows)
+                logistic(z, z)
+                gates, g = z[:3 * n], z[3 * n:]
+                g -= np.float32(0.5)
+                c *= gates[n:2 * n]
+                g *= gates[:n]
+                c += g
+                np.multiply(c, np.float32(-4), out=h)  # tanh of twice the half cell, halved
+                logistic(h, h)
+                h -= np.float32(0.5)
+                h *= gates[2 * n:]
+                np.matmul(pe, h, out=out[t, :, :k])
         return out
 
     def emissions(self, text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -491,15 +503,16 @@ class Tagger:
         windows = [(i, *cut) for i, n in enumerate(lengths) for cut in cuts(n)]
         while windows:
             again = set()
-            for (i, start, size), spans in zip(windows, self._spans(coded, begins, windows), strict=True):
-                for gain, kind, a, b in spans:
-                    if a == 0 < start or b == size < lengths[i] - start:
-                        # cut off by its window's edge
-                        wide = 2 * size
-                        left = max(0, start + (a + b) // 2 - size)
-                        again.add((i, left, min(wide, lengths[i] - left)))
-                    else:
-                        found[i].append((gain, kind, start + a, start + b))
+            for side in _side_by_side(windows):
+                for (i, start, size), spans in zip(side, self._spans(coded, begins, side), strict=True):
+                    for gain, kind, a, b in spans:
+                        if a == 0 < start or b == size < lengths[i] - start:
+                            # cut off by its window's edge
+                            wide = 2 * size
+                            left = max(0, start + (a + b) // 2 - size)
+                            again.add((i, left, min(wide, lengths[i] - left)))
+                        else:
+                            found[i].append((gain, kind, start + a, start + b))
             windows = sorted(again - set(windows))
         return found
 

@@ -192,3 +192,25 @@ def test_arithmetic_tanh_is_close():
     assert np.abs(out - np.tanh(z.astype(np.float64))).max() < 1e-4
     pii.quick_tanh(z, z, s, q)
     assert (z == out).all()
+
+
+def test_logistic_is_exact_and_saturates():
+    z = np.linspace(-300, 300, 4001, dtype=np.float32).reshape(1, -1)
+    exact = 1 / (1 + np.exp(z.astype(np.float64)))
+    with np.errstate(over="ignore"):
+        pii.logistic(z, z)
+    assert np.abs(z - exact).max() < 1e-6
+
+
+def test_windows_run_side_by_side_by_length(tagger, monkeypatch):
+    monkeypatch.setattr(pii, "SIDE_CHARS", 3000)
+    windows = [(0, 0, 900), (0, 800, 1000), (1, 0, 5), (2, 0, 7000), (2, 6900, 1000), (3, 0, 1000)]
+    groups = pii._side_by_side(windows)
+    assert sorted(w for g in groups for w in g) == sorted(windows)
+    assert all(len(g) == 1 or sum(w[2] for w in g) <= 3000 for g in groups)
+    # and the spans are the same, however few run together
+    texts = ["call (555) 010-4477 or write to jo at host dot org, " + "plain words " * n for n in (3, 90, 300, 0)]
+    few = tagger.proposals(texts)
+    monkeypatch.setattr(pii, "SIDE_CHARS", 1 << 20)
+    spans = lambda found: [sorted(s[1:] for s in f) for f in found]
+    assert spans(few) == spans(tagger.proposals(texts)) and any(few)
