@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import eventlake
-from eventlake.session import scratch_path
+from eventlake.session import PLAIN_FILES, scratch_path
 
 # ASCII whitespace that separates words: the complement of the class [^\x20\x09-\x0D].
 # bytes.split() without arguments splits on exactly these six.
@@ -61,7 +61,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     the files outlive a lost executor."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**PLAIN_FILES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -355,6 +355,8 @@ def collapse(docs: DataFrame, rewrite: Rewrite | None = None) -> DataFrame:
     lists = written(found.groupBy("one", "two").agg(F.collect_list(F.struct("start", "length", "period")).alias("runs")), "periodic-runs")
     periodic = heads.where("text IS NOT NULL").select("doc_id", "one", "two", "text").join(lists, ["one", "two"], "left") \
         .select("doc_id", "text", "runs").mapInArrow(_collapse, _OUT)
+    # few and narrow rows: read from files, they go to fewer tasks than the join's, and are not made anew by each reader
+    periodic = written(periodic, "periodic-rows")
     none = F.lit(None).cast("long")
     plain = heads.where("text IS NULL").select(
         "doc_id", F.col("n").alias("n_words"), F.lit(0).cast("long").alias("n_runs"), *[none.alias(c) for c in ("start", "length", "period", "exponent_milli")],

@@ -17,6 +17,13 @@ REQUIRED_CONF = {
 }
 
 
+# For writes to file: paths (other stores do not read these). Without its native library Hadoop
+# starts four processes per file there, to set the modes of the file and of the checksum beside it:
+# 30 ms each, and until such a process runs its own program it counts with all of Spark's memory.
+# The raw file system writes files alone, with the modes that the process's umask gives.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def get_spark(master: str | None = None, app: str = "eventlake", **conf) -> SparkSession:
     """Build (or reuse) a session with sane defaults for this engine.
 
