@@ -22,6 +22,7 @@ import uuid
 from pyspark.sql import DataFrame
 
 from eventlake.functions.timecols import DEFAULT_TEMPLATE, template_columns
+from eventlake.session import PLAIN_FILES
 from eventlake.sources.lake import SCHEMA_FILE
 
 # Fixed value: the reference's flush size (events per file). Pass it as ``max_rows``
@@ -42,7 +43,7 @@ def write_lake(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
         raise ValueError(f"partition columns missing: {missing}; add them with with_partitions()")
     if cluster:
         df = df.hint("rebalance", *parts)
-    w = df.write.mode(mode).option("compression", "snappy").partitionBy(*parts)
+    w = df.write.mode(mode).option("compression", "snappy").options(**PLAIN_FILES).partitionBy(*parts)
     if max_rows:
         w = w.option("maxRecordsPerFile", int(max_rows))
     if not cluster:
