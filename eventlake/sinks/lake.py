@@ -2,7 +2,8 @@
 
 * Snappy, append mode; an empty input writes nothing and succeeds.
 * ``max_rows`` bounds rows per file (``maxRecordsPerFile``); ``FLUSH_ROWS`` is the
-  reference's flush size. Unset, a file holds what one task writes.
+  reference's flush size. Unset, a file holds what one task writes. On a local disk files
+  of few rows are written by ``sinks.smallfiles``.
 * Spark names every file uniquely, so two writes in one second never
   overwrite each other.
 * ``cluster=False``: no shuffle; each task sorts its rows by partition value
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 
 from eventlake.functions.timecols import DEFAULT_TEMPLATE, template_columns
 from eventlake.session import PLAIN_FILES
+from eventlake.sinks.smallfiles import local_root, write_small_files
 from eventlake.sources.lake import SCHEMA_FILE
 
 # Fixed value: the reference's flush size (events per file). Pass it as ``max_rows``
@@ -43,11 +45,19 @@ def write_lake(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
         raise ValueError(f"partition columns missing: {missing}; add them with with_partitions()")
     if cluster:
         df = df.hint("rebalance", *parts)
+    root = local_root(df, path, parts, max_rows) if mode == "append" else None
     w = df.write.mode(mode).option("compression", "snappy").options(**PLAIN_FILES).partitionBy(*parts)
     if max_rows:
         w = w.option("maxRecordsPerFile", int(max_rows))
+
+    def write() -> None:
+        if root is not None:
+            write_small_files(df, root, parts, max_rows)
+        else:
+            w.parquet(path)
+
     if not cluster:
-        w.parquet(path)
+        write()
         return
     # A rebalanced write's cost is set by its folders as much as its bytes: with AQE's
     # 1 MB floor a small batch spanning many hours collapses into one task that writes
@@ -55,7 +65,7 @@ def write_lake(df: DataFrame, path: str, template: str = DEFAULT_TEMPLATE,
     # lands in one partition); large batches are unaffected (partitions are ~advisory).
     from eventlake.session import conf_scope
     with conf_scope(df.sparkSession, **{"spark.sql.adaptive.coalescePartitions.minPartitionSize": WRITE_MIN_PARTITION}):
-        w.parquet(path)
+        write()
 
 
 def write_schema_sidecar(df_or_schema, path: str) -> None:
