@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.timecols import DEFAULT_TEMPLATE, lag_seconds, template_columns
+from eventlake.session import PLAIN_FILES, conf_scope
 
 # Default histogram buckets of the Prometheus client library.
 DEFAULT_BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
@@ -88,3 +89,17 @@ def lake_inventory(lake: DataFrame, template: str = DEFAULT_TEMPLATE) -> DataFra
                         F.col("_metadata.file_size").alias("file_size"))
             .groupBy("file_path", *parts)
             .agg(F.count(F.lit(1)).alias("rows"), F.first("file_size").alias("bytes")))
+
+
+# What opening a file counts for when files are dealt to tasks. Spark's 4 MB suits files of some size; one
+# of a few rows is read in 2 ms, so that the 4 to 32 files of a task would hardly pay for the task.
+SMALL_FILE_COST = "256KB"
+
+
+def written_inventory(lake: DataFrame, path: str, template: str = DEFAULT_TEMPLATE) -> DataFrame:
+    """``lake_inventory`` of many small files, written to ``path`` and read back: the files are
+    dealt to tasks when the lake is read, which is here."""
+    spark, inventory = lake.sparkSession, lake_inventory(lake, template)
+    with conf_scope(spark, **{"spark.sql.files.openCostInBytes": SMALL_FILE_COST}):
+        inventory.write.options(**PLAIN_FILES).parquet(path)
+    return spark.read.schema(inventory.schema).parquet(path)

@@ -151,7 +151,7 @@ def s3_lake_scan(spark, sf):
 
 def k2_bounded_files(spark, sf):
     lake = open_lake(spark, _env_lake(spark, sf, max_rows=BOUNDED_ROWS))
-    inv = reports.lake_inventory(lake)
+    inv = reports.written_inventory(lake, scratch_path(spark, "k2-inventory"))
     per_folder = inv.groupBy("year", "month", "day", "hour").agg(
         F.max("rows").alias("most"), F.sum("rows").alias("rows"), F.count("*").alias("files"))
     least = F.ceil(F.col("rows") / BOUNDED_ROWS)

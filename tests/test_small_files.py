@@ -102,3 +102,22 @@ def test_other_writes_are_left_to_spark(spark, tmp_path):
     assert local_root(rows.select(*PARTS), str(tmp_path), PARTS, 5) is None
     assert local_root(rows.withColumn("v", F.parse_json(F.lit("1"))), str(tmp_path), PARTS, 5) is None
     assert local_root(rows, "hdfs://127.0.0.1:1/lake", PARTS, 5) is None
+
+
+def test_the_inventory_reads_many_small_files_in_few_tasks(spark, tmp_path):
+    """With Spark's own cost of opening a file, a task of 16 MB took 4 files: 50 tasks here."""
+    from eventlake.operators import reports
+    from eventlake.session import conf_scope
+    rows = spark.range(200).select("id", F.lit("2024").alias("year"), F.lit("x").alias("place"))
+    write_lake(rows.coalesce(1), str(tmp_path / "lake"), TEMPLATE, max_rows=1)
+    lake, context = open_lake(spark, str(tmp_path / "lake"), template=TEMPLATE), spark.sparkContext
+    context.setJobGroup("inventory", "tasks are counted")
+    try:
+        with conf_scope(spark, **{"spark.sql.files.maxPartitionBytes": "16MB"}):
+            found = reports.written_inventory(lake, str(tmp_path / "inventory"), TEMPLATE)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("inventory") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) <= max(16, 2 * context.defaultParallelism)
+    assert _as_text(found) == _as_text(reports.lake_inventory(lake, TEMPLATE)) and found.count() == 200
